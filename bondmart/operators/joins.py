@@ -19,12 +19,24 @@ BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's plan-time size estimate in bytes (None if unavailable)."""
+    """Catalyst's plan-time size estimate in bytes (None if unavailable).
+
+    Memoized on the DataFrame: dimensions are built once per feed set and
+    checked once, not re-optimized at every join that uses them.
+    """
+    cached = getattr(df, "_bm_size", False)
+    if cached is not False:
+        return cached
     try:
         stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes()))
+        size = int(str(stats.sizeInBytes()))
     except Exception:  # pragma: no cover - non-JVM backends
-        return None
+        size = None
+    try:
+        df._bm_size = size
+    except AttributeError:  # pragma: no cover
+        pass
+    return size
 
 
 def small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:

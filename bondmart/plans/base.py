@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from bondmart import labels as L
 from bondmart.functions import scalars as X
 from bondmart.operators.joins import dedupe_latest, small
-from bondmart.sources.feeds import Feeds
+from bondmart.sources.feeds import Feeds, per_feeds
 
 
 def _open_end() -> F.Column:
@@ -22,6 +22,7 @@ def _open_end() -> F.Column:
 
 # ---------------------------------------------------------------- dimensions
 
+@per_feeds
 def repo_category(f: Feeds) -> DataFrame:
     """member_ctgry_id -> display name via the pledged-repo closing
     types (two lookups chained, misses dropped)."""
@@ -36,6 +37,7 @@ def repo_category(f: Feeds) -> DataFrame:
                          ["ins_show_name"])
 
 
+@per_feeds
 def after_hours_category(f: Feeds) -> DataFrame:
     """member_ctgry_id -> cash-market display name (paren suffix cut, F1)."""
     a = f.after_hours_bond_type.select(
@@ -49,6 +51,7 @@ def _current_members(f: Feeds) -> DataFrame:
     return f.member_d.filter(F.col("efctv_to_dt") == _open_end())
 
 
+@per_feeds
 def dim_member(f: Feeds) -> DataFrame:
     """Repo-job members: current, both display categories resolved.
 
@@ -67,11 +70,13 @@ def dim_member(f: Feeds) -> DataFrame:
                     "bond_after_show_name")
 
 
+@per_feeds
 def member_info(f: Feeds) -> DataFrame:
     """Repo-job member info keyed by unq_id (full name, display category)."""
     return dedupe_latest(dim_member(f), ["unq_id"], ["ip_id"])
 
 
+@per_feeds
 def dim_member_cash(f: Feeds) -> DataFrame:
     """Cash-job members: current; unresolved category kept as 'None'.
 
@@ -86,6 +91,7 @@ def dim_member_cash(f: Feeds) -> DataFrame:
     return m.select("ip_id", "unq_id", "ins_show_name")
 
 
+@per_feeds
 def dim_root(f: Feeds) -> DataFrame:
     """Slave unq_id -> master unq_id for valid, current relations.
 
@@ -101,10 +107,12 @@ def dim_root(f: Feeds) -> DataFrame:
     return dedupe_latest(rel, ["unq_id"], ["root_unq_id"])
 
 
+@per_feeds
 def dim_product(f: Feeds) -> DataFrame:
     return dedupe_latest(f.pd_d.select("pd_id", "pd_cd"), ["pd_id"], ["pd_cd"])
 
 
+@per_feeds
 def dim_bond4(f: Feeds) -> DataFrame:
     """Repo-job bond dimension: (bond_id, bond_ctgry_nm (F2), issr_id (F6))."""
     b = f.bond_d.select(
@@ -126,6 +134,7 @@ def _filled(cols) -> F.Column:
     return cond
 
 
+@per_feeds
 def dim_bond4_cash(f: Feeds) -> DataFrame:
     """Cash-job 4-way bond dimension: every cell filled. (bond_id, bond_nm,
     bond_cd, mrty_dt, lstng_dt, bond_type4)."""
@@ -136,6 +145,7 @@ def dim_bond4_cash(f: Feeds) -> DataFrame:
     return dedupe_latest(b, ["bond_id"], ["bond_nm", "bond_cd", "mrty_dt", "lstng_dt", "bond_type4"])
 
 
+@per_feeds
 def dim_bond8(f: Feeds) -> DataFrame:
     """Cash-job 8-way bond dimension: first five cells filled. (bond_id,
     bond_type8)."""
@@ -145,6 +155,7 @@ def dim_bond8(f: Feeds) -> DataFrame:
     return dedupe_latest(b, ["bond_id"], ["bond_type8"])
 
 
+@per_feeds
 def dim_rating(f: Feeds) -> DataFrame:
     """F5 + A8: (bond_id, start, end, rtng_rank, rtng_desc), the lowest
     rating among records of one bond and interval."""
@@ -157,6 +168,7 @@ def dim_rating(f: Feeds) -> DataFrame:
 
 # ---------------------------------------------------------------- facts
 
+@per_feeds
 def failed_repo_events(f: Feeds) -> DataFrame:
     """W4 + F7: event ids of failed pledged-repo settlements."""
     return f.trdx_deal_infrmn_rmv_d.filter(
@@ -165,6 +177,7 @@ def failed_repo_events(f: Feeds) -> DataFrame:
     ).select(X.event_id("deal_suffix").alias("ev_id"))
 
 
+@per_feeds
 def failed_cash_deals(f: Feeds) -> DataFrame:
     """W4 for the cash job (any market): bond deal ids."""
     return f.trdx_deal_infrmn_rmv_d.filter(
@@ -172,11 +185,13 @@ def failed_cash_deals(f: Feeds) -> DataFrame:
     ).select(F.col("deal_suffix").alias("bond_deal_id"))
 
 
+@per_feeds
 def interbank_deals(f: Feeds) -> DataFrame:
     """Deal numbers flagged interbank."""
     return f.dps_v_cr_dep_txn_dtl.filter(F.col("dep_flag") == L.INTERBANK_FLAG).select("deal_nmbr")
 
 
+@per_feeds
 def fact_repo_deal(f: Feeds, members: DataFrame | None = None) -> DataFrame:
     """Cleaned pledged-repo deals (W2, W3, J3, W9 + party lookup).
 
@@ -198,6 +213,7 @@ def fact_repo_deal(f: Feeds, members: DataFrame | None = None) -> DataFrame:
                     "repo_rate", "trade_amnt")
 
 
+@per_feeds
 def fact_repo_deal_priced(f: Feeds, deals: DataFrame | None = None) -> DataFrame:
     """+ product code, W6 (reported products only)."""
     deals = fact_repo_deal(f) if deals is None else deals
@@ -206,6 +222,7 @@ def fact_repo_deal_priced(f: Feeds, deals: DataFrame | None = None) -> DataFrame
     )
 
 
+@per_feeds
 def collateral_ratio(f: Feeds) -> tuple[DataFrame, DataFrame]:
     """Distinct (ev_id, bond, haircut, face) rows and each deal's face
     total: returns (rows, totals) with totals = (ev_id, sum_face). Dedupe and total
@@ -217,6 +234,7 @@ def collateral_ratio(f: Feeds) -> tuple[DataFrame, DataFrame]:
     return c, tot
 
 
+@per_feeds
 def fact_repo_collateral(f: Feeds, deals: DataFrame | None = None) -> DataFrame:
     """J5 + A7 + P2: one row per deal and pledged bond.
 
@@ -243,6 +261,7 @@ def fact_repo_collateral(f: Feeds, deals: DataFrame | None = None) -> DataFrame:
     )
 
 
+@per_feeds
 def fact_cash_deal(f: Feeds, members: DataFrame | None = None) -> DataFrame:
     """Cleaned cash-bond deals (W3, W7, J9, J3, F8, F2/F3/F4 lookups).
 

@@ -113,3 +113,20 @@ class Feeds:
     @classmethod
     def names(cls) -> list[str]:
         return [f.name for f in fields(cls)]
+
+
+def per_feeds(fn):
+    """Memoize a derived table on its Feeds object: one DataFrame (one plan,
+    one size check) per dimension per feed set, however many joins use it."""
+
+    def wrapper(f: Feeds, *args, **kwargs):
+        if args or kwargs:
+            return fn(f, *args, **kwargs)
+        memo = f.__dict__.setdefault("_memo", {})
+        if fn.__name__ not in memo:
+            memo[fn.__name__] = fn(f)
+        return memo[fn.__name__]
+
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper

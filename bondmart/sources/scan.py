@@ -1,0 +1,21 @@
+"""Scan helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def balanced(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Spread an under-split scan over the session's task slots.
+
+    A large table read from many files / row groups already yields far more
+    splits than task slots, and is returned unchanged (no extra shuffle).
+    Only a scan with fewer splits than slots — e.g. a single-row-group file,
+    which Spark can only read in one task — gets a round-robin repartition,
+    so the map side of the plan (lookups, unpivot, partial aggregation) runs
+    in parallel instead of in one task.
+    """
+    slots = spark.sparkContext.defaultParallelism
+    if df._jdf.rdd().getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df

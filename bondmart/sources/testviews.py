@@ -18,13 +18,14 @@ from pyspark.sql import functions as F
 
 from bondmart import labels as L
 from bondmart.sources.feeds import Feeds
+from bondmart.sources.scan import balanced
 
 N_MEMBERS = 100
 N_BONDS = 200
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return balanced(spark, spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _s(c) -> F.Column:
@@ -36,7 +37,11 @@ def _month(ts) -> F.Column:
 
 
 def _consts(spark: SparkSession, rows, schema) -> DataFrame:
-    return spark.createDataFrame(rows, schema)
+    """Small constant table, built JVM-side (a local relation Catalyst can
+    size, no Python rows)."""
+    names = [c.strip().split()[0] for c in schema.split(",")]
+    structs = [F.struct(*[F.lit(v).alias(n) for v, n in zip(r, names)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
 
 
 def load(spark: SparkSession, sf_dir: str) -> Feeds:
