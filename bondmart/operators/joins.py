@@ -9,7 +9,7 @@ stage has measured the real size. Fact-sized sides are never hinted.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bondmart.functions.scalars import rating_label, rating_rank
@@ -98,19 +98,61 @@ def rating_as_of(keys: DataFrame, ratings: DataFrame) -> DataFrame:
     return hit.groupBy("bond_id", "deal_dt").agg(pick.alias("rtng_rank"))
 
 
-def with_rating(df: DataFrame, ratings: DataFrame, out: str = "rtng_desc") -> DataFrame:
-    """Add the as-of rating label to rows with (bond_id, deal_dt); no hit ->
-    lowest bucket."""
-    keys = df.select("bond_id", "deal_dt").distinct()
-    r = rating_as_of(keys, ratings)
-    return (
-        df.join(small(r), ["bond_id", "deal_dt"], "left")
-        .withColumn(out, rating_label(F.coalesce(F.col("rtng_rank"), F.lit(0))))
-        .drop("rtng_rank")
+def rating_segments(ratings: DataFrame) -> DataFrame:
+    """J6 prepared on the rating dimension: non-overlapping segments.
+
+    For each bond, the interval boundaries (starts and day-after-ends) cut
+    the timeline into elementary segments; each segment takes the rating of
+    the winning interval covering it (same tie rule as ``rating_as_of``).
+    Result (bond_id, seg_start, seg_end, rtng_rank) has at most one segment
+    per bond and day, so a fact row needs only an equi-join on bond_id with
+    a range residual, and finds at most one match: no distinct-keys pass
+    over the facts, no regrouping. Works on the bounded rating dimension
+    only (a window per bond over its few boundaries).
+    """
+    last_day = F.lit("9999-12-31").cast("date")
+    starts = ratings.select("bond_id", F.col("rtng_start_dt").alias("p"))
+    after_ends = ratings.filter(F.col("rtng_end_dt") < last_day).select(
+        "bond_id", F.date_add("rtng_end_dt", 1).alias("p"))
+    pts = starts.unionByName(after_ends).distinct()
+    nxt = F.lead("p").over(Window.partitionBy("bond_id").orderBy("p"))
+    seg = pts.select(
+        "bond_id", F.col("p").alias("seg_start"),
+        F.coalesce(F.date_sub(nxt, 1), last_day).alias("seg_end"),
+    )
+    r = ratings.select(F.col("bond_id").alias("r_bond_id"), "rtng_start_dt", "rtng_end_dt", "rtng_rank")
+    cov = seg.join(
+        r,
+        (F.col("bond_id") == F.col("r_bond_id"))
+        & (F.col("rtng_start_dt") <= F.col("seg_start"))
+        & (F.col("rtng_end_dt") >= F.col("seg_end")),
+        "inner",
+    )
+    pick = F.min_by(
+        F.col("rtng_rank"),
+        F.struct(
+            F.datediff(last_day, F.col("rtng_start_dt")), F.col("rtng_end_dt"), F.col("rtng_rank")
+        ),
+    )
+    return cov.groupBy("bond_id", "seg_start", "seg_end").agg(pick.alias("rtng_rank"))
+
+
+def with_rating(df: DataFrame, segments: DataFrame, out: str = "rtng_desc") -> DataFrame:
+    """Add the as-of rating label to rows with (bond_id, deal_dt) using
+    ``rating_segments`` output; no covering interval -> lowest bucket."""
+    s = segments.select(F.col("bond_id").alias("_sb"), "seg_start", "seg_end", "rtng_rank")
+    x = df.join(
+        small(s),
+        (F.col("bond_id") == F.col("_sb"))
+        & (F.col("deal_dt") >= F.col("seg_start"))
+        & (F.col("deal_dt") <= F.col("seg_end")),
+        "left",
     )
+    return x.withColumn(out, rating_label(F.coalesce(F.col("rtng_rank"), F.lit(0)))).drop(
+        "_sb", "seg_start", "seg_end", "rtng_rank")
 
 
 __all__ = [
     "BROADCAST_MAX_BYTES", "estimated_bytes", "small", "dedupe_latest", "lookup",
-    "rating_as_of", "with_rating", "rating_rank", "Column",
+    "rating_as_of", "rating_segments", "with_rating", "rating_rank", "Column",
 ]

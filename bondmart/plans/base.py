@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from bondmart import labels as L
 from bondmart.functions import scalars as X
-from bondmart.operators.joins import dedupe_latest, small
-from bondmart.sources.feeds import Feeds, per_feeds
+from bondmart.operators.joins import dedupe_latest, rating_segments, small
+from bondmart.sources.feeds import Feeds, dimension, per_feeds
 
 
 def _open_end() -> F.Column:
@@ -51,7 +51,7 @@ def _current_members(f: Feeds) -> DataFrame:
     return f.member_d.filter(F.col("efctv_to_dt") == _open_end())
 
 
-@per_feeds
+@dimension
 def dim_member(f: Feeds) -> DataFrame:
     """Repo-job members: current, both display categories resolved.
 
@@ -70,13 +70,13 @@ def dim_member(f: Feeds) -> DataFrame:
                     "bond_after_show_name")
 
 
-@per_feeds
+@dimension
 def member_info(f: Feeds) -> DataFrame:
     """Repo-job member info keyed by unq_id (full name, display category)."""
     return dedupe_latest(dim_member(f), ["unq_id"], ["ip_id"])
 
 
-@per_feeds
+@dimension
 def dim_member_cash(f: Feeds) -> DataFrame:
     """Cash-job members: current; unresolved category kept as 'None'.
 
@@ -91,7 +91,7 @@ def dim_member_cash(f: Feeds) -> DataFrame:
     return m.select("ip_id", "unq_id", "ins_show_name")
 
 
-@per_feeds
+@dimension
 def dim_root(f: Feeds) -> DataFrame:
     """Slave unq_id -> master unq_id for valid, current relations.
 
@@ -107,12 +107,12 @@ def dim_root(f: Feeds) -> DataFrame:
     return dedupe_latest(rel, ["unq_id"], ["root_unq_id"])
 
 
-@per_feeds
+@dimension
 def dim_product(f: Feeds) -> DataFrame:
     return dedupe_latest(f.pd_d.select("pd_id", "pd_cd"), ["pd_id"], ["pd_cd"])
 
 
-@per_feeds
+@dimension
 def dim_bond4(f: Feeds) -> DataFrame:
     """Repo-job bond dimension: (bond_id, bond_ctgry_nm (F2), issr_id (F6))."""
     b = f.bond_d.select(
@@ -134,7 +134,7 @@ def _filled(cols) -> F.Column:
     return cond
 
 
-@per_feeds
+@dimension
 def dim_bond4_cash(f: Feeds) -> DataFrame:
     """Cash-job 4-way bond dimension: every cell filled. (bond_id, bond_nm,
     bond_cd, mrty_dt, lstng_dt, bond_type4)."""
@@ -145,7 +145,7 @@ def dim_bond4_cash(f: Feeds) -> DataFrame:
     return dedupe_latest(b, ["bond_id"], ["bond_nm", "bond_cd", "mrty_dt", "lstng_dt", "bond_type4"])
 
 
-@per_feeds
+@dimension
 def dim_bond8(f: Feeds) -> DataFrame:
     """Cash-job 8-way bond dimension: first five cells filled. (bond_id,
     bond_type8)."""
@@ -155,7 +155,7 @@ def dim_bond8(f: Feeds) -> DataFrame:
     return dedupe_latest(b, ["bond_id"], ["bond_type8"])
 
 
-@per_feeds
+@dimension
 def dim_rating(f: Feeds) -> DataFrame:
     """F5 + A8: (bond_id, start, end, rtng_rank, rtng_desc), the lowest
     rating among records of one bond and interval."""
@@ -166,6 +166,12 @@ def dim_rating(f: Feeds) -> DataFrame:
     return r.withColumn("rtng_desc", X.rating_label("rtng_rank"))
 
 
+@dimension
+def dim_rating_segments(f: Feeds) -> DataFrame:
+    """J6 prepared: non-overlapping rating segments per bond."""
+    return rating_segments(dim_rating(f))
+
+
 # ---------------------------------------------------------------- facts
 
 @per_feeds

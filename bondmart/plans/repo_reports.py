@@ -220,7 +220,7 @@ def _collateral(f: Feeds, rating: bool = False, issuer: bool = False) -> DataFra
             "bond_ctgry_nm", F.coalesce(F.col("bond_ctgry_nm"), F.lit(L.BOND_OTHER))
         )
     if rating:
-        c = with_rating(c, B.dim_rating(f))
+        c = with_rating(c, B.dim_rating_segments(f))
     return _sides(c)
 
 

@@ -37,9 +37,21 @@ BASE_TABLES: dict[str, Plan] = {
 PLANS: dict[str, Plan] = {**BASE_TABLES, **repo_reports.REPORTS, **cash_reports.REPORTS}
 
 
+_FEEDS: dict[tuple[int, str], Feeds] = {}
+
+
+def feeds_for(spark: SparkSession, sf_dir: str) -> Feeds:
+    """One feed set per (session, input folder): its dimension snapshots are
+    built once and shared by all reports of the run, like one nightly job."""
+    key = (id(spark), sf_dir)
+    if key not in _FEEDS:
+        _FEEDS[key] = testviews.load(spark, sf_dir)
+    return _FEEDS[key]
+
+
 def _bind(plan: Plan) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return plan(testviews.load(spark, sf_dir))
+        return plan(feeds_for(spark, sf_dir))
 
     run.__name__ = getattr(plan, "__name__", "plan")
     return run

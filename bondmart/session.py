@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the plans rely on. AQE re-plans joins from measured sizes,
 # coalesces small shuffle partitions and splits skewed join partitions.
@@ -36,14 +36,28 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def snapshot(df: DataFrame) -> DataFrame:
+    """Materialize a small derived table once and cut its lineage.
+
+    Reliable ``checkpoint()`` into the shared folder named by
+    ``spark.checkpoint.dir`` (survives executor loss; never a local
+    checkpoint). The result is a leaf with a measured size, so later joins
+    see a small relation instead of re-planning its derivation.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in spark.checkpoint.dir.
 
     Only when it is unset (local tests) a scratch folder is created and set.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="bondmart-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d

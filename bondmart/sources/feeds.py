@@ -115,6 +115,19 @@ class Feeds:
         return [f.name for f in fields(cls)]
 
 
+def dimension(fn):
+    """A bounded dimension derived from the feeds: memoized per feed set and
+    snapshotted (checkpointed) once, then shared by every report."""
+    from bondmart.session import snapshot
+
+    def build(f: Feeds):
+        return snapshot(fn(f))
+
+    build.__name__ = fn.__name__
+    build.__doc__ = fn.__doc__
+    return per_feeds(build)
+
+
 def per_feeds(fn):
     """Memoize a derived table on its Feeds object: one DataFrame (one plan,
     one size check) per dimension per feed set, however many joins use it."""
