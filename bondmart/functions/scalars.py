@@ -118,7 +118,7 @@ def trim_currency(c) -> Column:
 
 def parse_date(c) -> Column:
     """'yyyy-MM-dd...' -> DATE; invalid days give NULL (strict)."""
-    return F.try_to_date(F.substring(_col(c), 1, 10), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(F.substring(_col(c), 1, 10), "yyyy-MM-dd")
 
 
 def ratio6(num, den) -> Column:

@@ -1,7 +1,9 @@
-"""Operator-level queries registered for the oracle.
+"""Operator-level queries: one registered query per SURVEY §2 operator id.
 
-Filled in as operators get their own registered query; most operators are
-also exercised inside the report plans.
+Each query applies one operator (ingest, scalar, filter, join, aggregate,
+set operation, sink merge) to data derived from the driver tables, over
+the whole tables, and has a DuckDB statement in ``OPERATOR_SQL`` (same CTE
+prelude as the report oracle).
 """
 
 from __future__ import annotations
@@ -9,6 +11,584 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-OPERATOR_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+from bondmart import labels as L
+from bondmart import oracle as O
+from bondmart.functions import scalars as X
+from bondmart.operators.joins import rating_as_of, small, with_rating
+from bondmart.operators.rollup import (
+    CASH_SIDES, REPO_SIDES, explode_join_types, sides_unpivot, with_category,
+    with_join_type_cash, with_join_type_repo,
+)
+from bondmart.plans import base as B
+from bondmart.plans import quality as Q
+from bondmart.plans import repo_reports as RR
+from bondmart.registry import feeds_for
+from bondmart.sources import csvfeeds
+from bondmart.sources.scan import balanced
+from bondmart.sources.sinks import merge_column_groups
+
+Query = Callable[[SparkSession, str], DataFrame]
+OPERATOR_QUERIES: dict[str, Query] = {}
 OPERATOR_SQL: dict[str, str] = {}
+
+
+def op(name: str, sql: str):
+    """Register a (Feeds | spark, sf_dir) function and its oracle body."""
+
+    def deco(fn):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            if getattr(fn, "_raw", False):
+                return fn(spark, sf_dir)
+            return fn(feeds_for(spark, sf_dir))
+
+        run.__name__ = name
+        OPERATOR_QUERIES[name] = run
+        body = sql.strip()
+        prelude = O.FEEDS + "," + O.BASE + "," + O.REPO_SIDES_SQL
+        OPERATOR_SQL[name] = (f"WITH {prelude},\n{body[5:]}" if body.upper().startswith("WITH ")
+                              else f"WITH {prelude}\n{body}")
+        return fn
+
+    return deco
+
+
+def raw(fn):
+    fn._raw = True
+    return fn
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return balanced(spark, spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
+# ----------------------------------------------------------------- S1-S3
+# member feed rendered to CSV lines from the whole customer table, with
+# broken rows: key % 13 = 0 an extra field, % 17 = 0 an empty full name,
+# % 19 = 0 an invalid date; % 7 = 0 a quoted name holding a comma, and
+# % 11 = 0 a name holding the word MEMBER (the header token).
+HEADER = ("IP_ID,MEMBER_CTGRY_ID,MEMBER_CD,FULL_NM,RT_MEMBER_CD,RT_MEMBER_FULL_NM,"
+          "EFCTV_FROM_DT,EFCTV_TO_DT,UNQ_ID_IN_SRC_SYS,NOTE")
+
+
+def _member_lines(customer: DataFrame) -> DataFrame:
+    k = F.col("c_custkey")
+    ks = k.cast("string")
+    name = F.when(k % 11 == 0, F.concat(F.col("c_name"), F.lit(" MEMBER"))).otherwise(F.col("c_name"))
+    name = F.when(k % 7 == 0, F.concat(F.lit('"'), name, F.lit(', Ltd"'))).otherwise(name)
+    name = F.when(k % 17 == 0, F.lit("")).otherwise(name)
+    from_dt = F.when(k % 19 == 0, F.lit("1998-02-30")).otherwise(F.lit("1990-01-01"))
+    line = F.concat_ws(",", ks, F.substring("c_mktsegment", 1, 3), F.concat(F.lit("M"), ks), name,
+                       F.concat(F.lit("M"), (k - k % 10).cast("string")), F.lit("root"), from_dt,
+                       F.lit("9999-12-31"), ks, F.lit("x"))
+    line = F.when(k % 13 == 0, F.concat(line, F.lit(",extra"))).otherwise(line)
+    return customer.select(line.alias("value"))
+
+
+MEMBER_CSV_SQL = """
+SELECT CAST(c_custkey AS VARCHAR) AS ip_id, substr(c_mktsegment, 1, 3) AS member_ctgry_id,
+    'M' || CAST(c_custkey AS VARCHAR) AS member_cd,
+    CASE WHEN c_custkey % 11 = 0 THEN c_name || ' MEMBER' ELSE c_name END
+        || CASE WHEN c_custkey % 7 = 0 THEN ', Ltd' ELSE '' END AS full_nm,
+    'M' || CAST(c_custkey - c_custkey % 10 AS VARCHAR) AS rt_member_cd, 'root' AS rt_member_full_nm,
+    DATE '1990-01-01' AS efctv_from_dt, DATE '9999-12-31' AS efctv_to_dt,
+    CAST(c_custkey AS VARCHAR) AS unq_id, 'x' AS c9
+FROM customer WHERE c_custkey % 13 <> 0 AND c_custkey % 17 <> 0 AND c_custkey % 19 <> 0"""
+
+
+@op("ingest_csv_strict", MEMBER_CSV_SQL)
+@raw
+def ingest_csv_strict(spark, sf_dir):
+    """Exact arity, required cells, strict types."""
+    return csvfeeds.parse_lines(_member_lines(_table(spark, sf_dir, "customer")), "member_d")
+
+
+@op("ingest_header_drop", MEMBER_CSV_SQL)
+@raw
+def ingest_header_drop(spark, sf_dir):
+    """The header line is dropped by equality, so data rows holding the
+    header token (MEMBER) survive."""
+    lines = _member_lines(_table(spark, sf_dir, "customer"))
+    lines = spark.range(1).select(F.lit(HEADER).alias("value")).unionByName(lines)
+    return csvfeeds.parse_lines(lines, "member_d", header_line=HEADER)
+
+
+@op("ingest_gbk", MEMBER_CSV_SQL)
+@raw
+def ingest_gbk(spark, sf_dir):
+    """S3: lines stored as GBK bytes, decoded JVM-side, then parsed."""
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    lines = _member_lines(_table(spark, sf_dir, "customer"))
+    gbk = lines.select(F.encode("value", "GBK").alias("b"))
+    return csvfeeds.parse_lines(gbk.select(F.decode("b", "GBK").alias("value")), "member_d")
+
+
+# ----------------------------------------------------------------- K2, P1, P2
+@op("sink_upsert_merge", O.Q["member_price_deal_info"])
+def sink_upsert_merge(f):
+    """K2: three column-group writes of one table merged by key."""
+    full = RR.member_price_deal_info(f)
+    keys = ["unq_id_in_src_sys", "join_type", "pd_cd", "deal_dt"]
+    repo = full.filter(F.col("repo_sum_amount").isNotNull()).select(
+        *keys, "repo_weighted_price", "repo_sum_amount")
+    rvrse = full.filter(F.col("rvrse_sum_amount").isNotNull()).select(
+        *keys, "rvrse_weighted_price", "rvrse_sum_amount")
+    spread = full.filter(F.col("total_amount").isNotNull()).select(*keys, "price_difference", "total_amount")
+    return merge_column_groups([repo, rvrse, spread], keys)
+
+
+@op("sides_unpivot", "SELECT side, member, counter, ev_id, trade_amnt FROM rs_deal")
+def sides_unpivot_q(f):
+    return sides_unpivot(B.fact_repo_deal(f), REPO_SIDES).select("side", "member", "counter", "ev_id",
+                                                                   "trade_amnt")
+
+
+@op("collateral_allocate", "SELECT ev_id, bond_id, cnvrsn_prprtn, alloc FROM c_coll")
+def collateral_allocate(f):
+    return B.fact_repo_collateral(f).select("ev_id", "bond_id", "cnvrsn_prprtn", "alloc")
+
+
+# ----------------------------------------------------------------- F1-F12
+def _paren_names(customer: DataFrame) -> DataFrame:
+    k = F.col("c_custkey")
+    raw_ = (F.when(k % 5 == 0, F.concat(F.lit("("), F.col("c_name"), F.lit(")")))
+            .when(k % 5 == 1, F.concat(F.col("c_name"), F.lit(" (a)")))
+            .when(k % 5 == 2, F.concat(F.col("c_name"), F.lit("（b）")))
+            .when(k % 5 == 3, F.concat(F.col("c_name"), F.lit("（c）(d)")))
+            .otherwise(F.col("c_name")))
+    return customer.select(k.alias("c_custkey"), raw_.alias("raw"))
+
+
+PAREN_SQL = """(SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN '(' || c_name || ')'
+    WHEN 1 THEN c_name || ' (a)' WHEN 2 THEN c_name || '（b）' WHEN 3 THEN c_name || '（c）(d)'
+    ELSE c_name END AS raw FROM customer)"""
+
+
+@op("strip_paren_suffix", f"SELECT c_custkey, raw, {O.strip_paren('raw')} AS name FROM {PAREN_SQL} p")
+@raw
+def strip_paren_suffix(spark, sf_dir):
+    p = _paren_names(_table(spark, sf_dir, "customer"))
+    return p.select("c_custkey", "raw", X.strip_paren_suffix("raw").alias("name"))
+
+
+@op("first_paren_prefix", f"""SELECT c_custkey, raw,
+    CASE WHEN strpos(raw, '(') > 0 THEN split_part(raw, '(', 1)
+        WHEN strpos(raw, '（') > 0 THEN split_part(raw, '（', 1) END AS name FROM {PAREN_SQL} p""")
+@raw
+def first_paren_prefix(spark, sf_dir):
+    p = _paren_names(_table(spark, sf_dir, "customer"))
+    return p.select("c_custkey", "raw", X.first_paren_prefix("raw").alias("name"))
+
+
+@op("bond_category4", f"SELECT bond_id, bond_prnt_tp_nm, {O.CAT4} AS bond_ctgry_nm FROM f_bond")
+def bond_category4(f):
+    return f.bond_d.select("bond_id", "bond_prnt_tp_nm",
+                           X.bond_category4("bond_prnt_tp_nm").alias("bond_ctgry_nm"))
+
+
+@op("bond_category8", f"SELECT bond_id, bond_ctgry_nm, {O.BOND8} AS bond_type8 FROM f_bond")
+def bond_category8(f):
+    return f.bond_d.select("bond_id", "bond_ctgry_nm", X.bond_category8("bond_ctgry_nm").alias("bond_type8"))
+
+
+@op("maturity_bucket", f"""SELECT yrs_to_mrty, {O.BUCKET} AS mrty_bucket, count(*) AS n
+    FROM f_cash GROUP BY yrs_to_mrty""")
+def maturity_bucket(f):
+    return f.bond_deal.groupBy("yrs_to_mrty").agg(F.count(F.lit(1)).alias("n")).select(
+        "yrs_to_mrty", X.maturity_bucket("yrs_to_mrty").alias("mrty_bucket"), "n")
+
+
+@op("rating_normalize", f"""SELECT bond_id, rtng_start_dt, rtng_raw,
+    {O.rank_label(O.RANK)} AS rtng_desc FROM f_rtng""")
+def rating_normalize(f):
+    return f.ri_credit_rtng.select("bond_id", "rtng_start_dt", "rtng_raw",
+                                   X.rating_normalize("rtng_raw").alias("rtng_desc"))
+
+
+@op("issuer_code", """SELECT p_partkey, raw,
+    CASE WHEN raw IS NULL OR raw = '' THEN '' WHEN length(raw) >= 4 THEN substr(raw, 5) ELSE raw END AS issr_id
+    FROM (SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN p_brand WHEN 1 THEN substr(p_brand, 1, 3)
+        WHEN 2 THEN '' ELSE NULL END AS raw FROM part) t""")
+@raw
+def issuer_code(spark, sf_dir):
+    p = _table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    raw_ = (F.when(k % 4 == 0, F.col("p_brand")).when(k % 4 == 1, F.substring("p_brand", 1, 3))
+            .when(k % 4 == 2, F.lit("")).otherwise(F.lit(None).cast("string")))
+    return p.select("p_partkey", raw_.alias("raw")).select("p_partkey", "raw", X.issuer_code("raw").alias("issr_id"))
+
+
+@op("event_id_build", """SELECT '11002' || deal_suffix AS ev_id FROM f_rmv
+    WHERE rmv_kind = '2' AND rmv_reason = '1' AND mkt_id = '109'""")
+def event_id_build(f):
+    return B.failed_repo_events(f)
+
+
+@op("deal_strategy", """SELECT CAST(o_orderkey AS VARCHAR) AS deal_nmbr, m.match_status,
+    CASE WHEN m.match_status IS NULL OR m.match_status = '' OR m.match_status IN ('0', '4') THEN '正常'
+        ELSE '策略性交易' END AS deal_strategy
+    FROM orders o LEFT JOIN f_match m ON CAST(o.o_orderkey AS VARCHAR) = m.deal_nmbr""")
+@raw
+def deal_strategy(spark, sf_dir):
+    f = feeds_for(spark, sf_dir)
+    o = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("deal_nmbr"))
+    s = o.join(f.dps_v_cbt_all_txn_dtl, "deal_nmbr", "left")
+    return s.select("deal_nmbr", "match_status", X.deal_strategy("match_status").alias("deal_strategy"))
+
+
+@op("set_to_string", f"""SELECT member, deal_dt, {O.sset('counter', ',')} AS counter_set, count(DISTINCT counter) AS n
+    FROM rs_deal GROUP BY member, deal_dt""")
+def set_to_string(f):
+    d = sides_unpivot(B.fact_repo_deal(f), REPO_SIDES)
+    return d.groupBy("member", "deal_dt").agg(
+        X.set_to_string(F.collect_set("counter"), L.REPO_SET_SEP).alias("counter_set"),
+        F.count_distinct("counter").alias("n"))
+
+
+@op("trim_currency", "SELECT crncy AS raw, trim(crncy) AS crncy, count(*) AS n FROM f_cash GROUP BY crncy")
+def trim_currency(f):
+    return f.bond_deal.groupBy(F.col("crncy").alias("raw")).agg(F.count(F.lit(1)).alias("n")).select(
+        "raw", X.trim_currency("raw").alias("crncy"), "n")
+
+
+@op("parse_date", """SELECT o_orderkey, s, TRY_CAST(substr(s, 1, 10) AS DATE) AS d FROM (
+    SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN substr(strftime(o_orderdate, '%Y-%m-%d'), 1, 8) || '32'
+        WHEN o_orderkey % 13 = 0 THEN strftime(o_orderdate, '%Y-%m-%d') || ' 00:00:00'
+        ELSE strftime(o_orderdate, '%Y-%m-%d') END AS s FROM orders) t""")
+@raw
+def parse_date(spark, sf_dir):
+    o = _table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    s = F.date_format("o_orderdate", "yyyy-MM-dd")
+    s = (F.when(k % 11 == 0, F.concat(F.substring(s, 1, 8), F.lit("32")))
+         .when(k % 13 == 0, F.concat(s, F.lit(" 00:00:00"))).otherwise(s))
+    return o.select("o_orderkey", s.alias("s")).select("o_orderkey", "s", X.parse_date("s").alias("d"))
+
+
+@op("decimal_arith", """SELECT ev_id, repo_rate * trade_amnt AS weighted, trade_amnt FROM c_deal""")
+def decimal_arith(f):
+    d = B.fact_repo_deal(f)
+    return d.select("ev_id", (F.col("repo_rate") * F.col("trade_amnt")).alias("weighted"), "trade_amnt")
+
+
+# ----------------------------------------------------------------- W1-W11
+@op("current_version", "SELECT ip_id, member_ctgry_id, efctv_from_dt FROM f_member WHERE efctv_to_dt = DATE '9999-12-31'")
+def current_version(f):
+    return f.member_d.filter(F.col("efctv_to_dt") == F.lit(L.OPEN_END_DATE).cast("date")).select(
+        "ip_id", "member_ctgry_id", "efctv_from_dt")
+
+
+@op("pledged_market", "SELECT ev_id, deal_dt FROM f_repo WHERE mkt_id = '109'")
+def pledged_market(f):
+    return f.bond_repo_deal_f.filter(F.col("mkt_id") == L.PLEDGED_REPO_MKT_ID).select("ev_id", "deal_dt")
+
+
+@op("drop_cancelled", "SELECT ev_id, st FROM f_repo WHERE st <> '2'")
+def drop_cancelled(f):
+    return f.bond_repo_deal_f.filter(F.col("st") != L.CANCELLED_STATUS).select("ev_id", "st")
+
+
+@op("failed_settlement", "SELECT deal_suffix AS bond_deal_id FROM f_rmv WHERE rmv_kind = '2' AND rmv_reason = '1'")
+def failed_settlement(f):
+    return B.failed_cash_deals(f)
+
+
+@op("valid_relation", "SELECT * FROM c_root")
+def valid_relation(f):
+    return B.dim_root(f)
+
+
+@op("reported_products", "SELECT ev_id, pd_cd FROM c_priced")
+def reported_products(f):
+    return B.fact_repo_deal_priced(f).select("ev_id", "pd_cd")
+
+
+@op("cny_only", "SELECT crncy, count(*) AS n FROM c_cash GROUP BY crncy")
+def cny_only(f):
+    return B.fact_cash_deal(f).groupBy("crncy").agg(F.count(F.lit(1)).alias("n"))
+
+
+@op("rated_bonds_only", f"""SELECT ev_id, bond_id, bond_ctgry_nm, rtng_desc FROM (
+    SELECT c.ev_id, c.bond_id, coalesce(b.bond_ctgry_nm, '其他') AS bond_ctgry_nm,
+        {O.rank_label('coalesce(k.rtng_rank, 0)')} AS rtng_desc
+    FROM c_coll c LEFT JOIN c_bond4 b ON c.bond_id = b.bond_id
+        LEFT JOIN c_coll_rank k ON c.bond_id = k.bond_id AND c.deal_dt = k.deal_dt) t
+    WHERE bond_ctgry_nm <> '利率债'""")
+def rated_bonds_only(f):
+    c = B.fact_repo_collateral(f).join(small(B.dim_bond4(f).select("bond_id", "bond_ctgry_nm")), "bond_id", "left")
+    c = c.withColumn("bond_ctgry_nm", F.coalesce("bond_ctgry_nm", F.lit(L.BOND_OTHER)))
+    c = with_rating(c, B.dim_rating_segments(f))
+    return c.filter(F.col("bond_ctgry_nm") != L.RATE_BOND).select("ev_id", "bond_id", "bond_ctgry_nm", "rtng_desc")
+
+
+@op("drop_unresolved", "SELECT ip_id, ins_show_name, bond_after_show_name FROM c_member")
+def drop_unresolved(f):
+    return B.dim_member(f).select("ip_id", "ins_show_name", "bond_after_show_name")
+
+
+@op("interbank_flag", "SELECT deal_nmbr FROM f_dep WHERE dep_flag = '1'")
+def interbank_flag(f):
+    return B.interbank_deals(f)
+
+
+@op("effective_dated_member", """SELECT bond_deal_id, buy_ip_id, sell_ip_id, deal_strategy, deal_nmbr, deal_dt,
+    bond_type4, crncy, dirty_amnt, face_value, yrs_to_mrty, bond_id, bond_type8, mrty_bucket FROM c_cash d
+    WHERE EXISTS (SELECT 1 FROM f_member m WHERE m.ip_id = d.buy_ip_id
+            AND d.deal_dt > m.efctv_from_dt AND d.deal_dt < m.efctv_to_dt)
+        AND EXISTS (SELECT 1 FROM f_member m WHERE m.ip_id = d.sell_ip_id
+            AND d.deal_dt > m.efctv_from_dt AND d.deal_dt < m.efctv_to_dt)""")
+def effective_dated_member(f):
+    return Q.effective_dated_cash_deals(f)
+
+
+# ----------------------------------------------------------------- J1-J9
+@op("lookup_inner", """SELECT d.ev_id, p.pd_cd FROM c_deal d
+    JOIN (SELECT pd_id, max(pd_cd) AS pd_cd FROM f_pd_d GROUP BY pd_id) p ON d.pd_id = p.pd_id""")
+def lookup_inner(f):
+    return B.fact_repo_deal(f).join(small(B.dim_product(f)), "pd_id", "inner").select("ev_id", "pd_cd")
+
+
+@op("lookup_left", "SELECT bond_deal_id, bond_id, bond_type4 FROM c_cash")
+def lookup_left(f):
+    return B.fact_cash_deal(f).select("bond_deal_id", "bond_id", "bond_type4")
+
+
+@op("category_chain", "SELECT * FROM c_repo_ctgry")
+def category_chain(f):
+    return B.repo_category(f)
+
+
+@op("root_of_member", """SELECT m.unq_id, coalesce(r.root_unq_id, m.unq_id) AS root
+    FROM c_member m LEFT JOIN c_root r ON m.unq_id = r.unq_id""")
+def root_of_member(f):
+    m = B.dim_member(f).select("unq_id")
+    return m.join(small(B.dim_root(f)), "unq_id", "left").select(
+        "unq_id", F.coalesce("root_unq_id", "unq_id").alias("root"))
+
+
+@op("root_id_resolve", """SELECT m.ip_id, CASE WHEN r.root_unq_id IS NULL THEN m.ip_id
+        ELSE coalesce(b.ip_id, m.ip_id) END AS root,
+    CASE WHEN r.root_unq_id IS NULL THEN '机构' ELSE '产品' END AS join_type
+    FROM c_member_cash m LEFT JOIN c_root r ON m.unq_id = r.unq_id
+        LEFT JOIN (SELECT unq_id, max(ip_id) AS ip_id FROM c_member_cash GROUP BY unq_id) b
+            ON r.root_unq_id = b.unq_id""")
+def root_id_resolve(f):
+    m = B.dim_member_cash(f).select(F.col("ip_id"), F.col("ip_id").alias("member"))
+    return with_join_type_cash(m, B.dim_root(f), B.dim_member_cash(f)).select("ip_id", "root", "join_type")
+
+
+@op("failed_deal_anti", "SELECT ev_id FROM c_deal")
+def failed_deal_anti(f):
+    return B.fact_repo_deal(f).select("ev_id")
+
+
+@op("interbank_semi", """SELECT ev_id, pd_cd, deal_dt FROM c_priced
+    WHERE deal_nmbr IN (SELECT deal_nmbr FROM f_dep WHERE dep_flag = '1')""")
+def interbank_semi(f):
+    return B.fact_repo_deal_priced(f).join(B.interbank_deals(f), "deal_nmbr", "left_semi").select(
+        "ev_id", "pd_cd", "deal_dt")
+
+
+@op("deal_collateral_join", "SELECT ev_id, bond_id, cnvrsn_prprtn FROM c_coll")
+def deal_collateral_join(f):
+    return B.fact_repo_collateral(f).select("ev_id", "bond_id", "cnvrsn_prprtn")
+
+
+@op("rating_as_of", "SELECT bond_id, deal_dt, rtng_rank FROM c_coll_rank")
+def rating_as_of_q(f):
+    keys = B.fact_repo_collateral(f).select("bond_id", "deal_dt").distinct()
+    return rating_as_of(keys, B.dim_rating(f))
+
+
+SPREAD_SQL = """
+WITH mg AS (SELECT member, pd_cd, deal_dt,
+        sum(CASE WHEN side = 'REPO' THEN repo_rate * trade_amnt END) AS rn,
+        sum(CASE WHEN side = 'REPO' THEN trade_amnt END) AS ra,
+        sum(CASE WHEN side = 'RVRSE' THEN repo_rate * trade_amnt END) AS vn,
+        sum(CASE WHEN side = 'RVRSE' THEN trade_amnt END) AS va
+    FROM rs_priced GROUP BY member, pd_cd, deal_dt)
+SELECT member AS unq_id_in_src_sys, pd_cd, deal_dt,
+    round(CAST(vn AS DOUBLE) / CAST(va AS DOUBLE) - CAST(rn AS DOUBLE) / CAST(ra AS DOUBLE), 6) AS price_difference,
+    CAST(ra + va AS DECIMAL(38,2)) AS total_amount
+FROM mg WHERE ra IS NOT NULL AND va IS NOT NULL"""
+
+
+@op("spread_inner_join", SPREAD_SQL)
+def spread_inner_join(f):
+    """J7 in join form: repo-side and reverse-side member prices, inner join."""
+    d = B.fact_repo_deal_priced(f)
+    keys = ["member", "pd_cd", "deal_dt"]
+    ra = d.groupBy(F.col("repo_unq_id").alias("member"), "pd_cd", "deal_dt").agg(
+        F.sum(F.col("repo_rate") * F.col("trade_amnt")).alias("rn"), F.sum("trade_amnt").alias("ra"))
+    va = d.groupBy(F.col("rvrse_unq_id").alias("member"), "pd_cd", "deal_dt").agg(
+        F.sum(F.col("repo_rate") * F.col("trade_amnt")).alias("vn"), F.sum("trade_amnt").alias("va"))
+    j = ra.join(va, keys, "inner")
+    return j.select(
+        F.col("member").alias("unq_id_in_src_sys"), "pd_cd", "deal_dt",
+        F.round(RR._spread("rn", "ra", "vn", "va"), 6).alias("price_difference"),
+        (F.col("ra") + F.col("va")).cast("decimal(38,2)").alias("total_amount"))
+
+
+@op("buy_sell_full_outer", O.Q["base_investment_returns"])
+def buy_sell_full_outer(f):
+    """J8 in join form: buyer and seller aggregates, full outer join, 0 for
+    a missing side (equals the unpivot form of base_investment_returns)."""
+    d = B.fact_cash_deal(f)
+    keys = ["member_id", "bond_id", "deal_dt", "bond_type_e"]
+    buy = d.groupBy(F.col("buy_ip_id").alias("member_id"), "bond_id", "deal_dt",
+                    F.col("bond_type8").alias("bond_type_e")).agg(
+        F.sum("dirty_amnt").alias("bf"), F.sum("face_value").alias("bc"))
+    sell = d.groupBy(F.col("sell_ip_id").alias("member_id"), "bond_id", "deal_dt",
+                     F.col("bond_type8").alias("bond_type_e")).agg(
+        F.sum("dirty_amnt").alias("sf"), F.sum("face_value").alias("sc"))
+    j = buy.join(sell, keys, "full_outer")
+    z = [F.coalesce(F.col(c), F.lit(0)).cast("decimal(38,2)") for c in ("bf", "sf", "bc", "sc")]
+    return j.select(*keys, z[0].alias("buy_full_price"), z[1].alias("sell_full_price"),
+                    z[2].alias("buy_face_price"), z[3].alias("sell_face_price"))
+
+
+@op("valid_members_semi", "SELECT bond_deal_id, buy_ip_id, sell_ip_id FROM c_cash")
+def valid_members_semi(f):
+    return B.fact_cash_deal(f).select("bond_deal_id", "buy_ip_id", "sell_ip_id")
+
+
+# ----------------------------------------------------------------- A1-A12
+@op("weighted_price", f"""SELECT pd_cd, deal_dt, {O.r6('sum(repo_rate * trade_amnt)', 'sum(trade_amnt)')} AS weighted_price
+    FROM c_priced GROUP BY pd_cd, deal_dt""")
+def weighted_price(f):
+    d = B.fact_repo_deal_priced(f)
+    g = d.groupBy("pd_cd", "deal_dt").agg(F.sum(F.col("repo_rate") * F.col("trade_amnt")).alias("n"),
+                                         F.sum("trade_amnt").alias("a"))
+    return g.select("pd_cd", "deal_dt", X.ratio6("n", "a").alias("weighted_price"))
+
+
+@op("sum_amount", "SELECT pd_id, deal_dt, CAST(sum(trade_amnt) AS DECIMAL(38,2)) AS sum_amount FROM c_deal GROUP BY pd_id, deal_dt")
+def sum_amount(f):
+    return B.fact_repo_deal(f).groupBy("pd_id", "deal_dt").agg(X.sum_amount("trade_amnt").alias("sum_amount"))
+
+
+@op("min_max_rate", "SELECT pd_id, deal_dt, max(repo_rate) AS max_rate, min(repo_rate) AS min_rate FROM c_deal GROUP BY pd_id, deal_dt")
+def min_max_rate(f):
+    return B.fact_repo_deal(f).groupBy("pd_id", "deal_dt").agg(
+        F.max("repo_rate").alias("max_rate"), F.min("repo_rate").alias("min_rate"))
+
+
+@op("collect_distinct_set", f"""SELECT bond_id, deal_dt, {O.sset('member', '#')} AS member_set,
+    count(DISTINCT member) AS n FROM cs GROUP BY bond_id, deal_dt""")
+def collect_distinct_set(f):
+    d = sides_unpivot(B.fact_cash_deal(f), CASH_SIDES)
+    return d.groupBy("bond_id", "deal_dt").agg(
+        X.set_to_string(F.collect_set("member"), L.CASH_SET_SEP).alias("member_set"),
+        F.count_distinct("member").alias("n"))
+
+
+@op("weighted_spread", """SELECT ins_show_name, pd_cd, deal_dt, price_difference FROM ("""
+    + O.Q["ctgry_price_deal_info"].strip() + ") t WHERE price_difference IS NOT NULL")
+def weighted_spread(f):
+    return RR.ctgry_price_deal_info(f).filter(F.col("price_difference").isNotNull()).select(
+        "ins_show_name", "pd_cd", "deal_dt", "price_difference")
+
+
+@op("haircut_weighted", f"""SELECT bond_ctgry_nm, deal_dt,
+    {O.r6('sum(cnvrsn_prprtn * alloc)', 'sum(alloc)')} AS weighted_cnvrsn_prprtn
+    FROM (SELECT c.*, coalesce(b.bond_ctgry_nm, '其他') AS bond_ctgry_nm FROM c_coll c
+        LEFT JOIN c_bond4 b ON c.bond_id = b.bond_id) t GROUP BY bond_ctgry_nm, deal_dt""")
+def haircut_weighted(f):
+    c = B.fact_repo_collateral(f).join(small(B.dim_bond4(f).select("bond_id", "bond_ctgry_nm")), "bond_id", "left")
+    c = c.withColumn("bond_ctgry_nm", F.coalesce("bond_ctgry_nm", F.lit(L.BOND_OTHER)))
+    g = c.groupBy("bond_ctgry_nm", "deal_dt").agg(
+        F.sum(F.col("cnvrsn_prprtn") * F.col("alloc")).alias("n"), F.sum("alloc").alias("a"))
+    return g.select("bond_ctgry_nm", "deal_dt", X.ratio6("n", "a").alias("weighted_cnvrsn_prprtn"))
+
+
+@op("collateral_ratio", """SELECT c.ev_id, c.bond_id, c.cnvrsn_prprtn, c.face_value, t.sum_face,
+    round(CASE WHEN t.sum_face < 0.000000001 THEN CAST(c.face_value AS DOUBLE)
+        ELSE CAST(c.face_value AS DOUBLE) / CAST(t.sum_face AS DOUBLE) END, 9) AS ratio
+    FROM c_cl c JOIN c_cltot t ON c.ev_id = t.ev_id""")
+def collateral_ratio(f):
+    rows, tot = B.collateral_ratio(f)
+    x = rows.join(tot, "ev_id", "inner")
+    face = F.col("face_value").cast("double")
+    ratio = F.when(F.col("sum_face") < F.lit(L.ZERO_FACE_EPS).cast("decimal(18,9)"), face).otherwise(
+        face / F.col("sum_face").cast("double"))
+    return x.select("ev_id", "bond_id", "cnvrsn_prprtn", "face_value", "sum_face",
+                    F.round(ratio, 9).alias("ratio"))
+
+
+@op("rating_worst_per_interval", "SELECT bond_id, rtng_start_dt, rtng_end_dt, rtng_rank FROM c_rating")
+def rating_worst_per_interval(f):
+    return B.dim_rating(f).select("bond_id", "rtng_start_dt", "rtng_end_dt", "rtng_rank")
+
+
+@op("root_rollup", f"""SELECT root, {O.JT} AS join_type, deal_dt,
+    CAST(sum(trade_amnt) AS DECIMAL(38,2)) AS sum_amount
+    FROM {O._repo_rolled('rs_deal')} x {O._gs(['root', 'deal_dt'])}""")
+def root_rollup(f):
+    d = sides_unpivot(B.fact_repo_deal(f), REPO_SIDES)
+    d = explode_join_types(with_join_type_repo(d, B.dim_root(f), B.member_info(f)))
+    return d.groupBy("root", "join_type", "deal_dt").agg(X.sum_amount("trade_amnt").alias("sum_amount"))
+
+
+@op("root_rollup_cash", f"""SELECT root, {O.JT} AS join_type, deal_dt,
+    CAST(sum(dirty_amnt) AS DECIMAL(38,2)) AS full_price
+    FROM {O.CASH_ROLLED} x {O._gs(['root', 'deal_dt'])}""")
+def root_rollup_cash(f):
+    d = sides_unpivot(B.fact_cash_deal(f), CASH_SIDES)
+    d = explode_join_types(with_join_type_cash(d, B.dim_root(f), B.dim_member_cash(f)))
+    return d.groupBy("root", "join_type", "deal_dt").agg(X.sum_amount("dirty_amnt").alias("full_price"))
+
+
+@op("category_rollup", """SELECT i.ins_show_name, s.deal_dt, CAST(sum(s.trade_amnt) AS DECIMAL(38,2)) AS sum_amount
+    FROM rs_deal s JOIN c_minfo i ON s.member = i.unq_id GROUP BY i.ins_show_name, s.deal_dt""")
+def category_rollup(f):
+    d = with_category(sides_unpivot(B.fact_repo_deal(f), REPO_SIDES), B.member_info(f), "member", "ins_show_name")
+    return d.groupBy("ins_show_name", "deal_dt").agg(X.sum_amount("trade_amnt").alias("sum_amount"))
+
+
+@op("clean_count", """SELECT 'fact_repo_deal' AS "check", count(*) AS n FROM c_deal
+    UNION ALL SELECT 'fact_cash_deal', count(*) FROM c_cash""")
+def clean_count(f):
+    return Q.clean_count(f)
+
+
+DQ_SQL = """
+SELECT 'category_without_display_name' AS "check", count(*) AS n FROM f_mcd
+    WHERE ctgry_type_nm NOT IN (SELECT ctgry_type_nm FROM f_mct WHERE market = '质押式回购')
+UNION ALL SELECT 'member_without_category', count(*) FROM f_member
+    WHERE efctv_to_dt = DATE '9999-12-31' AND member_ctgry_id NOT IN (SELECT member_ctgry_id FROM c_repo_ctgry)
+UNION ALL SELECT 'member_without_cash_category', count(*) FROM f_member
+    WHERE efctv_to_dt = DATE '9999-12-31' AND member_ctgry_id NOT IN (SELECT member_ctgry_id FROM c_aht)
+UNION ALL SELECT 'repo_deal_without_product', count(*) FROM c_deal
+    WHERE pd_id NOT IN (SELECT pd_id FROM f_pd_d)
+UNION ALL SELECT 'repo_deal_unknown_party', count(*) FROM f_repo d
+    WHERE d.mkt_id = '109' AND d.st <> '2'
+        AND d.ev_id NOT IN (SELECT '11002' || deal_suffix FROM f_rmv WHERE rmv_kind = '2' AND rmv_reason = '1' AND mkt_id = '109')
+        AND (d.repo_ip_id NOT IN (SELECT ip_id FROM c_member) OR d.rvrse_ip_id NOT IN (SELECT ip_id FROM c_member))
+UNION ALL SELECT 'cash_deal_without_bond_type4', count(*) FROM c_cash WHERE bond_type4 = 'empty'
+UNION ALL SELECT 'cash_deal_without_bond_type8', count(*) FROM c_cash WHERE bond_type8 = 'empty'"""
+
+
+@op("dq_unmatched", DQ_SQL)
+def dq_unmatched(f):
+    return Q.dq_unmatched(f)
+
+
+# ----------------------------------------------------------------- U1, U2
+@op("buy_sell_union", """SELECT member, deal_dt, CAST(sum(dirty_amnt) AS DECIMAL(38,2)) AS full_price
+    FROM cs GROUP BY member, deal_dt""")
+def buy_sell_union(f):
+    """U1 in union form: buyer and seller aggregates unioned, re-reduced."""
+    d = B.fact_cash_deal(f)
+    buy = d.groupBy(F.col("buy_ip_id").alias("member"), "deal_dt").agg(F.sum("dirty_amnt").alias("p"))
+    sell = d.groupBy(F.col("sell_ip_id").alias("member"), "deal_dt").agg(F.sum("dirty_amnt").alias("p"))
+    return buy.unionByName(sell).groupBy("member", "deal_dt").agg(X.sum_amount("p").alias("full_price"))
+
+
+@op("distinct_projection", f"""SELECT DISTINCT buy_cat, sell_cat, deal_nmbr, dirty_amnt, bond_type4, deal_dt,
+    deal_strategy FROM {O.CATS} y""")
+def distinct_projection(f):
+    from bondmart.plans import cash_reports as CR
+    return CR._deals_with_cats(f).select("buy_cat", "sell_cat", "deal_nmbr", "dirty_amnt", "bond_type4",
+                                         "deal_dt", "deal_strategy").dropDuplicates()
+

@@ -68,11 +68,18 @@ f_aht AS (SELECT seg || '（y）' AS show_name_raw, substr(seg, 1, 3) AS member_
     FROM f_segs WHERE seg <> 'FURNITURE'),
 f_member AS (
     SELECT CAST(c_custkey AS VARCHAR) AS ip_id, substr(c_mktsegment, 1, 3) AS member_ctgry_id,
+        'M' || CAST(c_custkey AS VARCHAR) AS member_cd,
         c_name || CASE WHEN c_nationkey < 5 THEN '货币市场基金' ELSE '' END AS full_nm,
         'M' || CAST(c_custkey - c_custkey % 10 AS VARCHAR) AS rt_member_cd,
         'root' AS rt_member_full_nm, DATE '1990-01-01' AS efctv_from_dt,
         DATE '9999-12-31' AS efctv_to_dt, CAST(c_custkey AS VARCHAR) AS unq_id
-    FROM customer WHERE c_custkey < 100 AND c_custkey % 50 <> 49),
+    FROM customer WHERE c_custkey < 100 AND c_custkey % 50 <> 49
+    UNION ALL
+    SELECT CAST(c_custkey AS VARCHAR), 'HOU', 'M' || CAST(c_custkey AS VARCHAR),
+        c_name || CASE WHEN c_nationkey < 5 THEN '货币市场基金' ELSE '' END,
+        'M' || CAST(c_custkey - c_custkey % 10 AS VARCHAR), 'root', DATE '1980-01-01', DATE '1989-12-31',
+        CAST(c_custkey AS VARCHAR)
+    FROM customer WHERE c_custkey < 100 AND c_custkey % 50 <> 49 AND c_custkey % 10 = 9),
 f_rltp AS (SELECT * FROM (VALUES ('1', 'T1', '9999-12-31 00:00:00'), ('2', 'T2', '9999-12-31 00:00:00'),
     ('1', 'T3', '2019-12-31 00:00:00')) t(rl_kind, rl_tp_id, valid_to)),
 f_orgrl AS (
@@ -95,7 +102,8 @@ f_repo AS (
         CASE WHEN o.o_orderstatus = 'P' THEN '2' ELSE '1' END AS st,
         CAST(date_trunc('month', o.o_orderdate) AS DATE) AS deal_dt,
         CAST(CAST(o.o_orderkey % 400 + 100 AS DOUBLE) / 100 AS DECIMAL(18,6)) AS repo_rate,
-        CAST(o.o_totalprice AS DECIMAL(18,2)) AS trade_amnt, '109' AS mkt_id
+        CAST(o.o_totalprice AS DECIMAL(18,2)) AS trade_amnt,
+        CASE WHEN o.o_orderkey % 29 = 0 THEN '110' ELSE '109' END AS mkt_id
     FROM orders o JOIN (SELECT l_orderkey, min(l_suppkey) AS min_supp FROM lineitem GROUP BY l_orderkey) l
         ON o.o_orderkey = l.l_orderkey),
 f_dep AS (

@@ -81,21 +81,29 @@ def load(spark: SparkSession, sf_dir: str) -> Feeds:
         F.substring("seg", 1, 3).alias("member_ctgry_id"),
     )
 
-    # ---- members: first 100 customers, without key % 50 = 49
+    # ---- members: first 100 customers, without key % 50 = 49; key % 10 = 9
+    # also has a closed earlier version (another category), which the
+    # current-version filter must drop
     k = F.col("c_custkey")
-    member_d = customer.filter((k < N_MEMBERS) & (k % 50 != 49)).select(
-        _s(k).alias("ip_id"),
-        F.substring("c_mktsegment", 1, 3).alias("member_ctgry_id"),
-        F.concat(F.lit("M"), _s(k)).alias("member_cd"),
-        F.concat(
-            F.col("c_name"), F.when(F.col("c_nationkey") < 5, F.lit(L.JT_MONEY_FUND)).otherwise("")
-        ).alias("full_nm"),
-        F.concat(F.lit("M"), _s(k - k % 10)).alias("rt_member_cd"),
-        F.lit("root").alias("rt_member_full_nm"),
-        F.lit("1990-01-01").cast("date").alias("efctv_from_dt"),
-        F.lit(L.OPEN_END_DATE).cast("date").alias("efctv_to_dt"),
-        _s(k).alias("unq_id"),
-    )
+    members = customer.filter((k < N_MEMBERS) & (k % 50 != 49))
+
+    def member_rows(m, ctgry, start, end):
+        return m.select(
+            _s(k).alias("ip_id"),
+            ctgry.alias("member_ctgry_id"),
+            F.concat(F.lit("M"), _s(k)).alias("member_cd"),
+            F.concat(
+                F.col("c_name"), F.when(F.col("c_nationkey") < 5, F.lit(L.JT_MONEY_FUND)).otherwise("")
+            ).alias("full_nm"),
+            F.concat(F.lit("M"), _s(k - k % 10)).alias("rt_member_cd"),
+            F.lit("root").alias("rt_member_full_nm"),
+            F.lit(start).cast("date").alias("efctv_from_dt"),
+            F.lit(end).cast("date").alias("efctv_to_dt"),
+            _s(k).alias("unq_id"),
+        )
+
+    member_d = member_rows(members, F.substring("c_mktsegment", 1, 3), "1990-01-01", L.OPEN_END_DATE).unionByName(
+        member_rows(members.filter(k % 10 == 9), F.lit("HOU"), "1980-01-01", "1989-12-31"))
 
     # ---- root relations: slave k -> master k - k % 10 for k % 10 in 1..6;
     # k % 10 = 7 uses an invalid relation type, k % 10 = 8 a closed status
@@ -138,7 +146,8 @@ def load(spark: SparkSession, sf_dir: str) -> Feeds:
         _month(F.col("o_orderdate")).alias("deal_dt"),
         ((ok % 400 + 100).cast("double") / 100).cast("decimal(18,6)").alias("repo_rate"),
         F.col("o_totalprice").cast("decimal(18,2)").alias("trade_amnt"),
-        F.lit(L.PLEDGED_REPO_MKT_ID).alias("mkt_id"),
+        # key % 29 = 0: a deal of another market, left out by the market filter
+        F.when(ok % 29 == 0, F.lit("110")).otherwise(F.lit(L.PLEDGED_REPO_MKT_ID)).alias("mkt_id"),
     )
 
     # ---- interbank deals: % 3 = 0 flagged, % 3 = 1 listed with another flag
