@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from bondmart.functions.scalars import rating_label, rating_rank
 
-# default bound for hinted broadcasts (a dimension of a few million rows)
-BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+# bound for hinted broadcasts, on Catalyst's size estimate (for a parquet
+# snapshot: its compressed file size; in memory a few times more)
+BROADCAST_MAX_BYTES = 16 * 1024 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int | None:

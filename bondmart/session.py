@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,16 +37,19 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
-def snapshot(df: DataFrame) -> DataFrame:
+def snapshot(df: DataFrame, name: str = "table") -> DataFrame:
     """Materialize a small derived table once and cut its lineage.
 
-    Reliable ``checkpoint()`` into the shared folder named by
+    Written as parquet under the shared folder named by
     ``spark.checkpoint.dir`` (survives executor loss; never a local
-    checkpoint). The result is a leaf with a measured size, so later joins
-    see a small relation instead of re-planning its derivation.
+    checkpoint) and read back: one job, and the result is a file scan whose
+    measured size drives the broadcast decision of later joins. The
+    ``rebalance`` hint lets AQE pick the file count from the data size.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/snapshots/{uuid.uuid4().hex}-{name}"
+    df.hint("rebalance").write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

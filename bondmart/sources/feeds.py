@@ -121,7 +121,7 @@ def dimension(fn):
     from bondmart.session import snapshot
 
     def build(f: Feeds):
-        return snapshot(fn(f))
+        return snapshot(fn(f), fn.__name__)
 
     build.__name__ = fn.__name__
     build.__doc__ = fn.__doc__

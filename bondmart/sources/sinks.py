@@ -20,8 +20,16 @@ from pyspark.sql import functions as F
 
 def write_report(df: DataFrame, path: str, partition_by: Sequence[str] = ("deal_dt",),
                  fmt: str = "parquet") -> None:
-    """K1: write one report table, replacing only the partitions present."""
+    """K1: write one report table, replacing only the partitions present.
+
+    ``rebalance`` on the partition columns first: rows of one day go to few
+    tasks (few files per partition directory, not one per shuffle
+    partition), while AQE still splits an oversized day and coalesces small
+    ones.
+    """
     cols = [c for c in partition_by if c in df.columns]
+    if cols:
+        df = df.hint("rebalance", *cols)
     w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if cols:
         w = w.partitionBy(*cols)
