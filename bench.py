@@ -25,7 +25,7 @@ from bondmart.plans import job  # noqa: E402
 from bondmart.registry import feeds_for, queries  # noqa: E402
 from bondmart.session import get_session  # noqa: E402
 
-DIMENSIONS = ("dim_member", "member_info", "dim_member_cash", "dim_root", "dim_product", "dim_bond4",
+DIMENSIONS = ("dim_member", "member_info", "dim_member_cash", "member_id_by_unq", "dim_root", "dim_product", "dim_bond4",
               "dim_bond4_cash", "dim_bond8", "dim_rating", "dim_rating_segments")
 
 

@@ -71,19 +71,22 @@ def with_join_type_repo(
 
 
 def with_join_type_cash(
-    df: DataFrame, roots: DataFrame, members: DataFrame, member: str = "member"
+    df: DataFrame, roots: DataFrame, members: DataFrame, member: str = "member",
+    by_unq: DataFrame | None = None,
 ) -> DataFrame:
     """A9b + J2b for the cash job: adds ``root`` (a member id) and
     ``join_type``: 机构 when the member has no master row, else 产品.
 
     member id -> unq id -> master unq id -> master's member id. A master
     that is not a member keeps the member's own id (the original job would
-    fail there).
+    fail there). ``by_unq``: unq_id -> ip_id, one row per unq_id (derived
+    from ``members`` when not given).
     """
     ids = members.select(F.col("ip_id").alias("_ip"), F.col("unq_id").alias("_uq"))
     r = roots.select(F.col("unq_id").alias("_slv"), F.col("root_unq_id").alias("_mu"))
-    back = dedupe_latest(members.select("unq_id", "ip_id"), ["unq_id"], ["ip_id"]).select(
-        F.col("unq_id").alias("_ru"), F.col("ip_id").alias("_rip"))
+    if by_unq is None:
+        by_unq = dedupe_latest(members.select("unq_id", "ip_id"), ["unq_id"], ["ip_id"])
+    back = by_unq.select(F.col("unq_id").alias("_ru"), F.col("ip_id").alias("_rip"))
     x = (
         df.join(small(ids), F.col(member) == F.col("_ip"), "left")
         .join(small(r), F.col("_uq") == F.col("_slv"), "left")

@@ -91,6 +91,12 @@ def dim_member_cash(f: Feeds) -> DataFrame:
     return m.select("ip_id", "unq_id", "ins_show_name")
 
 
+@dimension
+def member_id_by_unq(f: Feeds) -> DataFrame:
+    """Cash job: unq_id -> member id (J2b), one row per unq_id."""
+    return dedupe_latest(dim_member_cash(f).select("unq_id", "ip_id"), ["unq_id"], ["ip_id"])
+
+
 @dimension
 def dim_root(f: Feeds) -> DataFrame:
     """Slave unq_id -> master unq_id for valid, current relations.

@@ -39,7 +39,8 @@ def _cat(df: DataFrame, f: Feeds, member: str, out: str) -> DataFrame:
 
 def _root(df: DataFrame, f: Feeds) -> DataFrame:
     """Add root id and participant type, one row per (全部, own type)."""
-    return explode_join_types(with_join_type_cash(df, B.dim_root(f), B.dim_member_cash(f)))
+    return explode_join_types(
+        with_join_type_cash(df, B.dim_root(f), B.dim_member_cash(f), by_unq=B.member_id_by_unq(f)))
 
 
 def _sum(c: str) -> Column:

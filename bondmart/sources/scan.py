@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
+# below this estimated input size a single task is cheaper than a shuffle
+MIN_BALANCE_BYTES = 1 << 20
+
+
 def balanced(spark: SparkSession, df: DataFrame) -> DataFrame:
     """Spread an under-split scan over the session's task slots.
 
@@ -13,9 +17,12 @@ def balanced(spark: SparkSession, df: DataFrame) -> DataFrame:
     Only a scan with fewer splits than slots — e.g. a single-row-group file,
     which Spark can only read in one task — gets a round-robin repartition,
     so the map side of the plan (lookups, unpivot, partial aggregation) runs
-    in parallel instead of in one task.
+    in parallel instead of in one task. Inputs under 1 MB stay as they are.
     """
+    from bondmart.operators.joins import estimated_bytes
+
     slots = spark.sparkContext.defaultParallelism
-    if df._jdf.rdd().getNumPartitions() < slots:
+    size = estimated_bytes(df) or 0
+    if size >= MIN_BALANCE_BYTES and df._jdf.rdd().getNumPartitions() < slots:
         return df.repartition(slots)
     return df
