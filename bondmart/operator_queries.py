@@ -124,7 +124,25 @@ def ingest_gbk(spark, sf_dir):
     return csvfeeds.parse_lines(gbk.select(F.decode("b", "GBK").alias("value")), "member_d")
 
 
-# ----------------------------------------------------------------- K2, P1, P2
+# ----------------------------------------------------------------- K1, K2, P1, P2
+@op("sink_report", O.Q["member_price_deal_info"])
+@raw
+def sink_report(spark, sf_dir):
+    """K1: the flagship table written through the report sink (parquet,
+    partitioned by deal date, dynamic overwrite) under the shared folder,
+    then read back."""
+    import uuid
+
+    from bondmart.session import checkpoint_dir
+    from bondmart.sources.sinks import write_report
+
+    f = feeds_for(spark, sf_dir)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/sink-report/{uuid.uuid4().hex}"
+    write_report(RR.member_price_deal_info(f), path)
+    return spark.read.parquet(path)
+
+
+
 @op("sink_upsert_merge", O.Q["member_price_deal_info"])
 def sink_upsert_merge(f):
     """K2: three column-group writes of one table merged by key."""
