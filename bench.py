@@ -20,15 +20,10 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from bondmart.plans import base as B  # noqa: E402
 from bondmart.plans import job  # noqa: E402
 from bondmart.registry import feeds_for, queries  # noqa: E402
 from bondmart.session import get_session  # noqa: E402
 
-DIMENSIONS = ("dim_member", "member_info", "dim_member_cash", "member_id_by_unq", "dim_root", "dim_product", "dim_bond4",
-              "dim_bond4_cash", "dim_bond8", "dim_rating", "dim_rating_segments")
-
-
 def _noop(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
@@ -51,8 +46,7 @@ def main() -> None:
     else:
         t0 = time.perf_counter()
         f = feeds_for(spark, sf_dir)
-        for d in DIMENSIONS:
-            getattr(B, d)(f)
+        job.build_dimensions(f)
         times["dimensions"] = round(time.perf_counter() - t0, 3)
         t0 = time.perf_counter()
         job.materialize_facts(spark, f)

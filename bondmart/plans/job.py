@@ -17,6 +17,7 @@ from __future__ import annotations
 import sys
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -29,22 +30,49 @@ from bondmart.sources.sinks import write_report
 FACTS = ("fact_repo_deal", "fact_repo_collateral", "fact_cash_deal")
 REPORTS = {**repo_reports.REPORTS, **cash_reports.REPORTS}
 
+# dimension snapshots in dependency waves; members of a wave are independent
+DIMENSION_WAVES = (
+    ("dim_member", "dim_member_cash", "dim_root", "dim_product", "dim_bond4", "dim_bond4_cash",
+     "dim_bond8", "dim_rating"),
+    ("member_info", "member_id_by_unq", "dim_rating_segments"),
+)
+# facts in dependency waves (the collateral fact reads the written deals)
+FACT_WAVES = (("fact_repo_deal", "fact_cash_deal"), ("fact_repo_collateral",))
 
-def materialize_facts(spark: SparkSession, f: Feeds, run_id: str | None = None) -> dict[str, str]:
+
+def _waves(waves, fn, workers: int) -> None:
+    """Run independent small jobs of each wave concurrently (Spark schedules
+    jobs submitted from several threads side by side)."""
+    for wave in waves:
+        with ThreadPoolExecutor(max_workers=max(1, min(workers, len(wave)))) as ex:
+            list(ex.map(fn, wave))
+
+
+def build_dimensions(f: Feeds, workers: int = 4) -> None:
+    """Snapshot every dimension of the run once."""
+    _waves(DIMENSION_WAVES, lambda name: getattr(B, name)(f), workers)
+
+
+def materialize_facts(spark: SparkSession, f: Feeds, run_id: str | None = None,
+                      workers: int = 2) -> dict[str, str]:
     """Write the shared facts once and make the feed set use the copies."""
     root = checkpoint_dir(spark).rstrip("/") + f"/facts-{run_id or uuid.uuid4().hex}"
     paths = {}
     memo = f.__dict__.setdefault("_memo", {})
-    for name in FACTS:
+
+    def one(name: str) -> None:
         path = f"{root}/{name}"
         write_report(getattr(B, name)(f), path)
         memo[name] = spark.read.parquet(path)
         paths[name] = path
+
+    _waves(FACT_WAVES, one, workers)
     return paths
 
 
 def run(spark: SparkSession, f: Feeds, out_root: str, names=None, materialize: bool = True) -> dict:
     """Write the report tables; returns {name: seconds}."""
+    build_dimensions(f)
     if materialize:
         materialize_facts(spark, f)
     times = {}
