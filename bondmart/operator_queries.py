@@ -284,10 +284,12 @@ def parse_date(spark, sf_dir):
     return o.select("o_orderkey", s.alias("s")).select("o_orderkey", "s", X.parse_date("s").alias("d"))
 
 
-@op("decimal_arith", """SELECT ev_id, repo_rate * trade_amnt AS weighted, trade_amnt FROM c_deal""")
+@op("decimal_arith", """SELECT ev_id, CAST(repo_rate * trade_amnt AS DECIMAL(38,8)) AS weighted, trade_amnt
+    FROM c_deal""")
 def decimal_arith(f):
     d = B.fact_repo_deal(f)
-    return d.select("ev_id", (F.col("repo_rate") * F.col("trade_amnt")).alias("weighted"), "trade_amnt")
+    return d.select("ev_id", (F.col("repo_rate") * F.col("trade_amnt")).cast("decimal(38,8)").alias("weighted"),
+                    "trade_amnt")
 
 
 # ----------------------------------------------------------------- W1-W11
@@ -520,7 +522,8 @@ def haircut_weighted(f):
     return g.select("bond_ctgry_nm", "deal_dt", X.ratio6("n", "a").alias("weighted_cnvrsn_prprtn"))
 
 
-@op("collateral_ratio", """SELECT c.ev_id, c.bond_id, c.cnvrsn_prprtn, c.face_value, t.sum_face,
+@op("collateral_ratio", """SELECT c.ev_id, c.bond_id, c.cnvrsn_prprtn, c.face_value,
+    CAST(t.sum_face AS DECIMAL(38,2)) AS sum_face,
     round(CASE WHEN t.sum_face < 0.000000001 THEN CAST(c.face_value AS DOUBLE)
         ELSE CAST(c.face_value AS DOUBLE) / CAST(t.sum_face AS DOUBLE) END, 9) AS ratio
     FROM c_cl c JOIN c_cltot t ON c.ev_id = t.ev_id""")
@@ -530,8 +533,8 @@ def collateral_ratio(f):
     face = F.col("face_value").cast("double")
     ratio = F.when(F.col("sum_face") < F.lit(L.ZERO_FACE_EPS).cast("decimal(18,9)"), face).otherwise(
         face / F.col("sum_face").cast("double"))
-    return x.select("ev_id", "bond_id", "cnvrsn_prprtn", "face_value", "sum_face",
-                    F.round(ratio, 9).alias("ratio"))
+    return x.select("ev_id", "bond_id", "cnvrsn_prprtn", "face_value",
+                    F.col("sum_face").cast("decimal(38,2)").alias("sum_face"), F.round(ratio, 9).alias("ratio"))
 
 
 @op("rating_worst_per_interval", "SELECT bond_id, rtng_start_dt, rtng_end_dt, rtng_rank FROM c_rating")

@@ -203,10 +203,10 @@ c_cl AS (SELECT DISTINCT ev_id, bond_id, cnvrsn_prprtn, face_value FROM f_cltrl)
 c_cltot AS (SELECT ev_id, sum(face_value) AS sum_face FROM c_cl GROUP BY ev_id),
 c_coll AS (
     SELECT d.ev_id, d.repo_unq_id, d.rvrse_unq_id, d.deal_dt, d.trade_amnt, c.bond_id, c.cnvrsn_prprtn,
-        CAST(CAST(floor((CASE WHEN t.sum_face < 0.000000001 THEN CAST(c.face_value AS DOUBLE)
+        CAST(CAST(CAST(floor((CASE WHEN t.sum_face < 0.000000001 THEN CAST(c.face_value AS DOUBLE)
                 ELSE CAST(c.face_value AS DOUBLE) / CAST(t.sum_face AS DOUBLE) END)
             * CAST(d.trade_amnt AS DOUBLE) * 10000.0 + 0.5) AS BIGINT) AS DECIMAL(18,0))
-            * CAST(0.0001 AS DECIMAL(4,4)) AS alloc
+            * CAST(0.0001 AS DECIMAL(4,4)) AS DECIMAL(23,4)) AS alloc
     FROM c_deal d JOIN c_cltot t ON d.ev_id = t.ev_id JOIN c_cl c ON d.ev_id = c.ev_id),
 c_coll_rank AS (
     SELECT k.bond_id, k.deal_dt, r.rtng_rank

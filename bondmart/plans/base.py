@@ -266,7 +266,7 @@ def fact_repo_collateral(f: Feeds, deals: DataFrame | None = None) -> DataFrame:
         F.col("sum_face") < F.lit(L.ZERO_FACE_EPS).cast("decimal(18,9)"), face
     ).otherwise(face / F.col("sum_face").cast("double"))
     units = F.floor(ratio * F.col("trade_amnt").cast("double") * F.lit(10000.0) + F.lit(0.5))
-    alloc = units.cast("decimal(18,0)") * F.lit(0.0001).cast("decimal(4,4)")
+    alloc = (units.cast("decimal(18,0)") * F.lit(0.0001).cast("decimal(4,4)")).cast("decimal(23,4)")
     return x.select(
         "ev_id", "repo_unq_id", "rvrse_unq_id", "deal_dt", "trade_amnt", "bond_id",
         "cnvrsn_prprtn", alloc.alias("alloc"),
