@@ -9,10 +9,10 @@ stage has measured the real size. Fact-sized sides are never hinted.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bondmart.functions.scalars import rating_label, rating_rank
+from bondmart.functions.scalars import rating_label
 
 # bound for hinted broadcasts, on Catalyst's size estimate (for a parquet
 # snapshot: its compressed file size; in memory a few times more)
@@ -155,5 +155,5 @@ def with_rating(df: DataFrame, segments: DataFrame, out: str = "rtng_desc") -> D
 
 __all__ = [
     "BROADCAST_MAX_BYTES", "estimated_bytes", "small", "dedupe_latest", "lookup",
-    "rating_as_of", "rating_segments", "with_rating", "rating_rank", "Column",
+    "rating_as_of", "rating_segments", "with_rating",
 ]

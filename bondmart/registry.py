@@ -37,13 +37,14 @@ BASE_TABLES: dict[str, Plan] = {
 PLANS: dict[str, Plan] = {**BASE_TABLES, **repo_reports.REPORTS, **cash_reports.REPORTS}
 
 
-_FEEDS: dict[tuple[int, str], Feeds] = {}
+_FEEDS: dict[tuple[int, str, str], Feeds] = {}
 
 
 def feeds_for(spark: SparkSession, sf_dir: str) -> Feeds:
-    """One feed set per (session, input folder): its dimension snapshots are
-    built once and shared by all reports of the run, like one nightly job."""
-    key = (id(spark), sf_dir)
+    """One feed set per (session, application, input folder): its dimension
+    snapshots are built once and shared by all reports of the run, like one
+    nightly job. A new SparkContext (new application id) gets new feeds."""
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir)
     if key not in _FEEDS:
         _FEEDS[key] = testviews.load(spark, sf_dir)
     return _FEEDS[key]
