@@ -101,6 +101,26 @@ def with_join_type_cash(
     )
 
 
+def member_rollup(members: DataFrame, key: str, classify) -> DataFrame:
+    """Per-member roll-up dimension (member -> root, join_type), from one of
+    the ``with_join_type_*`` rules applied to the member list itself. It is
+    bounded by the member dimension, so reports do one broadcast lookup
+    instead of re-deriving the classification per row."""
+    m = members.select(F.col(key).alias("member")).distinct()
+    return classify(m).select("member", "root", "join_type")
+
+
+def with_rollup(df: DataFrame, rollup: DataFrame, member: str = "member") -> DataFrame:
+    """Attach (root, join_type) from a ``member_rollup`` dimension; a member
+    missing from it is its own root of type 机构."""
+    r = rollup.select(F.col("member").alias("_rm"), F.col("root").alias("_root"),
+                      F.col("join_type").alias("_jt"))
+    x = df.join(small(r), F.col(member) == F.col("_rm"), "left")
+    return (x.withColumn("root", F.coalesce(F.col("_root"), F.col(member)))
+            .withColumn("join_type", F.coalesce(F.col("_jt"), F.lit(L.JT_INSTITUTION)))
+            .drop("_rm", "_root", "_jt"))
+
+
 def explode_join_types(df: DataFrame, jt: str = "join_type") -> DataFrame:
     """Each row once under 全部 and once under its own participant type."""
     return df.withColumn(jt, F.explode(F.array(F.lit(L.JT_ALL), F.col(jt))))

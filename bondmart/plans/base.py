@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from bondmart import labels as L
 from bondmart.functions import scalars as X
 from bondmart.operators.joins import dedupe_latest, rating_segments, small
+from bondmart.operators.rollup import member_rollup, with_join_type_cash, with_join_type_repo
 from bondmart.sources.feeds import Feeds, dimension, per_feeds
 
 
@@ -97,6 +98,21 @@ def member_id_by_unq(f: Feeds) -> DataFrame:
     return dedupe_latest(dim_member_cash(f).select("unq_id", "ip_id"), ["unq_id"], ["ip_id"])
 
 
+@dimension
+def member_rollup_repo(f: Feeds) -> DataFrame:
+    """A9 per member (unq_id): root and participant type (repo rule)."""
+    return member_rollup(member_info(f), "unq_id",
+                         lambda m: with_join_type_repo(m, dim_root(f), member_info(f)))
+
+
+@dimension
+def member_rollup_cash(f: Feeds) -> DataFrame:
+    """A9b + J2b per member (ip_id): root member id and participant type."""
+    return member_rollup(dim_member_cash(f), "ip_id",
+                         lambda m: with_join_type_cash(m, dim_root(f), dim_member_cash(f),
+                                                       by_unq=member_id_by_unq(f)))
+
+
 @dimension
 def dim_root(f: Feeds) -> DataFrame:
     """Slave unq_id -> master unq_id for valid, current relations.

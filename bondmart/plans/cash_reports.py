@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from bondmart import labels as L
 from bondmart.functions import scalars as X
 from bondmart.operators.rollup import (
-    CASH_SIDES, explode_join_types, on_side, sides_unpivot, with_category, with_join_type_cash,
+    CASH_SIDES, explode_join_types, on_side, sides_unpivot, with_category, with_rollup,
 )
 from bondmart.plans import base as B
 from bondmart.sources.feeds import Feeds
@@ -39,8 +39,7 @@ def _cat(df: DataFrame, f: Feeds, member: str, out: str) -> DataFrame:
 
 def _root(df: DataFrame, f: Feeds) -> DataFrame:
     """Add root id and participant type, one row per (全部, own type)."""
-    return explode_join_types(
-        with_join_type_cash(df, B.dim_root(f), B.dim_member_cash(f), by_unq=B.member_id_by_unq(f)))
+    return explode_join_types(with_rollup(df, B.member_rollup_cash(f)))
 
 
 def _sum(c: str) -> Column:

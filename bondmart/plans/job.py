@@ -35,6 +35,7 @@ DIMENSION_WAVES = (
     ("dim_member", "dim_member_cash", "dim_root", "dim_product", "dim_bond4", "dim_bond4_cash",
      "dim_bond8", "dim_rating"),
     ("member_info", "member_id_by_unq", "dim_rating_segments"),
+    ("member_rollup_repo", "member_rollup_cash"),
 )
 # facts in dependency waves (the collateral fact reads the written deals)
 FACT_WAVES = (("fact_repo_deal", "fact_cash_deal"), ("fact_repo_collateral",))

@@ -19,7 +19,7 @@ from bondmart import labels as L
 from bondmart.functions import scalars as X
 from bondmart.operators.joins import small, with_rating
 from bondmart.operators.rollup import (
-    REPO_SIDES, explode_join_types, on_side, sides_unpivot, with_category, with_join_type_repo,
+    REPO_SIDES, explode_join_types, on_side, sides_unpivot, with_category, with_rollup,
 )
 from bondmart.plans import base as B
 from bondmart.sources.feeds import Feeds
@@ -79,7 +79,7 @@ def member_price_deal_info(f: Feeds) -> DataFrame:
     """Root roll-up of weighted prices and amounts; spread and total where
     the root has both sides."""
     d = _sides(B.fact_repo_deal_priced(f))
-    d = explode_join_types(with_join_type_repo(d, B.dim_root(f), B.member_info(f)))
+    d = explode_join_types(with_rollup(d, B.member_rollup_repo(f)))
     g = d.groupBy("root", "join_type", "pd_cd", "deal_dt").agg(*_price_parts())
     both = F.col("repo_amt").isNotNull() & F.col("rvrse_amt").isNotNull()
     return g.select(
@@ -167,7 +167,7 @@ def _distribution_base(f: Feeds) -> DataFrame:
 
 def member_ctgry_amount_deal_info(f: Feeds) -> DataFrame:
     d = _distribution_base(f)
-    d = explode_join_types(with_join_type_repo(d, B.dim_root(f), B.member_info(f)))
+    d = explode_join_types(with_rollup(d, B.member_rollup_repo(f)))
     g = d.groupBy("root", "join_type", "cou_party_ins_show_name", "deal_dt").agg(
         F.sum(on_side(R, "trade_amnt")).alias("ra"), F.sum(on_side(V, "trade_amnt")).alias("va"),
         F.collect_set(on_side(R, "counter")).alias("rs"), F.collect_set(on_side(V, "counter")).alias("vs"),
@@ -245,7 +245,7 @@ def _haircut_out() -> list:
 
 
 def _rolled(f: Feeds, d: DataFrame) -> DataFrame:
-    return explode_join_types(with_join_type_repo(d, B.dim_root(f), B.member_info(f)))
+    return explode_join_types(with_rollup(d, B.member_rollup_repo(f)))
 
 
 def _by_ctgry(f: Feeds, d: DataFrame) -> DataFrame:
