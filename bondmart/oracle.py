@@ -456,6 +456,28 @@ Q["ctgry_bond_type_deal_info"] = _ctgry_coll(COLL_RTNG, ["bond_ctgry_nm", "rtng_
 Q["member_bond_issr_deal_info"] = _member_coll(COLL_ISSR, ["issr_id", "deal_dt"], HAIRCUT)
 Q["ctgry_bond_issr_deal_info"] = _ctgry_coll(COLL_ISSR, ["issr_id", "deal_dt"], HAIRCUT)
 
+# optional variants (commented out in the original job)
+_MG = f"""
+SELECT member, pd_cd, deal_dt,
+    sum({_side('REPO', 'repo_rate * trade_amnt')}) AS rn, sum({_side('REPO', 'trade_amnt')}) AS ra,
+    sum({_side('RVRSE', 'repo_rate * trade_amnt')}) AS vn, sum({_side('RVRSE', 'trade_amnt')}) AS va
+FROM rs_priced GROUP BY member, pd_cd, deal_dt"""
+Q["member_spread_info"] = f"""
+SELECT m.member AS unq_id_in_src_sys, m.pd_cd, m.deal_dt, i.ins_show_name,
+    round(CAST(vn AS DOUBLE) / CAST(va AS DOUBLE) - CAST(rn AS DOUBLE) / CAST(ra AS DOUBLE), 6) AS price_difference,
+    CAST(ra + va AS DECIMAL(38,2)) AS total_amount
+FROM ({_MG}) m JOIN c_minfo i ON m.member = i.unq_id
+WHERE ra IS NOT NULL AND va IS NOT NULL"""
+Q["ctgry_price_difference_simple"] = f"""
+SELECT ins_show_name, pd_cd, deal_dt,
+    round(CAST(vn AS DOUBLE) / CAST(va AS DOUBLE) - CAST(rn AS DOUBLE) / CAST(ra AS DOUBLE), 6) AS price_difference
+FROM (SELECT i.ins_show_name, s.pd_cd, s.deal_dt,
+        sum({_side('REPO', 'repo_rate * trade_amnt')}) AS rn, sum({_side('REPO', 'trade_amnt')}) AS ra,
+        sum({_side('RVRSE', 'repo_rate * trade_amnt')}) AS vn, sum({_side('RVRSE', 'trade_amnt')}) AS va
+    FROM rs_priced s JOIN c_minfo i ON s.member = i.unq_id
+    GROUP BY i.ins_show_name, s.pd_cd, s.deal_dt) g
+WHERE ra IS NOT NULL AND va IS NOT NULL"""
+
 # cash reports
 Q["memberid2name"] = "SELECT ip_id AS member_id, ins_show_name AS ctgry_type FROM c_member_cash"
 Q["bondinfo"] = "SELECT bond_id, bond_nm, bond_cd, lstng_dt, mrty_dt FROM c_bond4c"

@@ -327,3 +327,38 @@ REPORTS = {
     "member_bond_issr_deal_info": member_bond_issr_deal_info,
     "ctgry_bond_issr_deal_info": ctgry_bond_issr_deal_info,
 }
+
+
+# ---------------------------------------------------- optional variants
+# Two variants the original job carried commented out: the spread per
+# member, and the category spread as the plain difference of the category
+# prices (the reported category spread is the amount-weighted one, A5).
+
+def member_spread_info(f: Feeds) -> DataFrame:
+    """Per member with both sides: reverse minus repo price, total amount."""
+    d = _sides(B.fact_repo_deal_priced(f))
+    g = d.groupBy("member", "pd_cd", "deal_dt").agg(*_price_parts())
+    g = with_category(g, B.member_info(f), "member", "ins_show_name")
+    g = g.filter(F.col("repo_amt").isNotNull() & F.col("rvrse_amt").isNotNull())
+    return g.select(
+        F.col("member").alias("unq_id_in_src_sys"), "pd_cd", "deal_dt", "ins_show_name",
+        F.round(_spread("repo_num", "repo_amt", "rvrse_num", "rvrse_amt"), 6).alias("price_difference"),
+        (F.col("repo_amt") + F.col("rvrse_amt")).cast("decimal(38,2)").alias("total_amount"),
+    )
+
+
+def ctgry_price_difference_simple(f: Feeds) -> DataFrame:
+    """Per category with both sides: reverse minus repo category price."""
+    d = with_category(_sides(B.fact_repo_deal_priced(f)), B.member_info(f), "member", "ins_show_name")
+    g = d.groupBy("ins_show_name", "pd_cd", "deal_dt").agg(*_price_parts())
+    g = g.filter(F.col("repo_amt").isNotNull() & F.col("rvrse_amt").isNotNull())
+    return g.select(
+        "ins_show_name", "pd_cd", "deal_dt",
+        F.round(_spread("repo_num", "repo_amt", "rvrse_num", "rvrse_amt"), 6).alias("price_difference"),
+    )
+
+
+VARIANTS = {
+    "member_spread_info": member_spread_info,
+    "ctgry_price_difference_simple": ctgry_price_difference_simple,
+}

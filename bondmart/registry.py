@@ -34,7 +34,8 @@ BASE_TABLES: dict[str, Plan] = {
     "fact_cash_deal": _fact_cash_deal,
 }
 
-PLANS: dict[str, Plan] = {**BASE_TABLES, **repo_reports.REPORTS, **cash_reports.REPORTS}
+PLANS: dict[str, Plan] = {**BASE_TABLES, **repo_reports.REPORTS, **cash_reports.REPORTS,
+                          **repo_reports.VARIANTS}
 
 
 _FEEDS: dict[tuple[int, str, str], Feeds] = {}
