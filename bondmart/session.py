@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -53,15 +54,17 @@ def snapshot(df: DataFrame, name: str = "table") -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names in spark.checkpoint.dir.
+    """The shared folder that the cluster names in spark.checkpoint.dir.
 
-    Only when it is unset (local tests) a scratch folder is created and set.
+    A local session (one machine) without that setting gets a scratch folder;
+    on a cluster a machine's own folder would lose data, so it must be set.
     """
     sc = spark.sparkContext
-    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="bondmart-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d
