@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from bondmart.llm.sentencepiece_op import op7_sentencepiece
+from bondmart.llm.simhash import op8_simhash
+from bondmart.llm.substring_dedup import op3_substring_dedup
 from bondmart.llm.token_counts import op2_token_counts
 
 QUERIES = {f.__name__: f for f in (
     op2_token_counts,
+    op3_substring_dedup,
     op7_sentencepiece,
+    op8_simhash,
 )}
 
 SQL: dict[str, str] = {}
