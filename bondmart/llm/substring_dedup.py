@@ -33,6 +33,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from bondmart.llm.common import Words, byte_texts, chunks, column, rolling, sliding_min, span_hash, table
 
@@ -260,8 +261,8 @@ def remove_repeats(docs: DataFrame, k: int = WINDOW, m: int = GRAM) -> DataFrame
     an untouched text stays as it is), and n_removed and n_left (words; null
     if untouched)."""
     wide = with_spans(docs, k, m)
-    schema = docs.schema.add("n_removed", "long").add("n_left", "long")
-    return wide.mapInArrow(_rewrite, schema)
+    new = StructType().add("n_removed", "long").add("n_left", "long")
+    return wide.mapInArrow(_rewrite, StructType(docs.schema.fields + new.fields))
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

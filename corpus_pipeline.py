@@ -1,19 +1,66 @@
-"""A corpus pipeline of the training-data operators, stage by stage."""
+"""A corpus pipeline of the training-data operators, stage by stage.
+
+Language ID drops texts without a known or clear language; SimHash keeps one
+document (the smallest doc_id) of each group of near copies; substring dedup
+cuts passages that a document with a smaller doc_id has, and drops documents
+with nothing left; decontamination drops documents that hold a benchmark
+item; SentencePiece encodes and decodes what is left. Null texts go in the
+first stage; an empty table stays empty.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from bondmart.llm.common import shared_path, table
+from bondmart.llm.decontaminate import find_items
+from bondmart.llm.language import UNKNOWN, learn, with_language
 from bondmart.llm.sentencepiece_op import encode_decode
+from bondmart.llm.simhash import near_duplicates
+from bondmart.llm.substring_dedup import remove_repeats
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a known language that isn't ambiguous."""
+    found = with_language(docs, learn(docs))
+    return found.where((F.col("__lang") != UNKNOWN) & ~F.col("__ambiguous")).select(*docs.columns)
+
+
+def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest doc_id of each component, one row of it."""
+    heads = near_duplicates(docs).where("doc_id = component_id").select(F.col("component_id").alias("head"))
+    kept = docs.join(heads.distinct(), F.col("doc_id") == F.col("head"), "left_semi")
+    # rows that repeat a doc_id: the least text stays
+    return kept.groupBy("doc_id").agg(F.min(F.struct(*[c for c in docs.columns if c != "doc_id"])).alias("row")).select(
+        *[F.col("doc_id") if c == "doc_id" else F.col(f"row.{c}").alias(c) for c in docs.columns])
+
+
+def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without their repeated passages; those left empty go."""
+    cut = remove_repeats(docs).where("n_left is null or n_left > 0")
+    length = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return cut.withColumn("n_chars", length).select(*docs.columns)
+
+
+def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of benchmark."""
+    bad = find_items(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("bad")).distinct()
+    return docs.join(bad, F.col("doc_id") == F.col("bad"), "left_anti")
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids and decoded text of what is left, as digests."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of what is left."""
     return encode_decode(docs)
 
 
-STAGES = [("sentencepiece", encode_stage)]
+STAGES = [
+    ("language_id", language_stage),
+    ("simhash", simhash_stage),
+    ("substring_dedup", substring_stage),
+    ("decontamination", decontaminate_stage),
+    ("sentencepiece", encode_stage),
+]
 
 #: The stages learn models and tokenise, which SQL can't express.
 ORACLE_SQL = None
