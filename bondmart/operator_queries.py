@@ -8,6 +8,7 @@ prelude as the report oracle).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,9 +26,9 @@ from bondmart.plans import base as B
 from bondmart.plans import quality as Q
 from bondmart.plans import repo_reports as RR
 from bondmart.registry import feeds_for
+from bondmart.session import checkpoint_dir, snapshot
 from bondmart.sources import csvfeeds
-from bondmart.sources.scan import balanced
-from bondmart.sources.sinks import merge_column_groups
+from bondmart.sources.sinks import upsert, write_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 OPERATOR_QUERIES: dict[str, Query] = {}
@@ -60,14 +61,15 @@ def raw(fn):
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return balanced(spark, spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 # ----------------------------------------------------------------- S1-S3
 # member feed rendered to CSV lines from the whole customer table, with
 # broken rows: key % 13 = 0 an extra field, % 17 = 0 an empty full name,
 # % 19 = 0 an invalid date; % 7 = 0 a quoted name holding a comma, and
-# % 11 = 0 a name holding the word MEMBER (the header token).
+# % 11 = 0 a name holding the word MEMBER (the header token), % 23 = 0 a
+# Chinese name. The lines are written to files and read as feeds.
 HEADER = ("IP_ID,MEMBER_CTGRY_ID,MEMBER_CD,FULL_NM,RT_MEMBER_CD,RT_MEMBER_FULL_NM,"
           "EFCTV_FROM_DT,EFCTV_TO_DT,UNQ_ID_IN_SRC_SYS,NOTE")
 
@@ -76,6 +78,7 @@ def _member_lines(customer: DataFrame) -> DataFrame:
     k = F.col("c_custkey")
     ks = k.cast("string")
     name = F.when(k % 11 == 0, F.concat(F.col("c_name"), F.lit(" MEMBER"))).otherwise(F.col("c_name"))
+    name = F.when(k % 23 == 0, F.concat(name, F.lit("银行"))).otherwise(name)
     name = F.when(k % 7 == 0, F.concat(F.lit('"'), name, F.lit(', Ltd"'))).otherwise(name)
     name = F.when(k % 17 == 0, F.lit("")).otherwise(name)
     from_dt = F.when(k % 19 == 0, F.lit("1998-02-30")).otherwise(F.lit("1990-01-01"))
@@ -90,6 +93,7 @@ MEMBER_CSV_SQL = """
 SELECT CAST(c_custkey AS VARCHAR) AS ip_id, substr(c_mktsegment, 1, 3) AS member_ctgry_id,
     'M' || CAST(c_custkey AS VARCHAR) AS member_cd,
     CASE WHEN c_custkey % 11 = 0 THEN c_name || ' MEMBER' ELSE c_name END
+        || CASE WHEN c_custkey % 23 = 0 THEN '银行' ELSE '' END
         || CASE WHEN c_custkey % 7 = 0 THEN ', Ltd' ELSE '' END AS full_nm,
     'M' || CAST(c_custkey - c_custkey % 10 AS VARCHAR) AS rt_member_cd, 'root' AS rt_member_full_nm,
     DATE '1990-01-01' AS efctv_from_dt, DATE '9999-12-31' AS efctv_to_dt,
@@ -97,31 +101,43 @@ SELECT CAST(c_custkey AS VARCHAR) AS ip_id, substr(c_mktsegment, 1, 3) AS member
 FROM customer WHERE c_custkey % 13 <> 0 AND c_custkey % 17 <> 0 AND c_custkey % 19 <> 0"""
 
 
+def _files(spark, lines: DataFrame, encoding: str | None = None) -> str:
+    """Lines written as text files under the shared folder."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/ingest/{uuid.uuid4().hex}"
+    if encoding is None:
+        lines.write.text(path)
+    else:
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+        lines.write.option("encoding", encoding).option("sep", "\u0001").option("quote", "\u0000").option(
+            "escapeQuotes", False).option("ignoreLeadingWhiteSpace", False).option(
+            "ignoreTrailingWhiteSpace", False).csv(path)
+    return path
+
+
 @op("ingest_csv_strict", MEMBER_CSV_SQL)
 @raw
 def ingest_csv_strict(spark, sf_dir):
     """Exact arity, required cells, strict types."""
-    return csvfeeds.parse_lines(_member_lines(_table(spark, sf_dir, "customer")), "member_d")
+    return csvfeeds.read_feed(spark, "member_d", _files(spark, _member_lines(_table(spark, sf_dir, "customer"))))
 
 
 @op("ingest_header_drop", MEMBER_CSV_SQL)
 @raw
 def ingest_header_drop(spark, sf_dir):
-    """The header line is dropped by equality, so data rows holding the
-    header token (MEMBER) survive."""
-    lines = _member_lines(_table(spark, sf_dir, "customer"))
+    """The header line is dropped by equality, in whichever file it is,
+    so data rows holding the header token (MEMBER) and first lines of files
+    without a header survive."""
+    lines = _member_lines(_table(spark, sf_dir, "customer")).repartition(3)
     lines = spark.range(1).select(F.lit(HEADER).alias("value")).unionByName(lines)
-    return csvfeeds.parse_lines(lines, "member_d", header_line=HEADER)
+    return csvfeeds.read_feed(spark, "member_d", _files(spark, lines), header=HEADER)
 
 
 @op("ingest_gbk", MEMBER_CSV_SQL)
 @raw
 def ingest_gbk(spark, sf_dir):
-    """S3: lines stored as GBK bytes, decoded JVM-side, then parsed."""
-    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    """S3: files in GBK, decoded by the reader."""
     lines = _member_lines(_table(spark, sf_dir, "customer"))
-    gbk = lines.select(F.encode("value", "GBK").alias("b"))
-    return csvfeeds.parse_lines(gbk.select(F.decode("b", "GBK").alias("value")), "member_d")
+    return csvfeeds.read_feed(spark, "member_d", _files(spark, lines, "GBK"), encoding="GBK")
 
 
 # ----------------------------------------------------------------- K1, K2, P1, P2
@@ -131,11 +147,6 @@ def sink_report(spark, sf_dir):
     """K1: the flagship table written through the report sink (parquet,
     partitioned by deal date, dynamic overwrite) under the shared folder,
     then read back."""
-    import uuid
-
-    from bondmart.session import checkpoint_dir
-    from bondmart.sources.sinks import write_report
-
     f = feeds_for(spark, sf_dir)
     path = f"{checkpoint_dir(spark).rstrip('/')}/sink-report/{uuid.uuid4().hex}"
     write_report(RR.member_price_deal_info(f), path)
@@ -144,16 +155,26 @@ def sink_report(spark, sf_dir):
 
 
 @op("sink_upsert_merge", O.Q["member_price_deal_info"])
-def sink_upsert_merge(f):
-    """K2: three column-group writes of one table merged by key."""
-    full = RR.member_price_deal_info(f)
+@raw
+def sink_upsert_merge(spark, sf_dir):
+    """K2: column groups of one table upserted into a stored table. The
+    first load holds one side of the keys and wrong sums, which the later
+    loads complete and correct."""
+    f = feeds_for(spark, sf_dir)
+    full = snapshot(RR.member_price_deal_info(f), "member_price")
     keys = ["unq_id_in_src_sys", "join_type", "pd_cd", "deal_dt"]
     repo = full.filter(F.col("repo_sum_amount").isNotNull()).select(
         *keys, "repo_weighted_price", "repo_sum_amount")
     rvrse = full.filter(F.col("rvrse_sum_amount").isNotNull()).select(
         *keys, "rvrse_weighted_price", "rvrse_sum_amount")
-    spread = full.filter(F.col("total_amount").isNotNull()).select(*keys, "price_difference", "total_amount")
-    return merge_column_groups([repo, rvrse, spread], keys)
+    both = full.filter(F.col("repo_sum_amount").isNotNull()).select(
+        *repo.columns, "price_difference", "total_amount")
+    path = f"{checkpoint_dir(spark).rstrip('/')}/sink-upsert/{uuid.uuid4().hex}"
+    wrong = repo.withColumn("repo_sum_amount", (F.col("repo_sum_amount") + 1).cast(
+        full.schema["repo_sum_amount"].dataType))
+    for group in (wrong, rvrse, both):
+        upsert(group, path, keys)
+    return spark.read.option("mergeSchema", True).parquet(path).select(*full.columns)
 
 
 @op("sides_unpivot", "SELECT side, member, counter, ev_id, trade_amnt FROM rs_deal")
@@ -353,7 +374,7 @@ def interbank_flag(f):
 
 
 @op("effective_dated_member", """SELECT bond_deal_id, buy_ip_id, sell_ip_id, deal_strategy, deal_nmbr, deal_dt,
-    bond_type4, crncy, dirty_amnt, face_value, yrs_to_mrty, bond_id, bond_type8, mrty_bucket FROM c_cash d
+    bond_type4, crncy, trade_amnt, dirty_amnt, face_value, yrs_to_mrty, bond_id, bond_type8, mrty_bucket FROM c_cash d
     WHERE EXISTS (SELECT 1 FROM f_member m WHERE m.ip_id = d.buy_ip_id
             AND d.deal_dt > m.efctv_from_dt AND d.deal_dt < m.efctv_to_dt)
         AND EXISTS (SELECT 1 FROM f_member m WHERE m.ip_id = d.sell_ip_id
@@ -613,3 +634,12 @@ def distinct_projection(f):
     return CR._deals_with_cats(f).select("buy_cat", "sell_cat", "deal_nmbr", "dirty_amnt", "bond_type4",
                                          "deal_dt", "deal_strategy").dropDuplicates()
 
+
+@op("fact_repo_deal_all_markets", """SELECT d.ev_id, r.unq_id AS repo_unq_id, v.unq_id AS rvrse_unq_id, d.pd_id,
+    d.deal_nmbr, d.st, d.deal_dt, d.repo_rate, d.trade_amnt
+    FROM f_repo d JOIN c_member r ON d.repo_ip_id = r.ip_id JOIN c_member v ON d.rvrse_ip_id = v.ip_id
+    WHERE d.st <> '2'""")
+def fact_repo_deal_all_markets(f):
+    """The repo fact with its market parameter open: deals of all markets,
+    failed settlements included."""
+    return B.fact_repo_deal(f, market=None, drop_failed=False)

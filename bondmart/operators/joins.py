@@ -49,14 +49,16 @@ def small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
 
 
 def dedupe_latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """One row per key: the one with the greatest ``order`` tuple.
+    """One row per key: the one with the greatest ``order`` tuple, ties
+    decided by the other columns in their order.
 
     Stands in for the last-one-wins of a driver-side map build, but
     deterministic. A grouped aggregate (partial + final), not a window, so a
     hot key is combined map-side.
     """
     rest = [c for c in df.columns if c not in keys]
-    best = F.max_by(F.struct(*[F.col(c) for c in rest]), F.struct(*[F.col(c) for c in order]))
+    best = F.max_by(F.struct(*[F.col(c) for c in rest]), F.struct(*[F.col(c) for c in order],
+                                                                     *[F.col(c) for c in rest if c not in order]))
     return df.groupBy(*keys).agg(best.alias("_b")).select(*keys, *[F.col(f"_b.{c}") for c in rest])
 
 
@@ -69,7 +71,7 @@ def rating_as_of(keys: DataFrame, ratings: DataFrame) -> DataFrame:
     """Rating of each (bond_id, deal_dt) whose interval holds the date.
 
     ``ratings`` has (bond_id, rtng_start_dt, rtng_end_dt, rtng_rank) with one
-    row per interval (see dims.rating). Both ends are inclusive. Overlapping
+    row per interval (see plans.base.dim_rating). Both ends are inclusive. Overlapping
     intervals: latest start wins, then earliest end, then the lower rating.
     Returns (bond_id, deal_dt, rtng_rank) for keys with a hit only; callers
     left-join it and default to the lowest bucket.

@@ -2,7 +2,7 @@
 
 An independent restatement in plain SQL of (1) the driver-table -> feed
 mapping of ``sources.testviews`` and (2) the cleaning and report semantics
-of ``plans``. Tables ``customer part orders lineitem`` are the pre-registered
+of ``plans``. Tables ``customer supplier part orders lineitem`` are the pre-registered
 driver views. Formulation differs on purpose from the DataFrame plans
 (GROUPING SETS instead of a fan-out, NOT IN / IN instead of anti/semi
 joins, window ranking instead of max_by), so agreement is evidence.
@@ -10,8 +10,6 @@ joins, window ranking instead of max_by), so agreement is evidence.
 
 from __future__ import annotations
 
-from bondmart import labels as L
-
 
 def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
@@ -35,22 +33,22 @@ def sset(e: str, sep: str, filt: str | None = None) -> str:
     return f"string_agg(DISTINCT {e}, {_q(sep)} ORDER BY {e}){f}"
 
 
-RANK = (f"CASE WHEN rtng_raw IN {_in(L.RATING_AAA_SPELLINGS)} THEN 2 "
-        f"WHEN rtng_raw IN {_in(L.RATING_AA_PLUS_SPELLINGS)} THEN 1 ELSE 0 END")
+# fixed values: labels, written out here so that a wrong label of the library shows
+RANK = "CASE WHEN rtng_raw IN ('AAA') THEN 2 WHEN rtng_raw IN ('AA+', 'A-1+', 'AA＋') THEN 1 ELSE 0 END"
 
 
 def rank_label(e: str) -> str:
-    return (f"(CASE {e} WHEN 2 THEN {_q(L.RATING_AAA)} WHEN 1 THEN {_q(L.RATING_AA_PLUS)} "
-            f"ELSE {_q(L.RATING_LOW)} END)")
+    return f"(CASE {e} WHEN 2 THEN 'AAA' WHEN 1 THEN 'AA+' ELSE 'AA及以下' END)"
 
 
-BOND8 = "CASE bond_ctgry_nm " + " ".join(
-    f"WHEN {_q(a)} THEN {_q(b)}" for a, b in L.BOND8_MAP) + f" ELSE {_q(L.BOND_OTHER)} END"
-BUCKET = "CASE " + " ".join(
-    f"WHEN yrs_to_mrty > {lo} THEN {_q(lbl)}" for lo, lbl in L.MATURITY_BUCKETS
-) + f" ELSE {_q(L.MATURITY_LOWEST)} END"
-CAT4 = (f"CASE WHEN bond_prnt_tp_nm IN {_in(L.BOND4_KEPT)} THEN bond_prnt_tp_nm "
-        f"ELSE {_q(L.BOND_OTHER)} END")
+BOND8 = """CASE bond_ctgry_nm WHEN '国债' THEN '国债' WHEN '同业存单' THEN '同业存单'
+    WHEN '政策性金融债' THEN '政策性金融债' WHEN '地方政府债' THEN '地方政府债'
+    WHEN '超短期融资券' THEN '短期融资券（包含超短融）' WHEN '短期融资券' THEN '短期融资券（包含超短融）'
+    WHEN '中期票据' THEN '中期票据' WHEN '企业债' THEN '企业债' ELSE '其他' END"""
+BUCKET = """CASE WHEN yrs_to_mrty > 10 THEN '十年以上' WHEN yrs_to_mrty > 7 THEN '七年至十年'
+    WHEN yrs_to_mrty > 5 THEN '五年至七年' WHEN yrs_to_mrty > 3 THEN '三年至五年'
+    WHEN yrs_to_mrty > 1 THEN '一年至三年' ELSE '一年及以下' END"""
+CAT4 = """(CASE WHEN bond_prnt_tp_nm IN ('利率债', '同业存单', '信用债') THEN bond_prnt_tp_nm ELSE '其他' END)"""
 
 
 # --------------------------------------------------------------- feeds + base
@@ -66,55 +64,64 @@ f_mct AS (
 f_mcd AS (SELECT substr(seg, 1, 3) AS member_ctgry_id, seg AS ctgry_type_nm FROM f_segs),
 f_aht AS (SELECT seg || '（y）' AS show_name_raw, substr(seg, 1, 3) AS member_ctgry_id
     FROM f_segs WHERE seg <> 'FURNITURE'),
+f_org AS (
+    SELECT 'C' AS pre, c_custkey AS k, c_name AS name, c_mktsegment AS seg, c_nationkey AS nation FROM customer
+    UNION ALL
+    SELECT 'S', s_suppkey, s_name,
+        (['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY'])[s_suppkey % 5 + 1], s_nationkey
+    FROM supplier),
 f_member AS (
-    SELECT CAST(c_custkey AS VARCHAR) AS ip_id, substr(c_mktsegment, 1, 3) AS member_ctgry_id,
-        'M' || CAST(c_custkey AS VARCHAR) AS member_cd,
-        c_name || CASE WHEN c_nationkey < 5 THEN '货币市场基金' ELSE '' END AS full_nm,
-        'M' || CAST(c_custkey - c_custkey % 10 AS VARCHAR) AS rt_member_cd,
+    SELECT pre || CAST(k AS VARCHAR) AS ip_id, substr(seg, 1, 3) AS member_ctgry_id,
+        'M' || pre || CAST(k AS VARCHAR) AS member_cd,
+        name || CASE WHEN nation < 5 THEN '货币市场基金' ELSE '' END AS full_nm,
+        'M' || pre || CAST(k - k % 10 AS VARCHAR) AS rt_member_cd,
         'root' AS rt_member_full_nm, DATE '1990-01-01' AS efctv_from_dt,
-        DATE '9999-12-31' AS efctv_to_dt, CAST(c_custkey AS VARCHAR) AS unq_id
-    FROM customer WHERE c_custkey < 100 AND c_custkey % 50 <> 49
+        DATE '9999-12-31' AS efctv_to_dt, pre || CAST(k AS VARCHAR) AS unq_id
+    FROM f_org WHERE k % 50 <> 49
     UNION ALL
-    SELECT CAST(c_custkey AS VARCHAR), 'HOU', 'M' || CAST(c_custkey AS VARCHAR),
-        c_name || CASE WHEN c_nationkey < 5 THEN '货币市场基金' ELSE '' END,
-        'M' || CAST(c_custkey - c_custkey % 10 AS VARCHAR), 'root', DATE '1980-01-01', DATE '1989-12-31',
-        CAST(c_custkey AS VARCHAR)
-    FROM customer WHERE c_custkey < 100 AND c_custkey % 50 <> 49 AND c_custkey % 10 = 9),
+    SELECT pre || CAST(k AS VARCHAR), 'HOU', 'M' || pre || CAST(k AS VARCHAR),
+        name || CASE WHEN nation < 5 THEN '货币市场基金' ELSE '' END,
+        'M' || pre || CAST(k - k % 10 AS VARCHAR), 'root', DATE '1980-01-01', DATE '1989-12-31',
+        pre || CAST(k AS VARCHAR)
+    FROM f_org WHERE k % 50 <> 49 AND k % 10 = 9),
 f_rltp AS (SELECT * FROM (VALUES ('1', 'T1', '9999-12-31 00:00:00'), ('2', 'T2', '9999-12-31 00:00:00'),
     ('1', 'T3', '2019-12-31 00:00:00')) t(rl_kind, rl_tp_id, valid_to)),
 f_orgrl AS (
-    SELECT CASE WHEN c_custkey % 10 = 7 THEN 'T2' ELSE 'T1' END AS rl_tp_id,
-        CAST(c_custkey AS VARCHAR) AS slv_unq_id,
-        CAST(c_custkey - c_custkey % 10 AS VARCHAR) AS mstr_unq_id,
-        CASE WHEN c_custkey % 10 = 8 THEN 'D' ELSE 'C' END AS rl_status,
+    SELECT CASE WHEN k % 10 = 7 THEN 'T2' ELSE 'T1' END AS rl_tp_id,
+        pre || CAST(k AS VARCHAR) AS slv_unq_id,
+        pre || CAST(k - k % 10 AS VARCHAR) AS mstr_unq_id,
+        CASE WHEN k % 10 = 8 THEN 'D' ELSE 'C' END AS rl_status,
         '9999-12-31 00:00:00' AS valid_to
-    FROM customer WHERE c_custkey < 100 AND c_custkey % 10 BETWEEN 1 AND 8),
+    FROM f_org WHERE k % 10 BETWEEN 1 AND 8),
+f_side AS (SELECT * FROM (VALUES (false, ''), (true, 'M')) t(mirror, mark)),
 f_rmv AS (
     SELECT CASE WHEN o_orderkey % 97 = 0 OR o_orderkey % 89 = 0 THEN '2' ELSE '1' END AS rmv_kind,
         '1' AS rmv_reason, CASE WHEN o_orderkey % 97 = 0 THEN '109' ELSE '110' END AS mkt_id,
         CAST(o_orderkey AS VARCHAR) AS deal_suffix
     FROM orders WHERE o_orderkey % 97 = 0 OR o_orderkey % 89 = 0 OR o_orderkey % 83 = 0),
 f_repo AS (
-    SELECT '11002' || CAST(o.o_orderkey AS VARCHAR) AS ev_id,
-        CAST(o.o_custkey % 100 AS VARCHAR) AS repo_ip_id,
-        CAST(l.min_supp % 100 AS VARCHAR) AS rvrse_ip_id,
-        o.o_orderpriority AS pd_id, CAST(o.o_orderkey AS VARCHAR) AS deal_nmbr,
+    SELECT '11002' || m.mark || CAST(o.o_orderkey AS VARCHAR) AS ev_id,
+        CASE WHEN (o.o_orderkey % 2 = 1) <> m.mirror THEN 'S' || CAST(l.min_supp AS VARCHAR)
+            ELSE 'C' || CAST(o.o_custkey AS VARCHAR) END AS repo_ip_id,
+        CASE WHEN (o.o_orderkey % 2 = 1) <> m.mirror THEN 'C' || CAST(o.o_custkey AS VARCHAR)
+            ELSE 'S' || CAST(l.min_supp AS VARCHAR) END AS rvrse_ip_id,
+        o.o_orderpriority AS pd_id, m.mark || CAST(o.o_orderkey AS VARCHAR) AS deal_nmbr,
         CASE WHEN o.o_orderstatus = 'P' THEN '2' ELSE '1' END AS st,
-        CAST(date_trunc('month', o.o_orderdate) AS DATE) AS deal_dt,
+        CAST(o.o_orderdate AS DATE) AS deal_dt,
         CAST(CAST(o.o_orderkey % 400 + 100 AS DOUBLE) / 100 AS DECIMAL(18,6)) AS repo_rate,
         CAST(o.o_totalprice AS DECIMAL(18,2)) AS trade_amnt,
         CASE WHEN o.o_orderkey % 29 = 0 THEN '110' ELSE '109' END AS mkt_id
     FROM orders o JOIN (SELECT l_orderkey, min(l_suppkey) AS min_supp FROM lineitem GROUP BY l_orderkey) l
-        ON o.o_orderkey = l.l_orderkey),
+        ON o.o_orderkey = l.l_orderkey JOIN f_side m ON NOT m.mirror OR o.o_orderkey % 5 = 0),
 f_dep AS (
     SELECT CAST(o_orderkey AS VARCHAR) AS deal_nmbr,
         CASE WHEN o_orderkey % 3 = 0 THEN '1' ELSE '0' END AS dep_flag
     FROM orders WHERE o_orderkey % 3 <> 2),
 f_cltrl AS (
-    SELECT CAST(l_partkey % 200 AS VARCHAR) AS bond_id, '11002' || CAST(l_orderkey AS VARCHAR) AS ev_id,
+    SELECT CAST(l_partkey AS VARCHAR) AS bond_id, '11002' || m.mark || CAST(l_orderkey AS VARCHAR) AS ev_id,
         CAST(1 - l_discount AS DECIMAL(9,6)) AS cnvrsn_prprtn,
         CAST(l_quantity AS DECIMAL(18,2)) AS face_value
-    FROM lineitem),
+    FROM lineitem JOIN f_side m ON NOT m.mirror OR l_orderkey % 5 = 0),
 f_bond AS (
     SELECT CAST(p_partkey AS VARCHAR) AS bond_id,
         (['国债', '同业存单', '政策性金融债', '地方政府债', '超短期融资券', '短期融资券', '中期票据', '企业债',
@@ -125,33 +132,40 @@ f_bond AS (
             THEN strftime(DATE '1994-01-01' + CAST(p_partkey AS INTEGER), '%Y-%m-%d') END AS lstng_dt,
         CASE WHEN p_type IN ('ECONOMY', 'SMALL') THEN '利率债' WHEN p_type = 'MEDIUM' THEN '同业存单'
             WHEN p_type IN ('PROMO', 'STANDARD') THEN '信用债' ELSE '其他' END AS bond_prnt_tp_nm
-    FROM part WHERE p_partkey < 200 AND p_partkey % 50 <> 49),
+    FROM part WHERE p_partkey % 50 <> 49),
 f_rtng AS (
     SELECT CAST(p_partkey AS VARCHAR) AS bond_id,
         CASE (p_size + 0) % 3 WHEN 0 THEN 'AAA'
             WHEN 1 THEN CASE WHEN p_partkey % 2 = 0 THEN 'AA＋' ELSE 'A-1+' END ELSE 'AA' END AS rtng_raw,
         DATE '1995-01-01' AS rtng_start_dt, DATE '1997-12-31' AS rtng_end_dt
-    FROM part WHERE p_partkey < 200 AND p_partkey % 5 <> 0
+    FROM part WHERE p_partkey % 5 <> 0
     UNION ALL
     SELECT CAST(p_partkey AS VARCHAR),
         CASE (p_size + 1) % 3 WHEN 0 THEN 'AAA'
             WHEN 1 THEN CASE WHEN p_partkey % 2 = 0 THEN 'AA＋' ELSE 'A-1+' END ELSE 'AA' END,
         DATE '1998-01-01', DATE '2001-12-31'
-    FROM part WHERE p_partkey < 200 AND p_partkey % 5 <> 0
+    FROM part WHERE p_partkey % 5 <> 0
     UNION ALL
     SELECT CAST(p_partkey AS VARCHAR), 'BBB', DATE '1995-01-01', DATE '1997-12-31'
-    FROM part WHERE p_partkey < 200 AND p_partkey % 5 <> 0 AND p_partkey % 7 = 0),
+    FROM part WHERE p_partkey % 5 <> 0 AND p_partkey % 7 = 0),
 f_cash AS (
-    SELECT CAST(l.l_orderkey AS VARCHAR) AS bond_deal_id, CAST(o.o_custkey % 100 AS VARCHAR) AS buy_ip_id,
-        CAST(l.l_suppkey % 100 AS VARCHAR) AS sell_ip_id, CAST(l.l_orderkey AS VARCHAR) AS deal_nmbr,
-        CAST(date_trunc('month', l.l_shipdate) AS DATE) AS deal_dt,
+    SELECT m.mark || CAST(l.l_orderkey AS VARCHAR) AS bond_deal_id,
+        CASE WHEN (l.l_orderkey % 2 = 1) <> m.mirror THEN 'S' || CAST(l.l_suppkey AS VARCHAR)
+            ELSE 'C' || CAST(o.o_custkey AS VARCHAR) END AS buy_ip_id,
+        CASE WHEN (l.l_orderkey % 2 = 1) <> m.mirror THEN 'C' || CAST(o.o_custkey AS VARCHAR)
+            ELSE 'S' || CAST(l.l_suppkey AS VARCHAR) END AS sell_ip_id,
+        m.mark || CAST(l.l_orderkey AS VARCHAR) AS deal_nmbr,
+        CAST(l.l_shipdate AS DATE) AS deal_dt,
         CASE WHEN l.l_linestatus = 'F' AND l.l_returnflag = 'R' THEN '2' ELSE '1' END AS st,
-        CAST(l.l_partkey % 200 AS VARCHAR) AS bond_id,
+        CAST(l.l_partkey AS VARCHAR) AS bond_id,
         CASE WHEN l.l_linenumber % 7 = 0 THEN 'USD' WHEN l.l_linenumber % 7 = 1 THEN ' - ' ELSE 'CNY' END AS crncy,
+        CAST(CAST(l.l_extendedprice AS DECIMAL(18,2)) * (CAST(1 AS DECIMAL(3,2)) - CAST(l.l_discount AS DECIMAL(9,2)))
+            AS DECIMAL(18,2)) AS trade_amnt,
         CAST(l.l_extendedprice AS DECIMAL(18,2)) AS dirty_amnt,
         CAST(l.l_quantity AS DECIMAL(18,2)) AS face_value,
         CAST(CAST(l.l_partkey % 130 AS DOUBLE) / 10 AS DECIMAL(18,6)) AS yrs_to_mrty
-    FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+    FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+        JOIN f_side m ON NOT m.mirror OR l.l_orderkey % 5 = 0),
 f_match AS (
     SELECT CAST(o_orderkey AS VARCHAR) AS deal_nmbr,
         CASE o_orderkey % 4 WHEN 0 THEN '0' WHEN 1 THEN '4' ELSE '1' END AS match_status
@@ -159,7 +173,7 @@ f_match AS (
 
 BASE = f"""
 c_mct AS (SELECT ctgry_type_nm, max({strip_paren('show_name_raw')}) AS ins_show_name
-    FROM f_mct WHERE market = {_q(L.PLEDGED_REPO_MARKET)} GROUP BY ctgry_type_nm),
+    FROM f_mct WHERE market = '质押式回购' GROUP BY ctgry_type_nm),
 c_repo_ctgry AS (SELECT d.member_ctgry_id, max(m.ins_show_name) AS ins_show_name
     FROM f_mcd d JOIN c_mct m ON d.ctgry_type_nm = m.ctgry_type_nm GROUP BY d.member_ctgry_id),
 c_aht AS (SELECT member_ctgry_id, max({strip_paren('show_name_raw')}) AS bond_after_show_name
@@ -167,7 +181,8 @@ c_aht AS (SELECT member_ctgry_id, max({strip_paren('show_name_raw')}) AS bond_af
 c_member AS (
     SELECT ip_id, unq_id, member_ctgry_id, full_nm, ins_show_name, bond_after_show_name FROM (
         SELECT m.ip_id, m.unq_id, m.member_ctgry_id, m.full_nm, c.ins_show_name, a.bond_after_show_name,
-            row_number() OVER (PARTITION BY m.ip_id ORDER BY m.efctv_from_dt DESC, m.unq_id DESC) AS rn
+            row_number() OVER (PARTITION BY m.ip_id ORDER BY m.efctv_from_dt DESC, m.unq_id DESC,
+                m.member_ctgry_id DESC, m.full_nm DESC, c.ins_show_name DESC, a.bond_after_show_name DESC) AS rn
         FROM f_member m JOIN c_repo_ctgry c ON m.member_ctgry_id = c.member_ctgry_id
             JOIN c_aht a ON m.member_ctgry_id = a.member_ctgry_id
         WHERE m.efctv_to_dt = DATE '9999-12-31' AND coalesce(m.rt_member_cd, '') <> ''
@@ -189,7 +204,7 @@ c_deal AS (
 c_priced AS (
     SELECT d.*, p.pd_cd FROM c_deal d
         JOIN (SELECT pd_id, max(pd_cd) AS pd_cd FROM f_pd_d GROUP BY pd_id) p ON d.pd_id = p.pd_id
-    WHERE p.pd_cd IN {_in(L.REPORTED_PRODUCTS)}),
+    WHERE p.pd_cd IN ('R001', 'R007', 'R014')),
 c_bond4 AS (
     SELECT bond_id, bond_ctgry_nm, issr_id FROM (
         SELECT bond_id, {CAT4} AS bond_ctgry_nm,
@@ -217,7 +232,8 @@ c_coll_rank AS (
 c_member_cash AS (
     SELECT ip_id, unq_id, ins_show_name FROM (
         SELECT m.ip_id, m.unq_id, coalesce(a.bond_after_show_name, 'None') AS ins_show_name,
-            row_number() OVER (PARTITION BY m.ip_id ORDER BY m.efctv_from_dt DESC, m.unq_id DESC) AS rn
+            row_number() OVER (PARTITION BY m.ip_id ORDER BY m.efctv_from_dt DESC, m.unq_id DESC,
+                coalesce(a.bond_after_show_name, 'None') DESC) AS rn
         FROM f_member m LEFT JOIN c_aht a ON m.member_ctgry_id = a.member_ctgry_id
         WHERE m.efctv_to_dt = DATE '9999-12-31') t WHERE rn = 1),
 c_bond4c AS (
@@ -230,7 +246,7 @@ c_bond8 AS (
     WHERE coalesce(bond_id, '') <> '' AND coalesce(bond_ctgry_nm, '') <> '' AND coalesce(issr_id, '') <> ''
         AND coalesce(bond_nm, '') <> ''),
 c_cash AS (
-    SELECT d.bond_deal_id, d.buy_ip_id, d.sell_ip_id, d.deal_nmbr, d.deal_dt, d.bond_id, d.dirty_amnt,
+    SELECT d.bond_deal_id, d.buy_ip_id, d.sell_ip_id, d.deal_nmbr, d.deal_dt, d.bond_id, d.trade_amnt, d.dirty_amnt,
         d.face_value, d.yrs_to_mrty, trim(d.crncy) AS crncy,
         CASE WHEN s.match_status IS NULL OR s.match_status = '' OR s.match_status IN ('0', '4')
             THEN '正常' ELSE '策略性交易' END AS deal_strategy,
@@ -316,7 +332,7 @@ Q["fact_repo_deal"] = "SELECT * FROM c_deal"
 Q["fact_repo_deal_priced"] = "SELECT * FROM c_priced"
 Q["fact_repo_collateral"] = "SELECT * FROM c_coll"
 Q["fact_cash_deal"] = ("SELECT bond_deal_id, buy_ip_id, sell_ip_id, deal_strategy, deal_nmbr, deal_dt, bond_type4, "
-                       "crncy, dirty_amnt, face_value, yrs_to_mrty, bond_id, bond_type8, mrty_bucket FROM c_cash")
+                       "crncy, trade_amnt, dirty_amnt, face_value, yrs_to_mrty, bond_id, bond_type8, mrty_bucket FROM c_cash")
 
 # repo reports
 Q["member_sketch_info"] = ("SELECT unq_id AS unq_id_in_src_sys, full_nm, ins_show_name, bond_after_show_name "

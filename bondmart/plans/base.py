@@ -220,18 +220,20 @@ def interbank_deals(f: Feeds) -> DataFrame:
 
 
 @per_feeds
-def fact_repo_deal(f: Feeds, members: DataFrame | None = None) -> DataFrame:
-    """Cleaned pledged-repo deals (W2, W3, J3, W9 + party lookup).
+def fact_repo_deal(f: Feeds, members: DataFrame | None = None, market: str | None = L.PLEDGED_REPO_MKT_ID,
+                   drop_failed: bool = True) -> DataFrame:
+    """Cleaned repo deals (W2, W3, J3, W9 + party lookup). ``market``: the
+    market id kept (None: all); ``drop_failed``: without failed settlements.
 
     (ev_id, repo_unq_id, rvrse_unq_id, pd_id, deal_nmbr, st, deal_dt,
     repo_rate, trade_amnt)
     """
     members = dim_member(f) if members is None else members
-    d = f.bond_repo_deal_f.filter(
-        (F.col("mkt_id") == L.PLEDGED_REPO_MKT_ID) & (F.col("st") != L.CANCELLED_STATUS)
-    )
-    # failed settlements are few; AQE broadcasts them when they are
-    d = d.join(failed_repo_events(f), "ev_id", "left_anti")
+    d = f.bond_repo_deal_f.filter(F.col("st") != L.CANCELLED_STATUS)
+    if market is not None:
+        d = d.filter(F.col("mkt_id") == market)
+    if drop_failed:  # failed settlements are few; AQE broadcasts them when they are
+        d = d.join(failed_repo_events(f), "ev_id", "left_anti")
     ids = members.select("ip_id", "unq_id")
     d = d.join(small(ids.select(F.col("ip_id").alias("repo_ip_id"), F.col("unq_id").alias("repo_unq_id"))),
                "repo_ip_id", "inner")

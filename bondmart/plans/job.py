@@ -7,25 +7,32 @@ table — column-pruned, with its deal-date partitions — instead of redoing
 the cleaning joins per report. The written tables also cut lineage, so a
 lost executor late in the run costs a re-read, not a recomputation from the
 raw feeds. Dimensions are already snapshotted per feed set
-(``feeds.dimension``).
+(``feeds.dimension``). A run over some ``days`` reads only those days' deals
+and rewrites only their partitions. The run also writes a ``data_quality``
+table: unmatched lookups, sizes of the facts (observed while they are
+written) and rejected feed lines. Facts and snapshots are removed at the end
+of a successful run and kept after a failure.
 
-CLI: ``python -m bondmart.plans.job <feed-root-or-sf_dir> <out_root> [--csv]``
+CLI: ``python -m bondmart.plans.job <feed-root-or-sf_dir> <out_root> [--csv] [--day=yyyy-mm-dd ...]``
 """
 
 from __future__ import annotations
 
+import datetime
 import sys
 import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from bondmart.plans import base as B
 from bondmart.plans import cash_reports, repo_reports
+from bondmart.plans.quality import dq_unmatched
 from bondmart.session import checkpoint_dir
 from bondmart.sources.feeds import Feeds
-from bondmart.sources.sinks import write_report
+from bondmart.sources.sinks import remove, write_report
 
 FACTS = ("fact_repo_deal", "fact_repo_collateral", "fact_cash_deal")
 REPORTS = {**repo_reports.REPORTS, **cash_reports.REPORTS}
@@ -55,32 +62,69 @@ def build_dimensions(f: Feeds, workers: int = 4) -> None:
 
 
 def materialize_facts(spark: SparkSession, f: Feeds, run_id: str | None = None,
-                      workers: int = 2) -> dict[str, str]:
-    """Write the shared facts once and make the feed set use the copies."""
+                      workers: int = 2) -> dict[str, int]:
+    """Write the shared facts once, make the feed set use the copies, and
+    return their sizes (A11, observed by the writes)."""
     root = checkpoint_dir(spark).rstrip("/") + f"/facts-{run_id or uuid.uuid4().hex}"
-    paths = {}
+    sizes = {}
     memo = f.__dict__.setdefault("_memo", {})
 
     def one(name: str) -> None:
-        path = f"{root}/{name}"
-        write_report(getattr(B, name)(f), path)
-        memo[name] = spark.read.parquet(path)
-        paths[name] = path
+        path, df, size = f"{root}/{name}", getattr(B, name)(f), Observation()
+        write_report(df.observe(size, F.count(F.lit(1)).alias("n")), path)
+        copy = spark.read.schema(df.schema).parquet(path)  # an empty fact has no file to take a schema from
+        copy._bm_path = path
+        memo[name] = copy
+        sizes[name] = size.get["n"]
 
     _waves(FACT_WAVES, one, workers)
-    return paths
+    return sizes
 
 
-def run(spark: SparkSession, f: Feeds, out_root: str, names=None, materialize: bool = True) -> dict:
-    """Write the report tables; returns {name: seconds}."""
+def of_days(f: Feeds, days) -> Feeds:
+    """Feeds whose deals are those of some days, pushed to the deal scans."""
+    return f.derive(bond_deal=f.bond_deal.filter(F.col("deal_dt").isin(list(days))),
+                    bond_repo_deal_f=f.bond_repo_deal_f.filter(F.col("deal_dt").isin(list(days))))
+
+
+def data_quality(spark: SparkSession, f: Feeds, sizes: dict[str, int], rejects: DataFrame | None) -> DataFrame:
+    """(check, n): unmatched lookups, fact sizes and rejected lines by feed."""
+    out = dq_unmatched(f)
+    if sizes:
+        rows = [F.struct(F.lit(f"rows:{k}").alias("check"), F.lit(n).cast("long").alias("n")) for k, n in sizes.items()]
+        out = out.unionByName(spark.range(1).select(F.inline(F.array(*rows))))
+    if rejects is not None:
+        out = out.unionByName(rejects.groupBy("feed").agg(F.count(F.lit(1)).alias("n")).select(
+            F.concat(F.lit("rejected:"), "feed").alias("check"), "n"))
+    return out
+
+
+def clean_up(spark: SparkSession, *feeds: Feeds) -> None:
+    """Remove the written facts and snapshots of a run."""
+    for f in feeds:
+        for df in f.__dict__.pop("_memo", {}).values():
+            if path := getattr(df, "_bm_path", None):
+                remove(spark, path)
+
+
+def run(spark: SparkSession, f: Feeds, out_root: str, names=None, materialize: bool = True,
+        days: list[datetime.date] | None = None, rejects: DataFrame | None = None, workers: int = 4) -> dict:
+    """Write the report tables (of ``days``, if given) and the data-quality
+    table; returns {name: seconds}. Reports are independent and run side by side."""
     build_dimensions(f)
-    if materialize:
-        materialize_facts(spark, f)
-    times = {}
-    for name in names or REPORTS:
+    todays = f if days is None else of_days(f, days)
+    sizes = materialize_facts(spark, todays) if materialize else {}
+    out_root, times = out_root.rstrip("/"), {}
+
+    def one(name: str) -> None:
         t0 = time.perf_counter()
-        write_report(REPORTS[name](f), f"{out_root.rstrip('/')}/{name}")
+        df = data_quality(spark, todays, sizes, rejects) if name == "data_quality" else REPORTS[name](todays)
+        write_report(df, f"{out_root}/{name}", days=days)
         times[name] = round(time.perf_counter() - t0, 3)
+
+    with ThreadPoolExecutor(max_workers=workers) as ex:
+        list(ex.map(one, [*(names or REPORTS), "data_quality"]))
+    clean_up(spark, f, todays)
     return times
 
 
@@ -91,10 +135,11 @@ def main(argv: list[str]) -> None:  # pragma: no cover - CLI
     src, out = argv[0], argv[1]
     spark = get_session()
     if "--csv" in argv:
-        f = csvfeeds.load(spark, {n: f"{src}/{n}" for n in Feeds.names()}, header=True)
+        f, rejects = csvfeeds.load(spark, {n: f"{src}/{n}" for n in Feeds.names()})
     else:
-        f = testviews.load(spark, src)
-    print(run(spark, f, out))
+        f, rejects = testviews.load(spark, src), None
+    days = [datetime.date.fromisoformat(a[6:]) for a in argv if a.startswith("--day=")]
+    print(run(spark, f, out, days=days or None, rejects=rejects))
 
 
 if __name__ == "__main__":  # pragma: no cover

@@ -50,7 +50,9 @@ def snapshot(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/snapshots/{uuid.uuid4().hex}-{name}"
     df.hint("rebalance").write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._bm_path = path  # for the run that removes it
+    return out
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

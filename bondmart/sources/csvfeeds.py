@@ -11,8 +11,10 @@ line is checked and parsed JVM-side:
   over), decimals by ``try_cast``; a required cell that fails its type is a
   rejected line.
 
-Rejected lines are returned separately (``parse_lines(..., rejects=True)``)
-for the data-quality table instead of being silently lost.
+A line is dropped as a header only if it equals the feed's header text, so a
+dump of several parts, with a header in some of them or in none, loses no data
+row. ``load`` returns the rejected lines of all feeds with their feed name;
+the nightly job counts them in its data-quality table.
 """
 
 from __future__ import annotations
@@ -27,32 +29,32 @@ LINE = "value"
 
 
 def token_count(line: Column) -> Column:
-    """Fields in an RFC-4180 line: quoted sections cannot hold separators."""
-    unquoted = F.regexp_replace(line, r'"([^"]|"")*"', "q")
+    """Fields in an RFC-4180 line: quoted sections cannot hold separators. A
+    doubled quote is two adjacent sections, which hold the same commas. After
+    an unbalanced quote the rest of the line counts as unquoted."""
+    unquoted = F.regexp_replace(line, r'"[^"]*+"', "q")
     return F.size(F.split(unquoted, ",", -1))
 
 
-def read_lines(spark: SparkSession, path: str, encoding: str | None = None,
-               header: bool = False) -> DataFrame:
+def read_lines(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:
     """Lines of text files as column ``value``.
 
-    ``header=True`` drops the first line of every file (a real header, not a
-    substring test). ``encoding`` (e.g. GBK, S3) decodes the bytes with that
-    charset; Spark 4 needs ``spark.sql.legacy.javaCharsets`` for non-UTF
-    charsets, set here for the session.
+    ``encoding`` (e.g. GBK, S3) decodes the bytes with that charset; Spark 4
+    needs ``spark.sql.legacy.javaCharsets`` for non-UTF charsets, set here
+    for the session.
     """
-    utf8 = encoding is None or encoding.upper().replace("-", "") == "UTF8"
-    if utf8 and not header:
+    if encoding is None or encoding.upper().replace("-", "") == "UTF8":
         return spark.read.text(path)
-    if not utf8:
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    r = (spark.read.schema(f"{LINE} string")
-         .option("sep", "\u0001").option("quote", "\u0000").option("escape", "\u0000")
-         .option("header", header).option("ignoreLeadingWhiteSpace", False)
-         .option("ignoreTrailingWhiteSpace", False).option("nullValue", "\u0002"))
-    if not utf8:
-        r = r.option("encoding", encoding)
-    return r.csv(path)
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    return (spark.read.schema(f"{LINE} string").option("encoding", encoding)
+            .option("sep", "\u0001").option("quote", "\u0000").option("escape", "\u0000")
+            .option("header", False).option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False).option("nullValue", "\u0002").csv(path))
+
+
+def header_text(name: str) -> str:
+    """The header line of a feed without a text of its own: its column names."""
+    return ",".join(c for c, _ in LAYOUTS[name]["columns"])
 
 
 def _typed(raw: Column, typ: str) -> Column:
@@ -65,12 +67,13 @@ def _typed(raw: Column, typ: str) -> Column:
 
 def parse_lines(lines: DataFrame, name: str, line_col: str = LINE,
                 header_line: str | None = None, drop_containing: str | None = None,
-                rejects: bool = False):
+                rejects: bool = False, keep: tuple[str, ...] = ()):
     """Parse feed lines into the typed layout of ``name``.
 
-    ``header_line``: exact header text to drop (S2). ``drop_containing``:
+    ``header_line``: header text to drop (S2), compared without case. ``drop_containing``:
     opt-in reproduction of the original jobs' header test, which drops every
-    line containing the token (data rows included). Returns the typed
+    line containing the token (data rows included). ``keep``: columns of
+    ``lines`` carried along. Returns the typed
     DataFrame, or (typed, rejected lines) when ``rejects``.
     """
     layout = LAYOUTS[name]
@@ -79,41 +82,61 @@ def parse_lines(lines: DataFrame, name: str, line_col: str = LINE,
     req = layout.get("required")
     req = list(range(n)) if req is None else req
     line = F.col(line_col)
-    x = lines.select(line.alias(LINE)).filter(F.length(LINE) > 0)
+    x = lines.select(line.alias(LINE), *keep).filter(F.length(LINE) > 0)
     if header_line is not None:
-        x = x.filter(F.col(LINE) != header_line)
+        x = x.filter(F.lower(F.trim(LINE)) != header_line.strip().lower())
     if drop_containing:
         x = x.filter(~F.col(LINE).contains(drop_containing))
     schema = ", ".join(f"_{i} string" for i in range(n))
     p = x.select(
-        F.col(LINE), token_count(F.col(LINE)).alias("_n"),
-        F.from_csv(F.col(LINE), schema, {"mode": "PERMISSIVE"}).alias("_r"),
+        F.col(LINE), *keep, token_count(F.col(LINE)).alias("_n"),
+        # only lines of the right arity are parsed; quotes are doubled inside quotes
+        F.from_csv(F.when(token_count(F.col(LINE)) == n, F.col(LINE)), schema,
+                   {"mode": "PERMISSIVE", "escape": '"'}).alias("_r"),
     )
     typed = [_typed(F.col(f"_r._{i}"), t).alias(c) for i, (c, t) in enumerate(cols)]
-    p = p.select(F.col(LINE), "_n", *[F.col(f"_r._{i}").alias(f"_raw{i}") for i in range(n)], *typed)
+    p = p.select(F.col(LINE), *keep, "_n", *[F.col(f"_r._{i}").alias(f"_raw{i}") for i in range(n)], *typed)
     ok = F.col("_n") == n
     for i in req:
         c = cols[i][0]
         ok = ok & F.col(f"_raw{i}").isNotNull() & (F.col(f"_raw{i}") != "") & F.col(c).isNotNull()
-    good = p.filter(ok).select(*[c for c, _ in cols])
+    ok = F.coalesce(ok, F.lit(False))
+    good = p.filter(ok).select(*[c for c, _ in cols], *keep)
     if not rejects:
         return good
     return good, p.filter(~ok).select(LINE)
 
 
-def read_feed(spark: SparkSession, name: str, path: str, header: bool = False,
-              encoding: str | None = None, drop_containing: str | None = None) -> DataFrame:
-    """One feed file/folder -> typed DataFrame."""
-    return parse_lines(read_lines(spark, path, encoding, header), name,
-                       drop_containing=drop_containing)
-
-
-def load(spark: SparkSession, paths: dict[str, str], header: bool = False,
-         encoding: str | None = None) -> Feeds:
-    """All fifteen feeds from CSV dumps (``paths``: feed name -> path).
-
-    Derived flags the plans use are added here: none are needed, the typed
-    columns carry NULL for empty cells.
-    """
-    return Feeds(**{name: read_feed(spark, name, paths[name], header, encoding)
-                    for name in Feeds.names()})
+def read_feed(spark: SparkSession, name: str, path: str, header: str | None = None,
+              encoding: str | None = None, drop_containing: str | None = None, rejects: bool = False):
+    """One feed file/folder -> typed DataFrame (and rejected lines)."""
+    return parse_lines(read_lines(spark, path, encoding), name, header_line=header or header_text(name),
+                       drop_containing=drop_containing, rejects=rejects)
+
+
+def load(spark: SparkSession, paths: dict[str, str], headers: dict[str, str] | None = None,
+         encoding: str | None = None) -> tuple[Feeds, DataFrame]:
+    """All fifteen feeds from CSV dumps (``paths``: feed name -> path;
+    ``headers``: header text of feeds whose header isn't their column names),
+    and the rejected lines of all of them as (feed, line)."""
+    headers, feeds, rejected = headers or {}, {}, []
+    for name in Feeds.names():
+        feeds[name], bad = read_feed(spark, name, paths[name], headers.get(name), encoding, rejects=True)
+        rejected.append(bad.select(F.lit(name).alias("feed"), F.col(LINE).alias("line")))
+    out = rejected[0]
+    for r in rejected[1:]:
+        out = out.unionByName(r)
+    return Feeds(**feeds), out
+
+
+def dump(feeds: Feeds, root: str, header: bool = True) -> dict[str, str]:
+    """Write feeds as CSV dumps, one folder per feed; the paths for ``load``.
+    Columns of a layout that a feed lacks are written as ``x``."""
+    paths = {}
+    for name in Feeds.names():
+        df = getattr(feeds, name)
+        cols = [(F.col(c) if c in df.columns else F.lit("x")).cast("string").alias(c)
+                for c, _ in LAYOUTS[name]["columns"]]
+        paths[name] = f"{root.rstrip('/')}/{name}"
+        df.select(*cols).write.option("header", header).option("escape", '"').option("emptyValue", "").csv(paths[name])
+    return paths

@@ -8,7 +8,7 @@ tables mapped onto the feeds). Plans only ever see ``Feeds``.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from dataclasses import dataclass, fields, replace
 
 from pyspark.sql import DataFrame
 
@@ -31,7 +31,7 @@ LAYOUTS: dict[str, dict] = {
             ("efctv_to_dt", D), ("unq_id", S), ("c9", S),
         ],
         # the cash job lets the root code and name be empty; the repo job
-        # additionally requires them (dims.member_repo)
+        # additionally requires them (plans.base.dim_member)
         "required": [0, 1, 2, 3, 6, 7, 8, 9],
     },
     "mstr_slv_rl_tp_rl": {
@@ -62,7 +62,7 @@ LAYOUTS: dict[str, dict] = {
             ("c11", S), ("lstng_dt", S), ("bond_prnt_tp_nm", S),
         ],
         # nothing required at load; the 4-way dim needs every cell, the 8-way
-        # dim the first five (flags cells_complete / head_complete)
+        # dim the first five (plans.base.dim_bond4_cash, dim_bond8)
         "required": [],
     },
     "ri_credit_rtng": {
@@ -114,6 +114,18 @@ class Feeds:
     def names(cls) -> list[str]:
         return [f.name for f in fields(cls)]
 
+    def derive(self, **feeds: DataFrame) -> Feeds:
+        """These feeds with some fact feeds replaced; dimensions already
+        built are shared, derived facts are not."""
+        out = replace(self, **feeds)
+        memo = self.__dict__.get("_memo", {})
+        out.__dict__["_memo"] = {k: v for k, v in memo.items() if k in DIMENSIONS}
+        return out
+
+
+#: names of the tables built by ``dimension``
+DIMENSIONS: set[str] = set()
+
 
 def dimension(fn):
     """A bounded dimension derived from the feeds: memoized per feed set and
@@ -125,6 +137,7 @@ def dimension(fn):
 
     build.__name__ = fn.__name__
     build.__doc__ = fn.__doc__
+    DIMENSIONS.add(fn.__name__)
     return per_feeds(build)
 
 

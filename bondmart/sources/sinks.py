@@ -1,8 +1,9 @@
 """Report sinks (K1, K2).
 
 K1: each report table is one DataFrame written as parquet, partitioned by
-deal date, with dynamic partition overwrite: a rerun of some days replaces
-exactly those days' partitions and leaves the others alone.
+deal date. A run over all days replaces the whole table; a run over some days
+replaces exactly those days' partitions (dynamic partition overwrite), clears
+those of its days that came out empty, and leaves the others alone.
 
 K2: the original store merged several writes of different columns for the
 same keys (one write per side). ``merge_column_groups`` reproduces that
@@ -12,28 +13,67 @@ write that carried the column wins; columns no write carried stay NULL.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from bondmart.session import snapshot
+
 
 def write_report(df: DataFrame, path: str, partition_by: Sequence[str] = ("deal_dt",),
-                 fmt: str = "parquet") -> None:
-    """K1: write one report table, replacing only the partitions present.
+                 fmt: str = "parquet", days: Sequence[datetime.date] | None = None) -> None:
+    """K1: write one report table; ``days``: the days of the run, if not all.
 
     ``rebalance`` on the partition columns first: rows of one day go to few
     tasks (few files per partition directory, not one per shuffle
     partition), while AQE still splits an oversized day and coalesces small
-    ones.
+    ones. The days written are observed by the same job.
     """
     cols = [c for c in partition_by if c in df.columns]
+    w = df
     if cols:
-        df = df.hint("rebalance", *cols)
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    if cols:
-        w = w.partitionBy(*cols)
-    w.format(fmt).save(path)
+        w = w.hint("rebalance", *cols)
+    if not cols or days is None:
+        w = w.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        (w.partitionBy(*cols) if cols else w).format(fmt).save(path)
+        return
+    seen = Observation()
+    w = w.observe(seen, F.collect_set(F.col(cols[0]).cast("string")).alias("days"))  # at most the run's days
+    w.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*cols).format(fmt).save(path)
+    written = set(seen.get["days"])
+    for day in days:
+        if str(day) not in written:
+            remove(df.sparkSession, f"{path.rstrip('/')}/{cols[0]}={day}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the session's file system, if it is there."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def upsert(df: DataFrame, path: str, keys: Sequence[str], days: Sequence[datetime.date] | None = None) -> None:
+    """K2: merge a column group into a stored table partitioned by deal date.
+
+    Stored values of other columns and keys stay; the new group's values win.
+    Only the partitions of ``days`` (by default the days in ``df``) are read
+    and rewritten. The merged rows are written aside first, as a table cannot
+    be read and overwritten in one job.
+    """
+    spark = df.sparkSession
+    if days is None:
+        days = [r[0] for r in df.select("deal_dt").distinct().collect()]  # a row per day of the group
+    try:
+        old = spark.read.option("mergeSchema", True).parquet(path)
+    except AnalysisException:  # not stored yet
+        write_report(df, path, days=days)
+        return
+    merged = merge_column_groups([old.filter(F.col("deal_dt").isin(list(days))), df], keys)
+    write_report(snapshot(merged, "upsert"), path, days=days)
 
 
 def merge_column_groups(groups: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:

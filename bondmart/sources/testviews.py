@@ -3,12 +3,12 @@
 The reference ships no data; this mapping turns the TPC-H-like tables under
 ``sf_dir`` into the fifteen feeds so every report can run (and be checked
 against the DuckDB oracle in ``oracle.py``, which restates the same mapping
-in SQL). Fact feeds (deals, collateral, cash deals, removed deals, interbank
-and strategy feeds) are built from the whole ``orders`` / ``lineitem``
-tables. Dimensions are bounded: members are the first 100 customers and
-bonds the first 200 parts, and deal parties / bonds are folded onto them by
-``% 100`` / ``% 200`` — the modulo picks the counter-party, it filters no
-fact row.
+in SQL). All tables are read whole: members are all customers (``C`` ids) and
+all suppliers (``S`` ids), bonds are all parts, and every order and line is a
+deal between its real parties on its real day. The parties of every second
+deal are swapped, and every fifth order has a mirrored deal (parties swapped,
+same product and day, an event id of its own), so members trade on both sides
+of one key. Modulo rules only mark broken rows and feed variants.
 """
 
 from __future__ import annotations
@@ -18,22 +18,31 @@ from pyspark.sql import functions as F
 
 from bondmart import labels as L
 from bondmart.sources.feeds import Feeds
-from bondmart.sources.scan import balanced
 
-N_MEMBERS = 100
-N_BONDS = 200
+TABLES = ("customer", "supplier", "part", "orders", "lineitem")
+
+# fixed values: the segments of the customer table, dealt to suppliers in turn
+SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return balanced(spark, spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _s(c) -> F.Column:
     return c.cast("string")
 
 
-def _month(ts) -> F.Column:
-    return F.trunc(ts.cast("date"), "month")
+def _deals(rows: DataFrame, order_key, customer, supplier) -> DataFrame:
+    """rows with ``mirror`` (a second, mirrored deal for every fifth order),
+    ``nmbr`` and the parties ``first_ip`` and ``second_ip``."""
+    mirror = F.when(order_key % 5 == 0, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    buyer, seller = F.concat(F.lit("C"), _s(customer)), F.concat(F.lit("S"), _s(supplier))
+    swap = (order_key % 2 == 1) != F.col("mirror")
+    return rows.withColumn("mirror", F.explode(mirror)).withColumns({
+        "nmbr": F.concat(F.when(F.col("mirror"), "M").otherwise(""), _s(order_key)),
+        "first_ip": F.when(swap, seller).otherwise(buyer),
+        "second_ip": F.when(swap, buyer).otherwise(seller)})
 
 
 def _consts(spark: SparkSession, rows, schema) -> DataFrame:
@@ -46,6 +55,7 @@ def _consts(spark: SparkSession, rows, schema) -> DataFrame:
 
 def load(spark: SparkSession, sf_dir: str) -> Feeds:
     customer = _read(spark, sf_dir, "customer")
+    supplier = _read(spark, sf_dir, "supplier")
     part = _read(spark, sf_dir, "part")
     orders = _read(spark, sf_dir, "orders")
     lineitem = _read(spark, sf_dir, "lineitem")
@@ -81,28 +91,36 @@ def load(spark: SparkSession, sf_dir: str) -> Feeds:
         F.substring("seg", 1, 3).alias("member_ctgry_id"),
     )
 
-    # ---- members: first 100 customers, without key % 50 = 49; key % 10 = 9
+    # ---- members: customers and suppliers without key % 50 = 49; key % 10 = 9
     # also has a closed earlier version (another category), which the
     # current-version filter must drop
-    k = F.col("c_custkey")
-    members = customer.filter((k < N_MEMBERS) & (k % 50 != 49))
+    k = F.col("k")
+    orgs = customer.select(
+        F.lit("C").alias("pre"), F.col("c_custkey").alias("k"), F.col("c_name").alias("name"),
+        F.col("c_mktsegment").alias("seg"), F.col("c_nationkey").alias("nation"),
+    ).unionByName(supplier.select(
+        F.lit("S").alias("pre"), F.col("s_suppkey").alias("k"), F.col("s_name").alias("name"),
+        F.element_at(F.array(*map(F.lit, SEGMENTS)), (F.col("s_suppkey") % 5 + 1).cast("int")).alias("seg"),
+        F.col("s_nationkey").alias("nation")))
+    ident, master = F.concat("pre", _s(k)), F.concat(F.col("pre"), _s(k - k % 10))
+    members = orgs.filter(k % 50 != 49)
 
     def member_rows(m, ctgry, start, end):
         return m.select(
-            _s(k).alias("ip_id"),
+            ident.alias("ip_id"),
             ctgry.alias("member_ctgry_id"),
-            F.concat(F.lit("M"), _s(k)).alias("member_cd"),
+            F.concat(F.lit("M"), ident).alias("member_cd"),
             F.concat(
-                F.col("c_name"), F.when(F.col("c_nationkey") < 5, F.lit(L.JT_MONEY_FUND)).otherwise("")
+                F.col("name"), F.when(F.col("nation") < 5, F.lit(L.JT_MONEY_FUND)).otherwise("")
             ).alias("full_nm"),
-            F.concat(F.lit("M"), _s(k - k % 10)).alias("rt_member_cd"),
+            F.concat(F.lit("M"), master).alias("rt_member_cd"),
             F.lit("root").alias("rt_member_full_nm"),
             F.lit(start).cast("date").alias("efctv_from_dt"),
             F.lit(end).cast("date").alias("efctv_to_dt"),
-            _s(k).alias("unq_id"),
+            ident.alias("unq_id"),
         )
 
-    member_d = member_rows(members, F.substring("c_mktsegment", 1, 3), "1990-01-01", L.OPEN_END_DATE).unionByName(
+    member_d = member_rows(members, F.substring("seg", 1, 3), "1990-01-01", L.OPEN_END_DATE).unionByName(
         member_rows(members.filter(k % 10 == 9), F.lit("HOU"), "1980-01-01", "1989-12-31"))
 
     # ---- root relations: slave k -> master k - k % 10 for k % 10 in 1..6;
@@ -115,10 +133,10 @@ def load(spark: SparkSession, sf_dir: str) -> Feeds:
         "rl_kind string, rl_tp_id string, valid_to string",
     )
     d = k % 10
-    cim_org_rl = customer.filter((k < N_MEMBERS) & d.between(1, 8)).select(
+    cim_org_rl = orgs.filter(d.between(1, 8)).select(
         F.when(d == 7, F.lit("T2")).otherwise(F.lit("T1")).alias("rl_tp_id"),
-        _s(k).alias("slv_unq_id"),
-        _s(k - d).alias("mstr_unq_id"),
+        ident.alias("slv_unq_id"),
+        master.alias("mstr_unq_id"),
         F.when(d == 8, F.lit("D")).otherwise(F.lit(L.RELATION_STATUS_VALID)).alias("rl_status"),
         F.lit("9999-12-31 00:00:00").alias("valid_to"),
     )
@@ -133,17 +151,17 @@ def load(spark: SparkSession, sf_dir: str) -> Feeds:
         _s(ok).alias("deal_suffix"),
     )
 
-    # ---- repo deals: one per order that has lines
+    # ---- repo deals: one per order that has lines, and the mirrored ones
     lines_per_order = lineitem.groupBy("l_orderkey").agg(F.min("l_suppkey").alias("min_supp"))
     o = orders.join(lines_per_order, orders.o_orderkey == lines_per_order.l_orderkey, "inner")
-    bond_repo_deal_f = o.select(
-        F.concat(F.lit(L.EVENT_ID_PREFIX), _s(ok)).alias("ev_id"),
-        _s(F.col("o_custkey") % N_MEMBERS).alias("repo_ip_id"),
-        _s(F.col("min_supp") % N_MEMBERS).alias("rvrse_ip_id"),
+    bond_repo_deal_f = _deals(o, ok, F.col("o_custkey"), F.col("min_supp")).select(
+        F.concat(F.lit(L.EVENT_ID_PREFIX), "nmbr").alias("ev_id"),
+        F.col("first_ip").alias("repo_ip_id"),
+        F.col("second_ip").alias("rvrse_ip_id"),
         F.col("o_orderpriority").alias("pd_id"),
-        _s(ok).alias("deal_nmbr"),
+        F.col("nmbr").alias("deal_nmbr"),
         F.when(F.col("o_orderstatus") == "P", F.lit(L.CANCELLED_STATUS)).otherwise("1").alias("st"),
-        _month(F.col("o_orderdate")).alias("deal_dt"),
+        F.col("o_orderdate").cast("date").alias("deal_dt"),
         ((ok % 400 + 100).cast("double") / 100).cast("decimal(18,6)").alias("repo_rate"),
         F.col("o_totalprice").cast("decimal(18,2)").alias("trade_amnt"),
         # key % 29 = 0: a deal of another market, left out by the market filter
@@ -156,15 +174,16 @@ def load(spark: SparkSession, sf_dir: str) -> Feeds:
         F.when(ok % 3 == 0, F.lit(L.INTERBANK_FLAG)).otherwise("0").alias("dep_flag"),
     )
 
-    # ---- collateral: every line pledges bond l_partkey % 200
-    ev_cltrl_dtls = lineitem.select(
-        _s(F.col("l_partkey") % N_BONDS).alias("bond_id"),
-        F.concat(F.lit(L.EVENT_ID_PREFIX), _s(F.col("l_orderkey"))).alias("ev_id"),
+    # ---- collateral: every line pledges its part
+    lk = F.col("l_orderkey")
+    ev_cltrl_dtls = _deals(lineitem, lk, F.lit(0), F.lit(0)).select(
+        _s(F.col("l_partkey")).alias("bond_id"),
+        F.concat(F.lit(L.EVENT_ID_PREFIX), "nmbr").alias("ev_id"),
         (F.lit(1) - F.col("l_discount")).cast("decimal(9,6)").alias("cnvrsn_prprtn"),
         F.col("l_quantity").cast("decimal(18,2)").alias("face_value"),
     )
 
-    # ---- bonds: first 200 parts without key % 50 = 49
+    # ---- bonds: parts without key % 50 = 49
     pk = F.col("p_partkey")
     bond8_raw = F.element_at(
         F.array(*[F.lit(x) for x in
@@ -178,7 +197,7 @@ def load(spark: SparkSession, sf_dir: str) -> Feeds:
         .when(F.col("p_type").isin("PROMO", "STANDARD"), F.lit("信用债"))
         .otherwise(F.lit("其他"))
     )
-    bond_d = part.filter((pk < N_BONDS) & (pk % 50 != 49)).select(
+    bond_d = part.filter(pk % 50 != 49).select(
         _s(pk).alias("bond_id"),
         bond8_raw.alias("bond_ctgry_nm"),
         F.col("p_brand").alias("issr_id"),
@@ -202,7 +221,7 @@ def load(spark: SparkSession, sf_dir: str) -> Feeds:
 
     # ---- ratings: parts with key % 5 <> 0, two intervals each; key % 7 = 0
     # gets a second, lower rating on the first interval
-    rated = part.filter((pk < N_BONDS) & (pk % 5 != 0))
+    rated = part.filter(pk % 5 != 0)
     # two rating intervals per bond, index i = 0, 1
     interval = F.explode(F.array(
         F.struct(F.lit(0).alias("i"), F.lit("1995-01-01").alias("s"), F.lit("1997-12-31").alias("e")),
@@ -227,22 +246,23 @@ def load(spark: SparkSession, sf_dir: str) -> Feeds:
     )
     ri_credit_rtng = base_rtng.unionByName(extra_rtng)
 
-    # ---- cash-bond deals: one per line
+    # ---- cash-bond deals: one per line, and the mirrored ones
     li = lineitem.join(orders.select("o_orderkey", "o_custkey"),
                        lineitem.l_orderkey == orders.o_orderkey, "inner")
     ln = F.col("l_linenumber") % 7
-    bond_deal = li.select(
-        _s(F.col("l_orderkey")).alias("bond_deal_id"),
-        _s(F.col("o_custkey") % N_MEMBERS).alias("buy_ip_id"),
-        _s(F.col("l_suppkey") % N_MEMBERS).alias("sell_ip_id"),
-        _s(F.col("l_orderkey")).alias("deal_nmbr"),
-        _month(F.col("l_shipdate")).alias("deal_dt"),
+    bond_deal = _deals(li, lk, F.col("o_custkey"), F.col("l_suppkey")).select(
+        F.col("nmbr").alias("bond_deal_id"),
+        F.col("first_ip").alias("buy_ip_id"),
+        F.col("second_ip").alias("sell_ip_id"),
+        F.col("nmbr").alias("deal_nmbr"),
+        F.col("l_shipdate").cast("date").alias("deal_dt"),
         F.when((F.col("l_linestatus") == "F") & (F.col("l_returnflag") == "R"),
                F.lit(L.CANCELLED_STATUS)).otherwise("1").alias("st"),
-        _s(F.col("l_partkey") % N_BONDS).alias("bond_id"),
+        _s(F.col("l_partkey")).alias("bond_id"),
         F.when(ln == 0, F.lit("USD")).when(ln == 1, F.lit(" - ")).otherwise(F.lit("CNY"))
         .alias("crncy"),
-        (F.col("l_extendedprice") * (F.lit(1) - F.col("l_discount"))).cast("decimal(18,2)")
+        (F.col("l_extendedprice").cast("decimal(18,2)") * (
+            F.lit(1).cast("decimal(3,2)") - F.col("l_discount").cast("decimal(9,2)"))).cast("decimal(18,2)")
         .alias("trade_amnt"),
         F.col("l_extendedprice").cast("decimal(18,2)").alias("dirty_amnt"),
         F.col("l_quantity").cast("decimal(18,2)").alias("face_value"),

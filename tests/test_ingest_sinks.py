@@ -9,7 +9,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from bondmart.sources import csvfeeds
-from bondmart.sources.sinks import merge_column_groups, write_report
+from bondmart.sources.sinks import merge_column_groups, upsert, write_report
 
 
 def _write(path, text, encoding="utf-8"):
@@ -20,11 +20,11 @@ def _write(path, text, encoding="utf-8"):
 def test_strict_arity_required_and_types(spark, tmpdir_path):
     p = os.path.join(tmpdir_path, "pd.csv")
     _write(p, "PD_ID,PD_CD\n1,UPDATE\n2,R001\n3\n4,R007,extra\n5,\n\"6,x\",R014\n")
-    got = csvfeeds.read_feed(spark, "pd_d", p, header=True)
+    got = csvfeeds.read_feed(spark, "pd_d", p)
     rows = sorted(tuple(r) for r in got.collect())
     # the data row holding the header token (UPDATE contains PD) is kept
     assert rows == [("1", "UPDATE"), ("2", "R001"), ("6,x", "R014")]
-    legacy = csvfeeds.read_feed(spark, "pd_d", p, header=True, drop_containing="PD")
+    legacy = csvfeeds.read_feed(spark, "pd_d", p, drop_containing="PD")
     assert sorted(r[0] for r in legacy.collect()) == ["2", "6,x"]
 
 
@@ -48,13 +48,55 @@ def test_gbk_file(spark, tmpdir_path):
     assert sorted(tuple(r) for r in got.collect()) == [("基金", "F01"), ("银行（甲）", "B01")]
 
 
-def test_write_report_dynamic_overwrite(spark, tmpdir_path):
+def _report(spark, rows):
+    return spark.createDataFrame(rows, "k string, deal_dt date, v int")
+
+
+def _rows(spark, out):
+    return sorted((r.k, r.v) for r in spark.read.parquet(out).collect())
+
+
+def test_write_report_replaces_the_days_of_the_run(spark, tmpdir_path):
     out = os.path.join(tmpdir_path, "report")
+    d1, d2, d3 = (dt.date(2020, 1, i) for i in (1, 2, 3))
+    write_report(_report(spark, [("a", d1, 1), ("b", d2, 2), ("d", d3, 4)]), out)
+    write_report(_report(spark, [("c", d2, 3)]), out, days=[d2])
+    assert _rows(spark, out) == [("a", 1), ("c", 3), ("d", 4)]
+    write_report(_report(spark, [("e", d1, 5)]), out, days=[d1, d2])  # d2 came out empty
+    assert _rows(spark, out) == [("d", 4), ("e", 5)]
+    write_report(_report(spark, []), out, days=[d1])
+    assert _rows(spark, out) == [("d", 4)]
+    write_report(_report(spark, [("f", d2, 6)]), out)  # a run over all days replaces the table
+    assert _rows(spark, out) == [("f", 6)]
+
+
+def test_upsert_into_a_stored_table(spark, tmpdir_path):
+    out = os.path.join(tmpdir_path, "stored")
     d1, d2 = dt.date(2020, 1, 1), dt.date(2020, 1, 2)
-    write_report(spark.createDataFrame([("a", d1, 1), ("b", d2, 2)], "k string, deal_dt date, v int"), out)
-    write_report(spark.createDataFrame([("c", d2, 3)], "k string, deal_dt date, v int"), out)
-    got = sorted((r.k, r.v) for r in spark.read.parquet(out).collect())
-    assert got == [("a", 1), ("c", 3)]
+    kinds = ["k string, deal_dt date, p int", "k string, deal_dt date, q int"]
+    upsert(spark.createDataFrame([("a", d1, 1), ("b", d2, 2)], kinds[0]), out, ["k", "deal_dt"])
+    upsert(spark.createDataFrame([("a", d1, 7), ("c", d1, 8)], kinds[1]), out, ["k", "deal_dt"])
+    upsert(spark.createDataFrame([("a", d1, 9)], kinds[0]), out, ["k", "deal_dt"])
+    got = {(r.k, r.deal_dt): (r.p, r.q) for r in spark.read.option("mergeSchema", True).parquet(out).collect()}
+    assert got == {("a", d1): (9, 7), ("b", d2): (2, None), ("c", d1): (None, 8)}
+
+
+def test_long_quoted_cells_and_unbalanced_quotes(spark, tmpdir_path):
+    p = os.path.join(tmpdir_path, "pd.csv")
+    long = 'x,""' * 50_000
+    _write(p, f'1,"{long}"\n2,"a""b,c"\n3,"open,R1\n4,R"2\n')
+    good, bad = csvfeeds.read_feed(spark, "pd_d", p, rejects=True)
+    got = {r.pd_id: r.pd_cd for r in good.collect()}
+    assert got["1"] == long.replace('""', '"') and got["2"] == 'a"b,c' and got["4"] == 'R"2'
+    assert [r.value for r in bad.collect()] == ['3,"open,R1']
+
+
+def test_header_only_in_some_parts(spark, tmpdir_path):
+    folder = os.path.join(tmpdir_path, "pd_d")
+    os.makedirs(folder)
+    _write(os.path.join(folder, "a.csv"), "pd_id,pd_cd\n1,R001\n2,R007\n")
+    _write(os.path.join(folder, "b.csv"), "3,R014\n4,R021\n")
+    assert {r.pd_id for r in csvfeeds.read_feed(spark, "pd_d", folder).collect()} == {"1", "2", "3", "4"}
 
 
 def test_merge_column_groups_later_wins(spark):
