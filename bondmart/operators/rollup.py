@@ -1,8 +1,8 @@
 """Side unpivot (P1), root roll-up (A9 / A9b) and category roll-up (A10).
 
-All three are narrow row operations in front of one grouped aggregate, so a
-report is a single shuffle of pre-combined rows: the 2x (sides) and 2x
-(participant types) fan-out happens map-side before partial aggregation.
+The side unpivot is a narrow row operation. A root report is aggregated at
+member grain first (``rollup_agg``); the root lookup and the fan-out to the
+participant types only see that small result.
 """
 
 from __future__ import annotations
@@ -141,3 +141,21 @@ def with_category(
     if default is not None:
         x = x.withColumn(out, F.coalesce(F.col(out), F.lit(default)))
     return x
+
+
+def rollup_agg(df: DataFrame, rollup: DataFrame, keys: Sequence[str], sums: dict[str, Column],
+               sets: dict[str, Column] | None = None, member: str = "member") -> DataFrame:
+    """groupBy(root, join_type, keys) of ``df`` with sums and distinct sets,
+    by way of member grain: aggregate by (member, keys), attach the root and
+    fan out to 全部 and the own type, then combine the members of a root.
+    With ``member`` among the keys the second step is not needed."""
+    keys, sets = [k for k in keys if k not in ("root", "join_type")], sets or {}
+    fine = keys if member in keys else [member, *keys]
+    first = df.groupBy(*fine).agg(*[F.sum(e).alias(n) for n, e in sums.items()],
+                                  *[F.collect_set(e).alias(n) for n, e in sets.items()])
+    wide = explode_join_types(with_rollup(first, rollup, member))
+    if member in keys:
+        return wide
+    return wide.groupBy("root", "join_type", *keys).agg(
+        *[F.sum(n).alias(n) for n in sums],
+        *[F.array_distinct(F.flatten(F.collect_list(n))).alias(n) for n in sets])

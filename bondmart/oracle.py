@@ -33,6 +33,11 @@ def sset(e: str, sep: str, filt: str | None = None) -> str:
     return f"string_agg(DISTINCT {e}, {_q(sep)} ORDER BY {e}){f}"
 
 
+def scount(e: str, sep: str, filt: str | None = None) -> str:
+    """Size of the set that ``sset`` joins."""
+    return f"count(DISTINCT {e})" + (f" FILTER (WHERE {filt})" if filt else "")
+
+
 # fixed values: labels, written out here so that a wrong label of the library shows
 RANK = "CASE WHEN rtng_raw IN ('AAA') THEN 2 WHEN rtng_raw IN ('AA+', 'A-1+', 'AA＋') THEN 1 ELSE 0 END"
 
@@ -412,8 +417,8 @@ Q["member_ctgry_amount_deal_info"] = f"""
 SELECT root AS unq_id_in_src_sys, {JT} AS join_type, cou_party_ins_show_name, deal_dt,
     CAST(sum({_side('REPO', 'trade_amnt')}) AS DECIMAL(38,2)) AS repo_sum_amount,
     CAST(sum({_side('RVRSE', 'trade_amnt')}) AS DECIMAL(38,2)) AS rvrse_sum_amount,
-    {sset('counter', ',', "side = 'REPO'")} AS repo_cou_party_uniq_set,
-    {sset('counter', ',', "side = 'RVRSE'")} AS rvrse_cou_party_uniq_set
+    {sset('counter', ',', "side = 'REPO'")} AS repo_cou_party_uniq_set, {scount('counter', ',', "side = 'REPO'")} AS repo_cou_party_uniq_set_size,
+    {sset('counter', ',', "side = 'RVRSE'")} AS rvrse_cou_party_uniq_set, {scount('counter', ',', "side = 'RVRSE'")} AS rvrse_cou_party_uniq_set_size
 FROM {_repo_rolled(DIST)} x
 {_gs(['root', 'cou_party_ins_show_name', 'deal_dt'])}"""
 
@@ -426,8 +431,8 @@ GROUP BY i.ins_show_name, d.cou_party_ins_show_name, d.deal_dt"""
 
 Q["member_ctgry_number_deal_info"] = f"""
 SELECT i.ins_show_name, d.member AS unq_id_in_src_sys, d.cou_party_ins_show_name, d.deal_dt,
-    {sset('counter', ',', "side = 'REPO'")} AS repo_cou_party_uniq_set,
-    {sset('counter', ',', "side = 'RVRSE'")} AS rvrse_cou_party_uniq_set
+    {sset('counter', ',', "side = 'REPO'")} AS repo_cou_party_uniq_set, {scount('counter', ',', "side = 'REPO'")} AS repo_cou_party_uniq_set_size,
+    {sset('counter', ',', "side = 'RVRSE'")} AS rvrse_cou_party_uniq_set, {scount('counter', ',', "side = 'RVRSE'")} AS rvrse_cou_party_uniq_set_size
 FROM {DIST} d JOIN c_minfo i ON d.member = i.unq_id
 GROUP BY i.ins_show_name, d.member, d.cou_party_ins_show_name, d.deal_dt"""
 
@@ -513,11 +518,13 @@ FROM {src} x
 
 Q["root_deal_amount_trans_info"] = _cash_root(
     [("bond_type4", "bond_type_f"), ("deal_dt", "deal_dt")],
-    f"{FP}, {sset('deal_nmbr', '#')} AS deal_number")
+    f"{FP}, {sset('deal_nmbr', '#')} AS deal_number, {scount('deal_nmbr', '#')} AS deal_number_size")
 Q["root_counter_party_bond_info"] = _cash_root(
     [("bond_type4", "bond_type_f"), ("deal_dt", "deal_dt")],
-    f"{sset('counter', '#')} AS counter_id_set, {sset('bond_id', '#')} AS bond_id_set")
+    f"{sset('counter', '#')} AS counter_id_set, {scount('counter', '#')} AS counter_id_set_size, {sset('bond_id', '#')} AS bond_id_set, {scount('bond_id', '#')} AS bond_id_set_size")
 Q["root_counter_party_number"] = Q["root_counter_party_bond_info"]
+Q["root_deal_rows"] = _cash_root(
+    [("bond_type4", "bond_type_f"), ("deal_dt", "deal_dt"), ("deal_nmbr", "deal_number")], FP)
 Q["root_deal_strategy_info"] = _cash_root(
     [("bond_type4", "bond_type_f"), ("deal_dt", "deal_dt"), ("deal_strategy", "deal_strategy")], FP)
 
@@ -527,11 +534,11 @@ CATS = ("(SELECT d.*, coalesce(b.ins_show_name, 'None') AS buy_cat, coalesce(s.i
 
 Q["ctgry_counter_party_buyer"] = f"""
 SELECT buy_cat AS ctgry_type, bond_type4 AS bond_type_f, deal_dt, sell_cat AS member_type, {FP},
-    {sset('sell_ip_id', '#')} AS member_id_set
+    {sset('sell_ip_id', '#')} AS member_id_set, {scount('sell_ip_id', '#')} AS member_id_set_size
 FROM {CATS} x GROUP BY buy_cat, bond_type4, deal_dt, sell_cat"""
 Q["ctgry_counter_party_seller"] = f"""
 SELECT sell_cat AS ctgry_type, bond_type4 AS bond_type_f, deal_dt, buy_cat AS member_type, {FP},
-    {sset('buy_ip_id', '#')} AS member_id_set
+    {sset('buy_ip_id', '#')} AS member_id_set, {scount('buy_ip_id', '#')} AS member_id_set_size
 FROM {CATS} x GROUP BY sell_cat, bond_type4, deal_dt, buy_cat"""
 
 
@@ -542,17 +549,17 @@ def _leg(me: str, other: str, other_cat: str) -> str:
 
 Q["root_counter_party_buyer"] = _cash_root(
     [("bond_type4", "bond_type_f"), ("deal_dt", "deal_dt"), ("counter_cat", "member_type")],
-    f"{FP}, {sset('counter', '#')} AS member_id_set", "buyer_id", _leg("buy_ip_id", "sell_ip_id", "sell_cat"))
+    f"{FP}, {sset('counter', '#')} AS member_id_set, {scount('counter', '#')} AS member_id_set_size", "buyer_id", _leg("buy_ip_id", "sell_ip_id", "sell_cat"))
 Q["root_counter_party_seller"] = _cash_root(
     [("bond_type4", "bond_type_f"), ("deal_dt", "deal_dt"), ("counter_cat", "member_type")],
-    f"{FP}, {sset('counter', '#')} AS member_id_set", "seller_id", _leg("sell_ip_id", "buy_ip_id", "buy_cat"))
+    f"{FP}, {sset('counter', '#')} AS member_id_set, {scount('counter', '#')} AS member_id_set_size", "seller_id", _leg("sell_ip_id", "buy_ip_id", "buy_cat"))
 Q["counter_party_buyer"] = f"""
 SELECT buy_ip_id AS member_id, bond_type4 AS bond_type_f, deal_dt, sell_cat AS rmember_type,
-    buy_cat AS member_type, {sset('sell_ip_id', '#')} AS rmember_id_set
+    buy_cat AS member_type, {sset('sell_ip_id', '#')} AS rmember_id_set, {scount('sell_ip_id', '#')} AS rmember_id_set_size
 FROM {CATS} x GROUP BY buy_ip_id, bond_type4, deal_dt, sell_cat, buy_cat"""
 Q["counter_party_seller"] = f"""
 SELECT sell_ip_id AS member_id, bond_type4 AS bond_type_f, deal_dt, buy_cat AS rmember_type,
-    sell_cat AS member_type, {sset('buy_ip_id', '#')} AS rmember_id_set
+    sell_cat AS member_type, {sset('buy_ip_id', '#')} AS rmember_id_set, {scount('buy_ip_id', '#')} AS rmember_id_set_size
 FROM {CATS} x GROUP BY sell_ip_id, bond_type4, deal_dt, buy_cat, sell_cat"""
 
 BS_FACE = f"{_bside('BUY', 'face_value')} AS buy_full_price, {_bside('SELL', 'face_value')} AS sell_full_price"
@@ -571,11 +578,11 @@ SELECT ctgry AS ctgry_type, bond_id, deal_dt, bond_type4 AS bond_type_f, mrty_bu
     {BS_FACE}
 FROM {CS_CAT} x GROUP BY ctgry, bond_id, deal_dt, bond_type4, mrty_bucket"""
 Q["ctgry_bond_set"] = f"""
-SELECT member AS member_id, deal_strategy, deal_dt, ctgry AS member_type, {sset('bond_id', '#')} AS bond_id_set
+SELECT member AS member_id, deal_strategy, deal_dt, ctgry AS member_type, {sset('bond_id', '#')} AS bond_id_set, {scount('bond_id', '#')} AS bond_id_set_size
 FROM {CS_CAT} x GROUP BY member, deal_strategy, deal_dt, ctgry"""
 Q["root_distribution_number"] = _cash_root(
     [("bond_type8", "bond_type_e"), ("deal_strategy", "deal_strategy"), ("deal_dt", "deal_dt")],
-    f"{FP}, {sset('bond_id', '#')} AS bond_id_set")
+    f"{FP}, {sset('bond_id', '#')} AS bond_id_set, {scount('bond_id', '#')} AS bond_id_set_size")
 Q["root_bond_deal"] = _cash_root(
     [("bond_type8", "bond_type_e"), ("deal_strategy", "deal_strategy"), ("deal_dt", "deal_dt"),
      ("bond_id", "bond_id")], FP)

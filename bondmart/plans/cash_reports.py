@@ -4,8 +4,7 @@ Most tables are one call of ``_report``: side-unpivoted deals (buy leg and
 sell leg), optional root roll-up or category lookup, one groupBy with sums
 and sorted sets. Buy/sell tables that the original job built with a full
 outer join of a buy aggregate and a sell aggregate (J8) are the same
-groupBy with side-conditional sums defaulting to 0; ``operators.sides
-.buy_sell_full_outer`` gives the join form and the tests check both agree.
+groupBy with side-conditional sums defaulting to 0. Every set has its size beside it.
 """
 
 from __future__ import annotations
@@ -18,7 +17,7 @@ from pyspark.sql import functions as F
 from bondmart import labels as L
 from bondmart.functions import scalars as X
 from bondmart.operators.rollup import (
-    CASH_SIDES, explode_join_types, on_side, sides_unpivot, with_category, with_rollup,
+    CASH_SIDES, on_side, rollup_agg, sides_unpivot, with_category,
 )
 from bondmart.plans import base as B
 from bondmart.sources.feeds import Feeds
@@ -37,17 +36,17 @@ def _cat(df: DataFrame, f: Feeds, member: str, out: str) -> DataFrame:
                          default=L.UNRESOLVED)
 
 
-def _root(df: DataFrame, f: Feeds) -> DataFrame:
-    """Add root id and participant type, one row per (全部, own type)."""
-    return explode_join_types(with_rollup(df, B.member_rollup_cash(f)))
-
-
 def _sum(c: str) -> Column:
     return X.sum_amount(c)
 
 
-def _set(c) -> Column:
-    return X.set_to_string(F.collect_set(c), SEP)
+def _set(c, name: str) -> list[Column]:
+    """A set as a string, and its size."""
+    return _named_set(F.collect_set(c), name)
+
+
+def _named_set(items: Column, name: str) -> list[Column]:
+    return [X.set_to_string(items, SEP).alias(name), F.size(items).cast("long").alias(f"{name}_size")]
 
 
 def _side_sum(side: str, c: str) -> Column:
@@ -62,6 +61,21 @@ def _report(df: DataFrame, keys: Sequence[tuple[str, str]], measures: Sequence[C
                     *[c for c in g.columns if c not in {k for k, _ in keys} and c not in names])
 
 
+def _root_report(f: Feeds, df: DataFrame, keys: Sequence[tuple[str, str]], sums: Sequence[tuple] = (),
+                 sets: Sequence[tuple[str, str]] = ()) -> DataFrame:
+    """A report by root and participant type. sums = [(side or None,
+    col, name)], a side's sum being 0 without deals; sets = [(col, name)]."""
+    g = rollup_agg(df, B.member_rollup_cash(f), [k for k, _ in keys],
+                   {n: on_side(side, c) if side else F.col(c) for side, c, n in sums},
+                   {n: F.col(c) for c, n in sets})
+    out = [F.col(k).alias(n) for k, n in keys]
+    for side, _, n in sums:
+        out.append((F.coalesce(F.col(n), F.lit(0)) if side else F.col(n)).cast("decimal(38,2)").alias(n))
+    for _, n in sets:
+        out += _named_set(F.col(n), n)
+    return g.select(*out)
+
+
 # ------------------------------------------------------------------ tables
 
 def memberid2name(f: Feeds) -> DataFrame:
@@ -77,14 +91,24 @@ ROOT_KEYS4 = [("root", "member_id"), ("join_type", "participant_type"), ("bond_t
               ("deal_dt", "deal_dt")]
 
 
-def root_deal_amount_trans_info(f: Feeds) -> DataFrame:
-    return _report(_root(_sides(f), f), ROOT_KEYS4,
-                   [_sum("dirty_amnt").alias("full_price"), _set("deal_nmbr").alias("deal_number")])
+def root_deal_amount_trans_info(f: Feeds, with_set: bool = True) -> DataFrame:
+    """The set of deal numbers grows with a root's deals of a day. Without
+    ``with_set`` it is left out; ``root_deal_rows`` has it as rows."""
+    d, price = _sides(f), [(None, "dirty_amnt", "full_price")]
+    if with_set:
+        return _root_report(f, d, ROOT_KEYS4, price, [("deal_nmbr", "deal_number")])
+    return _root_report(f, d, ROOT_KEYS4, price)
+
+
+def root_deal_rows(f: Feeds) -> DataFrame:
+    """The deal numbers of ``root_deal_amount_trans_info`` as rows."""
+    keys = ROOT_KEYS4 + [("deal_nmbr", "deal_number")]
+    return _root_report(f, _sides(f), keys, [(None, "dirty_amnt", "full_price")])
 
 
 def root_counter_party_bond_info(f: Feeds) -> DataFrame:
-    return _report(_root(_sides(f), f), ROOT_KEYS4,
-                   [_set("counter").alias("counter_id_set"), _set("bond_id").alias("bond_id_set")])
+    return _root_report(f, _sides(f), ROOT_KEYS4,
+                        sets=[("counter", "counter_id_set"), ("bond_id", "bond_id_set")])
 
 
 def root_counter_party_number(f: Feeds) -> DataFrame:
@@ -94,8 +118,8 @@ def root_counter_party_number(f: Feeds) -> DataFrame:
 
 
 def root_deal_strategy_info(f: Feeds) -> DataFrame:
-    return _report(_root(_sides(f), f), ROOT_KEYS4 + [("deal_strategy", "deal_strategy")],
-                   [_sum("dirty_amnt").alias("full_price")])
+    return _root_report(f, _sides(f), ROOT_KEYS4 + [("deal_strategy", "deal_strategy")],
+                        [(None, "dirty_amnt", "full_price")])
 
 
 def _deals_with_cats(f: Feeds) -> DataFrame:
@@ -108,66 +132,71 @@ def ctgry_counter_party_buyer(f: Feeds) -> DataFrame:
     return _report(_deals_with_cats(f),
                    [("buy_cat", "ctgry_type"), ("bond_type4", "bond_type_f"), ("deal_dt", "deal_dt"),
                     ("sell_cat", "member_type")],
-                   [_sum("dirty_amnt").alias("full_price"), _set("sell_ip_id").alias("member_id_set")])
+                   [_sum("dirty_amnt").alias("full_price"), *_set("sell_ip_id", "member_id_set")])
 
 
 def ctgry_counter_party_seller(f: Feeds) -> DataFrame:
     return _report(_deals_with_cats(f),
                    [("sell_cat", "ctgry_type"), ("bond_type4", "bond_type_f"), ("deal_dt", "deal_dt"),
                     ("buy_cat", "member_type")],
-                   [_sum("dirty_amnt").alias("full_price"), _set("buy_ip_id").alias("member_id_set")])
+                   [_sum("dirty_amnt").alias("full_price"), *_set("buy_ip_id", "member_id_set")])
 
 
-def _one_leg_rolled(f: Feeds, leg: str) -> DataFrame:
+def _one_leg(f: Feeds, leg: str) -> DataFrame:
     """Deals of one leg (member = buyer or seller) with the other party's
-    category, rolled up to the member's root."""
+    category."""
     d = _deals_with_cats(f)
     me, other, other_cat = (("buy_ip_id", "sell_ip_id", "sell_cat") if leg == BUY
                             else ("sell_ip_id", "buy_ip_id", "buy_cat"))
     d = d.select(F.col(me).alias("member"), F.col(other).alias("counter"),
                  F.col(other_cat).alias("counter_cat"), "bond_type4", "deal_dt", "dirty_amnt")
-    return _root(d, f)
+    return d
 
 
 def root_counter_party_buyer(f: Feeds) -> DataFrame:
-    return _report(_one_leg_rolled(f, BUY),
+    return _root_report(f, _one_leg(f, BUY),
                    [("root", "buyer_id"), ("join_type", "participant_type"), ("bond_type4", "bond_type_f"),
                     ("deal_dt", "deal_dt"), ("counter_cat", "member_type")],
-                   [_sum("dirty_amnt").alias("full_price"), _set("counter").alias("member_id_set")])
+                   [(None, "dirty_amnt", "full_price")], [("counter", "member_id_set")])
 
 
 def root_counter_party_seller(f: Feeds) -> DataFrame:
-    return _report(_one_leg_rolled(f, SELL),
+    return _root_report(f, _one_leg(f, SELL),
                    [("root", "seller_id"), ("join_type", "participant_type"), ("bond_type4", "bond_type_f"),
                     ("deal_dt", "deal_dt"), ("counter_cat", "member_type")],
-                   [_sum("dirty_amnt").alias("full_price"), _set("counter").alias("member_id_set")])
+                   [(None, "dirty_amnt", "full_price")], [("counter", "member_id_set")])
 
 
 def counter_party_buyer(f: Feeds) -> DataFrame:
     return _report(_deals_with_cats(f),
                    [("buy_ip_id", "member_id"), ("bond_type4", "bond_type_f"), ("deal_dt", "deal_dt"),
                     ("sell_cat", "rmember_type"), ("buy_cat", "member_type")],
-                   [_set("sell_ip_id").alias("rmember_id_set")])
+                   [*_set("sell_ip_id", "rmember_id_set")])
 
 
 def counter_party_seller(f: Feeds) -> DataFrame:
     return _report(_deals_with_cats(f),
                    [("sell_ip_id", "member_id"), ("bond_type4", "bond_type_f"), ("deal_dt", "deal_dt"),
                     ("buy_cat", "rmember_type"), ("sell_cat", "member_type")],
-                   [_set("buy_ip_id").alias("rmember_id_set")])
+                   [*_set("buy_ip_id", "rmember_id_set")])
 
 
 def _buy_sell(c: str, names=("buy_full_price", "sell_full_price")) -> list:
     return [_side_sum(BUY, c).alias(names[0]), _side_sum(SELL, c).alias(names[1])]
 
 
+FACE_SIDES = [(BUY, "face_value", "buy_full_price"), (SELL, "face_value", "sell_full_price")]
+RETURNS = [(BUY, "dirty_amnt", "buy_full_price"), (SELL, "dirty_amnt", "sell_full_price"),
+           (BUY, "face_value", "buy_face_price"), (SELL, "face_value", "sell_face_price")]
+
+
 def root_trade_deadline_info(f: Feeds) -> DataFrame:
     """Face value bought / sold (the columns are named full price)."""
-    return _report(_root(_sides(f), f),
+    return _root_report(f, _sides(f),
                    [("root", "member_id"), ("bond_id", "bond_id"), ("member", "cmember_id"),
                     ("join_type", "participant_type"), ("deal_dt", "deal_dt"), ("bond_type4", "bond_type_f"),
                     ("mrty_bucket", "yr_of_time_to_mrty_type")],
-                   _buy_sell("face_value"))
+                   FACE_SIDES)
 
 
 def ctgry_trade_deadline_info(f: Feeds) -> DataFrame:
@@ -181,21 +210,21 @@ def ctgry_bond_set(f: Feeds) -> DataFrame:
     return _report(_cat(_sides(f), f, "member", "ctgry"),
                    [("member", "member_id"), ("deal_strategy", "deal_strategy"), ("deal_dt", "deal_dt"),
                     ("ctgry", "member_type")],
-                   [_set("bond_id").alias("bond_id_set")])
+                   [*_set("bond_id", "bond_id_set")])
 
 
 def root_distribution_number(f: Feeds) -> DataFrame:
-    return _report(_root(_sides(f), f),
+    return _root_report(f, _sides(f),
                    [("root", "member_id"), ("join_type", "participant_type"), ("bond_type8", "bond_type_e"),
                     ("deal_strategy", "deal_strategy"), ("deal_dt", "deal_dt")],
-                   [_sum("dirty_amnt").alias("full_price"), _set("bond_id").alias("bond_id_set")])
+                   [(None, "dirty_amnt", "full_price")], [("bond_id", "bond_id_set")])
 
 
 def root_bond_deal(f: Feeds) -> DataFrame:
-    return _report(_root(_sides(f), f),
+    return _root_report(f, _sides(f),
                    [("root", "member_id"), ("join_type", "participant_type"), ("bond_type8", "bond_type_e"),
                     ("deal_strategy", "deal_strategy"), ("deal_dt", "deal_dt"), ("bond_id", "bond_id")],
-                   [_sum("dirty_amnt").alias("full_price")])
+                   [(None, "dirty_amnt", "full_price")])
 
 
 def ctgry_bond_deal(f: Feeds) -> DataFrame:
@@ -225,10 +254,10 @@ def base_investment_returns(f: Feeds) -> DataFrame:
 
 
 def root_investment_returns(f: Feeds) -> DataFrame:
-    return _report(_root(_sides(f), f),
+    return _root_report(f, _sides(f),
                    [("root", "member_id"), ("join_type", "participant_type"), ("bond_id", "bond_id"),
                     ("deal_dt", "deal_dt"), ("bond_type8", "bond_type_e")],
-                   _returns())
+                   RETURNS)
 
 
 def ctgry_investment_returns(f: Feeds) -> DataFrame:
@@ -239,25 +268,25 @@ def ctgry_investment_returns(f: Feeds) -> DataFrame:
 
 
 def root_roi_performance(f: Feeds) -> DataFrame:
-    return _report(_root(_sides(f), f),
+    return _root_report(f, _sides(f),
                    [("root", "member_id"), ("join_type", "participant_type"), ("bond_id", "bond_id"),
                     ("deal_dt", "deal_dt"), ("bond_type4", "bond_type_f")],
-                   _returns())
+                   RETURNS)
 
 
 def root_bond_concentration(f: Feeds) -> DataFrame:
-    return _report(_root(_sides(f), f),
+    return _root_report(f, _sides(f),
                    [("root", "member_id"), ("join_type", "participant_type"), ("bond_id", "bond_id"),
                     ("bond_type4", "bond_type_f"), ("deal_dt", "deal_dt")],
-                   [_sum("dirty_amnt").alias("full_price")])
+                   [(None, "dirty_amnt", "full_price")])
 
 
 def root_term_preference(f: Feeds) -> DataFrame:
-    return _report(_root(_sides(f), f),
+    return _root_report(f, _sides(f),
                    [("root", "member_id"), ("bond_id", "bond_id"), ("member", "cmember_id"),
                     ("join_type", "participant_type"), ("deal_dt", "deal_dt"), ("bond_type4", "bond_type_f"),
                     ("yrs_to_mrty", "yr_of_time_to_mrty")],
-                   _buy_sell("face_value"))
+                   FACE_SIDES)
 
 
 def ctgry_deal_strategy_info(f: Feeds) -> DataFrame:
@@ -299,3 +328,6 @@ REPORTS = {
     "root_term_preference": root_term_preference,
     "ctgry_deal_strategy_info": ctgry_deal_strategy_info,
 }
+
+#: not a table of the original job
+VARIANTS = {"root_deal_rows": root_deal_rows}

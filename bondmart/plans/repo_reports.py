@@ -5,9 +5,10 @@ per side, merged by key in the store) is one grouped aggregate here, with
 side-conditional measures (K2): a missing side is a NULL column.
 
 Shape of each plan: deals -> side unpivot (x2, narrow) -> dimension
-lookups (size-checked broadcast) -> [participant-type fan-out (x2, narrow)]
--> ONE groupBy. Partial aggregation runs before the shuffle, so the only
-exchange carries pre-combined rows at report-key grain.
+lookups (size-checked broadcast) -> groupBy; a root report groups at member
+grain, then looks the root up, fans out to the participant types and groups
+again. Partial aggregation runs before each shuffle, so the exchanges carry
+pre-combined rows at report-key grain.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from bondmart import labels as L
 from bondmart.functions import scalars as X
 from bondmart.operators.joins import small, with_rating
 from bondmart.operators.rollup import (
-    REPO_SIDES, explode_join_types, on_side, sides_unpivot, with_category, with_rollup,
+    REPO_SIDES, on_side, rollup_agg, sides_unpivot, with_category,
 )
 from bondmart.plans import base as B
 from bondmart.sources.feeds import Feeds
@@ -31,20 +32,28 @@ def _sides(df: DataFrame) -> DataFrame:
     return sides_unpivot(df, REPO_SIDES)
 
 
-def _price_parts() -> list:
-    """Σ(rate·amount) and Σ amount per side (kept exact in DECIMAL)."""
-    out = []
+def _price_terms() -> dict[str, F.Column]:
+    """rate·amount and amount per side (kept exact in DECIMAL)."""
+    out = {}
     for s in (R, V):
-        out += [
-            F.sum(on_side(s, F.col("repo_rate") * F.col("trade_amnt"))).alias(f"{s.lower()}_num"),
-            F.sum(on_side(s, "trade_amnt")).alias(f"{s.lower()}_amt"),
-        ]
+        out[f"{s.lower()}_num"] = on_side(s, F.col("repo_rate") * F.col("trade_amnt"))
+        out[f"{s.lower()}_amt"] = on_side(s, "trade_amnt")
     return out
 
 
-def _set_or_null(arr_col: str, sep: str) -> F.Column:
+def _sums(terms: dict[str, F.Column]) -> list:
+    return [F.sum(e).alias(n) for n, e in terms.items()]
+
+
+def _price_parts() -> list:
+    return _sums(_price_terms())
+
+
+def _set_or_null(arr_col: str, name: str) -> list:
+    """A set as a string (NULL if empty), and its size."""
     a = F.col(arr_col)
-    return F.when(F.size(a) > 0, X.set_to_string(a, sep))
+    return [F.when(F.size(a) > 0, X.set_to_string(a, L.REPO_SET_SEP)).alias(name),
+            F.size(a).cast("long").alias(f"{name}_size")]
 
 
 # ------------------------------------------------------------------ tables
@@ -79,8 +88,7 @@ def member_price_deal_info(f: Feeds) -> DataFrame:
     """Root roll-up of weighted prices and amounts; spread and total where
     the root has both sides."""
     d = _sides(B.fact_repo_deal_priced(f))
-    d = explode_join_types(with_rollup(d, B.member_rollup_repo(f)))
-    g = d.groupBy("root", "join_type", "pd_cd", "deal_dt").agg(*_price_parts())
+    g = rollup_agg(d, B.member_rollup_repo(f), ["pd_cd", "deal_dt"], _price_terms())
     both = F.col("repo_amt").isNotNull() & F.col("rvrse_amt").isNotNull()
     return g.select(
         F.col("root").alias("unq_id_in_src_sys"), "join_type", "pd_cd", "deal_dt",
@@ -167,17 +175,15 @@ def _distribution_base(f: Feeds) -> DataFrame:
 
 def member_ctgry_amount_deal_info(f: Feeds) -> DataFrame:
     d = _distribution_base(f)
-    d = explode_join_types(with_rollup(d, B.member_rollup_repo(f)))
-    g = d.groupBy("root", "join_type", "cou_party_ins_show_name", "deal_dt").agg(
-        F.sum(on_side(R, "trade_amnt")).alias("ra"), F.sum(on_side(V, "trade_amnt")).alias("va"),
-        F.collect_set(on_side(R, "counter")).alias("rs"), F.collect_set(on_side(V, "counter")).alias("vs"),
-    )
+    g = rollup_agg(d, B.member_rollup_repo(f), ["cou_party_ins_show_name", "deal_dt"],
+                   {"ra": on_side(R, "trade_amnt"), "va": on_side(V, "trade_amnt")},
+                   {"rs": on_side(R, "counter"), "vs": on_side(V, "counter")})
     return g.select(
         F.col("root").alias("unq_id_in_src_sys"), "join_type", "cou_party_ins_show_name", "deal_dt",
         F.col("ra").cast("decimal(38,2)").alias("repo_sum_amount"),
         F.col("va").cast("decimal(38,2)").alias("rvrse_sum_amount"),
-        _set_or_null("rs", L.REPO_SET_SEP).alias("repo_cou_party_uniq_set"),
-        _set_or_null("vs", L.REPO_SET_SEP).alias("rvrse_cou_party_uniq_set"),
+        *_set_or_null("rs", "repo_cou_party_uniq_set"),
+        *_set_or_null("vs", "rvrse_cou_party_uniq_set"),
     )
 
 
@@ -200,8 +206,8 @@ def member_ctgry_number_deal_info(f: Feeds) -> DataFrame:
     )
     return g.select(
         "ins_show_name", F.col("member").alias("unq_id_in_src_sys"), "cou_party_ins_show_name", "deal_dt",
-        _set_or_null("rs", L.REPO_SET_SEP).alias("repo_cou_party_uniq_set"),
-        _set_or_null("vs", L.REPO_SET_SEP).alias("rvrse_cou_party_uniq_set"),
+        *_set_or_null("rs", "repo_cou_party_uniq_set"),
+        *_set_or_null("vs", "rvrse_cou_party_uniq_set"),
     )
 
 
@@ -224,8 +230,8 @@ def _collateral(f: Feeds, rating: bool = False, issuer: bool = False) -> DataFra
     return _sides(c)
 
 
-def _alloc_sums() -> list:
-    return [F.sum(on_side(R, "alloc")).alias("ra"), F.sum(on_side(V, "alloc")).alias("va")]
+def _alloc_terms() -> dict[str, F.Column]:
+    return {"ra": on_side(R, "alloc"), "va": on_side(V, "alloc")}
 
 
 def _alloc_out() -> list:
@@ -233,10 +239,9 @@ def _alloc_out() -> list:
             F.col("va").cast("decimal(38,4)").alias("rvrse_sum_amount")]
 
 
-def _haircut_sums() -> list:
+def _haircut_terms() -> dict[str, F.Column]:
     hc = F.col("cnvrsn_prprtn") * F.col("alloc")
-    return [F.sum(on_side(R, hc)).alias("rn"), F.sum(on_side(R, "alloc")).alias("ra"),
-            F.sum(on_side(V, hc)).alias("vn"), F.sum(on_side(V, "alloc")).alias("va")]
+    return {"rn": on_side(R, hc), "ra": on_side(R, "alloc"), "vn": on_side(V, hc), "va": on_side(V, "alloc")}
 
 
 def _haircut_out() -> list:
@@ -244,8 +249,8 @@ def _haircut_out() -> list:
             X.ratio6("vn", "va").alias("rvrse_weighted_cnvrsn_prprtn")]
 
 
-def _rolled(f: Feeds, d: DataFrame) -> DataFrame:
-    return explode_join_types(with_rollup(d, B.member_rollup_repo(f)))
+def _rolled(f: Feeds, d: DataFrame, keys: list[str], terms: dict[str, F.Column]) -> DataFrame:
+    return rollup_agg(d, B.member_rollup_repo(f), keys, terms)
 
 
 def _by_ctgry(f: Feeds, d: DataFrame) -> DataFrame:
@@ -253,13 +258,13 @@ def _by_ctgry(f: Feeds, d: DataFrame) -> DataFrame:
 
 
 def member_bond_ctgry_deal_info(f: Feeds) -> DataFrame:
-    g = _rolled(f, _collateral(f)).groupBy("root", "join_type", "bond_ctgry_nm", "deal_dt").agg(*_alloc_sums())
+    g = _rolled(f, _collateral(f), ["bond_ctgry_nm", "deal_dt"], _alloc_terms())
     return g.select(F.col("root").alias("unq_id_in_src_sys"), "join_type", "bond_ctgry_nm", "deal_dt",
                     *_alloc_out())
 
 
 def ctgry_bond_ctgry_deal_info(f: Feeds) -> DataFrame:
-    g = _by_ctgry(f, _collateral(f)).groupBy("ins_show_name", "bond_ctgry_nm", "deal_dt").agg(*_alloc_sums())
+    g = _by_ctgry(f, _collateral(f)).groupBy("ins_show_name", "bond_ctgry_nm", "deal_dt").agg(*_sums(_alloc_terms()))
     return g.select("ins_show_name", "bond_ctgry_nm", "deal_dt", *_alloc_out())
 
 
@@ -269,43 +274,39 @@ def _rated(f: Feeds) -> DataFrame:
 
 
 def member_bond_rtng_deal_info(f: Feeds) -> DataFrame:
-    g = _rolled(f, _rated(f)).groupBy("root", "join_type", "bond_ctgry_nm", "rtng_desc", "deal_dt").agg(
-        *_alloc_sums())
+    g = _rolled(f, _rated(f), ["bond_ctgry_nm", "rtng_desc", "deal_dt"], _alloc_terms())
     return g.select(F.col("root").alias("unq_id_in_src_sys"), "join_type", "bond_ctgry_nm", "rtng_desc",
                     "deal_dt", *_alloc_out())
 
 
 def ctgry_bond_rtng_deal_info(f: Feeds) -> DataFrame:
-    g = _by_ctgry(f, _rated(f)).groupBy("ins_show_name", "bond_ctgry_nm", "rtng_desc", "deal_dt").agg(
-        *_alloc_sums())
+    g = _by_ctgry(f, _rated(f)).groupBy("ins_show_name", "bond_ctgry_nm", "rtng_desc", "deal_dt").agg(*_sums(_alloc_terms()))
     return g.select("ins_show_name", "bond_ctgry_nm", "rtng_desc", "deal_dt", *_alloc_out())
 
 
 def member_bond_type_deal_info(f: Feeds) -> DataFrame:
     d = _collateral(f, rating=True)
-    g = _rolled(f, d).groupBy("root", "join_type", "bond_ctgry_nm", "rtng_desc", "deal_dt").agg(
-        *_haircut_sums())
+    g = _rolled(f, d, ["bond_ctgry_nm", "rtng_desc", "deal_dt"], _haircut_terms())
     return g.select(F.col("root").alias("unq_id_in_src_sys"), "join_type", "bond_ctgry_nm", "rtng_desc",
                     "deal_dt", *_haircut_out())
 
 
 def ctgry_bond_type_deal_info(f: Feeds) -> DataFrame:
     d = _collateral(f, rating=True)
-    g = _by_ctgry(f, d).groupBy("ins_show_name", "bond_ctgry_nm", "rtng_desc", "deal_dt").agg(
-        *_haircut_sums())
+    g = _by_ctgry(f, d).groupBy("ins_show_name", "bond_ctgry_nm", "rtng_desc", "deal_dt").agg(*_sums(_haircut_terms()))
     return g.select("ins_show_name", "bond_ctgry_nm", "rtng_desc", "deal_dt", *_haircut_out())
 
 
 def member_bond_issr_deal_info(f: Feeds) -> DataFrame:
     d = _collateral(f, issuer=True)
-    g = _rolled(f, d).groupBy("root", "join_type", "issr_id", "deal_dt").agg(*_haircut_sums())
+    g = _rolled(f, d, ["issr_id", "deal_dt"], _haircut_terms())
     return g.select(F.col("root").alias("unq_id_in_src_sys"), "join_type", "issr_id", "deal_dt",
                     *_haircut_out())
 
 
 def ctgry_bond_issr_deal_info(f: Feeds) -> DataFrame:
     d = _collateral(f, issuer=True)
-    g = _by_ctgry(f, d).groupBy("ins_show_name", "issr_id", "deal_dt").agg(*_haircut_sums())
+    g = _by_ctgry(f, d).groupBy("ins_show_name", "issr_id", "deal_dt").agg(*_sums(_haircut_terms()))
     return g.select("ins_show_name", "issr_id", "deal_dt", *_haircut_out())
 
 

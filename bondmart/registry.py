@@ -32,7 +32,7 @@ BASE_TABLES: dict[str, Plan] = {
 }
 
 PLANS: dict[str, Plan] = {**BASE_TABLES, **repo_reports.REPORTS, **cash_reports.REPORTS,
-                          **repo_reports.VARIANTS}
+                          **repo_reports.VARIANTS, **cash_reports.VARIANTS}
 
 
 _FEEDS: dict[tuple, tuple[tuple, Feeds]] = {}

@@ -113,3 +113,19 @@ def test_plan_is_jvm_only_without_cartesian(spark, name):
     for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin",
                 "PythonUDF"):
         assert bad not in plan, (name, bad)
+
+
+def test_type_fan_out_is_above_the_first_aggregate(spark):
+    """Root reports aggregate at member grain before the fan-out to participant types."""
+    from bondmart.plans import cash_reports, repo_reports
+    from bondmart.registry import feeds_for
+
+    f = feeds_for(spark, "/root/testdata/sf0.001")
+    seen = 0
+    for name, report in {**repo_reports.REPORTS, **cash_reports.REPORTS}.items():
+        plan = report(f)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+        for i, line in enumerate(plan):
+            if "Generate explode(array(全部" in line:
+                seen += 1
+                assert any("Aggregate" in x for x in plan[i + 1:]), name
+    assert seen >= 16
