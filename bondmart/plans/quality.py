@@ -2,7 +2,7 @@
 check (W11).
 
 The original jobs counted unmatched lookups in accumulators and logged
-sizes. Here each check is an anti-join / filter count, and all checks form
+sizes. Here each fact is looked up and counted in one pass, and all checks form
 one small DataFrame (check, n): global aggregates with map-side partial
 counts, no driver-side collection.
 """
@@ -22,6 +22,12 @@ def _count(df: DataFrame, check: str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(check).alias("check"), "n")
 
 
+def _rows(counts: DataFrame) -> DataFrame:
+    """One row of counts as (check, n) rows."""
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("check"), F.col(c).alias("n")) for c in counts.columns])))
+
+
 def _union(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
@@ -36,27 +42,28 @@ def dq_unmatched(f: Feeds) -> DataFrame:
     cur = f.member_d.filter(F.col("efctv_to_dt") == F.lit(L.OPEN_END_DATE).cast("date"))
     no_ctgry = cur.join(small(B.repo_category(f)), "member_ctgry_id", "left_anti")
     no_after = cur.join(small(B.after_hours_category(f)), "member_ctgry_id", "left_anti")
-    deals = B.fact_repo_deal(f)
-    no_pd = deals.join(small(B.dim_product(f)), "pd_id", "left_anti")
+    # repo deals: both parties and the product looked up in one pass over the raw deals
     raw = f.bond_repo_deal_f.filter(
         (F.col("mkt_id") == L.PLEDGED_REPO_MKT_ID) & (F.col("st") != L.CANCELLED_STATUS)
     ).join(B.failed_repo_events(f), "ev_id", "left_anti")
     ids = B.dim_member(f).select("ip_id")
-    party_missing = raw.join(small(ids.withColumnRenamed("ip_id", "repo_ip_id")), "repo_ip_id", "left_anti") \
-        .select("ev_id").unionByName(
-            raw.join(small(ids.withColumnRenamed("ip_id", "rvrse_ip_id")), "rvrse_ip_id", "left_anti")
-            .select("ev_id")).distinct()
-    cash = B.fact_cash_deal(f)
-    no_b4 = cash.filter(F.col("bond_type4") == L.NO_BOND_TYPE)
-    no_b8 = cash.filter(F.col("bond_type8") == L.NO_BOND_TYPE)
+    for side in ("repo", "rvrse"):
+        party = ids.select(F.col("ip_id").alias(f"{side}_ip_id"), F.lit(True).alias(f"{side}_known"))
+        raw = raw.join(small(party), f"{side}_ip_id", "left")
+    product = B.dim_product(f).select("pd_id", F.lit(True).alias("pd_known"))
+    raw = raw.join(small(product), "pd_id", "left")
+    known = F.col("repo_known").isNotNull() & F.col("rvrse_known").isNotNull()
+    repo = raw.agg(
+        F.count(F.when(known & F.col("pd_known").isNull(), 1)).alias("repo_deal_without_product"),
+        F.count_distinct(F.when(~known, F.col("ev_id"))).alias("repo_deal_unknown_party"))
+    cash = B.fact_cash_deal(f).agg(
+        F.count(F.when(F.col("bond_type4") == L.NO_BOND_TYPE, 1)).alias("cash_deal_without_bond_type4"),
+        F.count(F.when(F.col("bond_type8") == L.NO_BOND_TYPE, 1)).alias("cash_deal_without_bond_type8"))
     return _union([
         _count(no_show, "category_without_display_name"),
         _count(no_ctgry, "member_without_category"),
         _count(no_after, "member_without_cash_category"),
-        _count(no_pd, "repo_deal_without_product"),
-        _count(party_missing, "repo_deal_unknown_party"),
-        _count(no_b4, "cash_deal_without_bond_type4"),
-        _count(no_b8, "cash_deal_without_bond_type8"),
+        _rows(repo), _rows(cash),
     ])
 
 
