@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bondmart.llm.common import byte_texts, chunks, column, mix, rolling, span_hash, table
+from bondmart.llm.common import byte_texts, chunks, column, mix, rolling, ship, span_hash, table
 
 WINDOW, SHORTEST, PLAIN_WORDS = 8, 5, 4
 COVERAGE, PLAIN_COVERED = 0.6, 8
@@ -256,6 +256,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
     """doc_id, item_id, coverage, reparameterised for each row of docs(doc_id,
     text) and item of benchmark(item_id, text) found in it."""
     spark = docs.sparkSession
+    ship(spark)
     items = benchmark.where("text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
     items = items.mapInArrow(_item_windows, f"item_id long, {_WINDOWS}, tokens int, plain int")
     # at most one row per word of the bitmap reaches the driver, however long the benchmark is

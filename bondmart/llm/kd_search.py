@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from bondmart.llm.common import column, materialize, table
+from bondmart.llm.common import column, materialize, ship, table
 
 TOP, EVERY, SCALE = 10, 100, 1024
 SHARD_ROWS = 8192    # vectors of a shard, about
@@ -154,6 +154,7 @@ def _best(found: DataFrame, k: int) -> DataFrame:
 def top_inner_products(vectors: DataFrame, every: int = EVERY, k: int = TOP) -> DataFrame:
     """query_id, rank, vec_id, score for the rows of vectors(vec_id,
     embedding) whose id is divisible by ``every``, against all rows."""
+    ship(vectors.sparkSession)
     whole = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & whole).select(
         F.col("vec_id").cast("long").alias("vec_id"), "embedding")

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from bondmart.llm.common import byte_texts, chunks, column, table
+from bondmart.llm.common import byte_texts, chunks, column, ship, table
 
 FEATURES = 1 << 14
 CALIBRATION_ROWS = 2000  # texts per language on which scales and weights are fitted
@@ -155,6 +155,7 @@ class Model:
 
 def learn(docs: DataFrame, calibration_rows: int = CALIBRATION_ROWS) -> Model | None:
     """A model of the rows of docs(doc_id, text, lang) that may be learned from."""
+    ship(docs.sparkSession)
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()
                       & ~held_out(F.col("doc_id")))
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # one row per language
@@ -210,6 +211,7 @@ def _predict(model):
 
 def with_language(docs: DataFrame, model: Model | None) -> DataFrame:
     """docs with __lang, __score and __ambiguous."""
+    ship(docs.sparkSession)
     new = StructType().add("__lang", "string").add("__score", "double").add("__ambiguous", "boolean")
     return docs.mapInArrow(_predict(docs.sparkSession.sparkContext.broadcast(model)),
                            StructType(docs.schema.fields + new.fields))

@@ -26,7 +26,7 @@ import public_tokenizers
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 
-from bondmart.llm.common import column, table
+from bondmart.llm.common import column, ship, table
 from bondmart.llm.merges import NEVER, Memo, Pairs, automaton
 
 MODEL = "piece_bpe_32k.model"
@@ -194,6 +194,7 @@ def _rows(path: str, with_ids: bool):
 def encode_decode(docs: DataFrame, path: str | None = None, with_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 (and ids) of each row of
     docs(doc_id, text); one narrow stage without a shuffle."""
+    ship(docs.sparkSession)
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return docs.select("doc_id", "text").mapInArrow(
         _rows(path or public_tokenizers.path(MODEL), with_ids), schema + ", ids array<int>" * with_ids)

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bondmart.llm.common import byte_texts, chunks, column, materialize, table
+from bondmart.llm.common import byte_texts, chunks, column, materialize, ship, table
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
 BLOCKS = 6            # bit blocks; radius 4 leaves 2 equal ones: 15 keys of about 21 bits
@@ -96,6 +96,7 @@ def _fingerprints(size: int):
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, fp (the 64 bits as a signed long) of each row of docs(doc_id, text)."""
+    ship(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         _fingerprints(shingle), "doc_id long, fp long")
 
@@ -241,6 +242,7 @@ def links(nodes: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataF
     within the radius; fp is unique."""
     if blocks <= radius:
         raise ValueError("more blocks than the radius are needed")
+    ship(nodes.sparkSession)
     masks = _masks(radius, blocks)
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
     keyed = nodes.select("node", "fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in signed])))

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from bondmart.llm.common import Words, byte_texts, chunks, column, rolling, sliding_min, span_hash, table
+from bondmart.llm.common import Words, byte_texts, chunks, column, rolling, ship, sliding_min, span_hash, table
 
 WINDOW, GRAM = 13, 4
 CHUNK_BYTES = 4 << 20     # text worked on at once in a task
@@ -187,6 +187,7 @@ def repeated_spans(docs: DataFrame, k: int = WINDOW, m: int = GRAM) -> DataFrame
     xxhash64(text)."""
     if k < m:
         raise ValueError("the window must hold a gram")
+    ship(docs.sparkSession)
     rows = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("row_key"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0

@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from tokenizers import Tokenizer
 
-from bondmart.llm.common import column, table
+from bondmart.llm.common import column, ship, table
 from bondmart.llm.merges import NEVER, Memo, Pairs, automaton
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -200,6 +200,7 @@ def token_counts(docs: DataFrame, limit: int = LIMIT_TOKENS, path: str | None =
     """doc_id, n_bytes, n_tokens, over_limit of each row of docs(doc_id, text),
     with ``tables`` also prefix_tokens (tokens of the first 0, 1, ... bytes;
     -1 inside a character); one narrow stage without a shuffle."""
+    ship(docs.sparkSession)
     schema = "doc_id long, n_bytes long, n_tokens long, over_limit boolean" + ", prefix_tokens array<long>" * tables
     return docs.select("doc_id", "text").mapInArrow(
         _rows(path or public_tokenizers.path(VOCABULARY), limit, tables), schema)

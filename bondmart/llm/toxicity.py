@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bondmart.llm.common import _BASE, _INVERSE, _powers, byte_texts, chunks, column, mix, table
+from bondmart.llm.common import _BASE, _INVERSE, _powers, byte_texts, chunks, column, mix, ship, table
 from bondmart.llm.language import held_out
 
 TRAIN_ROWS = 4000   # labelled texts of a class that are learned from, at most
@@ -119,6 +119,7 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Machine:
     """A machine fitted to labels(doc_id, toxic) of docs(doc_id, text)."""
+    ship(docs.sparkSession)
     known = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id")))
     known = known.groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max((F.col("toxic") > 0).cast("int")).alias("label"))
     sizes = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
@@ -169,6 +170,7 @@ def _score(machine):
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted of each row of docs(doc_id, text)."""
+    ship(docs.sparkSession)
     machine = docs.sparkSession.sparkContext.broadcast(learn(docs, labels))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(_score(machine), "doc_id long, score double").select(

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bondmart.llm.common import column, shared_path, table
+from bondmart.llm.common import column, shared_path, ship, table
 
 REVISIT_BYTES = 1000
 RECORDS_PER_FILE = 4096
@@ -96,6 +96,7 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def write_archives(pages: DataFrame, path: str, records: int = RECORDS_PER_FILE) -> None:
     """One record per row of pages, as gzip members in files under ``path``."""
+    ship(pages.sparkSession)
     members = record_types(pages).mapInArrow(_members, "member binary")
     # the bytes pass through the text sink as they are; its separator is each member's last byte
     members.select(F.col("member").cast("string")).write.option("lineSep", "\0").option(
@@ -226,6 +227,7 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = False) ->
     """A row per record and per gap (gap: the reason, null for records) of
     all archives under ``path``. An archive is one row, so a file must fit
     in a task's memory; the writer's files do."""
+    ship(spark)
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     return files.mapInArrow(_salvaged(with_payload), _READ)
 
