@@ -98,11 +98,12 @@ class Words:
             self.start[0], self.start[1:] = 0, self.end[:-1] + 1
 
 
-_BASE, _INVERSE = 0x9E3779B97F4A7C15 | 1, pow(0x9E3779B97F4A7C15 | 1, -1, 1 << 64)
-_POWERS = {_BASE: np.ones(1, dtype=np.uint64), _INVERSE: np.ones(1, dtype=np.uint64)}
+SLICE_BYTES = 1 << 19
+BASE, INVERSE = 0x9E3779B97F4A7C15 | 1, pow(0x9E3779B97F4A7C15 | 1, -1, 1 << 64)
+_POWERS = {BASE: np.ones(1, dtype=np.uint64), INVERSE: np.ones(1, dtype=np.uint64)}
 
 
-def _powers(base: int, n: int) -> np.ndarray:
+def powers(base: int, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64; kept and doubled as needed."""
     p = _POWERS[base]
     while len(p) < n:
@@ -121,11 +122,19 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 def span_hash(data: np.ndarray, start: np.ndarray) -> np.ndarray:
     """64-bit hash of data[start[i]:start[i+1]] for every i; the last span
-    ends with the data."""
-    if not len(start):
-        return np.zeros(0, dtype=np.uint64)
-    weighted = (data.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, len(data))
-    return mix(np.add.reduceat(weighted, start) * _powers(_INVERSE, len(data))[start])
+    ends with the data. Worked in slices, as it needs 16 bytes a byte."""
+    out = np.empty(len(start), dtype=np.uint64)
+    edges = np.append(start, len(data))
+    first = 0
+    while first < len(start):
+        past = max(first + 1, int(np.searchsorted(edges, edges[first] + SLICE_BYTES, side="right")) - 1)
+        begin = edges[first]
+        own = start[first:past] - begin
+        part = data[begin:edges[past]].astype(np.uint64) + np.uint64(1)
+        part *= powers(BASE, len(part))
+        out[first:past] = np.add.reduceat(part, own) * powers(INVERSE, len(part))[own]
+        first = past
+    return mix(out)
 
 
 def rolling(h: np.ndarray, k: int) -> np.ndarray:

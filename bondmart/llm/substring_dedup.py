@@ -38,8 +38,8 @@ from pyspark.sql.types import StructType
 from bondmart.llm.common import Words, byte_texts, chunks, column, rolling, ship, sliding_min, span_hash, table
 
 WINDOW, GRAM = 13, 4
-CHUNK_BYTES = 4 << 20     # text worked on at once in a task
-BUCKET_BYTES = 48 << 20   # packed strings per bucket, about; a third of it is text
+CHUNK_BYTES = 2 << 20     # text worked on at once in a task
+BUCKET_BYTES = 12 << 20   # packed strings per bucket, about; a third of it is text
 LONGEST_RUN = 256         # windows in one super-k-mer; a longer run goes on in the next
 
 _BLOCK = "bucket long, docs binary, keys binary, firsts binary, counts binary, packed binary"

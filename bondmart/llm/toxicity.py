@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bondmart.llm.common import _BASE, _INVERSE, _powers, byte_texts, chunks, column, mix, ship, table
+from bondmart.llm.common import BASE, INVERSE, byte_texts, chunks, column, mix, powers, ship, table
 from bondmart.llm.language import held_out
 
 TRAIN_ROWS = 4000   # labelled texts of a class that are learned from, at most
@@ -52,8 +52,8 @@ def term_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     space = data == 0x20
     before = np.append(True, space[:-1])
     start, end = np.flatnonzero(before & ~space), np.flatnonzero(space & ~before)
-    total = np.append(np.uint64(0), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, len(data))))
-    back = _powers(_INVERSE, len(data))[start]
+    total = np.append(np.uint64(0), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(BASE, len(data))))
+    back = powers(INVERSE, len(data))[start]
     whole = mix((total[end] - total[start]) * back)
     head = mix(((total[np.minimum(end, start + PREFIX)] - total[start]) * back) ^ np.uint64(0x5DEECE66D))
     first = np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))
