@@ -1,8 +1,8 @@
 """Toxicity scores by a factorization machine over hashed terms.
 
 A text is the set of its hashed terms: its lower-cased words and their first
-five bytes. Of the terms in the training texts, those most associated with the
-label (chi-square) are kept. The score is the logistic function of
+four and six bytes. Of the terms in the training texts, those most associated
+with the label (chi-square, counted by Spark) are kept. The score is the logistic function of
 
     w0 + sum of w[i] + sum over pairs of <v[i], v[j]>
 
@@ -34,10 +34,12 @@ from pyspark.sql import functions as F
 from bondmart.llm.common import BASE, INVERSE, byte_texts, chunks, column, mix, powers, ship, table
 from bondmart.llm.language import held_out
 
-TRAIN_ROWS = 4000   # labelled texts of a class that are learned from, at most
+TRAIN_ROWS = 8000   # labelled texts of a class that are learned from, at most
 TERMS = 1024        # terms of the model
 FACTORS = 8
-PREFIX = 5          # bytes
+STEPS = 2000        # of the fit, about
+PREFIXES = (4, 6)   # bytes
+SEEN = 3            # training texts that a term must be in
 THRESHOLD = 0.3
 CHUNK_BYTES = 1 << 20
 
@@ -54,11 +56,12 @@ def term_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     start, end = np.flatnonzero(before & ~space), np.flatnonzero(space & ~before)
     total = np.append(np.uint64(0), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(BASE, len(data))))
     back = powers(INVERSE, len(data))[start]
-    whole = mix((total[end] - total[start]) * back)
-    head = mix(((total[np.minimum(end, start + PREFIX)] - total[start]) * back) ^ np.uint64(0x5DEECE66D))
+    out = [mix((total[end] - total[start]) * back)]
+    for n in PREFIXES:
+        out.append(mix(((total[np.minimum(end, start + n)] - total[start]) * back) ^ np.uint64(n << 56)))
     first = np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))
     doc = np.searchsorted(first, start, side="right")
-    return np.concatenate([whole, head]), np.concatenate([doc, doc])
+    return np.concatenate(out), np.tile(doc, len(out))
 
 
 class Machine:
@@ -87,13 +90,13 @@ class Machine:
         pair = sum(np.bincount(doc, f[term], n) ** 2 - np.bincount(doc, f[term] ** 2, n) for f in self.v.T)
         return 1 / (1 + np.exp(-np.clip(self.w0 + line + pair / 2, -30, 30)))
 
-    def fit(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray, epochs: int = 30) -> None:
+    def fit(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = STEPS) -> None:
         """Adam steps on the weighted logistic loss; x holds 0 and 1."""
-        rng, step = np.random.default_rng(2), 0
+        rng, step, batches = np.random.default_rng(2), 0, max(1, len(x) // 256)
         params = [np.array([self.w0]), self.w, self.v]
         first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-        for _ in range(epochs):
-            for rows in np.array_split(rng.permutation(len(x)), max(1, len(x) // 256)):
+        for _ in range(-(-steps // batches)):
+            for rows in np.array_split(rng.permutation(len(x)), batches):
                 b, s = x[rows].astype(np.float32), params[2]
                 sums = b @ s
                 odds = params[0][0] + b @ params[1] + ((sums ** 2).sum(axis=1) - b @ (s ** 2).sum(axis=1)) / 2
@@ -110,49 +113,57 @@ class Machine:
 
 
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(term, texts with it, those of label 1), by batch."""
     for batch in batches:
-        out = []
-        for text in byte_texts(batch):
-            out.append(np.unique(term_hashes([text or b""])[0]).tobytes())
-        yield pa.RecordBatch.from_arrays([column(batch, "label"), pa.array(out, pa.binary())], ["label", "terms"])
+        label, texts = column(batch, "label").to_numpy(zero_copy_only=False), byte_texts(batch)
+        for a, b in chunks([len(t or b"") for t in texts], CHUNK_BYTES):
+            sets = [np.unique(term_hashes([t or b""])[0]) for t in texts[a:b]]
+            terms, inverse = np.unique(np.concatenate(sets), return_inverse=True)
+            ones = np.bincount(inverse, np.repeat(label[a:b], [len(s) for s in sets]), len(terms)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(terms.view(np.int64)), pa.array(np.bincount(inverse, minlength=len(terms))), pa.array(ones)],
+                ["term", "n", "ones"])
+
+
+def _found(machine):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = [machine.value.present([t or b""])[1].tolist() for t in byte_texts(batch)]
+            yield pa.RecordBatch.from_arrays(
+                [column(batch, "label"), pa.array(lists, pa.list_(pa.int64()))], ["label", "terms"])
+
+    return run
 
 
 def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Machine:
     """A machine fitted to labels(doc_id, toxic) of docs(doc_id, text)."""
-    ship(docs.sparkSession)
+    spark = docs.sparkSession
+    ship(spark)
     known = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id")))
     known = known.groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max((F.col("toxic") > 0).cast("int")).alias("label"))
     sizes = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
-    n = sum(sizes.values())
-    base = sizes.get(1, 0) / n if n else 0.0
-    odds = float(np.log((base + 1e-9) / (1 - base + 1e-9)))
-    if len(sizes) < 2:
-        return Machine(np.zeros(0, np.uint64), odds)
+    base = sizes.get(1, 0) / max(1, sum(sizes.values()))
+    plain = Machine(np.zeros(0, np.uint64), float(np.log((base + 1e-9) / (1 - base + 1e-9))))
     # at most 2 x train_rows ids: a bounded table that may be broadcast
     chosen = [known.where(F.col("label") == c).orderBy(F.xxhash64("id"), "id").limit(train_rows) for c in (0, 1)]
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(
         F.broadcast(chosen[0].unionByName(chosen[1])), "id").select("label", "text")
-    held = rows.mapInArrow(_terms, "label int, terms binary").limit(4 * train_rows).collect()
+    taken = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    if len(taken) < 2:
+        return plain
+    ones, total = taken[1], sum(taken.values())
+    gap = F.col("ones") * total - F.col("n") * ones
+    terms = rows.mapInArrow(_terms, "term long, n long, ones long").groupBy("term").agg(
+        F.sum("n").cast("double").alias("n"), F.sum("ones").cast("double").alias("ones")).where(F.col("n") >= SEEN)
+    chi = (gap * gap) / (F.col("n") * (total - F.col("n") + 0.5))
+    best = terms.orderBy(F.desc(chi), "term").limit(TERMS).collect()
+    machine = Machine(np.sort(np.array([r["term"] for r in best], np.int64).view(np.uint64)), plain.w0)
+    held = rows.mapInArrow(_found(spark.sparkContext.broadcast(machine)), "label int, terms array<long>").collect()
     y = np.array([r["label"] for r in held], float)
-    if not 0 < y.sum() < len(y):
-        return Machine(np.zeros(0, np.uint64), odds)
-    sets = [np.frombuffer(r["terms"], np.uint64) for r in held]
-    flat = np.concatenate(sets)
-    label = np.repeat(y, [len(s) for s in sets])
-    names, inverse = np.unique(flat, return_inverse=True)
-    one, all_ = np.bincount(inverse, label), np.bincount(inverse)
-    ones, total = y.sum(), len(y)
-    gap = one * total - all_ * ones
-    chi = np.where(all_ >= 3, gap.astype(float) ** 2 / (all_ * (total - all_ + 0.5)), 0)
-    best = np.argsort(-chi, kind="stable")[:TERMS]
-    machine = Machine(np.sort(names[best[chi[best] > 0]]), odds)
-    x = np.zeros((total, len(machine.terms)), np.int8)
-    for i, s in enumerate(sets):
-        at = np.searchsorted(machine.terms, s)
-        hit = machine.terms[np.minimum(at, len(machine.terms) - 1)] == s
-        x[i, at[hit]] = 1
-    weight = np.where(y > 0, base / (ones / total), (1 - base) / (1 - ones / total))
-    machine.fit(x, y, weight)
+    x = np.zeros((len(held), len(machine.terms)), np.int8)
+    for i, r in enumerate(held):
+        x[i, r["terms"]] = 1
+    machine.fit(x, y, np.where(y > 0, base / (ones / total), (1 - base) / (1 - ones / total)))
     return machine
 
 
