@@ -65,7 +65,7 @@ def test_csv_dumps_to_all_reports(spark, tmpdir_path):
         assert _norm(got) == _norm(want.fetchall()), name
     dq = {r.check: r.n for r in spark.read.parquet(os.path.join(out, "data_quality")).collect()}
     assert dq["rejected:pd_d"] == 2 and dq["rows:fact_cash_deal"] > 0
-    assert dq["rows:fact_repo_deal"] == con.execute(sql["fact_repo_deal"]).fetch_arrow_table().num_rows
+    assert dq["rows:fact_repo_deal"] == con.execute(sql["fact_repo_deal"]).to_arrow_table().num_rows
 
 
 def test_days_are_rewritten_and_cleared(spark, tmpdir_path):
