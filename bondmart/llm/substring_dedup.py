@@ -82,19 +82,21 @@ def _super_kmers(texts: list[bytes], ids: np.ndarray, keys: np.ndarray, k: int,
     first = np.fromiter(map(seen.setdefault, strings, range(len(strings))), np.int64, len(strings))
     owner = ids[doc]
     again = owner > owner[first]
+    press = zstandard.ZstdCompressor(level=3).compress
+
+    def where(s: np.ndarray) -> tuple[bytes, ...]:
+        return tuple(press(x[s].astype(np.int64).tobytes()) for x in (owner, keys[doc], place, size))
+
     if again.any():
-        yield (-1 - int(keys[0] & 0xFFFF), owner[again].tobytes(), keys[doc[again]].tobytes(),
-               place[again].astype(np.int64).tobytes(), size[again].astype(np.int64).tobytes(), None)
+        yield (-1 - int(keys[0] & 0xFFFF), *where(np.flatnonzero(again)), None)
     send = np.flatnonzero(~again)
     bucket = (least[head[send]] % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     send, bucket = send[order], bucket[order]
     edges = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket))
-    press = zstandard.ZstdCompressor(level=3)
     for a, b in zip(edges[:-1], edges[1:]):
         s = send[a:b]
-        yield (int(bucket[a]), owner[s].tobytes(), keys[doc[s]].tobytes(), place[s].astype(np.int64).tobytes(),
-               size[s].astype(np.int64).tobytes(), press.compress(b"\n".join([strings[i] for i in s])))
+        yield (int(bucket[a]), *where(s), press(b"\n".join([strings[i] for i in s])))
 
 
 def _split(k: int, m: int, buckets: int):
@@ -155,17 +157,18 @@ def _count(k: int):
         return pa.Table.from_arrays([pa.array(x, pa.int64()) for x in (docs, keys, firsts, pasts)], names)
 
     def run(key: tuple, block: pa.Table) -> pa.Table:
-        def whole(name: str) -> np.ndarray:
-            return np.frombuffer(b"".join(column_of(name)), np.int64)
+        unpack = zstandard.ZstdDecompressor().decompress
 
         def column_of(name: str) -> list:
-            return block.column(name).to_pylist()
+            return list(map(unpack, block.column(name).to_pylist()))
+
+        def whole(name: str) -> np.ndarray:
+            return np.frombuffer(b"".join(column_of(name)), np.int64)
 
         docs, keys, firsts, size = map(whole, ("docs", "keys", "firsts", "counts"))
         if key[0].as_py() < 0:
             return spans(docs, keys, firsts, firsts + size + k - 1)
-        unpack = zstandard.ZstdDecompressor()
-        strings = b"\n".join(map(unpack.decompress, column_of("packed"))).split(b"\n")
+        strings = b"\n".join(column_of("packed")).split(b"\n")
         order = np.argsort(docs, kind="stable")
         docs, keys, firsts, size = docs[order], keys[order], firsts[order], size[order]
         skm, place, first = _first_windows([strings[i] for i in order], size, k)
