@@ -32,7 +32,7 @@ from bondmart.plans import cash_reports, repo_reports
 from bondmart.plans.quality import dq_unmatched
 from bondmart.session import checkpoint_dir
 from bondmart.sources.feeds import Feeds
-from bondmart.sources.sinks import remove, write_report
+from bondmart.sources.sinks import observed, remove, write_report
 
 FACTS = ("fact_repo_deal", "fact_repo_collateral", "fact_cash_deal")
 REPORTS = {**repo_reports.REPORTS, **cash_reports.REPORTS}
@@ -73,9 +73,9 @@ def materialize_facts(spark: SparkSession, f: Feeds, run_id: str | None = None,
         path, df, size = f"{root}/{name}", getattr(B, name)(f), Observation()
         write_report(df.observe(size, F.count(F.lit(1)).alias("n")), path)
         copy = spark.read.schema(df.schema).parquet(path)  # an empty fact has no file to take a schema from
-        copy._bm_path = path
+        copy._bm_path = root
         memo[name] = copy
-        sizes[name] = size.get["n"]
+        sizes[name] = observed(size, "n") or 0
 
     _waves(FACT_WAVES, one, workers)
     return sizes

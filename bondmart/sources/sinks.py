@@ -16,6 +16,7 @@ from __future__ import annotations
 import datetime
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -41,14 +42,26 @@ def write_report(df: DataFrame, path: str, partition_by: Sequence[str] = ("deal_
         (w.partitionBy(*cols) if cols else w).format(fmt).save(path)
         return
     seen = Observation()
-    w = w.observe(seen, F.collect_set(F.col(cols[0]).cast("string")).alias("days"))  # at most the run's days
+    days_seen = F.array_join(F.collect_set(F.col(cols[0]).cast("string")), ",")  # at most the run's days
+    w = w.observe(seen, days_seen.alias("days"))
     w.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*cols).format(fmt).save(path)
-    written = set(seen.get["days"])
+    written = set((observed(seen, "days") or "").split(","))
     for day in days:
         if str(day) not in written:
             remove(df.sparkSession, f"{path.rstrip('/')}/{cols[0]}={day}")
 
 
+def observed(seen: Observation, name: str):
+    """An observed metric; None if the plan proved empty while it ran, since
+    Spark then drops the observing node and has no row to report."""
+    try:
+        return seen.get[name]
+    except Py4JJavaError as e:
+        if "toPyRow" not in str(e):
+            raise
+        return None
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder of the session's file system, if it is there."""
     jvm = spark.sparkContext._jvm

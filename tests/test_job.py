@@ -85,7 +85,8 @@ def test_empty_facts_and_clean_up(spark, tmpdir_path):
                 if x.startswith("facts-") or d == "snapshots"} if os.path.isdir(root) else set()
 
     before = left()
-    job.run(spark, _feeds(spark), tmpdir_path, ["root_deal_amount_trans_info", "member_price_deal_info"])
+    job.run(spark, _feeds(spark, bond_deal=[], bond_repo_deal_f=[], ev_cltrl_dtls=[]), tmpdir_path,
+            ["root_deal_amount_trans_info", "member_price_deal_info"])
     assert spark.read.parquet(f"{tmpdir_path}/data_quality").filter("check like 'rows:%'").agg({"n": "sum"}).first()[0] == 0
     assert left() == before
 
