@@ -37,7 +37,7 @@ from pyspark.sql.types import StructType
 
 from bondmart.llm.common import Words, byte_texts, chunks, column, rolling, ship, sliding_min, span_hash, table
 
-WINDOW, GRAM = 13, 4
+WINDOW, GRAM = 13, 3
 CHUNK_BYTES = 2 << 20     # text worked on at once in a task
 BUCKET_BYTES = 12 << 20   # packed strings per bucket, about; a third of it is text
 LONGEST_RUN = 256         # windows in one super-k-mer; a longer run goes on in the next
@@ -82,7 +82,7 @@ def _super_kmers(texts: list[bytes], ids: np.ndarray, keys: np.ndarray, k: int,
     first = np.fromiter(map(seen.setdefault, strings, range(len(strings))), np.int64, len(strings))
     owner = ids[doc]
     again = owner > owner[first]
-    press = zstandard.ZstdCompressor(level=3).compress
+    press = zstandard.ZstdCompressor(level=6).compress
 
     def where(s: np.ndarray) -> tuple[bytes, ...]:
         return tuple(press(x[s].astype(np.int64).tobytes()) for x in (owner, keys[doc], place, size))
