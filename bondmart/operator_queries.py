@@ -141,16 +141,20 @@ def ingest_gbk(spark, sf_dir):
 
 
 # ----------------------------------------------------------------- K1, K2, P1, P2
+def _with_month(df: DataFrame) -> DataFrame:
+    return df.withColumn("deal_month", F.trunc("deal_dt", "month"))
+
+
 @op("sink_report", O.Q["member_price_deal_info"])
 @raw
 def sink_report(spark, sf_dir):
     """K1: the flagship table written through the report sink (parquet,
-    partitioned by deal date, dynamic overwrite) under the shared folder,
-    then read back."""
+    partitioned by the deal's month: all days of the tables are in one run)
+    under the shared folder, then read back."""
     f = feeds_for(spark, sf_dir)
     path = f"{checkpoint_dir(spark).rstrip('/')}/sink-report/{uuid.uuid4().hex}"
-    write_report(RR.member_price_deal_info(f), path)
-    return spark.read.parquet(path)
+    write_report(_with_month(RR.member_price_deal_info(f)), path, ("deal_month",))
+    return spark.read.parquet(path).drop("deal_month")
 
 
 
@@ -161,8 +165,8 @@ def sink_upsert_merge(spark, sf_dir):
     first load holds one side of the keys and wrong sums, which the later
     loads complete and correct."""
     f = feeds_for(spark, sf_dir)
-    full = snapshot(RR.member_price_deal_info(f), "member_price")
-    keys = ["unq_id_in_src_sys", "join_type", "pd_cd", "deal_dt"]
+    full = snapshot(_with_month(RR.member_price_deal_info(f)), "member_price")
+    keys = ["unq_id_in_src_sys", "join_type", "pd_cd", "deal_dt", "deal_month"]
     repo = full.filter(F.col("repo_sum_amount").isNotNull()).select(
         *keys, "repo_weighted_price", "repo_sum_amount")
     rvrse = full.filter(F.col("rvrse_sum_amount").isNotNull()).select(
@@ -173,8 +177,8 @@ def sink_upsert_merge(spark, sf_dir):
     wrong = repo.withColumn("repo_sum_amount", (F.col("repo_sum_amount") + 1).cast(
         full.schema["repo_sum_amount"].dataType))
     for group in (wrong, rvrse, both):
-        upsert(group, path, keys)
-    return spark.read.option("mergeSchema", True).parquet(path).select(*full.columns)
+        upsert(group, path, keys, by="deal_month")
+    return spark.read.option("mergeSchema", True).parquet(path).select(*full.columns).drop("deal_month")
 
 
 @op("sides_unpivot", "SELECT side, member, counter, ev_id, trade_amnt FROM rs_deal")

@@ -69,24 +69,26 @@ def remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def upsert(df: DataFrame, path: str, keys: Sequence[str], days: Sequence[datetime.date] | None = None) -> None:
-    """K2: merge a column group into a stored table partitioned by deal date.
+def upsert(df: DataFrame, path: str, keys: Sequence[str], days: Sequence[datetime.date] | None = None,
+           by: str = "deal_dt") -> None:
+    """K2: merge a column group into a stored table partitioned by deal date
+    (or another date column, one of the keys).
 
     Stored values of other columns and keys stay; the new group's values win.
-    Only the partitions of ``days`` (by default the days in ``df``) are read
+    Only the partitions of ``days`` (by default the dates in ``df``) are read
     and rewritten. The merged rows are written aside first, as a table cannot
     be read and overwritten in one job.
     """
     spark = df.sparkSession
     if days is None:
-        days = [r[0] for r in df.select("deal_dt").distinct().collect()]  # a row per day of the group
+        days = [r[0] for r in df.select(by).distinct().collect()]  # a row per date of the group
     try:
         old = spark.read.option("mergeSchema", True).parquet(path)
     except AnalysisException:  # not stored yet
-        write_report(df, path, days=days)
+        write_report(df, path, (by,), days=days)
         return
-    merged = merge_column_groups([old.filter(F.col("deal_dt").isin(list(days))), df], keys)
-    write_report(snapshot(merged, "upsert"), path, days=days)
+    merged = merge_column_groups([old.filter(F.col(by).isin(list(days))), df], keys)
+    write_report(snapshot(merged, "upsert"), path, (by,), days=days)
 
 
 def merge_column_groups(groups: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
