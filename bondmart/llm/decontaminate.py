@@ -11,21 +11,33 @@ each value of the item stands for one value of the document, and different
 names for different names. An item is found if consistent copies cover at
 least 0.6 of its tokens and 8 of its plain words (or all).
 
+Template windows alone don't find items of under 5 tokens or of few plain
+words, and a copy's first and last tokens take their kind from the words
+around it. So every item is also searched whole, with its literal values: its
+lower-cased words, numbers and signs (``Literals``; a character is a token in
+scripts without spaces) in windows of 8 tokens, or of its own length if that is
+less. A whole copy (all windows of the item at one offset) is found with
+coverage 1, whatever its words.
+
 Only document windows whose hash is set in a bitmap of the benchmark's
 windows travel. The bitmap has a fixed size; what it lets through by chance is
 removed by the join. Windows of both sides are computed over whole texts.
 
-Defined cases: null and empty texts match nothing; items of under 5 tokens
-can't be told from chance and are not searched; repeated items and items with
-a null id are dealt with like others; a null doc_id stays null in the result;
-rows that share a doc_id are told apart by their text; other columns are
-ignored; an empty table on either side gives an empty result.
+Defined cases: null texts and texts without a word or sign match nothing;
+an item that repeats one phrase (two or more times in full) isn't found whole
+inside a longer run of the same phrase, which is another text; repeated items
+and items with a null id are dealt with like others; a null doc_id stays null
+in the result; rows that share a doc_id are told apart by their text; other
+columns are ignored; an empty table on either side gives an empty result.
 """
 
 from __future__ import annotations
 
+import sys
+import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -149,36 +161,154 @@ class Templates:
 
 _UNIT_HASHES, _NUMBER_HASHES = _known(UNITS), _known(NUMBER_WORDS)
 
-_WINDOWS = "hash long, template string, at int, size int, slots array<string>"
-_TYPES = [pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.list_(pa.string())]
+#: signs that sentences and quotations are made of; all others are tokens
+_MARKS = ".,;:!?\"'`()[]{}\u00a1\u00bf\u00ab\u00bb\u2026"
+#: first and last characters of scripts written without spaces
+_UNSPACED = [(0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0x2FDF), (0x3005, 0x3007), (0x3040, 0x30FF),
+             (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F),
+             (0x1B000, 0x1B16F), (0x20000, 0x3FFFD)]
+_GAP, _IN_WORD, _DIGIT_SIGN, _ALONE = 0, 1, 2, 3
+
+
+@cache
+def _classes() -> np.ndarray:
+    """By code point: between tokens, part of a word, a digit, or a token of its own."""
+    out = np.zeros(sys.maxunicode + 1, np.int8)
+    for i in range(0x32400):  # what is assigned; private characters and tags are no tokens
+        c = chr(i)
+        kind = unicodedata.category(c)
+        if kind == "Nd":
+            out[i] = _DIGIT_SIGN
+        elif kind[0] in "LMN":
+            out[i] = _IN_WORD
+        elif kind[0] == "S" or kind in ("Po", "Pd", "Pc") and unicodedata.normalize("NFKC", c) not in _MARKS:
+            out[i] = _ALONE
+    for a, b in _UNSPACED:
+        part = out[a:b + 1]
+        part[part == _IN_WORD] = _ALONE
+    for c in "\u00b7\u3001\u3002\uff61\uff64\u2018\u2019\u201c\u201d" + _MARKS:
+        out[ord(c)] = _GAP
+    return out
+
+
+class Literals:
+    """Tokens of several texts as they stand: lower-cased words and numbers,
+    signs, and characters of scripts without spaces. A token depends on no word
+    beside it, so a copy has an item's tokens wherever it stands."""
+
+    def __init__(self, texts: list[bytes]):
+        lower = [unicodedata.normalize("NFC", t.decode("utf-8", "replace").casefold()) for t in texts]
+        raw = np.frombuffer(("\n".join(lower) + "\n").encode("utf-32-le", "replace"), np.uint32)
+        kind = _classes()[raw]
+        digit = kind == _DIGIT_SIGN
+        inside = digit | (kind == _IN_WORD)
+        point = np.flatnonzero((raw == 0x2E) | (raw == 0x2C))  # 1,000.5 is one number
+        inside[point] = digit[point - 1] & digit[np.minimum(point + 1, len(raw) - 1)] & (point > 0)
+        alone = kind == _ALONE
+        head, tail = inside | alone, inside | alone
+        head[1:] &= ~(inside[1:] & inside[:-1])
+        tail[:-1] &= ~(inside[:-1] & inside[1:])
+        start, end = np.flatnonzero(head), np.flatnonzero(tail) + 1
+        first = np.cumsum(np.fromiter((len(t) + 1 for t in lower), np.int64, len(lower)))
+        self.doc = np.searchsorted(first, start, side="right")
+        size = end - start
+        at = np.cumsum(size + 1) - size - 1  # each token followed by one space
+        clean = np.full(int((size + 1).sum()), 0x20, np.uint32)
+        clean[np.arange(int(size.sum())) + np.repeat(np.arange(len(size)), size)] = raw[inside | alone]
+        self.clean, self.start, self.end = clean, at, at + size
+        self.hash = span_hash(clean, at)
+
+    def __len__(self) -> int:
+        return len(self.doc)
+
+    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places and hashes of windows within one text."""
+        n = len(self) - size + 1
+        if n <= 0:
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        at = np.flatnonzero(self.doc[:n] == self.doc[size - 1:])
+        return at, rolling(self.hash, size)[at] ^ np.uint64(size << 32)
+
+    def text(self, i: int, size: int) -> str:
+        return self.clean[self.start[i]:self.end[i + size - 1]].tobytes().decode("utf-32-le", "replace")
+
+
+_WINDOWS = "hash long, template string, at int, size int, slots array<string>, whole boolean"
+_TYPES = [pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.bool_()]
 
 
 def _plain(size: int) -> int:
     return min(PLAIN_WORDS, size - 1)
 
 
+def _signed(h: np.uint64) -> int:
+    return int(h.astype(np.int64))
+
+
+def _places(tokens: int) -> list[int]:
+    """Places of the literal windows that together hold a whole item."""
+    size = min(WINDOW, tokens)
+    return sorted({*range(0, tokens - size + 1, size), tokens - size})
+
+
+def _apart(places: np.ndarray, tokens: int) -> np.ndarray:
+    """Those of an item's whole copies (sorted places) that no other copy
+    overlaps by half or more: such copies are one longer run of a phrase."""
+    near = np.diff(places) * 2 <= tokens
+    alone = np.ones(len(places), bool)
+    alone[1:] &= ~near
+    alone[:-1] &= ~near
+    return places[alone]
+
+
 def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["item_id", *(c.split()[0] for c in _WINDOWS.split(", ")), "tokens", "plain"]
+    names = ["item_id", *(c.split()[0] for c in _WINDOWS.split(", ")), "tokens", "plain", "whole_tokens"]
     for batch in batches:
         rows = []
         for item, text in zip(column(batch, "item_id").to_pylist(), byte_texts(batch)):
-            t = Templates([text or b""])
+            t, whole = Templates([text or b""]), Literals([text or b""])
+            plain = int((t.kind == 0).sum())
+            if len(whole):
+                size = min(WINDOW, len(whole))
+                h = whole.windows(size)[1]
+                rows += [(item, _signed(h[at]), whole.text(at, size), at, size, [], True, len(t), plain, len(whole))
+                         for at in _places(len(whole))]
             size = min(WINDOW, len(t))
             if size < SHORTEST:
                 continue
-            plain = int((t.kind == 0).sum())
             for at, h in zip(*t.windows(size, _plain(size))):
                 template, slots = t.template(at, size)
-                rows.append((item, int(h.astype(np.int64)), template, int(at), size, slots, len(t), plain))
-        kinds = [pa.int64(), *_TYPES, pa.int32(), pa.int32()]
+                rows.append((item, _signed(h), template, int(at), size, slots, False, len(t), plain, len(whole)))
+        kinds = [pa.int64(), *_TYPES, pa.int32(), pa.int32(), pa.int32()]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names)
 
 
-def _doc_windows(bitmap, sizes: list[int]):
+def _whole_hits(t: Literals, size: int, marked) -> list[tuple[int, int]]:
+    """Places and hashes of the marked literal windows of some texts. A window
+    of under 8 tokens is a whole item, so one place a text says all."""
+    at, h = t.windows(size)
+    hit = marked(h)
+    at, h = at[hit].tolist(), h[hit].astype(np.int64).tolist()
+    if size == WINDOW:
+        return list(zip(at, h))
+    copies = defaultdict(list)
+    for a, x in zip(at, h):
+        copies[int(t.doc[a]), x].append(a)
+    kept = ((_apart(np.array(places), size), x) for (_, x), places in copies.items())
+    return [(int(places[0]), x) for places, x in kept if len(places)]
+
+
+def _doc_windows(bitmap, sizes: list[int], whole_sizes: list[int]):
     names = ["doc_id", "row_key", *(c.split()[0] for c in _WINDOWS.split(", "))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = bitmap.value
+
+        def marked(h: np.ndarray) -> np.ndarray:
+            slot = h & np.uint64(BITMAP_BITS - 1)
+            hit = (bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1)
+            return np.flatnonzero(hit)
+
         for batch in batches:
             ids, keys = column(batch, "doc_id").to_pylist(), column(batch, "row_key").to_pylist()
             texts = byte_texts(batch)
@@ -187,13 +317,17 @@ def _doc_windows(bitmap, sizes: list[int]):
                 first = np.searchsorted(t.doc, np.arange(b - a))
                 for size in sizes:
                     at, h = t.windows(size, _plain(size))
-                    slot = h & np.uint64(BITMAP_BITS - 1)
-                    hit = (bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1)
-                    for i in np.flatnonzero(hit):
+                    for i in marked(h):
                         d = t.doc[at[i]]
                         template, slots = t.template(at[i], size)
-                        rows.append((ids[a + d], keys[a + d], int(h[i].astype(np.int64)), template,
-                                     int(at[i] - first[d]), size, slots))
+                        rows.append((ids[a + d], keys[a + d], _signed(h[i]), template, int(at[i] - first[d]), size,
+                                     slots, False))
+                t = Literals(texts[a:b])
+                first = np.searchsorted(t.doc, np.arange(b - a))
+                for size in whole_sizes:
+                    for i, h in _whole_hits(t, size, marked):
+                        d = t.doc[i]
+                        rows.append((ids[a + d], keys[a + d], h, t.text(i, size), int(i - first[d]), size, [], True))
                 if rows:
                     kinds = [pa.int64(), pa.int64(), *_TYPES]
                     yield pa.RecordBatch.from_arrays(
@@ -234,16 +368,27 @@ def _judge(coverage: float, plain_covered: int):
             if consistent(pairs):
                 covered |= words
                 changed |= any(a != b for _, a, b in pairs)
-        share = len(covered) / tokens
+        share = len(covered) / max(tokens, 1)
         if share >= coverage and sum(covered.values()) >= min(plain_covered, plain):
             return share, changed
         return None
 
+    def whole(windows: list[dict], tokens: int) -> bool:
+        copies = defaultdict(set)
+        for w in windows:
+            copies[w["there"] - w["at"]].add(w["at"])
+        full = len(_places(tokens))
+        places = sorted(there for there, at in copies.items() if len(at) == full)
+        return len(_apart(np.array(places, np.int64), tokens)) > 0
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for r in batch.to_pylist():
-                if (got := verdict(r["windows"], r["tokens"], r["plain"])) is not None:
+                got = verdict([w for w in r["windows"] if not w["whole"]], r["tokens"], r["plain"])
+                if whole([w for w in r["windows"] if w["whole"]], r["whole_tokens"]):
+                    got = 1.0, got is not None and got[1]
+                if got is not None:
                     rows.append((r["doc_id"], r["item_id"], *got))
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.bool_()]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names)
@@ -258,7 +403,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
     spark = docs.sparkSession
     ship(spark)
     items = benchmark.where("text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
-    items = items.mapInArrow(_item_windows, f"item_id long, {_WINDOWS}, tokens int, plain int")
+    items = items.mapInArrow(_item_windows, f"item_id long, {_WINDOWS}, tokens int, plain int, whole_tokens int")
     # at most one row per word of the bitmap reaches the driver, however long the benchmark is
     slot = F.col("hash").bitwiseAND(F.lit(BITMAP_BITS - 1))
     words = items.groupBy(F.shiftright(slot, 6).alias("word")).agg(F.bit_or(F.expr(
@@ -266,16 +411,17 @@ def find_items(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
     bits = np.zeros(BITMAP_BITS // 64, np.uint64)
     for w in words:
         bits[w["word"]] = np.int64(w["bits"]).astype(np.uint64)
-    sizes = [r[0] for r in items.select("size").distinct().collect()]
+    known = items.select("size", "whole").distinct().collect()
+    sizes, whole_sizes = ([r.size for r in known if r.whole == w] for w in (False, True))
     rows = docs.where("text is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("row_key"))
-    found = rows.mapInArrow(_doc_windows(spark.sparkContext.broadcast(bits), sizes),
+    found = rows.mapInArrow(_doc_windows(spark.sparkContext.broadcast(bits), sizes, whole_sizes),
                             f"doc_id long, row_key long, {_WINDOWS}")
-    theirs = found.select("doc_id", "row_key", "hash", "template", F.col("at").alias("there"),
+    theirs = found.select("doc_id", "row_key", "hash", "template", "whole", F.col("at").alias("there"),
                           F.col("slots").alias("theirs"))
-    met = theirs.join(items, ["hash", "template"])
-    copies = met.groupBy("doc_id", "row_key", "item_id", "tokens", "plain").agg(F.collect_list(F.struct(
-        "at", "there", "template", "slots", "theirs")).alias("windows"))  # at most a text's windows times an item's
+    met = theirs.join(items, ["hash", "template", "whole"])
+    copies = met.groupBy("doc_id", "row_key", "item_id", "tokens", "plain", "whole_tokens").agg(F.collect_list(F.struct(
+        "at", "there", "template", "whole", "slots", "theirs")).alias("windows"))  # at most a text's windows times an item's
     return copies.mapInArrow(_judge(coverage, plain_covered),
                              "doc_id long, item_id long, coverage double, reparameterised boolean")
 
