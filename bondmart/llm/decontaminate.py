@@ -9,7 +9,9 @@ besides its hash. For a document and an item, windows at the same offset are
 one copy of the item: the copy counts if its slots are consistent, that is,
 each value of the item stands for one value of the document, and different
 names for different names. An item is found if consistent copies cover at
-least 0.6 of its tokens and 8 of its plain words (or all).
+least 0.6 of its tokens and 8 of its plain words (or all), or if one consistent
+copy covers 13 consecutive tokens with 8 plain words among them, whatever
+share of a long item they are: a passage of the item.
 
 Template windows alone don't find items of under 5 tokens or of few plain
 words, and a copy's first and last tokens take their kind from the words
@@ -48,6 +50,7 @@ from bondmart.llm.common import byte_texts, chunks, column, mix, rolling, ship,
 
 WINDOW, SHORTEST, PLAIN_WORDS = 8, 5, 4
 COVERAGE, PLAIN_COVERED = 0.6, 8
+PASSAGE = 13  # consecutive tokens of an item that one copy must cover
 BITMAP_BITS = 1 << 23
 CHUNK_BYTES = 2 << 20
 
@@ -349,6 +352,20 @@ def consistent(pairs: list[tuple[str, str, str]]) -> bool:
     return True
 
 
+def _passage(words: dict[int, bool], plain_covered: int) -> bool:
+    """words: place and whether it is a plain word. Are there PASSAGE
+    consecutive places or more, with enough plain words?"""
+    run = plain = 0
+    last = None
+    for place in sorted(words):
+        if last is None or place != last + 1:
+            run = plain = 0
+        run, plain, last = run + 1, plain + words[place], place
+        if run >= PASSAGE and plain >= plain_covered:
+            return True
+    return False
+
+
 def _judge(coverage: float, plain_covered: int):
     names = ["doc_id", "item_id", "coverage", "reparameterised"]
 
@@ -357,7 +374,7 @@ def _judge(coverage: float, plain_covered: int):
         for w in windows:
             copies[w["there"] - w["at"]].append(w)
         covered: dict[int, bool] = {}
-        changed = False
+        changed = passage = False
         for copy in copies.values():
             pairs, words = [], {}
             for w in copy:
@@ -368,8 +385,9 @@ def _judge(coverage: float, plain_covered: int):
             if consistent(pairs):
                 covered |= words
                 changed |= any(a != b for _, a, b in pairs)
+                passage |= _passage(words, plain_covered)
         share = len(covered) / max(tokens, 1)
-        if share >= coverage and sum(covered.values()) >= min(plain_covered, plain):
+        if passage or share >= coverage and sum(covered.values()) >= min(plain_covered, plain):
             return share, changed
         return None
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 from bondmart.llm import decontaminate
 from test_models_and_search import ITEM
 
@@ -37,3 +39,15 @@ def test_a_copy_with_other_slots_stays_a_copy_with_other_slots(spark):
     b = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
     got = {r.doc_id: r.reparameterised for r in decontaminate.find_items(d, b).collect()}
     assert got == {1: False, 2: True, 3: True}
+
+
+def test_passages_of_long_items_are_found(spark):
+    r = random.Random(3)
+    words = ["".join(r.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(400)]
+    long, short = " ".join(words[:200]), " ".join(words[200:300])
+    docs = [(1, FILLER + " ".join(words[50:150])), (2, " ".join(words[220:270]) + " " + FILLER),
+            (3, " ".join(words[30:43])), (4, " ".join(words[30:42])), (5, " ".join(words[187:200])),
+            (6, " ".join(words[10:22] + ["else"] + words[23:35])), (7, " ".join(words[300:]))]
+    got = found(spark, docs, [(1, long), (2, short)])
+    assert [(d, i) for d, i, _ in got] == [(1, 1), (2, 2), (3, 1), (5, 1)]
+    assert got[0][2] == 0.5 and got[1][2] == 0.5
