@@ -367,7 +367,7 @@ def _passage(words: dict[int, bool], plain_covered: int) -> bool:
 
 
 def _judge(coverage: float, plain_covered: int):
-    names = ["doc_id", "item_id", "coverage", "reparameterised"]
+    names = ["doc_id", "row_key", "item_id", "coverage", "reparameterised"]
 
     def verdict(windows: list[dict], tokens: int, plain: int) -> tuple[float, bool] | None:
         copies = defaultdict(list)
@@ -407,17 +407,18 @@ def _judge(coverage: float, plain_covered: int):
                 if whole([w for w in r["windows"] if w["whole"]], r["whole_tokens"]):
                     got = 1.0, got is not None and got[1]
                 if got is not None:
-                    rows.append((r["doc_id"], r["item_id"], *got))
-            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.bool_()]
+                    rows.append((r["doc_id"], r["row_key"], r["item_id"], *got))
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.bool_()]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names)
 
     return run
 
 
-def find_items(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE,
-               plain_covered: int = PLAIN_COVERED) -> DataFrame:
-    """doc_id, item_id, coverage, reparameterised for each row of docs(doc_id,
-    text) and item of benchmark(item_id, text) found in it."""
+def find_rows(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE,
+              plain_covered: int = PLAIN_COVERED) -> DataFrame:
+    """doc_id, row_key, item_id, coverage, reparameterised for each row of
+    docs(doc_id, text) and item of benchmark(item_id, text) found in it.
+    row_key is xxhash64(text)."""
     spark = docs.sparkSession
     ship(spark)
     items = benchmark.where("text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
@@ -441,7 +442,13 @@ def find_items(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
     copies = met.groupBy("doc_id", "row_key", "item_id", "tokens", "plain", "whole_tokens").agg(F.collect_list(F.struct(
         "at", "there", "template", "whole", "slots", "theirs")).alias("windows"))  # at most a text's windows times an item's
     return copies.mapInArrow(_judge(coverage, plain_covered),
-                             "doc_id long, item_id long, coverage double, reparameterised boolean")
+                             "doc_id long, row_key long, item_id long, coverage double, reparameterised boolean")
+
+
+def find_items(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE,
+               plain_covered: int = PLAIN_COVERED) -> DataFrame:
+    """``find_rows`` without row_key."""
+    return find_rows(docs, benchmark, coverage, plain_covered).drop("row_key")
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

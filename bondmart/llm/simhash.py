@@ -88,8 +88,9 @@ def _fingerprints(size: int):
                 lists = [shingle_hashes(t, size) for t in texts[a:b]]
                 flat = np.fromiter((h for hs in lists for h in hs), np.uint64)
                 out.append(majority(flat, np.array([len(hs) for hs in lists])))
+            kept = [n for n in batch.schema.names if n != "text"]
             yield pa.RecordBatch.from_arrays(
-                [column(batch, "doc_id"), pa.array(np.concatenate(out).view(np.int64))], ["doc_id", "fp"])
+                [*(column(batch, n) for n in kept), pa.array(np.concatenate(out).view(np.int64))], [*kept, "fp"])
 
     return run
 
@@ -297,5 +298,23 @@ def _answer(prints: DataFrame, nodes: DataFrame, parts: DataFrame) -> DataFrame:
         F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
+def first_rows(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """doc_id, row_key, part: by group of near copies (part) the rows of
+    docs(doc_id, text) with the group's smallest doc_id, by row and not by
+    doc_id. A null doc_id is a row like others and comes last. row_key is
+    xxhash64(text)."""
+    ship(docs.sparkSession)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row_key"), "text")
+    prints = materialize(rows.mapInArrow(_fingerprints(shingle), "doc_id long, row_key long, fp long"), "fingerprints")
+    nodes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")  # null: no row has an id
+    parts = components(links(nodes.select(F.col("fp").alias("node"), "fp"), radius))
+    named = nodes.join(parts, nodes.fp == parts.node, "left").select(
+        "fp", "least", F.coalesce("component", "fp").alias("part"))
+    first = named.groupBy("part").agg(F.min("least").alias("first"))
+    by_print = named.join(first, "part").select(F.col("fp").alias("print"), "part", "first")
+    return prints.join(by_print, (F.col("fp") == F.col("print")) & F.col("doc_id").eqNullSafe(F.col("first"))).select(
+        "doc_id", "row_key", "part").distinct()
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))

@@ -1,11 +1,14 @@
 """A corpus pipeline of the training-data operators, stage by stage.
 
 Language ID drops texts without a known or clear language; SimHash keeps one
-document (the smallest doc_id) of each group of near copies; substring dedup
+row (the smallest doc_id) of each group of near copies; substring dedup
 cuts passages that a document with a smaller doc_id has, and drops documents
 with nothing left; decontamination drops documents that hold a benchmark
 item; SentencePiece encodes and decodes what is left. Null texts go in the
-first stage; an empty table stays empty.
+first stage; an empty table stays empty. SimHash and decontamination judge
+rows, told apart by doc_id and text: rows that share a doc_id don't stand for
+each other, and a row with a null doc_id goes only if it is a near copy (it
+comes last in its group) or holds an item itself.
 """
 
 from __future__ import annotations
@@ -14,10 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bondmart.llm.common import shared_path, table
-from bondmart.llm.decontaminate import find_items
+from bondmart.llm.decontaminate import find_rows
 from bondmart.llm.language import UNKNOWN, learn, with_language
 from bondmart.llm.sentencepiece_op import encode_decode
-from bondmart.llm.simhash import near_duplicates
+from bondmart.llm.simhash import first_rows
 from bondmart.llm.substring_dedup import remove_repeats
 
 
@@ -28,12 +31,11 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each component, one row of it."""
-    heads = near_duplicates(docs).where("doc_id = component_id").select(F.col("component_id").alias("head"))
-    kept = docs.join(heads.distinct(), F.col("doc_id") == F.col("head"), "left_semi")
-    # rows that repeat a doc_id: the least text stays
-    return kept.groupBy("doc_id").agg(F.min(F.struct(*[c for c in docs.columns if c != "doc_id"])).alias("row")).select(
-        *[F.col("doc_id") if c == "doc_id" else F.col(f"row.{c}").alias(c) for c in docs.columns])
+    """One row of each group of near copies: the smallest doc_id, of that the least text."""
+    first = first_rows(docs).select(F.col("doc_id").alias("__id"), F.col("row_key").alias("__key"), F.col("part").alias("__part"))
+    rows = docs.join(first, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__key")))
+    least = F.min(F.struct("text", *[c for c in docs.columns if c != "text"])).alias("row")
+    return rows.groupBy("__part").agg(least).select(*[F.col(f"row.{c}").alias(c) for c in docs.columns])
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,9 +46,10 @@ def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no item of benchmark."""
-    bad = find_items(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("bad")).distinct()
-    return docs.join(bad, F.col("doc_id") == F.col("bad"), "left_anti")
+    """Rows that hold no item of benchmark."""
+    bad = find_rows(docs, table(spark, sf_dir, "benchmark")).select(
+        F.col("doc_id").alias("__id"), F.col("row_key").alias("__key")).distinct()
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__key")), "left_anti")
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
