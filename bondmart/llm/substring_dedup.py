@@ -15,6 +15,11 @@ so sends one string per task and super-k-mer. Strings of a bucket are packed
 into one compressed block per task and chunk of text. The number of buckets
 follows the bytes of text.
 
+A minimiser with very many surroundings would make one large bucket. The bytes
+of every bucket are counted first; a heavy bucket's windows travel one by one,
+dealt by the hash of the whole window to as many buckets as its bytes need.
+Equal windows still meet, and the rest of the text is sent as before.
+
 Defined cases: null text has no words; shorter texts than k words lose
 nothing; rows that share a doc_id are one document for the comparison, and
 each keeps its own row (equal texts under one doc_id get equal rows); rows
@@ -40,6 +45,7 @@ from bondmart.llm.common import Words, byte_texts, chunks, column, rolling, ship
 WINDOW, GRAM = 13, 3
 CHUNK_BYTES = 2 << 20     # text worked on at once in a task
 BUCKET_BYTES = 12 << 20   # packed strings per bucket, about; a third of it is text
+HEAVY_BYTES = 48 << 20    # packed strings of a bucket that is dealt by window
 LONGEST_RUN = 256         # windows in one super-k-mer; a longer run goes on in the next
 
 _BLOCK = "bucket long, docs binary, keys binary, firsts binary, counts binary, packed binary"
@@ -53,18 +59,46 @@ def _pack(rows: list[tuple]) -> pa.RecordBatch:
         [pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names)
 
 
-def _super_kmers(texts: list[bytes], ids: np.ndarray, keys: np.ndarray, k: int, m: int, buckets: int):
-    """Blocks of super-k-mers by bucket, and one block of spans that are
-    already known to be repeats. Texts are sorted by id."""
+class Heavy:
+    """The heavy buckets and, for each, its own range of further buckets."""
+
+    def __init__(self, weights: dict[int, int], buckets: int, k: int):
+        self.ids = np.array(sorted(weights), np.int64)
+        # a window sent alone has k words instead of about k / 3
+        self.parts = np.array([-(-(k + 2) // 3 * weights[i] // BUCKET_BYTES) for i in sorted(weights)], np.int64)
+        self.base = buckets + np.cumsum(self.parts) - self.parts
+        self.all = buckets + int(self.parts.sum())
+
+    def split(self, bucket: np.ndarray, head: np.ndarray, size: np.ndarray, window):
+        """Super-k-mers with those of heavy buckets cut into their windows, in the order of the text."""
+        nth = np.minimum(np.searchsorted(self.ids, bucket), len(self.ids) - 1)
+        heavy = self.ids[nth] == bucket
+        if not heavy.any():
+            return bucket, head, size
+        own = np.flatnonzero(heavy)
+        which = np.repeat(own, size[own])
+        alone = head[which] + np.arange(len(which)) - np.repeat(np.cumsum(size[own]) - size[own], size[own])
+        nth = nth[which]
+        dealt = self.base[nth] + (window(alone) % self.parts[nth].astype(np.uint64)).astype(np.int64)
+        bucket, head, size = (np.concatenate([x[~heavy], y]) for x, y in (
+            (bucket, dealt), (head, alone), (size, np.ones(len(alone), np.int64))))
+        order = np.argsort(head, kind="stable")
+        return bucket[order], head[order], size[order]
+
+
+def _cut(texts: list[bytes], ids: np.ndarray, k: int, m: int, buckets: int, heavy: Heavy | None):
+    """Super-k-mers of texts sorted by id: text, place, windows, string, bucket,
+    and whether an earlier document here has it; None if there are none."""
     words = Words(texts)
     n = len(words.start)
     if n < k:
-        return
-    grams = rolling(span_hash(words.bytes, words.start), m)
+        return None
+    hashes = span_hash(words.bytes, words.start)
+    grams = rolling(hashes, m)
     least = sliding_min(grams, k - m + 1)  # by window
     at = np.flatnonzero(words.doc[:n - k + 1] == words.doc[k - 1:])
     if not len(at):
-        return
+        return None
     least, doc = least[at], words.doc[at]
     new = np.ones(len(at), bool)
     new[1:] = (doc[1:] != doc[:-1]) | (least[1:] != least[:-1])
@@ -74,6 +108,9 @@ def _super_kmers(texts: list[bytes], ids: np.ndarray, keys: np.ndarray, k: int,
     nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
     head = np.repeat(head, parts) + nth * LONGEST_RUN
     size = np.minimum(np.repeat(size, parts) - nth * LONGEST_RUN, LONGEST_RUN)
+    bucket = (least[head] % np.uint64(buckets)).astype(np.int64)
+    if heavy:
+        bucket, head, size = heavy.split(bucket, head, size, lambda w: rolling(hashes, k)[at[w]])
     begin, doc = at[head], doc[head]
     first_word = np.searchsorted(words.doc, np.arange(len(texts)))
     place = begin - first_word[doc]
@@ -81,7 +118,17 @@ def _super_kmers(texts: list[bytes], ids: np.ndarray, keys: np.ndarray, k: int,
     strings = [data[a:b] for a, b in zip(words.start[begin].tolist(), words.end[begin + size + k - 2].tolist())]
     first = np.fromiter(map(seen.setdefault, strings, range(len(strings))), np.int64, len(strings))
     owner = ids[doc]
-    again = owner > owner[first]
+    return doc, place, size, strings, bucket, owner > owner[first]
+
+
+def _super_kmers(texts: list[bytes], ids: np.ndarray, keys: np.ndarray, k: int, m: int, buckets: int,
+                 heavy: Heavy | None):
+    """Blocks of super-k-mers by bucket, and one block of spans that are
+    already known to be repeats. Texts are sorted by id."""
+    if (cut := _cut(texts, ids, k, m, buckets, heavy)) is None:
+        return
+    doc, place, size, strings, bucket, again = cut
+    owner = ids[doc]
     press = zstandard.ZstdCompressor(level=6).compress
 
     def where(s: np.ndarray) -> tuple[bytes, ...]:
@@ -90,7 +137,7 @@ def _super_kmers(texts: list[bytes], ids: np.ndarray, keys: np.ndarray, k: int,
     if again.any():
         yield (-1 - int(keys[0] & 0xFFFF), *where(np.flatnonzero(again)), None)
     send = np.flatnonzero(~again)
-    bucket = (least[head[send]] % np.uint64(buckets)).astype(np.int64)
+    bucket = bucket[send]
     order = np.argsort(bucket, kind="stable")
     send, bucket = send[order], bucket[order]
     edges = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket))
@@ -99,7 +146,28 @@ def _super_kmers(texts: list[bytes], ids: np.ndarray, keys: np.ndarray, k: int,
         yield (int(bucket[a]), *where(s), press(b"\n".join([strings[i] for i in s])))
 
 
-def _split(k: int, m: int, buckets: int):
+def _weigh(k: int, m: int, buckets: int):
+    """Bytes that each bucket gets, by chunk of text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = byte_texts(batch)
+            ids = column(batch, "doc_id").to_numpy(zero_copy_only=False)
+            for a, b in chunks([len(t) for t in texts], CHUNK_BYTES):
+                order = np.argsort(ids[a:b], kind="stable") + a
+                if (cut := _cut([texts[i] for i in order], ids[order], k, m, buckets, None)) is None:
+                    continue
+                *_, strings, bucket, again = cut
+                sent = np.flatnonzero(~again)
+                found, nth = np.unique(bucket[sent], return_inverse=True)
+                sizes = np.fromiter(map(len, strings), np.int64, len(strings))[sent]
+                total = np.bincount(nth, sizes, len(found)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total)], ["bucket", "bytes"])
+
+    return run
+
+
+def _split(k: int, m: int, buckets: int, heavy: Heavy | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = byte_texts(batch)
@@ -107,7 +175,7 @@ def _split(k: int, m: int, buckets: int):
             keys = column(batch, "row_key").to_numpy(zero_copy_only=False)
             for a, b in chunks([len(t) for t in texts], CHUNK_BYTES):
                 order = np.argsort(ids[a:b], kind="stable") + a
-                rows = list(_super_kmers([texts[i] for i in order], ids[order], keys[order], k, m, buckets))
+                rows = list(_super_kmers([texts[i] for i in order], ids[order], keys[order], k, m, buckets, heavy))
                 if rows:
                     yield _pack(rows)
 
@@ -195,9 +263,15 @@ def repeated_spans(docs: DataFrame, k: int = WINDOW, m: int = GRAM) -> DataFrame
         F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("row_key"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-3 * size // BUCKET_BYTES))
+    heavy = None
+    if size * k > HEAVY_BYTES:  # less can't fill a heavy bucket
+        weights = rows.select("doc_id", "text").mapInArrow(_weigh(k, m, buckets), "bucket long, bytes long").groupBy(
+            "bucket").agg(F.sum("bytes").alias("bytes")).where(F.col("bytes") > HEAVY_BYTES).collect()
+        if weights:  # at most one for each HEAVY_BYTES of strings
+            heavy = Heavy({r["bucket"]: r["bytes"] for r in weights}, buckets, k)
     # the exchange has a partition per bucket, or the session's own number if that is more
-    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), buckets)
-    return (rows.mapInArrow(_split(k, m, buckets), _BLOCK).repartition(parts, "bucket")
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), heavy.all if heavy else buckets)
+    return (rows.mapInArrow(_split(k, m, buckets, heavy), _BLOCK).repartition(parts, "bucket")
             .groupBy("bucket").applyInArrow(_count(k), _SPAN))
 
 
