@@ -14,6 +14,7 @@ import __spark_entry__ as E
 from bondmart.registry import feeds_for
 from bondmart.plans import cash_reports as CR
 from bondmart.plans import repo_reports as RR
+from bondmart.sources.testviews import TABLES
 
 ORACLE_SLICE = [
     "member_price_deal_info", "ctgry_price_deal_info", "global_price_deal_info",
@@ -34,7 +35,7 @@ def _norm(v):
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ["customer", "part", "orders", "lineitem"]:
+    for t in TABLES:
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     return c
 
