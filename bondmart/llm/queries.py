@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from bondmart.llm.alignment import op11_alignment
+from bondmart.llm.bpe_trie import op13_bpe_trie
 from bondmart.llm.decontaminate import op9_decontaminate
 from bondmart.llm.kd_search import OP6_SQL, op6_kd_search
 from bondmart.llm.language import op4_language
@@ -24,6 +26,8 @@ QUERIES = {f.__name__: f for f in (
     op8_simhash,
     op9_decontaminate,
     op10_url_filter,
+    op11_alignment,
+    op13_bpe_trie,
 )}
 
 SQL: dict[str, str] = {
