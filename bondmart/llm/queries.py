@@ -8,6 +8,7 @@ from bondmart.llm.decontaminate import op9_decontaminate
 from bondmart.llm.kd_search import OP6_SQL, op6_kd_search
 from bondmart.llm.language import op4_language
 from bondmart.llm.sentencepiece_op import op7_sentencepiece
+from bondmart.llm.repair import op12_conversation_repair
 from bondmart.llm.simhash import op8_simhash
 from bondmart.llm.substring_dedup import op3_substring_dedup
 from bondmart.llm.token_counts import op2_token_counts
@@ -27,6 +28,7 @@ QUERIES = {f.__name__: f for f in (
     op9_decontaminate,
     op10_url_filter,
     op11_alignment,
+    op12_conversation_repair,
     op13_bpe_trie,
 )}
 
