@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from bondmart import labels as L
 from bondmart.operators.joins import dedupe_latest, small
 
+SKETCH_LOG_K = 12  # a sketch of at most about 4 KB, 1.6 % standard error
+
 
 def sides_unpivot(
     df: DataFrame,
@@ -144,18 +146,65 @@ def with_category(
 
 
 def rollup_agg(df: DataFrame, rollup: DataFrame, keys: Sequence[str], sums: dict[str, Column],
-               sets: dict[str, Column] | None = None, member: str = "member") -> DataFrame:
-    """groupBy(root, join_type, keys) of ``df`` with sums and distinct sets,
-    by way of member grain: aggregate by (member, keys), attach the root and
-    fan out to 全部 and the own type, then combine the members of a root.
-    With ``member`` among the keys the second step is not needed."""
-    keys, sets = [k for k in keys if k not in ("root", "join_type")], sets or {}
+               member: str = "member") -> DataFrame:
+    """groupBy(root, join_type, keys) of ``df`` with sums, by way of member
+    grain: aggregate by (member, keys), attach the root and fan out to 全部 and
+    the own type, then combine the members of a root. With ``member`` among the
+    keys the second step is not needed."""
+    keys = [k for k in keys if k not in ("root", "join_type")]
     fine = keys if member in keys else [member, *keys]
-    first = df.groupBy(*fine).agg(*[F.sum(e).alias(n) for n, e in sums.items()],
-                                  *[F.collect_set(e).alias(n) for n, e in sets.items()])
+    first = df.groupBy(*fine).agg(*[F.sum(e).alias(n) for n, e in sums.items()])
     wide = explode_join_types(with_rollup(first, rollup, member))
     if member in keys:
         return wide
-    return wide.groupBy("root", "join_type", *keys).agg(
+    return wide.groupBy("root", "join_type", *keys).agg(*[F.sum(n).alias(n) for n in sums])
+
+
+def rollup_items(df: DataFrame, rollup: DataFrame, keys: Sequence[str], sums: dict[str, Column],
+                 sets: dict[str, Column], member: str = "member") -> DataFrame:
+    """A4 by root without arrays: a row per (root, join_type, keys, set_name,
+    item) with the number of rows that hold the item (``n_rows``) and their sums.
+
+    Distinct rows are made twice: by member, then, after the fan-out, by root;
+    both are partial and final aggregates, so no row grows with the size of a set
+    and a hot root is spread over its items. Each row of ``df`` counts once per
+    set; ``sums`` stand on the rows of the first set alone. A null item is a
+    row (with its sums) that belongs to no set.
+    """
+    keys = [k for k in keys if k not in ("root", "join_type")]
+    lead = next(iter(sets))
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("set_name"), e.cast("string").alias("item")) for n, e in sets.items()]))
+    rows = df.select(member, *keys, *[e.alias(n) for n, e in sums.items()], each.alias("_s")).select(
+        member, *keys, "_s.set_name", "_s.item",
+        *[F.when(F.col("_s.set_name") == lead, F.col(n)).alias(n) for n in sums])
+    first = rows.groupBy(member, *keys, "set_name", "item").agg(
+        F.count(F.lit(1)).alias("n_rows"), *[F.sum(n).alias(n) for n in sums])
+    wide = explode_join_types(with_rollup(first, rollup, member))
+    return wide.groupBy("root", "join_type", *keys, "set_name", "item").agg(
+        F.sum("n_rows").alias("n_rows"), *[F.sum(n).alias(n) for n in sums])
+
+
+def set_sizes(items: DataFrame, keys: Sequence[str], sums: Sequence[str], sets: Sequence[str]) -> DataFrame:
+    """One row per ``keys`` of item rows: sums and ``<set>_size``. Items are
+    distinct rows already, so a size is a count."""
+    return items.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in sums], *[
+        F.count(F.when(F.col("set_name") == n, F.col("item"))).alias(f"{n}_size") for n in sets])
+
+
+def set_arrays(items: DataFrame, keys: Sequence[str], sums: Sequence[str], sets: Sequence[str]) -> DataFrame:
+    """``set_sizes`` and each set as an array, for readers that ask for whole
+    sets: the one aggregate whose row grows with a set."""
+    return items.groupBy(*keys).agg(
         *[F.sum(n).alias(n) for n in sums],
-        *[F.array_distinct(F.flatten(F.collect_list(n))).alias(n) for n in sets])
+        *[F.count(F.when(F.col("set_name") == n, F.col("item"))).alias(f"{n}_size") for n in sets],
+        *[F.collect_list(F.when(F.col("set_name") == n, F.col("item"))).alias(n) for n in sets])
+
+
+def set_sketches(items: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A mergeable sketch (HyperLogLog) of each set of item rows."""
+    return items.where("item is not null").groupBy(*keys, "set_name").agg(F.hll_sketch_agg("item", SKETCH_LOG_K).alias("sketch"))
+
+
+def merged_sizes(sketches: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Estimated distinct items of unions of sketches (of days, roots, ...)."""
+    return sketches.groupBy(*keys, "set_name").agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("estimate"))

@@ -615,6 +615,31 @@ SELECT buy_cat AS ctgry_type_buy, sell_cat AS ctgry_type_sell, bond_type4 AS bon
 FROM (SELECT DISTINCT buy_cat, sell_cat, deal_nmbr, dirty_amnt, bond_type4, deal_dt, deal_strategy FROM {CATS} y) x
 GROUP BY buy_cat, sell_cat, bond_type4, deal_dt, deal_strategy"""
 
+# the sets by root as rows, and their sizes without the strings
+_K4 = [("bond_type4", "bond_type_f"), ("deal_dt", "deal_dt")]
+_KC = _K4 + [("counter_cat", "member_type")]
+_K8 = [("bond_type8", "bond_type_e"), ("deal_strategy", "deal_strategy"), ("deal_dt", "deal_dt")]
+_BUY, _SELL = _leg("buy_ip_id", "sell_ip_id", "sell_cat"), _leg("sell_ip_id", "buy_ip_id", "buy_cat")
+_SETS = {  # report: keys, root's name, rows, sum, [(item, set)]
+    "root_deal_amount_trans_info": (_K4, "member_id", CASH_ROLLED, FP, [("deal_nmbr", "deal_number")]),
+    "root_counter_party_bond_info": (_K4, "member_id", CASH_ROLLED, "",
+                                     [("counter", "counter_id_set"), ("bond_id", "bond_id_set")]),
+    "root_counter_party_buyer": (_KC, "buyer_id", _BUY, FP, [("counter", "member_id_set")]),
+    "root_counter_party_seller": (_KC, "seller_id", _SELL, FP, [("counter", "member_id_set")]),
+    "root_distribution_number": (_K8, "member_id", CASH_ROLLED, FP, [("bond_id", "bond_id_set")]),
+}
+for _name, (_keys, _root, _src, _sum, _sets) in _SETS.items():
+    Q[f"{_name}_items"] = "\nUNION ALL\n".join(_cash_root(
+        [*_keys, (_item, "item")], f"'{_set}' AS set_name, count(*) AS n_rows" + (_sum and ", " + _sum), _root, _src)
+        for _item, _set in _sets)
+    Q[f"{_name}_sizes"] = _cash_root(_keys, ", ".join(
+        ([_sum] if _sum else []) + [f"count(DISTINCT {_item}) AS {_set}_size" for _item, _set in _sets]), _root, _src)
+_MONTH = "strftime(deal_dt, '%Y-%m')"
+Q["root_period_sizes"] = "\nUNION ALL\n".join(_cash_root(
+    [("bond_type4", "bond_type_f"), (_MONTH, "month")],
+    f"'{_set}' AS set_name, count(DISTINCT {_item}) AS n_items, TRUE AS sketch_agrees")
+    for _item, _set in _SETS["root_counter_party_bond_info"][4])
+
 
 def sql(name: str) -> str:
     """Full runnable statement for one query (shared CTE prelude + body)."""

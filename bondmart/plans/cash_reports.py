@@ -4,12 +4,14 @@ Most tables are one call of ``_report``: side-unpivoted deals (buy leg and
 sell leg), optional root roll-up or category lookup, one groupBy with sums
 and sorted sets. Buy/sell tables that the original job built with a full
 outer join of a buy aggregate and a sell aggregate (J8) are the same
-groupBy with side-conditional sums defaulting to 0. Every set has its size beside it.
+groupBy with side-conditional sums defaulting to 0. Every set has its size beside it;
+sets by root are rows first (``SetTable``) and strings only on request.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +19,8 @@ from pyspark.sql import functions as F
 from bondmart import labels as L
 from bondmart.functions import scalars as X
 from bondmart.operators.rollup import (
-    CASH_SIDES, on_side, rollup_agg, sides_unpivot, with_category,
+    CASH_SIDES, on_side, rollup_agg, rollup_items, set_arrays, set_sizes, set_sketches, merged_sizes,
+    sides_unpivot, with_category,
 )
 from bondmart.plans import base as B
 from bondmart.sources.feeds import Feeds
@@ -61,21 +64,63 @@ def _report(df: DataFrame, keys: Sequence[tuple[str, str]], measures: Sequence[C
                     *[c for c in g.columns if c not in {k for k, _ in keys} and c not in names])
 
 
-def _root_report(f: Feeds, df: DataFrame, keys: Sequence[tuple[str, str]], sums: Sequence[tuple] = (),
-                 sets: Sequence[tuple[str, str]] = ()) -> DataFrame:
+def _root_report(f: Feeds, df: DataFrame, keys: Sequence[tuple[str, str]], sums: Sequence[tuple]) -> DataFrame:
     """A report by root and participant type. sums = [(side or None,
-    col, name)], a side's sum being 0 without deals; sets = [(col, name)]."""
+    col, name)], a side's sum being 0 without deals."""
     g = rollup_agg(df, B.member_rollup_cash(f), [k for k, _ in keys],
-                   {n: on_side(side, c) if side else F.col(c) for side, c, n in sums},
-                   {n: F.col(c) for c, n in sets})
+                   {n: on_side(side, c) if side else F.col(c) for side, c, n in sums})
     out = [F.col(k).alias(n) for k, n in keys]
     for side, _, n in sums:
         out.append((F.coalesce(F.col(n), F.lit(0)) if side else F.col(n)).cast("decimal(38,2)").alias(n))
-    for _, n in sets:
-        out += _named_set(F.col(n), n)
     return g.select(*out)
 
 
+@dataclass(frozen=True)
+class SetTable:
+    """A4 + A9b: a report by root whose columns are distinct sets. ``rows``:
+    the deals' sides; keys = [(col, name)], sums and sets = [(col, name)]."""
+
+    rows: Callable[[Feeds], DataFrame]
+    keys: tuple[tuple[str, str], ...]
+    sums: tuple[tuple[str, str], ...]
+    sets: tuple[tuple[str, str], ...]
+
+    def items(self, f: Feeds) -> DataFrame:
+        """The sets as rows: keys, set_name, item, n_rows and sums; the sums
+        stand on the rows of the first set."""
+        g = rollup_items(self.rows(f), B.member_rollup_cash(f), [k for k, _ in self.keys],
+                         {n: F.col(c) for c, n in self.sums}, {n: F.col(c) for c, n in self.sets})
+        return g.select(*[F.col(k).alias(n) for k, n in self.keys], "set_name", "item", "n_rows",
+                        *[F.col(n).cast("decimal(38,2)").alias(n) for _, n in self.sums])
+
+    def _names(self) -> tuple[list[str], list[str], list[str]]:
+        return [n for _, n in self.keys], [n for _, n in self.sums], [n for _, n in self.sets]
+
+    def sizes(self, items: DataFrame) -> DataFrame:
+        """The report without set strings: exact sizes from the item rows."""
+        keys, sums, sets = self._names()
+        return set_sizes(items, keys, sums, sets).select(
+            *keys, *[F.col(n).cast("decimal(38,2)").alias(n) for n in sums], *[f"{n}_size" for n in sets])
+
+    def strings(self, items: DataFrame) -> DataFrame:
+        """The report as the original job wrote it, built on request."""
+        keys, sums, sets = self._names()
+        return set_arrays(items, keys, sums, sets).select(
+            *keys, *[F.col(n).cast("decimal(38,2)").alias(n) for n in sums],
+            *[c for n in sets for c in (X.set_to_string(F.col(n), SEP).alias(n), F.col(f"{n}_size"))])
+
+    def period_sizes(self, items: DataFrame, period: Column, name: str) -> DataFrame:
+        """Exact distinct items of each set over ``period``, and the estimate
+        that the merged sketches of the days give."""
+        keys = [n for n in self._names()[0] if n != "deal_dt"]
+        days = items.withColumn(name, period)
+        exact = days.groupBy(*keys, name, "set_name").agg(F.count_distinct("item").alias("n_items"))
+        estimate = merged_sizes(set_sketches(days, [*keys, name, "deal_dt"]), [*keys, name])
+        on = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (*keys, name, "set_name")]
+        return exact.alias("a").join(estimate.alias("b"), on, "left").select(
+            "a.*", F.coalesce(F.col("b.estimate"), F.lit(0)).cast("long").alias("estimate"))
+
+
 # ------------------------------------------------------------------ tables
 
 def memberid2name(f: Feeds) -> DataFrame:
@@ -91,32 +136,12 @@ ROOT_KEYS4 = [("root", "member_id"), ("join_type", "participant_type"), ("bond_t
               ("deal_dt", "deal_dt")]
 
 
-def root_deal_amount_trans_info(f: Feeds, with_set: bool = True) -> DataFrame:
-    """The set of deal numbers grows with a root's deals of a day. Without
-    ``with_set`` it is left out; ``root_deal_rows`` has it as rows."""
-    d, price = _sides(f), [(None, "dirty_amnt", "full_price")]
-    if with_set:
-        return _root_report(f, d, ROOT_KEYS4, price, [("deal_nmbr", "deal_number")])
-    return _root_report(f, d, ROOT_KEYS4, price)
-
-
 def root_deal_rows(f: Feeds) -> DataFrame:
     """The deal numbers of ``root_deal_amount_trans_info`` as rows."""
     keys = ROOT_KEYS4 + [("deal_nmbr", "deal_number")]
     return _root_report(f, _sides(f), keys, [(None, "dirty_amnt", "full_price")])
 
 
-def root_counter_party_bond_info(f: Feeds) -> DataFrame:
-    return _root_report(f, _sides(f), ROOT_KEYS4,
-                        sets=[("counter", "counter_id_set"), ("bond_id", "bond_id_set")])
-
-
-def root_counter_party_number(f: Feeds) -> DataFrame:
-    """Union of the legs before the roll-up; set union is associative, so
-    this equals root_counter_party_bond_info (kept as its own table)."""
-    return root_counter_party_bond_info(f)
-
-
 def root_deal_strategy_info(f: Feeds) -> DataFrame:
     return _root_report(f, _sides(f), ROOT_KEYS4 + [("deal_strategy", "deal_strategy")],
                         [(None, "dirty_amnt", "full_price")])
@@ -153,20 +178,6 @@ def _one_leg(f: Feeds, leg: str) -> DataFrame:
     return d
 
 
-def root_counter_party_buyer(f: Feeds) -> DataFrame:
-    return _root_report(f, _one_leg(f, BUY),
-                   [("root", "buyer_id"), ("join_type", "participant_type"), ("bond_type4", "bond_type_f"),
-                    ("deal_dt", "deal_dt"), ("counter_cat", "member_type")],
-                   [(None, "dirty_amnt", "full_price")], [("counter", "member_id_set")])
-
-
-def root_counter_party_seller(f: Feeds) -> DataFrame:
-    return _root_report(f, _one_leg(f, SELL),
-                   [("root", "seller_id"), ("join_type", "participant_type"), ("bond_type4", "bond_type_f"),
-                    ("deal_dt", "deal_dt"), ("counter_cat", "member_type")],
-                   [(None, "dirty_amnt", "full_price")], [("counter", "member_id_set")])
-
-
 def counter_party_buyer(f: Feeds) -> DataFrame:
     return _report(_deals_with_cats(f),
                    [("buy_ip_id", "member_id"), ("bond_type4", "bond_type_f"), ("deal_dt", "deal_dt"),
@@ -213,13 +224,6 @@ def ctgry_bond_set(f: Feeds) -> DataFrame:
                    [*_set("bond_id", "bond_id_set")])
 
 
-def root_distribution_number(f: Feeds) -> DataFrame:
-    return _root_report(f, _sides(f),
-                   [("root", "member_id"), ("join_type", "participant_type"), ("bond_type8", "bond_type_e"),
-                    ("deal_strategy", "deal_strategy"), ("deal_dt", "deal_dt")],
-                   [(None, "dirty_amnt", "full_price")], [("bond_id", "bond_id_set")])
-
-
 def root_bond_deal(f: Feeds) -> DataFrame:
     return _root_report(f, _sides(f),
                    [("root", "member_id"), ("join_type", "participant_type"), ("bond_type8", "bond_type_e"),
@@ -300,23 +304,65 @@ def ctgry_deal_strategy_info(f: Feeds) -> DataFrame:
                    [_sum("dirty_amnt").alias("full_price")])
 
 
+def _leg_keys(root: str) -> tuple[tuple[str, str], ...]:
+    return (("root", root), ("join_type", "participant_type"), ("bond_type4", "bond_type_f"), ("deal_dt", "deal_dt"),
+            ("counter_cat", "member_type"))
+
+
+PRICE = (("dirty_amnt", "full_price"),)
+SET_TABLES = {
+    # the set of deal numbers grows with a root's deals of a day
+    "root_deal_amount_trans_info": SetTable(_sides, tuple(ROOT_KEYS4), PRICE, (("deal_nmbr", "deal_number"),)),
+    "root_counter_party_bond_info": SetTable(
+        _sides, tuple(ROOT_KEYS4), (), (("counter", "counter_id_set"), ("bond_id", "bond_id_set"))),
+    "root_counter_party_buyer": SetTable(
+        lambda f: _one_leg(f, BUY), _leg_keys("buyer_id"), PRICE, (("counter", "member_id_set"),)),
+    "root_counter_party_seller": SetTable(
+        lambda f: _one_leg(f, SELL), _leg_keys("seller_id"), PRICE, (("counter", "member_id_set"),)),
+    "root_distribution_number": SetTable(
+        _sides, (("root", "member_id"), ("join_type", "participant_type"), ("bond_type8", "bond_type_e"),
+                 ("deal_strategy", "deal_strategy"), ("deal_dt", "deal_dt")), PRICE, (("bond_id", "bond_id_set"),)),
+}
+#: tables that equal another one: the union of the legs before the roll-up is the union after it
+TWINS = {"root_counter_party_number": "root_counter_party_bond_info"}
+
+
+def set_report(name: str, strings: bool = True) -> Callable[[Feeds], DataFrame]:
+    own = SET_TABLES[TWINS.get(name, name)]
+
+    def plan(f: Feeds) -> DataFrame:
+        return own.strings(own.items(f)) if strings else own.sizes(own.items(f))
+
+    plan.__name__ = name
+    return plan
+
+
+def root_period_sizes(f: Feeds) -> DataFrame:
+    """Distinct counter-parties and bonds of a root by month, exact, and
+    whether the sketches of its days agree within 5 % (and one item)."""
+    own = SET_TABLES["root_counter_party_bond_info"]
+    sizes = own.period_sizes(own.items(f), F.date_format("deal_dt", "yyyy-MM"), "month")
+    near = F.abs(F.col("estimate") - F.col("n_items")) <= F.greatest(F.lit(1.0), F.col("n_items") * 0.05)
+    return sizes.withColumn("sketch_agrees", near).drop("estimate")
+
+
 REPORTS = {
     "memberid2name": memberid2name,
     "bondinfo": bondinfo,
-    "root_deal_amount_trans_info": root_deal_amount_trans_info,
-    "root_counter_party_bond_info": root_counter_party_bond_info,
-    "root_counter_party_number": root_counter_party_number,
+    "root_deal_amount_trans_info": set_report("root_deal_amount_trans_info"),
+    "root_counter_party_bond_info": set_report("root_counter_party_bond_info"),
+    "root_counter_party_number": set_report("root_counter_party_number"),
     "root_deal_strategy_info": root_deal_strategy_info,
     "ctgry_counter_party_buyer": ctgry_counter_party_buyer,
-    "root_counter_party_buyer": root_counter_party_buyer,
+    "root_counter_party_buyer": set_report("root_counter_party_buyer"),
     "counter_party_buyer": counter_party_buyer,
     "counter_party_seller": counter_party_seller,
     "ctgry_counter_party_seller": ctgry_counter_party_seller,
-    "root_counter_party_seller": root_counter_party_seller,
+    "root_counter_party_seller": set_report("root_counter_party_seller"),
     "root_trade_deadline_info": root_trade_deadline_info,
     "ctgry_trade_deadline_info": ctgry_trade_deadline_info,
     "ctgry_bond_set": ctgry_bond_set,
-    "root_distribution_number": root_distribution_number,
+    "root_distribution_number": set_report("root_distribution_number"),
     "root_bond_deal": root_bond_deal,
     "ctgry_bond_deal": ctgry_bond_deal,
     "union_info_for_bond_concentration": union_info_for_bond_concentration,
@@ -329,5 +375,10 @@ REPORTS = {
     "ctgry_deal_strategy_info": ctgry_deal_strategy_info,
 }
 
-#: not a table of the original job
-VARIANTS = {"root_deal_rows": root_deal_rows}
+#: not tables of the original job
+VARIANTS = {
+    "root_deal_rows": root_deal_rows,
+    "root_period_sizes": root_period_sizes,
+    **{f"{n}_items": t.items for n, t in SET_TABLES.items()},
+    **{f"{n}_sizes": set_report(n, strings=False) for n in SET_TABLES},
+}

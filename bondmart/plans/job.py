@@ -71,7 +71,9 @@ def materialize_facts(spark: SparkSession, f: Feeds, run_id: str | None = None,
 
     def one(name: str) -> None:
         path, df, size = f"{root}/{name}", getattr(B, name)(f), Observation()
-        write_report(df.observe(size, F.count(F.lit(1)).alias("n")), path)
+        # files of normal size, a day in few of them and in order, so that row groups can be skipped by day
+        df.observe(size, F.count(F.lit(1)).alias("n")).hint("rebalance", "deal_dt").sortWithinPartitions(
+            "deal_dt").write.parquet(path)
         copy = spark.read.schema(df.schema).parquet(path)  # an empty fact has no file to take a schema from
         copy._bm_path = root
         memo[name] = copy
@@ -81,6 +83,28 @@ def materialize_facts(spark: SparkSession, f: Feeds, run_id: str | None = None,
     return sizes
 
 
+def write_set_table(spark: SparkSession, f: Feeds, base: str, names: list[str], out_root: str,
+                    days: list[datetime.date] | None = None, strings: bool = False) -> None:
+    """A table of sets: its items as rows first (``<base>_items``), and from
+    them the sizes of ``base`` and its twin; with ``strings`` also the sets as text."""
+    table, path = cash_reports.SET_TABLES[base], f"{out_root}/{base}_items"
+    rows = table.items(f)
+    write_report(rows, path, days=days)
+    items = spark.read.schema(rows.schema).parquet(path)
+    if days is not None:
+        items = items.filter(F.col("deal_dt").isin(list(days)))
+    for name in names:
+        write_report(table.strings(items) if strings else table.sizes(items), f"{out_root}/{name}", days=days)
+
+
+def report_jobs(names) -> list[tuple[str, list[str]]]:
+    """(table, tables made with it): a twin goes with the table that it equals."""
+    jobs: dict[str, list[str]] = {}
+    for name in names:
+        jobs.setdefault(cash_reports.TWINS.get(name, name), []).append(name)
+    return list(jobs.items())
+
+
 def of_days(f: Feeds, days) -> Feeds:
     """Feeds whose deals are those of some days, pushed to the deal scans."""
     return f.derive(bond_deal=f.bond_deal.filter(F.col("deal_dt").isin(list(days))),
@@ -108,22 +132,28 @@ def clean_up(spark: SparkSession, *feeds: Feeds) -> None:
 
 
 def run(spark: SparkSession, f: Feeds, out_root: str, names=None, materialize: bool = True,
-        days: list[datetime.date] | None = None, rejects: DataFrame | None = None, workers: int = 4) -> dict:
+        days: list[datetime.date] | None = None, rejects: DataFrame | None = None, workers: int = 4,
+        strings: bool = False) -> dict:
     """Write the report tables (of ``days``, if given) and the data-quality
-    table; returns {name: seconds}. Reports are independent and run side by side."""
+    table; returns {name: seconds}. Reports are independent and run side by
+    side. Sets by root are written as rows and sizes, with ``strings`` as text too."""
     build_dimensions(f)
     todays = f if days is None else of_days(f, days)
     sizes = materialize_facts(spark, todays) if materialize else {}
     out_root, times = out_root.rstrip("/"), {}
 
-    def one(name: str) -> None:
+    def one(job: tuple[str, list[str]]) -> None:
+        name, made = job
         t0 = time.perf_counter()
-        df = data_quality(spark, todays, sizes, rejects) if name == "data_quality" else REPORTS[name](todays)
-        write_report(df, f"{out_root}/{name}", days=days)
-        times[name] = round(time.perf_counter() - t0, 3)
+        if name in cash_reports.SET_TABLES:
+            write_set_table(spark, todays, name, made, out_root, days, strings)
+        else:
+            df = data_quality(spark, todays, sizes, rejects) if name == "data_quality" else REPORTS[name](todays)
+            write_report(df, f"{out_root}/{name}", days=days)
+        times.update({n: round(time.perf_counter() - t0, 3) for n in made})
 
     with ThreadPoolExecutor(max_workers=workers) as ex:
-        list(ex.map(one, [*(names or REPORTS), "data_quality"]))
+        list(ex.map(one, report_jobs([*(names or REPORTS), "data_quality"])))
     clean_up(spark, f, todays)
     return times
 

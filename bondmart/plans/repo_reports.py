@@ -20,7 +20,7 @@ from bondmart import labels as L
 from bondmart.functions import scalars as X
 from bondmart.operators.joins import small, with_rating
 from bondmart.operators.rollup import (
-    REPO_SIDES, on_side, rollup_agg, sides_unpivot, with_category,
+    REPO_SIDES, on_side, rollup_agg, rollup_items, set_arrays, sides_unpivot, with_category,
 )
 from bondmart.plans import base as B
 from bondmart.sources.feeds import Feeds
@@ -175,9 +175,10 @@ def _distribution_base(f: Feeds) -> DataFrame:
 
 def member_ctgry_amount_deal_info(f: Feeds) -> DataFrame:
     d = _distribution_base(f)
-    g = rollup_agg(d, B.member_rollup_repo(f), ["cou_party_ins_show_name", "deal_dt"],
-                   {"ra": on_side(R, "trade_amnt"), "va": on_side(V, "trade_amnt")},
-                   {"rs": on_side(R, "counter"), "vs": on_side(V, "counter")})
+    items = rollup_items(d, B.member_rollup_repo(f), ["cou_party_ins_show_name", "deal_dt"],
+                         {"ra": on_side(R, "trade_amnt"), "va": on_side(V, "trade_amnt")},
+                         {"rs": on_side(R, "counter"), "vs": on_side(V, "counter")})
+    g = set_arrays(items, ["root", "join_type", "cou_party_ins_show_name", "deal_dt"], ["ra", "va"], ["rs", "vs"])
     return g.select(
         F.col("root").alias("unq_id_in_src_sys"), "join_type", "cou_party_ins_show_name", "deal_dt",
         F.col("ra").cast("decimal(38,2)").alias("repo_sum_amount"),

@@ -8,10 +8,12 @@ from decimal import Decimal
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 from test_operators import _feeds
 
 from bondmart import oracle
 from bondmart.operators.joins import dedupe_latest
+from bondmart.plans import cash_reports as CR
 from bondmart.plans import job
 from bondmart.registry import feeds_for
 from bondmart.session import checkpoint_dir
@@ -53,7 +55,7 @@ def test_csv_dumps_to_all_reports(spark, tmpdir_path):
         f.write("1,2,3\n\n9\n")
     loaded, rejects = csvfeeds.load(spark, paths)
     out = os.path.join(tmpdir_path, "out")
-    job.run(spark, loaded, out, rejects=rejects)
+    job.run(spark, loaded, out, rejects=rejects, strings=True)
     con = duckdb.connect()
     for t in testviews.TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{src}/{t}.parquet/*.parquet'")
@@ -68,6 +70,35 @@ def test_csv_dumps_to_all_reports(spark, tmpdir_path):
     assert dq["rows:fact_repo_deal"] == con.execute(sql["fact_repo_deal"]).to_arrow_table().num_rows
 
 
+def test_sets_by_root_are_rows_and_sizes(spark, tmpdir_path):
+    """Without strings no aggregate holds an array, and a table and its twin share their item rows."""
+    deals = [_deal(i, dt.date(2020, 1, 1 + i % 2)) | {"bond_id": f"b{i % 3}"} for i in range(6)]
+    f = _feeds(spark, bond_deal=deals)
+    names = [*CR.SET_TABLES, *CR.TWINS]
+    job.run(spark, f, tmpdir_path, names)
+    for name in names:
+        want = CR.REPORTS[name](f)
+        got = spark.read.parquet(f"{tmpdir_path}/{name}")
+        assert not [c for c, t in got.dtypes if t == "string" and c.endswith(("_set", "deal_number"))]
+        want = want.select(*got.columns)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0, name
+    for name, table in CR.SET_TABLES.items():
+        items = table.items(f)
+        for df in (items, table.sizes(items)):
+            plan = df._jdf.queryExecution().optimizedPlan().toString()
+            assert not any(x in plan for x in ("collect_set", "collect_list", "flatten")), name
+        stored = spark.read.parquet(f"{tmpdir_path}/{name}_items")
+        assert stored.select(*items.columns).exceptAll(items).count() == 0 and stored.count() == items.count()
+
+
+def test_sketches_of_days_merge(spark):
+    items = spark.range(6000).selectExpr(
+        "'r' as member_id", "'x' as participant_type", "'t' as bond_type_f", "'counter_id_set' as set_name",
+        "cast(id % 4000 as string) as item", "date_add(date'2020-01-01', cast(id % 30 as int)) as deal_dt")
+    row = CR.SET_TABLES["root_counter_party_bond_info"].period_sizes(items, F.lit("all"), "period").first()
+    assert row.n_items == 4000 and abs(row.estimate - 4000) < 200
+
+
 def test_days_are_rewritten_and_cleared(spark, tmpdir_path):
     d1, d2 = dt.date(2020, 1, 1), dt.date(2020, 1, 2)
     name = "root_deal_amount_trans_info"

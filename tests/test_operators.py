@@ -68,7 +68,7 @@ def test_self_mapped_member_is_product_in_cash_job(spark):
             "st": "1", "bond_id": "b1", "crncy": " CNY ", "trade_amnt": Decimal("1"),
             "dirty_amnt": Decimal("101.50"), "face_value": Decimal("100"), "yrs_to_mrty": Decimal("2")}
     f = _feeds(spark, bond_deal=[deal])
-    rows = {(r.member_id, r.participant_type) for r in CR.root_deal_amount_trans_info(f).collect()}
+    rows = {(r.member_id, r.participant_type) for r in CR.REPORTS["root_deal_amount_trans_info"](f).collect()}
     assert rows == {("20", "全部"), ("20", "产品"), ("30", "全部"), ("30", "机构")}
 
 

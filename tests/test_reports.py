@@ -78,8 +78,8 @@ def test_bought_equals_sold_per_bond_day(feeds):
 
 
 def test_counter_party_tables_equal(feeds):
-    a = CR.root_counter_party_bond_info(feeds)
-    b = CR.root_counter_party_number(feeds)
+    a = CR.REPORTS["root_counter_party_bond_info"](feeds)
+    b = CR.REPORTS["root_counter_party_number"](feeds)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
