@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import os
 import uuid
 from collections.abc import Iterator
 
@@ -34,12 +35,13 @@ import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from bondmart.llm.bpe_trie import coder, unpack
 from bondmart.llm.common import chunks, column, materialize, ship, table
+from bondmart.llm.token_counts import byte_alphabet
 
 VOCABULARY, MODEL = "byte_bpe_50k.json", "piece_bpe_32k.model"
-BLOCK_BYTES = 4 << 20  # text of a block, unless a single document is longer
+BLOCK_BYTES = 2 << 20  # text of a block, unless a single document is longer
 LINK_ROWS = 4 << 20  # rows of one join of a block's linked ids
 
 DIGEST = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
@@ -48,29 +50,35 @@ FINAL = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best lo
 
 
 class Both:
-    """Encodes with both tokenisers; token bytes of each."""
+    """Encodes with both tokenisers; the bytes of each one's tokens, and its
+    ids as text with what follows them inside and at the end of a group."""
 
     def __init__(self, path_a: str, path_b: str):
-        self.a = coder(path_a)
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        self.a = Tokenizer.from_file(path_a)
+        self.a.encode_special_tokens = True
         self.b = sp = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        size = max(self.a.bytes) + 1
-        self.bytes_a = [self.a.bytes.get(i, b"") for i in range(size)]
+        byte = {c: b for b, c in enumerate(byte_alphabet())}
+        names = map(self.a.id_to_token, range(self.a.get_vocab_size()))
+        self.bytes_a = [bytes(map(byte.__getitem__, t)) if set(t) <= byte.keys() else t.encode() for t in names]
         self.bytes_b = [bytes([int(p[3:-1], 16)]) if sp.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(map(sp.id_to_piece, range(sp.get_piece_size())))]
-        self.size_a = pa.array(list(map(len, self.bytes_a)), pa.int64())
-        self.size_b = pa.array(list(map(len, self.bytes_b)), pa.int64())
+        self.size_a, self.size_b = (pa.array(list(map(len, x)), pa.int64()) for x in (self.bytes_a, self.bytes_b))
+        self.written = pa.array([f"{i}{end}" for n, ends in ((len(self.bytes_a), ",|"), (len(self.bytes_b), ",;"))
+                                 for i in range(n) for end in ends])
 
     def ids(self, texts: list[str | None]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of both sides; empty where the joined bytes aren't space + text."""
         some = [i for i, t in enumerate(texts) if t]
         got_a: list[list[int]] = [[] for _ in texts]
         got_b: list[list[int]] = [[] for _ in texts]
-        encoded = self.a.encode_all([" " + texts[i] for i in some], special=False)
-        for i, portions in zip(some, encoded):
-            a, b, want = unpack(b"".join(portions)), self.b.encode(texts[i]), (" " + texts[i]).encode()
-            if (b"".join(map(self.bytes_a.__getitem__, a)) == want
-                    and b"".join(map(self.bytes_b.__getitem__, b)) == want):
-                got_a[i], got_b[i] = a, b
+        for k in range(0, len(some), 32):
+            own = some[k:k + 32]
+            for i, encoded in zip(own, self.a.encode_batch([" " + texts[i] for i in own], add_special_tokens=False)):
+                a, b, want = encoded.ids, self.b.encode(texts[i]), (" " + texts[i]).encode()
+                if (b"".join(map(self.bytes_a.__getitem__, a)) == want
+                        and b"".join(map(self.bytes_b.__getitem__, b)) == want):
+                    got_a[i], got_b[i] = a, b
         return got_a, got_b
 
 
@@ -92,19 +100,27 @@ def tokens(lists: list[list[int]], size: pa.Array) -> pa.Table:
     return pa.table({"doc": doc, "id": ids, "end": pc.subtract(end, pc.take(before, doc))})
 
 
-def grouped(a: pa.Table, b: pa.Table) -> tuple[pa.Table, pa.Table, pa.Table]:
-    """Both token tables with the number of their group, counted through the
-    block, and the shared ends (doc, end)."""
-    shared = a.select(["doc", "end"]).join(b.select(["doc", "end"]), keys=["doc", "end"], join_type="inner")
+def joined(left: pa.Table, right: pa.Table, keys) -> pa.Table:
+    return left.join(right, keys=keys, join_type="inner", use_threads=False)
+
+
+def counted(t: pa.Table, keys: list[str], what: list) -> pa.Table:
+    return t.group_by(keys, use_threads=False).aggregate(what)
+
+
+def grouped(a: pa.Table, b: pa.Table) -> tuple[pa.Table, pa.Table, np.ndarray]:
+    """Both token tables with ``closes`` (the token ends a group) and the
+    number of their group, counted through the block; and each group's document."""
+    numbered = [pa.table({"doc": t["doc"], "end": t["end"], f"place_{n}": pa.array(np.arange(t.num_rows))})
+                for n, t in enumerate((a, b))]
+    shared = joined(*numbered, ["doc", "end"])
     out = []
-    for side in (a, b):
-        at = pa.table({"doc": side["doc"], "end": side["end"], "place": pa.array(np.arange(side.num_rows))})
-        hit = at.join(shared, keys=["doc", "end"], join_type="left semi")["place"]
+    for n, side in enumerate((a, b)):
         closes = np.zeros(side.num_rows, np.int64)
-        closes[hit.to_numpy()] = 1
+        closes[shared[f"place_{n}"].to_numpy()] = 1
         group = pc.subtract(pc.cumulative_sum(pa.array(closes)), pa.array(closes))
-        out.append(side.append_column("group", group))
-    return out[0], out[1], shared
+        out.append(side.append_column("closes", pa.array(closes)).append_column("group", group))
+    return out[0], out[1], shared["doc"].to_numpy()
 
 
 def linked(a: pa.Table, b: pa.Table) -> pa.Table:
@@ -115,8 +131,8 @@ def linked(a: pa.Table, b: pa.Table) -> pa.Table:
     portions of its left ids, so a long stretch without a shared end needs no
     more memory than the pairs that it holds.
     """
-    left = a.group_by(["doc", "group", "id"]).aggregate([([], "count_all")]).rename_columns(["doc", "group", "a", "na"])
-    right = b.group_by(["group", "id"]).aggregate([([], "count_all")]).rename_columns(["group", "b", "nb"])
+    left = counted(a, ["doc", "group", "id"], [([], "count_all")]).rename_columns(["doc", "group", "a", "na"])
+    right = counted(b, ["group", "id"], [([], "count_all")]).rename_columns(["group", "b", "nb"])
     left = left.sort_by("group")
     n_groups = int(pc.max(left["group"]).as_py()) + 1
     width = np.bincount(right["group"].to_numpy(), minlength=n_groups)
@@ -130,23 +146,30 @@ def linked(a: pa.Table, b: pa.Table) -> pa.Table:
         own = left.slice(start, stop - start)
         lo, hi = own["group"][0].as_py(), own["group"][-1].as_py()
         theirs = right.slice(first[lo], first[hi + 1] - first[lo])
-        pairs = own.join(theirs, keys="group", join_type="inner")
+        pairs = joined(own, theirs, "group")
         pairs = pairs.append_column("n", pc.multiply(pairs["na"], pairs["nb"]))
-        parts.append(pairs.group_by(["doc", "a", "b"]).aggregate([("n", "sum")]))
+        parts.append(counted(pairs, ["doc", "a", "b"], [("n", "sum")]))
         start = stop
     every = pa.concat_tables(parts)
-    return every.rename_columns(["doc", "a", "b", "n"]) if len(parts) == 1 else every.group_by(
-        ["doc", "a", "b"]).aggregate([("n_sum", "sum")]).rename_columns(["doc", "a", "b", "n"])
-
-
-def group_text(a: list[int], b: list[int], ends_a: np.ndarray, ends_b: np.ndarray) -> bytes:
-    """``a1,a2|b1;a3|b2,b3`` of one document; the places where groups end."""
-    out, i, j = [], 0, 0
-    a, b = list(map(str, a)), list(map(str, b))
-    for to_a, to_b in zip(ends_a.tolist(), ends_b.tolist()):
-        out.append(",".join(a[i:to_a]) + "|" + ",".join(b[j:to_b]))
-        i, j = to_a, to_b
-    return ";".join(out).encode()
+    if len(parts) > 1:  # a pair of a document may lie in two portions
+        every = counted(every, ["doc", "a", "b"], [("n_sum", "sum")])
+    return every.rename_columns(["doc", "a", "b", "n"])
+
+
+def group_texts(a: pa.Table, b: pa.Table, docs: int, coders: Both) -> list[str]:
+    """``a1,a2|b1;a3|b2,b3`` of each document: every token's text with what
+    follows it, put in the order of (group, side), joined by document."""
+    group_a, group_b = a["group"].to_numpy(), b["group"].to_numpy()
+    n_groups = int(group_a[-1]) + 1
+    past_a, past_b = (np.cumsum(np.bincount(g, minlength=n_groups)) for g in (group_a, group_b))
+    before_b = np.concatenate([[0], past_b[:-1]])
+    order = np.empty(a.num_rows + b.num_rows, np.int32)
+    ids_a, ids_b = (t["id"].to_numpy() * 2 + t["closes"].to_numpy() for t in (a, b))
+    order[np.arange(a.num_rows) + before_b[group_a]] = ids_a
+    order[np.arange(b.num_rows) + past_a[group_b]] = ids_b + 2 * len(coders.bytes_a)
+    edges = np.cumsum(np.concatenate([[0], per_document(a["doc"], docs) + per_document(b["doc"], docs)]))
+    lists = pa.LargeListArray.from_arrays(pa.array(edges), pc.take(coders.written, pa.array(order)))
+    return [t[:-1] for t in pc.binary_join(lists, "").to_pylist()]  # without the last ;
 
 
 def per_document(doc: pa.ChunkedArray, n: int) -> np.ndarray:
@@ -162,24 +185,16 @@ def block_rows(coders: Both, block: int, ids: pa.Array, texts: list[str | None])
     pair_a, pair_b, pair_docs = [], [], []
     n_groups, n_links = np.zeros(n, np.int64), np.zeros(n, np.int64)
     if a.num_rows:
-        a, b, shared = grouped(a, b)
-        n_groups = per_document(shared["doc"], n)
-        past_a, past_b = np.cumsum(counts_a), np.cumsum(counts_b)
-        # the places behind each group's last token, on both sides
-        close_a, close_b = (np.flatnonzero(np.diff(np.append(t["group"].to_numpy(), -1))) + 1 for t in (a, b))
-        past_g = np.cumsum(n_groups)
-        for d in np.flatnonzero(counts_a).tolist():
-            own = slice(past_g[d] - n_groups[d], past_g[d])
-            hashes[d] = hashlib.sha256(group_text(lists_a[d], lists_b[d], close_a[own] - (past_a[d] - counts_a[d]),
-                                                  close_b[own] - (past_b[d] - counts_b[d]))).hexdigest()
-        links = linked(a, b)
-        pairs = links.group_by(["a", "b"]).aggregate([([], "count_all")])
-        number = pairs.select(["a", "b"]).append_column("at", pa.array(np.arange(pairs.num_rows), pa.int32()))
-        links = links.join(number, keys=["a", "b"], join_type="inner").sort_by([("doc", "ascending"), ("at", "ascending")])
-        pair_a, pair_b = pairs["a"].combine_chunks(), pairs["b"].combine_chunks()
-        pair_docs = pairs["count_all"].cast(pa.int32()).combine_chunks()
+        a, b, group_doc = grouped(a, b)
+        n_groups = np.bincount(group_doc, minlength=n)
+        hashes = [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in group_texts(a, b, n, coders)]
+        links = linked(a, b).sort_by("doc")
+        key = pc.bit_wise_or(pc.shift_left(links["a"].cast(pa.int64()), 32), links["b"].cast(pa.int64()))
+        numbers = key.combine_chunks().dictionary_encode()
+        places, weights, pairs = numbers.indices.to_numpy(), links["n"].to_numpy(), numbers.dictionary.to_numpy()
+        pair_a, pair_b = (pairs >> 32).astype(np.int32), (pairs & 0xFFFFFFFF).astype(np.int32)
+        pair_docs = np.bincount(places, minlength=len(pairs)).astype(np.int32)
         edges = np.searchsorted(links["doc"].to_numpy(), np.arange(n + 1))
-        places, weights = links["at"].to_numpy(), links["n"].to_numpy()
         n_links = np.add.reduceat(np.append(weights, 0), edges[:-1]) * (edges[1:] > edges[:-1])
         at = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(places, pa.int32()))
         times = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(weights, pa.int64()))
@@ -210,10 +225,10 @@ def _sums(docs: pa.Table, counts: pa.Table) -> pa.Table:
     places = docs["at"].combine_chunks()
     links = pa.table({"doc": pc.list_parent_indices(places).cast(pa.int64()), "at": places.flatten(),
                       "n": docs["times"].combine_chunks().flatten()})
-    links = links.join(counts.select(["at", "docs", "best"]), keys="at", join_type="inner")
+    links = joined(links, counts.select(["at", "docs", "best"]), "at")
     links = links.append_column("all", pc.multiply(links["n"], links["docs"]))
     links = links.append_column("own", pc.multiply(links["n"], links["best"].cast(pa.int64())))
-    sums = links.group_by("doc").aggregate([("all", "sum"), ("own", "sum")])
+    sums = counted(links, ["doc"], [("all", "sum"), ("own", "sum")])
     total, best = np.zeros(n, np.int64), np.zeros(n, np.int64)
     total[sums["doc"].to_numpy()], best[sums["doc"].to_numpy()] = sums["all_sum"].to_numpy(), sums["own_sum"].to_numpy()
     out = docs.append_column("n_best", pa.array(best)).append_column("count_sum", pa.array(total))

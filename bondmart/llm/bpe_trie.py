@@ -4,7 +4,7 @@ The distinct words of a chunk of texts are inserted into a trie of their
 bytes, which is walked depth first. A node's state is the last token of the
 encoding of its prefix: of the vocabulary's tokens that end there, exactly one
 fits the last token of the prefix before it (the two come back unchanged when
-merged again). A word's ids are read backwards from its node's state, and a
+merged again, which is read off their merges). A word's ids are read backwards from its node's state, and a
 prefix that many words share is worked out once. The walk keeps only the
 states of the path it stands on, as a trie's words in byte order are its depth-first
 order and neighbours branch where they first differ. Words of earlier chunks are
@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tokenizers import Tokenizer
 
 from bondmart.llm.common import chunks, column, ship, table
-from bondmart.llm.merges import NEVER, Pairs
+from bondmart.llm.merges import NEVER
 from bondmart.llm.token_counts import byte_alphabet
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -66,8 +66,16 @@ class TrieCoder:
         self.bytes = {i: t.encode("latin-1") for t, i in self.id.items()}
         self.bytes.update((i, t.encode()) for t, i in self.specials.items())
         pairs = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
-        rank = {(a.translate(raw), b.translate(raw)): i for i, (a, b) in enumerate(pairs)}
-        self.pairs = Pairs(lambda a, b: rank.get((a, b), NEVER))
+        merges = [(a.translate(raw), b.translate(raw)) for a, b in pairs]
+        if len({a + b for a, b in merges}) < len(merges):
+            raise ValueError("a token of this vocabulary has two merges")
+        #: when a token is made (bytes are there from the start), of which two, and what two make
+        self.turn = {i: -1 for i in self.id.values()}
+        self.halves: dict[int, tuple[int, int]] = {}
+        self.made: dict[int, int] = {}
+        for n, (a, b) in enumerate(merges):
+            left, right, both = self.id[a], self.id[b], self.id[a + b]
+            self.turn[both], self.halves[both], self.made[left << 20 | right] = n, (left, right), n
         sizes = defaultdict(lambda: {1})  # of the tokens that may end with two bytes
         for t in self.id:
             if len(t) > 1:
@@ -81,8 +89,7 @@ class TrieCoder:
         #: no piece reaches across a single space or line feed between words
         self.words = re.compile(r" ?[^ \n]+|\n").findall
         space = regex.compile(r"\s").match
-        self.odd = re.compile(r"^[ \n]|[ \n][ \n]|[ \n]$|[" + "".join(
-            re.escape(c) for c in map(chr, range(0x3001)) if c not in " \n" and (c.isspace() or space(c))) + "]").search
+        self.odd = ["  ", "\n\n", " \n", "\n ", *(c for c in map(chr, range(0x3001)) if c not in " \n" and (c.isspace() or space(c)))]
         self.piece: dict[str, bytes] = {}
         self.word: dict[str, bytes] = {}
         self.long: list[str] = []  # words to forget after their chunk
@@ -95,9 +102,31 @@ class TrieCoder:
         if got is None:
             if len(self.fits) >= self.LIMIT:
                 self.fits.clear()
-            got = self.fits[key] = self.pairs.fit(self.token[left] if left >= 0 else "", self.token[right])
+            got = self.fits[key] = left < 0 or self.stay_apart(left, right)
         return got
 
+    def stay_apart(self, left: int, right: int) -> bool:
+        """Do both tokens come back when their bytes are merged again?
+
+        Only the parts that meet at their border can go astray. Merging is
+        unwound: the later made of the two is taken apart (of one turn, the
+        right one, as merging goes from left to right), and at each step the two parts at
+        the border must not have merged before the one taken apart last was made."""
+        turn, halves, made = self.turn, self.halves, self.made
+        until, after = NEVER, False  # a merge at the border is too late from this turn on
+        while True:
+            merge = made.get(left << 20 | right, NEVER)
+            if merge < until or after and merge == until:
+                return False
+            if turn[left] < 0 and turn[right] < 0:
+                return True
+            if turn[left] > turn[right]:
+                until, after = turn[left], False
+                left = halves[left][1]
+            else:  # its own merge comes after one of the same turn to its left
+                until, after = turn[right], True
+                right = halves[right][0]
+
     def walk(self, words: Iterable[str]) -> Iterator[tuple[str, list[int]]]:
         """Each distinct word with its ids, in the depth-first order of their trie."""
         ids, sizes, fits, size = self.id, self.sizes, self.fits, self.size
@@ -163,7 +192,8 @@ class TrieCoder:
 
     def plain(self, text: str) -> bool:
         """Only words with a single space or line feed between them?"""
-        return bool(text) and not self.odd(text) and not any(s in text for s in self.specials)
+        return not (not text or text[0] in " \n" or text[-1] in " \n" or any(map(text.__contains__, self.odd))
+                    or any(map(text.__contains__, self.specials)))
 
     def encode_all(self, texts: list[str], special: bool = True) -> Iterator[Iterator[bytes]]:
         """The ids of each text, in portions; the words of about CHUNK_BYTES of
@@ -174,7 +204,8 @@ class TrieCoder:
                 continue
             plain = [self.plain(t) for t in texts[a:b]]
             words = [self.words(t) if p else () for t, p in zip(texts[a:b], plain)]
-            new = {w: list(self.split(w)) for w in set().union(*words).difference(self.word)}
+            new = {w: (w,) if w.isascii() and w.removeprefix(" ").isalpha() else tuple(self.split(w))
+                   for w in set().union(*words).difference(self.word)}
             self.learn_pieces(set().union(*new.values()))
             for word, pieces in new.items():
                 self.word[word] = b"".join(map(self.piece.__getitem__, pieces))
