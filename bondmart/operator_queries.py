@@ -421,6 +421,66 @@ def root_of_member(f):
         "unq_id", F.coalesce("root_unq_id", "unq_id").alias("root"))
 
 
+# relations with days, from the whole relation feeds: the type T1 is valid in three
+# stretches (one open on each side), T2 in one of a wrong kind; an organisation's
+# second and third master overlap the first, and one row ends before it starts
+DATED_TYPES = [("1", "T1", None, "1994-06-30"), ("1", "T1", "1994-06-01", "1996-12-31"), ("1", "T1", "1997-07-01", None),
+               ("2", "T2", None, None), ("1", "T3", "1998-01-01", "1997-01-01")]
+
+
+def _dated_types_sql() -> str:
+    day = lambda d: f"DATE '{d}'" if d else "NULL::DATE"
+    return ", ".join(f"('{k}', '{t}', {day(a)}, {day(b)})" for k, t, a, b in DATED_TYPES)
+
+
+ROOT_AS_OF_SQL = f"""
+WITH ty AS (SELECT * FROM (VALUES {_dated_types_sql()}) t(rl_kind, rl_tp_id, vf, vt)),
+org AS (
+    SELECT rl_tp_id, slv_unq_id, mstr_unq_id, rl_status, NULL::DATE AS vf, DATE '1995-12-31' AS vt FROM f_orgrl
+    UNION ALL
+    SELECT rl_tp_id, slv_unq_id, substr(slv_unq_id, 1, 1) || '1', rl_status, DATE '1993-01-01', DATE '1993-09-30' FROM f_orgrl
+    UNION ALL
+    SELECT rl_tp_id, slv_unq_id, substr(slv_unq_id, 1, 1) || '2', rl_status, DATE '1995-07-01', NULL FROM f_orgrl
+    UNION ALL
+    SELECT 'T3', slv_unq_id, 'X', rl_status, NULL, NULL FROM f_orgrl),
+rel AS (
+    SELECT slv_unq_id, mstr_unq_id, greatest(coalesce(org.vf, DATE '0001-01-01'), coalesce(ty.vf, DATE '0001-01-01')) AS a,
+        least(coalesce(org.vt, DATE '9999-12-31'), coalesce(ty.vt, DATE '9999-12-31')) AS b
+    FROM org JOIN ty USING (rl_tp_id)
+    WHERE rl_kind = '1' AND rl_status = 'C' AND coalesce(ty.vf, DATE '0001-01-01') <= coalesce(ty.vt, DATE '9999-12-31')),
+days AS (SELECT DISTINCT member, deal_dt FROM cs),
+hit AS (
+    SELECT member, deal_dt, mstr_unq_id, row_number() OVER (
+        PARTITION BY member, deal_dt ORDER BY a DESC, b, mstr_unq_id DESC) AS rn
+    FROM days JOIN rel ON slv_unq_id = member AND deal_dt BETWEEN a AND b)
+SELECT coalesce(h.mstr_unq_id, s.member) AS member_id, s.deal_dt, count(DISTINCT s.member) AS n_members,
+    CAST(sum(dirty_amnt) AS DECIMAL(38,2)) AS full_price
+FROM cs s LEFT JOIN (SELECT * FROM hit WHERE rn = 1) h ON h.member = s.member AND h.deal_dt = s.deal_dt
+GROUP BY 1, 2"""
+
+
+@op("root_as_of", ROOT_AS_OF_SQL)
+def root_as_of(f):
+    """J2 + W11: amounts by the root that a member had on the day of the deal."""
+    rows = [F.struct(*[F.lit(v).cast(t).alias(n) for v, t, n in zip(
+        r, ("string", "string", "date", "date"), ("rl_kind", "rl_tp_id", "valid_from", "valid_to"))]) for r in DATED_TYPES]
+    types = f.pd_d.sparkSession.range(1).select(F.inline(F.array(*rows)))
+    own, pre = f.cim_org_rl, F.substring("slv_unq_id", 1, 1)
+
+    def dated(master, start, end, kind=F.col("rl_tp_id")):
+        return own.select(kind.alias("rl_tp_id"), "slv_unq_id", master.alias("mstr_unq_id"), "rl_status",
+                          F.lit(start).cast("date").alias("valid_from"), F.lit(end).cast("date").alias("valid_to"))
+
+    orgs = dated(F.col("mstr_unq_id"), None, "1995-12-31").unionByName(
+        dated(F.concat(pre, F.lit("1")), "1993-01-01", "1993-09-30")).unionByName(
+        dated(F.concat(pre, F.lit("2")), "1995-07-01", None)).unionByName(dated(F.lit("X"), None, None, F.lit("T3")))
+    # by member and day first; the members' ids and unq ids are the same in this mapping
+    d = sides_unpivot(B.fact_cash_deal(f), CASH_SIDES).groupBy("member", "deal_dt").agg(F.sum("dirty_amnt").alias("amount"))
+    d = B.with_root_as_of(d, snapshot(B.root_segments(types, orgs), "root_segments"))
+    return d.groupBy(F.col("root").alias("member_id"), "deal_dt").agg(
+        F.count(F.lit(1)).alias("n_members"), F.sum("amount").cast("decimal(38,2)").alias("full_price"))
+
+
 @op("root_id_resolve", """SELECT m.ip_id, CASE WHEN r.root_unq_id IS NULL THEN m.ip_id
         ELSE coalesce(b.ip_id, m.ip_id) END AS root,
     CASE WHEN r.root_unq_id IS NULL THEN '机构' ELSE '产品' END AS join_type

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from bondmart import labels as L
 from bondmart.functions import scalars as X
+from bondmart.operators.intervals import intersection, segments, value_as_of
 from bondmart.operators.joins import dedupe_latest, rating_segments, small
 from bondmart.operators.rollup import member_rollup, with_join_type_cash, with_join_type_repo
 from bondmart.sources.feeds import Feeds, dimension, per_feeds
@@ -129,6 +130,36 @@ def dim_root(f: Feeds) -> DataFrame:
     return dedupe_latest(rel, ["unq_id"], ["root_unq_id"])
 
 
+def dated_relations(f: Feeds) -> tuple[DataFrame, DataFrame]:
+    """The two relation feeds with days: a relation is valid up to the day of
+    its ``valid_to``; the dumps name no start, so it is open."""
+    start, end = F.lit(None).cast("date").alias("valid_from"), F.to_date(F.substring("valid_to", 1, 10)).alias("valid_to")
+    types = f.mstr_slv_rl_tp_rl.select("rl_kind", "rl_tp_id", start, end)
+    return types, f.cim_org_rl.select("rl_tp_id", "slv_unq_id", "mstr_unq_id", "rl_status", start, end)
+
+
+def root_segments(types: DataFrame, organisations: DataFrame) -> DataFrame:
+    """J2 + W5 by day: (unq_id, seg_start, seg_end, root_unq_id). A relation
+    counts on the days on which both its type and the organisations' row are
+    valid; of several on one day the one that began last."""
+    types = types.filter(F.col("rl_kind") == L.RELATION_KIND_VALID).select("rl_tp_id", "valid_from", "valid_to")
+    rows = organisations.filter(F.col("rl_status") == L.RELATION_STATUS_VALID).select(
+        "rl_tp_id", F.col("slv_unq_id").alias("unq_id"), F.col("mstr_unq_id").alias("root_unq_id"), "valid_from", "valid_to")
+    return segments(intersection(rows, types, ["rl_tp_id"]), "unq_id", "root_unq_id")
+
+
+@dimension
+def dim_root_segments(f: Feeds) -> DataFrame:
+    """The roots of the feeds by day (where ``dim_root`` has the current ones)."""
+    return root_segments(*dated_relations(f))
+
+
+def with_root_as_of(df: DataFrame, segs: DataFrame, member: str = "member", day: str = "deal_dt") -> DataFrame:
+    """Add ``root``: the member's root on the row's day, or the member itself."""
+    x = value_as_of(df, segs, "unq_id", day, "root_unq_id", F.col(member))
+    return x.withColumn("root", F.coalesce("root_unq_id", member)).drop("root_unq_id")
+
+
 @dimension
 def dim_product(f: Feeds) -> DataFrame:
     return dedupe_latest(f.pd_d.select("pd_id", "pd_cd"), ["pd_id"], ["pd_cd"])

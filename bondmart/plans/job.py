@@ -35,6 +35,7 @@ from bondmart.sources.feeds import Feeds
 from bondmart.sources.sinks import observed, remove, write_report
 
 FACTS = ("fact_repo_deal", "fact_repo_collateral", "fact_cash_deal")
+SIDE_FACTS = {"repo": FACTS[:2], "cash": FACTS[2:]}
 REPORTS = {**repo_reports.REPORTS, **cash_reports.REPORTS}
 
 # dimension snapshots in dependency waves; members of a wave are independent
@@ -62,7 +63,7 @@ def build_dimensions(f: Feeds, workers: int = 4) -> None:
 
 
 def materialize_facts(spark: SparkSession, f: Feeds, run_id: str | None = None,
-                      workers: int = 2) -> dict[str, int]:
+                      workers: int = 2, facts=FACTS) -> dict[str, int]:
     """Write the shared facts once, make the feed set use the copies, and
     return their sizes (A11, observed by the writes)."""
     root = checkpoint_dir(spark).rstrip("/") + f"/facts-{run_id or uuid.uuid4().hex}"
@@ -79,7 +80,7 @@ def materialize_facts(spark: SparkSession, f: Feeds, run_id: str | None = None,
         memo[name] = copy
         sizes[name] = observed(size, "n") or 0
 
-    _waves(FACT_WAVES, one, workers)
+    _waves([w for wave in FACT_WAVES if (w := [n for n in wave if n in facts])], one, workers)
     return sizes
 
 
@@ -133,13 +134,13 @@ def clean_up(spark: SparkSession, *feeds: Feeds) -> None:
 
 def run(spark: SparkSession, f: Feeds, out_root: str, names=None, materialize: bool = True,
         days: list[datetime.date] | None = None, rejects: DataFrame | None = None, workers: int = 4,
-        strings: bool = False) -> dict:
+        strings: bool = False, facts=FACTS, quality: bool = True) -> dict:
     """Write the report tables (of ``days``, if given) and the data-quality
     table; returns {name: seconds}. Reports are independent and run side by
-    side. Sets by root are written as rows and sizes, with ``strings`` as text too."""
+    side. Sets by root are written as rows and sizes, with ``strings`` as text too. ``facts``: those that the reports need."""
     build_dimensions(f)
     todays = f if days is None else of_days(f, days)
-    sizes = materialize_facts(spark, todays) if materialize else {}
+    sizes = materialize_facts(spark, todays, facts=facts) if materialize else {}
     out_root, times = out_root.rstrip("/"), {}
 
     def one(job: tuple[str, list[str]]) -> None:
@@ -153,7 +154,7 @@ def run(spark: SparkSession, f: Feeds, out_root: str, names=None, materialize: b
         times.update({n: round(time.perf_counter() - t0, 3) for n in made})
 
     with ThreadPoolExecutor(max_workers=workers) as ex:
-        list(ex.map(one, report_jobs([*(names or REPORTS), "data_quality"])))
+        list(ex.map(one, report_jobs([*(names or REPORTS), *(["data_quality"] if quality else [])])))
     clean_up(spark, f, todays)
     return times
 

@@ -74,7 +74,8 @@ def parse_lines(lines: DataFrame, name: str, line_col: str = LINE,
     opt-in reproduction of the original jobs' header test, which drops every
     line containing the token (data rows included). ``keep``: columns of
     ``lines`` carried along. Returns the typed
-    DataFrame, or (typed, rejected lines) when ``rejects``.
+    DataFrame, or (typed, rejected lines) when ``rejects``; rejected lines have
+    their ``keep`` columns and a reason (arity, or the first bad column).
     """
     layout = LAYOUTS[name]
     cols = layout["columns"]
@@ -104,7 +105,10 @@ def parse_lines(lines: DataFrame, name: str, line_col: str = LINE,
     good = p.filter(ok).select(*[c for c, _ in cols], *keep)
     if not rejects:
         return good
-    return good, p.filter(~ok).select(LINE)
+    bad = [F.when(~F.coalesce((F.col(f"_raw{i}") != "") & F.col(cols[i][0]).isNotNull(), F.lit(False)), F.lit(cols[i][0]))
+           for i in req]
+    reason = F.coalesce(F.when(F.col("_n") != n, F.lit("arity")), *bad)
+    return good, p.filter(~ok).select(LINE, *keep, reason.alias("reason"))
 
 
 def read_feed(spark: SparkSession, name: str, path: str, header: str | None = None,

@@ -13,6 +13,8 @@ micro-batch to ``foreachBatch``, which
    of these days once, and computes the requested reports from it; and
 3. overwrites exactly those date partitions of each report.
 
+Rejected lines are kept by source file, with a reason, under ``<state>/store-rejects``.
+
 ``state`` is a stable folder that the caller names, the same for every night:
 it holds the streams' offsets (by landing folder) and the store, so the next
 application goes on where the last one ended, also if files have been archived
@@ -40,16 +42,19 @@ from bondmart.sources.sinks import remove, write_report
 FEED = "bond_deal"
 
 
-def _stored(batch: DataFrame) -> DataFrame:
-    """Typed rows of a batch of lines with the key of their source file."""
-    parsed = csvfeeds.parse_lines(batch, FEED, header_line=csvfeeds.header_text(FEED), keep=("file",))
-    return parsed.withColumnRenamed("file", "src")
+def _stored(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Typed rows and rejected lines of a batch, with the key of their source file."""
+    good, bad = csvfeeds.parse_lines(batch, FEED, header_line=csvfeeds.header_text(FEED), keep=("file",), rejects=True)
+    return good.withColumnRenamed("file", "src"), bad.withColumnRenamed("file", "src")
 
 
 def process_batch(spark: SparkSession, static: Feeds, store: str, out_root: str,
                   reports: Sequence[str]) -> Callable[[DataFrame, int], None]:
     def run(batch: DataFrame, epoch: int) -> None:
-        typed = snapshot(_stored(batch), "drop")
+        good, bad = _stored(batch)
+        bad.hint("rebalance", "src").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "src").parquet(f"{store}-rejects")
+        typed = snapshot(good, "drop")
         days = [r[0] for r in typed.select("deal_dt").distinct().collect()]  # a row per day of the drop
         if days:
             typed.hint("rebalance", "deal_dt", "src").write.mode("overwrite").option(

@@ -142,3 +142,36 @@ def test_unresolved_member_category(spark):
     assert {r.ip_id for r in B.dim_member(f).collect()} == {"11", "30"}
     cash = {r.ip_id: r.ins_show_name for r in B.dim_member_cash(f).collect()}
     assert cash == {"11": "银行", "30": "银行", "40": "None"}
+
+
+def test_root_segments_by_brute_force(spark):
+    r = random.Random(11)
+    first, last = dt.date(1, 1, 1), dt.date(9999, 12, 31)
+    day = lambda: r.choice([None, *[D + dt.timedelta(days=i) for i in range(12)]])
+    types = [(r.choice("112"), f"T{i % 3}", day(), day()) for i in range(7)]
+    orgs = [(f"T{r.randrange(4)}", f"m{r.randrange(5)}", f"r{r.randrange(4)}", r.choice("CCD"), day(), day()) for _ in range(40)]
+    segs = B.root_segments(
+        spark.createDataFrame(types, "rl_kind string, rl_tp_id string, valid_from date, valid_to date"),
+        spark.createDataFrame(orgs, "rl_tp_id string, slv_unq_id string, mstr_unq_id string, rl_status string, valid_from date, valid_to date"))
+    days = [(f"m{m}", D + dt.timedelta(days=i)) for m in range(6) for i in range(-3, 15)]
+    got = {(x.member, x.deal_dt): x.root for x in B.with_root_as_of(
+        spark.createDataFrame(days, "member string, deal_dt date"), segs).collect()}
+    assert len(got) == len(days)
+    for m, d in days:
+        hits = []
+        for tp, slave, master, status, a, b in orgs:
+            for kind, t, c, e in types:
+                if slave == m and status == "C" and kind == "1" and tp == t:
+                    span = (max(a or first, c or first), min(b or last, e or last))
+                    if (a or first) <= (b or last) and (c or first) <= (e or last) and span[0] <= d <= span[1]:
+                        hits.append((span[0], -(span[1] - first).days, master))
+        assert got[m, d] == (max(hits)[2] if hits else m)
+    rows = sorted(segs.collect())
+    assert all(x.seg_start <= x.seg_end for x in rows)
+    assert all(y.seg_start > x.seg_end for x, y in zip(rows, rows[1:]) if x.unq_id == y.unq_id)
+
+
+def test_roots_of_the_feeds_by_day(spark):
+    ended = _rel("30", "20") | {"valid_to": "2019-12-31 00:00:00"}
+    segs = B.dim_root_segments(_feeds(spark, cim_org_rl=[_rel("11", "10"), ended]))
+    assert {(r.unq_id, r.root_unq_id, r.seg_end) for r in segs.collect()} == {("11", "10", OPEN), ("30", "20", dt.date(2019, 12, 31))}
