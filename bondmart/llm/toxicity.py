@@ -147,7 +147,9 @@ def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> M
     # at most 2 x train_rows ids: a bounded table that may be broadcast
     chosen = [known.where(F.col("label") == c).orderBy(F.xxhash64("id"), "id").limit(train_rows) for c in (0, 1)]
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(
-        F.broadcast(chosen[0].unionByName(chosen[1])), "id").select("label", "text")
+        F.broadcast(chosen[0].unionByName(chosen[1])), "id")
+    # rows that share an id give one text, the least: train_rows bounds what is learnt from and collected
+    rows = rows.groupBy("id").agg(F.min("text").alias("text"), F.max("label").alias("label")).select("label", "text")
     taken = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if len(taken) < 2:
         return plain

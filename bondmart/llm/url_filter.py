@@ -56,7 +56,8 @@ def fitting_rule(host: Column, path: Column, rules: dict[str, str]) -> Column:
 
 
 def _segment(s: Column) -> Column:
-    return (F.when(s.rlike(r"^[0-9a-f]*[0-9][0-9a-f]*[a-f][0-9a-f]*$") & (F.length(s) >= 8), F.lit("{x}"))
+    # hex digits only, a letter after a digit; both patterns are linear in the segment
+    return (F.when((F.length(s) >= 8) & s.rlike(r"^[0-9a-f]++$") & s.rlike(r"[0-9][a-f]"), F.lit("{x}"))
             .when((F.length(s) >= 25) | s.rlike(r"-.*-.*-"), F.lit("{s}"))
             .otherwise(F.regexp_replace(s, "[0-9]+", "{n}")))
 
