@@ -47,8 +47,8 @@ class TrieCoder:
     """Encodes and decodes with one vocabulary. Tokens and words are held as
     strings of a character per byte; ids as little-endian 32-bit integers."""
 
-    CHUNK_BYTES = 1 << 20  # texts whose new words go through one trie
-    LIMIT, LONGEST = 400_000, 64  # remembered words, and their greatest length
+    CHUNK_BYTES = 4 << 20  # texts whose new words go through one trie
+    LIMIT, LONGEST = 700_000, 64  # remembered words, and their greatest length
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
