@@ -106,13 +106,7 @@ FROM customer WHERE c_custkey % 13 <> 0 AND c_custkey % 17 <> 0 AND c_custkey %
 def _files(spark, lines: DataFrame, encoding: str | None = None) -> str:
     """Lines written as text files under the shared folder."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/ingest/{uuid.uuid4().hex}"
-    if encoding is None:
-        lines.write.text(path)
-    else:
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-        lines.write.option("encoding", encoding).option("sep", "\u0001").option("quote", "\u0000").option(
-            "escapeQuotes", False).option("ignoreLeadingWhiteSpace", False).option(
-            "ignoreTrailingWhiteSpace", False).csv(path)
+    (lines if encoding is None else csvfeeds.encoded(lines, encoding)).write.text(path)
     return path
 
 
@@ -142,6 +136,55 @@ def ingest_gbk(spark, sf_dir):
     return csvfeeds.read_feed(spark, "member_d", _files(spark, lines, "GBK"), encoding="GBK")
 
 
+SPLIT_BYTES = 4096  # splits of ingest_quoted_breaks, so that every size cuts files in mid-quote
+
+
+@op("ingest_quoted_breaks", MEMBER_CSV_SQL.replace("', Ltd'", "chr(10) || 'a \"b\", ' || chr(10) || chr(10) || 'Ltd'"))
+@raw
+def ingest_quoted_breaks(spark, sf_dir):
+    """A quoted name holds three line breaks, doubled quotes and a comma;
+    the files are cut into splits of 4 KB, in mid-quote too."""
+    lines = _member_lines(_table(spark, sf_dir, "customer"))
+    broken = F.regexp_replace("value", ', Ltd"', '\na ""b"", \n\nLtd"')
+    path = _files(spark, lines.select(broken.alias("value")).coalesce(3))
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(SPLIT_BYTES))
+    try:  # the lines are read and stored here
+        records, _ = csvfeeds.read_records(spark, path)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+    return csvfeeds.parse_lines(records, "member_d")
+
+
+def _damaged_gbk(spark, sf_dir):
+    """The member lines in GBK; key % 31 = 0 has a byte after the first comma
+    that begins no character."""
+    good = _member_lines(_table(spark, sf_dir, "customer"))
+    raw = csvfeeds.encoded(good, "GBK").select(F.col("value").cast("binary").alias("b"))
+    comma = F.position(F.lit(b","), F.col("b"))
+    key = F.substring("b", 1, comma - 1).cast("string").cast("long")
+    hurt = F.concat(F.substring("b", 1, comma), F.lit(b"\xff"), F.substring("b", comma + 1, F.octet_length("b")))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/ingest/{uuid.uuid4().hex}"
+    raw.select(F.when(key % 31 == 0, hurt).otherwise(F.col("b")).cast("string").alias("value")).write.text(path)
+    return path
+
+
+@op("ingest_gbk_strict", MEMBER_CSV_SQL + " AND c_custkey % 31 <> 0")
+@raw
+def ingest_gbk_strict(spark, sf_dir):
+    """S3: of GBK files with bad bytes, the rows without any."""
+    return csvfeeds.read_feed(spark, "member_d", _damaged_gbk(spark, sf_dir), encoding="GBK")
+
+
+@op("ingest_gbk_rejects", """SELECT CAST(c_custkey AS VARCHAR) AS ip_id,
+    'byte ' || (length(CAST(c_custkey AS VARCHAR)) + 1) AS reason FROM customer WHERE c_custkey % 31 = 0""")
+@raw
+def ingest_gbk_rejects(spark, sf_dir):
+    """S3: lines rejected for their bytes, with the offset of the first bad one."""
+    _, bad = csvfeeds.read_feed(spark, "member_d", _damaged_gbk(spark, sf_dir), encoding="GBK", rejects=True)
+    return bad.where(F.col("reason").startswith("byte")).select(F.substring_index("value", ",", 1).alias("ip_id"), "reason")
+
+
 # ----------------------------------------------------------------- K1, K2, P1, P2
 @op("sink_report", O.Q["member_price_deal_info"])
 @raw

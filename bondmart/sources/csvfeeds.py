@@ -11,6 +11,8 @@ line is checked and parsed JVM-side:
   over), decimals by ``try_cast``; a required cell that fails its type is a
   rejected line.
 
+``read_records`` puts records together whose quoted cells hold line breaks.
+A line with bytes that its encoding doesn't know is rejected with their offset.
 A line is dropped as a header only if it equals the feed's header text, so a
 dump of several parts, with a header in some of them or in none, loses no data
 row. ``load`` returns the rejected lines of all feeds with their feed name;
@@ -19,10 +21,12 @@ the nightly job counts them in its data-quality table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bondmart.functions.scalars import parse_date
+from bondmart.session import snapshot
 from bondmart.sources.feeds import LAYOUTS, Feeds
 
 LINE = "value"
@@ -37,19 +41,89 @@ def token_count(line: Column) -> Column:
 
 
 def read_lines(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:
-    """Lines of text files as column ``value``.
+    """Lines of text files as column ``value``; with an ``encoding`` (e.g. GBK,
+    S3) decoded strictly, see ``decoded``."""
+    lines = spark.read.text(path)
+    if encoding is None or encoding.upper().replace("-", "") == "UTF8":
+        return lines
+    return decoded(lines, encoding)
+
+
+MAX_RECORD_LINES = 1000
+
 
-    ``encoding`` (e.g. GBK, S3) decodes the bytes with that charset; Spark 4
-    needs ``spark.sql.legacy.javaCharsets`` for non-UTF charsets, set here
-    for the session.
+def read_records(spark: SparkSession, path: str, max_lines: int = MAX_RECORD_LINES) -> tuple[DataFrame, DataFrame]:
+    """Records of CSV files whose quoted cells may hold line breaks, wherever
+    the files are cut into splits.
+
+    A line begins a record if the quotes before it in its file are even in
+    number. Each split's parity is counted on its own, a prefix sum over the
+    splits of a file gives the parity at each split's start, and a second pass
+    numbers the records; only lines of records with several lines are brought
+    together. Returns (value) and the lines of stretches of over ``max_lines``
+    lines, which an unclosed quote opens: (value, reason).
+    """
+    lines = snapshot(spark.read.option("lineSep", "\n").text(path).select(
+        LINE, F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("id")), "lines")  # stored, as row ids must not change
+    quotes = F.length(LINE) - F.length(F.replace(LINE, F.lit('"'), F.lit("")))
+    lines = lines.withColumn("quotes", quotes)
+    in_file, earlier = Window.partitionBy("file").orderBy("block"), (Window.unboundedPreceding, -1)
+
+    def before_blocks(per_block: DataFrame, name: str) -> DataFrame:
+        """The sum of a count over a file's earlier splits; a row a split."""
+        return per_block.select("file", "block", F.coalesce(F.sum(name).over(in_file.rowsBetween(*earlier)), F.lit(0)).alias(name))
+
+    opened = before_blocks(lines.groupBy("file", "block").agg(F.sum("quotes").alias("open")), "open")
+    in_block = Window.partitionBy("file", "block").orderBy("id")
+    before = F.coalesce(F.sum("quotes").over(in_block.rowsBetween(*earlier)), F.lit(0))
+    lines = lines.withColumn("before", before).join(opened, ["file", "block"])
+    lines = lines.withColumn("begins", ((F.col("open") + F.col("before")) % 2 == 0).cast("int"))
+    whole = (F.col("begins") == 1) & (F.col("quotes") % 2 == 0)
+    begun = before_blocks(lines.groupBy("file", "block").agg(F.sum("begins").alias("begun")), "begun")
+    numbered = lines.withColumn("nth", F.sum("begins").over(in_block)).where(~whole).join(begun, ["file", "block"])
+    parts = numbered.select("file", (F.col("begun") + F.col("nth")).alias("record"), "block", "id", LINE)
+    sizes = parts.groupBy("file", "record").agg(F.count(F.lit(1)).alias("n"))
+    parts = parts.join(sizes, ["file", "record"])
+    several = parts.where(F.col("n") <= max_lines).groupBy("file", "record").agg(
+        F.array_sort(F.collect_list(F.struct("block", "id", LINE))).alias("p"))  # at most max_lines lines
+    value = F.array_join(F.transform("p", lambda x: x[LINE]), "\n")
+    plain = lines.where(whole).select(LINE).unionByName(several.select(value.alias(LINE)))
+    return (plain.select(F.regexp_replace(LINE, "\r$", "").alias(LINE)),
+            parts.where(F.col("n") > max_lines).select(LINE, F.lit("open quote").alias("reason")))
+
+
+def decoded(lines: DataFrame, encoding: str) -> DataFrame:
+    """S3: (value, bad_at) of lines whose bytes are in ``encoding``: ``bad_at``
+    is the offset of the first byte that isn't a character (null: none), and
+    such a line's value has its bad bytes as \\xNN, never replacement characters.
+
+    The text reader hands a line's bytes through as they are (in GBK no
+    character holds a line feed). Spark's own ``decode`` knows such charsets only
+    under a switch for the whole session, hence an Arrow UDF.
     """
-    if encoding is None or encoding.upper().replace("-", "") == "UTF8":
-        return spark.read.text(path)
-    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    return (spark.read.schema(f"{LINE} string").option("encoding", encoding)
-            .option("sep", "\u0001").option("quote", "\u0000").option("escape", "\u0000")
-            .option("header", False).option("ignoreLeadingWhiteSpace", False)
-            .option("ignoreTrailingWhiteSpace", False).option("nullValue", "\u0002").csv(path))
+
+    @F.pandas_udf("value string, bad_at long")
+    def strictly(raw: pd.Series) -> pd.DataFrame:
+        out = []
+        for b in raw:
+            try:
+                out.append((bytes(b).decode(encoding), None))
+            except UnicodeDecodeError as e:
+                out.append((bytes(b).decode(encoding, "backslashreplace"), e.start))
+        return pd.DataFrame({"value": [t for t, _ in out], "bad_at": pd.array([at for _, at in out], "Int64")})
+
+    return lines.select(strictly(F.col(LINE).cast("binary")).alias("_d")).select("_d.value", "_d.bad_at")
+
+
+def encoded(lines: DataFrame, encoding: str) -> DataFrame:
+    """Lines as strings that hold the bytes of ``encoding``, for the text writer."""
+
+    @F.pandas_udf("binary")
+    def raw(text: pd.Series) -> pd.Series:
+        return text.map(lambda t: t.encode(encoding))
+
+    return lines.select(raw(LINE).cast("string").alias(LINE))
 
 
 def header_text(name: str) -> str:
@@ -114,8 +188,15 @@ def parse_lines(lines: DataFrame, name: str, line_col: str = LINE,
 def read_feed(spark: SparkSession, name: str, path: str, header: str | None = None,
               encoding: str | None = None, drop_containing: str | None = None, rejects: bool = False):
     """One feed file/folder -> typed DataFrame (and rejected lines)."""
-    return parse_lines(read_lines(spark, path, encoding), name, header_line=header or header_text(name),
-                       drop_containing=drop_containing, rejects=rejects)
+    lines = read_lines(spark, path, encoding)
+    if "bad_at" not in lines.columns:
+        return parse_lines(lines, name, header_line=header or header_text(name), drop_containing=drop_containing, rejects=rejects)
+    sound = parse_lines(lines.where("bad_at is null"), name, header_line=header or header_text(name),
+                        drop_containing=drop_containing, rejects=rejects)
+    if not rejects:
+        return sound
+    bad = lines.where("bad_at is not null").select(LINE, F.concat(F.lit("byte "), F.col("bad_at").cast("string")).alias("reason"))
+    return sound[0], sound[1].unionByName(bad)
 
 
 def load(spark: SparkSession, paths: dict[str, str], headers: dict[str, str] | None = None,

@@ -110,3 +110,44 @@ def test_merge_column_groups_later_wins(spark):
 def test_token_count_quotes(spark):
     df = spark.createDataFrame([('a,"b,c",d',), ('"x""y",z',), ("",)], "value string")
     assert [r[0] for r in df.select(csvfeeds.token_count(F.col("value"))).collect()] == [3, 2, 1]
+
+
+def test_bad_bytes_are_rejected_with_their_offset(spark, tmpdir_path):
+    import os
+    os.makedirs(f"{tmpdir_path}/pd")
+    with open(f"{tmpdir_path}/pd/a.csv", "wb") as f:
+        f.write("P1,银行\n".encode("gbk") + b"P2,\xff\xfe\n" + "P3,价\nP4,x,y\n".encode("gbk") + "P5,价".encode("gbk")[:-1])
+    good, bad = csvfeeds.read_feed(spark, "pd_d", f"{tmpdir_path}/pd", encoding="GBK", rejects=True)
+    assert sorted(map(tuple, good.collect())) == [("P1", "银行"), ("P3", "价")]
+    assert sorted(r.reason for r in bad.collect()) == ["arity", "byte 3", "byte 3"]
+    assert "spark.sql.legacy.javaCharsets" not in dict(spark.conf.getAll) or spark.conf.get("spark.sql.legacy.javaCharsets") == "false"
+
+
+def test_records_across_lines_and_splits(spark, tmpdir_path):
+    import csv
+    import io
+    import os
+    import random
+
+    r, want = random.Random(5), []
+    os.makedirs(f"{tmpdir_path}/x")
+    for n in range(3):
+        rows = [[f"k{n}_{i}", "".join(r.choice(['a', '"', ',', "\n", "\n\n", "\r\n", "é"]) for _ in range(r.randint(1, 30)))]
+                for i in range(60)]
+        text = io.StringIO(newline="")
+        csv.writer(text, lineterminator="\n").writerows(rows)
+        with open(f"{tmpdir_path}/x/{n}.csv", "w", newline="") as f:
+            f.write(text.getvalue())
+        want += [tuple(x) for x in rows]
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    try:
+        records, open_ = csvfeeds.read_records(spark, f"{tmpdir_path}/x")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+    got = [next(csv.reader(io.StringIO(x.value, newline=""))) for x in records.collect()]
+    assert sorted(map(tuple, got)) == sorted(want) and open_.count() == 0
+    with open(f"{tmpdir_path}/x/9.csv", "w") as f:
+        f.write('a,b\nc,"d\n' + "e,f\n" * 20)
+    records, open_ = csvfeeds.read_records(spark, f"{tmpdir_path}/x/9.csv", max_lines=5)
+    assert [x.value for x in records.collect()] == ["a,b"] and open_.count() == 21
