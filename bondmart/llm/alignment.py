@@ -4,9 +4,9 @@ A block is a bounded stretch of documents. Its token ids are flattened with
 their parent document, token lengths become end offsets by a cumulative sum that
 starts anew at each document, and a hash join on (document, end) finds the
 offsets where tokens of both sides end. Running counts of these ends number the
-groups, a hash join on the group links the distinct ids of both sides, and
-group_by counts give per document the links of an id pair and per block the
-documents that hold it.
+groups, the distinct ids of both sides of a group are linked, and group_by
+counts give per document the links of an id pair and per block the documents
+that hold it.
 
 Spark merges the partial counts of all blocks into corpus-wide counts of the
 id pairs and each left id's highest count, brings them back to the
@@ -41,7 +41,7 @@ from bondmart.llm.common import chunks, column, materialize, ship, table
 
 VOCABULARY, MODEL = "byte_bpe_50k.json", "piece_bpe_32k.model"
 BLOCK_BYTES = 2 << 20  # text of a block, unless a single document is longer
-LINK_ROWS = 4 << 20  # rows of one join of a block's linked ids
+LINK_ROWS = 4 << 20  # linked ids of a block worked on at once
 
 DIGEST = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
 FIRST = f"block long, {DIGEST}, at array<int>, times array<long>, pair_a array<int>, pair_b array<int>, pair_docs array<int>"
@@ -126,34 +126,38 @@ def grouped(a: pa.Table, b: pa.Table) -> tuple[pa.Table, pa.Table, np.ndarray]:
 def linked(a: pa.Table, b: pa.Table) -> pa.Table:
     """(doc, a, b, n): id pairs of a document with the number of their links.
 
-    Ids that repeat in a group are counted before the join; groups are joined
+    Ids that repeat in a group are counted before the join; groups are linked
     in portions of about LINK_ROWS pairs, and a group of more pairs by
     portions of its left ids, so a long stretch without a shared end needs no
     more memory than the pairs that it holds.
     """
-    left = counted(a, ["doc", "group", "id"], [([], "count_all")]).rename_columns(["doc", "group", "a", "na"])
-    right = counted(b, ["group", "id"], [([], "count_all")]).rename_columns(["group", "b", "nb"])
-    left = left.sort_by("group")
-    n_groups = int(pc.max(left["group"]).as_py()) + 1
-    width = np.bincount(right["group"].to_numpy(), minlength=n_groups)
-    rows = np.cumsum(width[left["group"].to_numpy()])
-    right = right.sort_by("group")
-    first = np.searchsorted(right["group"].to_numpy(), np.arange(n_groups + 1))
+    left = in_order(counted(a, ["doc", "group", "id"], [([], "count_all")]).rename_columns(["doc", "group", "a", "na"]), "group")
+    right = in_order(counted(b, ["group", "id"], [([], "count_all")]).rename_columns(["group", "b", "nb"]), "group")
+    group, doc, ids_a, times_a = (left[c].to_numpy() for c in ("group", "doc", "a", "na"))
+    ids_b, times_b = right["b"].to_numpy(), right["nb"].to_numpy()
+    first = np.searchsorted(right["group"].to_numpy(), np.arange(group[-1] + 2))
+    width = (first[1:] - first[:-1])[group]
+    rows = np.cumsum(width)
     parts, start = [], 0
-    while start < left.num_rows:
+    while start < len(group):
         done = rows[start - 1] if start else 0
         stop = max(start + 1, int(np.searchsorted(rows, done + LINK_ROWS, side="right")))
-        own = left.slice(start, stop - start)
-        lo, hi = own["group"][0].as_py(), own["group"][-1].as_py()
-        theirs = right.slice(first[lo], first[hi + 1] - first[lo])
-        pairs = joined(own, theirs, "group")
-        pairs = pairs.append_column("n", pc.multiply(pairs["na"], pairs["nb"]))
-        parts.append(counted(pairs, ["doc", "a", "b"], [("n", "sum")]))
+        # both sides are in order of their group: its right ids follow each left id
+        own = np.repeat(np.arange(start, stop), width[start:stop])
+        theirs = np.arange(len(own)) - (rows - width)[own] + done + first[group[own]]
+        pairs = pa.table({"doc": doc[own], "a": ids_a[own], "b": ids_b[theirs], "n": times_a[own] * times_b[theirs]})
+        parts.append(counted(pairs, ["doc", "a", "b"], [("n", "sum")]).rename_columns(["doc", "a", "b", "n"]))
         start = stop
-    every = pa.concat_tables(parts)
-    if len(parts) > 1:  # a pair of a document may lie in two portions
-        every = counted(every, ["doc", "a", "b"], [("n_sum", "sum")])
-    return every.rename_columns(["doc", "a", "b", "n"])
+    if len(parts) == 1:
+        return parts[0]
+    # a pair of a document may lie in two portions
+    return counted(pa.concat_tables(parts), ["doc", "a", "b"], [("n", "sum")]).rename_columns(["doc", "a", "b", "n"])
+
+
+def in_order(t: pa.Table, by: str) -> pa.Table:
+    """``t`` sorted by a column, which groups counted in order of a stream are already."""
+    values = t[by].to_numpy()
+    return t if (values[1:] >= values[:-1]).all() else t.sort_by(by)
 
 
 def group_texts(a: pa.Table, b: pa.Table, docs: int, coders: Both) -> list[str]:
@@ -188,7 +192,7 @@ def block_rows(coders: Both, block: int, ids: pa.Array, texts: list[str | None])
         a, b, group_doc = grouped(a, b)
         n_groups = np.bincount(group_doc, minlength=n)
         hashes = [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in group_texts(a, b, n, coders)]
-        links = linked(a, b).sort_by("doc")
+        links = in_order(linked(a, b), "doc")
         key = pc.bit_wise_or(pc.shift_left(links["a"].cast(pa.int64()), 32), links["b"].cast(pa.int64()))
         numbers = key.combine_chunks().dictionary_encode()
         places, weights, pairs = numbers.indices.to_numpy(), links["n"].to_numpy(), numbers.dictionary.to_numpy()
