@@ -270,6 +270,9 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, dict | None, str]]:
             continue
         if bad is None:
             bad, why = at, reason
+        if saved and bad < at:  # its records stand at the member's offset, so the gap before it ends there
+            yield bad, at - bad, None, why
+            bad, why = at, reason
         for fields in saved:
             yield at, 0, fields, ""
         at = min(magics.next(at + 1), bare.versions.next(at + 1))
