@@ -300,6 +300,41 @@ def test_templates_spread_labels(spark):
     assert all(got[2000 + i] == "allow" for i in range(100))
 
 
+def _verdicts(spark, urls, rules):
+    rows = list(enumerate(urls))
+    got = {r.page_id: tuple(r) for r in url_filter.judge(spark.createDataFrame(rows, "page_id long, url string"), rules).collect()}
+    c = duckdb.connect()
+    c.execute("create table pages as select * from (select unnest(?) as page_id, unnest(?) as url)",
+              [[i for i, _ in rows], [u for _, u in rows]])
+    assert got == {r[0]: r for r in c.execute(url_filter.sql(rules)).fetchall()}
+    return [got[i][4] for i, _ in rows]
+
+
+def test_tree_does_not_depend_on_how_often_a_site_is_seen(spark):
+    """1000 names under a host, 12 of them ruled: 4 or 6 pages a name, each row once or three times."""
+    rules = {f"h.com/u/{chr(97 + i)}name/": "block" for i in range(12)}
+    names = [f"{chr(97 + i)}name" for i in range(12)] + [f"{a}{b}{c}" for a in "bcdfghjklm" for b in "aeiouvwxyz" for c in "bcdfghjklm"][:988]
+    for pages, copies in ((4, 1), (6, 1), (4, 3)):
+        urls = [f"http://h.com/u/{n}/{'abcdef'[i]}" for n in names for i in range(pages)] * copies
+        assert set(_verdicts(spark, urls, rules)) == {"block"}
+
+
+def test_tree_backs_off_by_branches(spark):
+    """Labelled branches vote once each, however large; all levels count."""
+    deep = "/".join("abcdefg")
+    urls = [f"http://one.com/bad/{w}" for w in ("p", "q", "r")] + ["http://one.com/other/s"]
+    urls += [f"http://three.com/{b}/{i}" for b in "xyz" for i in "ab"] + ["http://three.com/new/a", "http://three.com/"]
+    urls += [f"http://split.com/{b}/a" for b in "wxyz"] + ["http://split.com/new/a"]
+    urls += [f"http://deep.com/{deep}/{b}/{i}" for b in "xyz" for i in "ab"] + [f"http://deep.com/{deep}/new/a", "http://deep.com/a/z"]
+    rules = {"one.com/bad/": "block", **{f"three.com/{b}/": "block" for b in "xyz"}, "split.com/w/": "allow",
+             **{f"split.com/{b}/": "block" for b in "xyz"}, **{f"deep.com/{deep}/{b}/": "block" for b in "xyz"}}
+    rules |= {f"none{i}.com/{i}/": "block" for i in range(150)}  # many rules
+    got = dict(zip(urls, _verdicts(spark, urls, rules)))
+    assert got["http://one.com/other/s"] == "allow" and got["http://three.com/new/a"] == "block"
+    assert got["http://three.com/"] == "block" and got["http://split.com/new/a"] == "allow"
+    assert got[f"http://deep.com/{deep}/new/a"] == "block" and got["http://deep.com/a/z"] == "allow"
+
+
 # --- pipeline
 
 def test_pipeline_against_its_operators_by_hand(spark):
