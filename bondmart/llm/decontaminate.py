@@ -24,6 +24,9 @@ coverage 1, whatever its words.
 Only document windows whose hash is set in a bitmap of the benchmark's
 windows travel. The bitmap has a fixed size; what it lets through by chance is
 removed by the join. Windows of both sides are computed over whole texts.
+Windows meet by copy (document, item, offset), so a row to judge holds no more
+than one item's windows, however often a text repeats the item; the places
+that consistent copies cover are united by Spark.
 
 Defined cases: null texts and texts without a word or sign match nothing;
 an item that repeats one phrase (two or more times in full) isn't found whole
@@ -43,7 +46,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bondmart.llm.common import byte_texts, chunks, column, mix, rolling, ship, span_hash, table
@@ -366,54 +369,65 @@ def _passage(words: dict[int, bool], plain_covered: int) -> bool:
     return False
 
 
-def _judge(coverage: float, plain_covered: int):
-    names = ["doc_id", "row_key", "item_id", "coverage", "reparameterised"]
-
-    def verdict(windows: list[dict], tokens: int, plain: int) -> tuple[float, bool] | None:
-        copies = defaultdict(list)
-        for w in windows:
-            copies[w["there"] - w["at"]].append(w)
-        covered: dict[int, bool] = {}
-        changed = passage = False
-        for copy in copies.values():
-            pairs, words = [], {}
-            for w in copy:
-                marks = w["template"].split(" ")
-                kinds = [m for m in marks if m in _MARK.values()]
-                pairs += zip(kinds, w["slots"], w["theirs"])
-                words |= {w["at"] + i: m not in _MARK.values() for i, m in enumerate(marks)}
-            if consistent(pairs):
-                covered |= words
-                changed |= any(a != b for _, a, b in pairs)
-                passage |= _passage(words, plain_covered)
-        share = len(covered) / max(tokens, 1)
-        if passage or share >= coverage and sum(covered.values()) >= min(plain_covered, plain):
-            return share, changed
-        return None
-
-    def whole(windows: list[dict], tokens: int) -> bool:
-        copies = defaultdict(set)
-        for w in windows:
-            copies[w["there"] - w["at"]].add(w["at"])
-        full = len(_places(tokens))
-        places = sorted(there for there, at in copies.items() if len(at) == full)
-        return len(_apart(np.array(places, np.int64), tokens)) > 0
+_KEYS = ["doc_id", "row_key", "item_id", "tokens", "plain", "whole_tokens"]
+_KEY_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+
+
+def _judge_copies(plain_covered: int):
+    """The consistent ones of rows(keys, windows: those of one copy), with the
+    places of the item that they cover."""
+    names = [*_KEYS, "changed", "passage", "places"]
+    place = pa.struct([("place", pa.int32()), ("word", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for r in batch.to_pylist():
-                got = verdict([w for w in r["windows"] if not w["whole"]], r["tokens"], r["plain"])
-                if whole([w for w in r["windows"] if w["whole"]], r["whole_tokens"]):
-                    got = 1.0, got is not None and got[1]
-                if got is not None:
-                    rows.append((r["doc_id"], r["row_key"], r["item_id"], *got))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.bool_()]
+                pairs, words = [], {}
+                for w in r["windows"]:
+                    marks = w["template"].split(" ")
+                    kinds = [m for m in marks if m in _MARK.values()]
+                    pairs += zip(kinds, w["slots"], w["theirs"])
+                    words |= {w["at"] + i: m not in _MARK.values() for i, m in enumerate(marks)}
+                if consistent(pairs):
+                    rows.append((*(r[k] for k in _KEYS), any(a != b for _, a, b in pairs), _passage(words, plain_covered),
+                                 [{"place": i, "word": word} for i, word in words.items()]))
+            kinds = [*_KEY_TYPES, pa.bool_(), pa.bool_(), pa.list_(place)]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names)
 
     return run
 
 
+def _by_templates(met: DataFrame, coverage: float, plain_covered: int) -> DataFrame:
+    """Keys, coverage and reparameterised of the items found by template windows."""
+    copies = met.where("not whole").groupBy(*_KEYS, (F.col("there") - F.col("at")).alias("offset")).agg(
+        F.collect_set(F.struct("at", "template", "slots", "theirs")).alias("windows"))  # at most an item's windows
+    good = copies.select(*_KEYS, "windows").mapInArrow(
+        _judge_copies(plain_covered), "doc_id long, row_key long, item_id long, tokens int, plain int, whole_tokens int, "
+        "changed boolean, passage boolean, places array<struct<place: int, word: boolean>>")
+    covered = good.select(*_KEYS, "changed", "passage", F.inline("places")).groupBy(*_KEYS, "place").agg(
+        F.max("word").alias("word"), F.max("changed").alias("changed"), F.max("passage").alias("passage"))
+    share = F.col("covered") / F.greatest(F.col("tokens"), F.lit(1))
+    return covered.groupBy(*_KEYS).agg(
+        F.count("*").alias("covered"), F.count(F.when(F.col("word"), 1)).alias("words"),
+        F.max("changed").alias("reparameterised"), F.max("passage").alias("passage")).withColumn("coverage", share).where(
+        F.col("passage") | (F.col("coverage") >= coverage) & (F.col("words") >= F.least(F.lit(plain_covered), F.col("plain")))
+    ).select(*_KEYS, "coverage", "reparameterised")
+
+
+def _by_literals(met: DataFrame) -> DataFrame:
+    """Keys, coverage (1) and reparameterised (false) of the items found whole: all
+    windows of ``_places`` at one offset, with no other such copy near (``_apart``)."""
+    full = F.greatest(F.lit(1), F.ceil(F.col("whole_tokens") / WINDOW))
+    copies = met.where("whole").groupBy(*_KEYS, (F.col("there") - F.col("at")).alias("offset")).agg(
+        F.count_distinct("at").alias("windows")).where(F.col("windows") == full)
+    order = Window.partitionBy(*_KEYS).orderBy("offset")
+    before, after = F.col("offset") - F.lag("offset").over(order), F.lead("offset").over(order) - F.col("offset")
+    apart = [F.coalesce(gap * 2 > F.col("whole_tokens"), F.lit(True)) for gap in (before, after)]
+    return copies.withColumn("apart", apart[0] & apart[1]).where("apart").select(
+        *_KEYS, F.lit(1.0).alias("coverage"), F.lit(False).alias("reparameterised")).distinct()
+
+
 def find_rows(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE,
               plain_covered: int = PLAIN_COVERED) -> DataFrame:
     """doc_id, row_key, item_id, coverage, reparameterised for each row of
@@ -439,10 +453,9 @@ def find_rows(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE,
     theirs = found.select("doc_id", "row_key", "hash", "template", "whole", F.col("at").alias("there"),
                           F.col("slots").alias("theirs"))
     met = theirs.join(items, ["hash", "template", "whole"])
-    copies = met.groupBy("doc_id", "row_key", "item_id", "tokens", "plain", "whole_tokens").agg(F.collect_list(F.struct(
-        "at", "there", "template", "whole", "slots", "theirs")).alias("windows"))  # at most a text's windows times an item's
-    return copies.mapInArrow(_judge(coverage, plain_covered),
-                             "doc_id long, row_key long, item_id long, coverage double, reparameterised boolean")
+    got = _by_templates(met, coverage, plain_covered).unionByName(_by_literals(met))
+    return got.groupBy(*_KEYS).agg(F.max("coverage").alias("coverage"), F.max("reparameterised").alias("reparameterised")).select(
+        "doc_id", "row_key", "item_id", "coverage", "reparameterised")
 
 
 def find_items(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE,

@@ -7,6 +7,7 @@ import hashlib
 import os
 import random
 import sys
+import time
 
 import duckdb
 import numpy as np
@@ -271,6 +272,60 @@ def test_decontamination_finds_the_planted_items(spark):
     assert want and got == want
 
 
+def test_a_text_that_repeats_an_item_very_often(spark):
+    """30 000 copies of an item in one text are judged copy by copy."""
+    item = ("A farmer named Bill sells 12 apples for 3 dollars each at the market, then walks home along the river and "
+            "counts what is left in the old brown basket before the evening meal begins")
+    changed = item.replace("12", "40").replace("Bill", "Tom")
+    docs = [(1, " ".join([item + "."] * 30_000)), (2, " ".join([changed + "."] * 2000)), (3, "Nothing of the kind. " * 1000)]
+    begin = time.time()
+    got = decontaminate.find_items(spark.createDataFrame(docs, "doc_id long, text string"),
+                                   spark.createDataFrame([(7, item)], "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.item_id, r.coverage, r.reparameterised) for r in got) == [(1, 7, 1.0, False), (2, 7, 1.0, True)]
+    assert time.time() - begin < 120
+
+
+def test_reparameterised_copies_against_brute_force(spark):
+    """Items with other numbers and names, some with one value changed in two ways."""
+    rng = random.Random(5)
+    names, verbs = ["Anna", "Bruno", "Carla", "Dario", "Elena"], ["buys", "sells", "finds", "moves", "paints"]
+
+    def item(a, b, n, m, v):
+        return (f"Every morning {a} {v} {n} boxes near the station while {b} counts {m} tickets, so that {a} later has "
+                f"{n} boxes and {b} keeps {m} tickets in the drawer")
+
+    items, docs, want = [], [], set()
+    for i in range(25):
+        a, b = rng.sample(names, 2)
+        n, m = rng.sample(range(10, 99), 2)
+        items.append((i, item(a, b, n, m, f"{verbs[i % 5]} and {'abcde'[i // 5] * 4}")))
+    for d in range(60):
+        i = rng.randrange(25)
+        a, b = rng.sample(names, 2)
+        n, m = rng.sample(range(100, 999), 2)
+        text = item(a, b, n, m, f"{verbs[i % 5]} and {'abcde'[i // 5] * 4}")
+        if d % 3 == 0:  # the same slot with two values: no copy
+            text = text.replace(f"later has {n}", f"later has {n + 1000}").replace(f"keeps {m}", f"keeps {m + 1000}")
+            text = text.replace(f"{b} keeps", "Zora keeps")
+        docs.append((d, f"Here is one more. {text}. That was all of it."))
+
+    def slots(text):
+        return tuple("<num>" if w.isdigit() else "<name>" if w in (*names, "Zora") else w.strip(",") for w in text.split()), [
+            w for w in text.split() if w.isdigit() or w in (*names, "Zora")]
+
+    for d, text in docs:
+        shape, values = slots(text.split("one more. ")[1].split(". That")[0])
+        for i, it in items:
+            shape_i, values_i = slots(it)
+            pairs = set(zip(values_i, values))
+            if shape == shape_i and len(pairs) == len({x for x, _ in pairs}):
+                want.add((d, i))
+    got = {(r.doc_id, r.item_id) for r in decontaminate.find_items(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string")).collect() if r.coverage > 0.9}
+    assert want and got == want
+
+
 # --- URLs
 
 def test_url_edges(spark):
