@@ -374,15 +374,21 @@ _KEY_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int
 
 
 def _judge_copies(plain_covered: int):
-    """The consistent ones of rows(keys, windows: those of one copy), with the
-    places of the item that they cover."""
-    names = [*_KEYS, "changed", "passage", "places"]
+    """Of rows(keys, whole, offset, windows: those of one copy): the consistent
+    copies with the places of the item that they cover, and the whole copies (all
+    windows of ``_places``) with their place in the text."""
+    names = [*_KEYS, "whole", "changed", "passage", "places"]
     place = pa.struct([("place", pa.int32()), ("word", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for r in batch.to_pylist():
+                keys = [r[k] for k in _KEYS]
+                if r["whole"]:
+                    if len({w["at"] for w in r["windows"]}) == len(_places(r["whole_tokens"])):
+                        rows.append((*keys, True, False, False, [{"place": r["offset"], "word": False}]))
+                    continue
                 pairs, words = [], {}
                 for w in r["windows"]:
                     marks = w["template"].split(" ")
@@ -390,42 +396,37 @@ def _judge_copies(plain_covered: int):
                     pairs += zip(kinds, w["slots"], w["theirs"])
                     words |= {w["at"] + i: m not in _MARK.values() for i, m in enumerate(marks)}
                 if consistent(pairs):
-                    rows.append((*(r[k] for k in _KEYS), any(a != b for _, a, b in pairs), _passage(words, plain_covered),
+                    rows.append((*keys, False, any(a != b for _, a, b in pairs), _passage(words, plain_covered),
                                  [{"place": i, "word": word} for i, word in words.items()]))
-            kinds = [*_KEY_TYPES, pa.bool_(), pa.bool_(), pa.list_(place)]
+            kinds = [*_KEY_TYPES, pa.bool_(), pa.bool_(), pa.bool_(), pa.list_(place)]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names)
 
     return run
 
 
-def _by_templates(met: DataFrame, coverage: float, plain_covered: int) -> DataFrame:
-    """Keys, coverage and reparameterised of the items found by template windows."""
-    copies = met.where("not whole").groupBy(*_KEYS, (F.col("there") - F.col("at")).alias("offset")).agg(
+def _judged(met: DataFrame, coverage: float, plain_covered: int) -> DataFrame:
+    """Items found by the places that consistent copies cover, or by a whole copy
+    that no other one overlaps by half or more: such copies are one longer run of a
+    phrase. One pass over the windows that met."""
+    copies = met.groupBy(*_KEYS, "whole", (F.col("there") - F.col("at")).alias("offset")).agg(
         F.collect_set(F.struct("at", "template", "slots", "theirs")).alias("windows"))  # at most an item's windows
-    good = copies.select(*_KEYS, "windows").mapInArrow(
+    good = copies.select(*_KEYS, "whole", "offset", "windows").mapInArrow(
         _judge_copies(plain_covered), "doc_id long, row_key long, item_id long, tokens int, plain int, whole_tokens int, "
-        "changed boolean, passage boolean, places array<struct<place: int, word: boolean>>")
-    covered = good.select(*_KEYS, "changed", "passage", F.inline("places")).groupBy(*_KEYS, "place").agg(
-        F.max("word").alias("word"), F.max("changed").alias("changed"), F.max("passage").alias("passage"))
+        "whole boolean, changed boolean, passage boolean, places array<struct<place: int, word: boolean>>")
+    places = good.select(*_KEYS, "whole", "changed", "passage", F.inline("places")).groupBy(*_KEYS, "whole", "place").agg(
+        *[F.max(c).alias(c) for c in ("word", "changed", "passage")])
+    order = Window.partitionBy(*_KEYS, "whole").orderBy("place")
+    gaps = (F.col("place") - F.lag("place").over(order), F.lead("place").over(order) - F.col("place"))
+    apart = [F.coalesce(gap * 2 > F.col("whole_tokens"), F.lit(True)) for gap in gaps]
+    found = places.withColumn("apart", F.col("whole") & apart[0] & apart[1]).groupBy(*_KEYS).agg(
+        F.max("apart").alias("whole"), F.count(F.when(~F.col("whole"), 1)).alias("covered"),
+        F.count(F.when(F.col("word"), 1)).alias("words"), F.max("changed").alias("changed"), F.max("passage").alias("passage"))
     share = F.col("covered") / F.greatest(F.col("tokens"), F.lit(1))
-    return covered.groupBy(*_KEYS).agg(
-        F.count("*").alias("covered"), F.count(F.when(F.col("word"), 1)).alias("words"),
-        F.max("changed").alias("reparameterised"), F.max("passage").alias("passage")).withColumn("coverage", share).where(
-        F.col("passage") | (F.col("coverage") >= coverage) & (F.col("words") >= F.least(F.lit(plain_covered), F.col("plain")))
-    ).select(*_KEYS, "coverage", "reparameterised")
-
-
-def _by_literals(met: DataFrame) -> DataFrame:
-    """Keys, coverage (1) and reparameterised (false) of the items found whole: all
-    windows of ``_places`` at one offset, with no other such copy near (``_apart``)."""
-    full = F.greatest(F.lit(1), F.ceil(F.col("whole_tokens") / WINDOW))
-    copies = met.where("whole").groupBy(*_KEYS, (F.col("there") - F.col("at")).alias("offset")).agg(
-        F.count_distinct("at").alias("windows")).where(F.col("windows") == full)
-    order = Window.partitionBy(*_KEYS).orderBy("offset")
-    before, after = F.col("offset") - F.lag("offset").over(order), F.lead("offset").over(order) - F.col("offset")
-    apart = [F.coalesce(gap * 2 > F.col("whole_tokens"), F.lit(True)) for gap in (before, after)]
-    return copies.withColumn("apart", apart[0] & apart[1]).where("apart").select(
-        *_KEYS, F.lit(1.0).alias("coverage"), F.lit(False).alias("reparameterised")).distinct()
+    by_templates = F.col("passage") | ((share >= coverage) & (F.col("covered") > 0)
+                                       & (F.col("words") >= F.least(F.lit(plain_covered), F.col("plain"))))
+    return found.where(F.col("whole") | by_templates).select(
+        "doc_id", "row_key", "item_id", F.when(F.col("whole"), 1.0).otherwise(share).alias("coverage"),
+        (by_templates & F.col("changed")).alias("reparameterised"))
 
 
 def find_rows(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE,
@@ -453,9 +454,7 @@ def find_rows(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE,
     theirs = found.select("doc_id", "row_key", "hash", "template", "whole", F.col("at").alias("there"),
                           F.col("slots").alias("theirs"))
     met = theirs.join(items, ["hash", "template", "whole"])
-    got = _by_templates(met, coverage, plain_covered).unionByName(_by_literals(met))
-    return got.groupBy(*_KEYS).agg(F.max("coverage").alias("coverage"), F.max("reparameterised").alias("reparameterised")).select(
-        "doc_id", "row_key", "item_id", "coverage", "reparameterised")
+    return _judged(met, coverage, plain_covered)
 
 
 def find_items(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE,

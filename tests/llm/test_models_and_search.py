@@ -282,7 +282,7 @@ def test_a_text_that_repeats_an_item_very_often(spark):
     got = decontaminate.find_items(spark.createDataFrame(docs, "doc_id long, text string"),
                                    spark.createDataFrame([(7, item)], "item_id long, text string")).collect()
     assert sorted((r.doc_id, r.item_id, r.coverage, r.reparameterised) for r in got) == [(1, 7, 1.0, False), (2, 7, 1.0, True)]
-    assert time.time() - begin < 120
+    assert time.time() - begin < 240
 
 
 def test_reparameterised_copies_against_brute_force(spark):
