@@ -6,8 +6,9 @@ U+2581 and around a line feed. A unit is then encoded without building merges: a
 piece that an Aho-Corasick automaton finds is tried first; it must fit its
 left neighbour, which is decided by merging the two pieces' characters again
 (remembered by pair); positions from which nothing fits are marked in a
-bitfield and never tried twice. Units repeat, so their ids are remembered in
-a bounded table.
+bitfield and never tried twice. Units repeat, so their ids, and the text that
+these ids decode to, are remembered in a bounded table; no unit cuts a
+character, so the decoded text is that of the units in order.
 
 Defined cases: null text counts as empty (no ids, empty decoded text);
 whole texts of any length; repeated rows each get their row; other columns
@@ -35,10 +36,11 @@ SPACE = "▁"
 
 class Backtracker:
     """Encodes and decodes with one model. ``unit``, ``spaced`` and ``plain``
-    remember ids, as decimal text joined by commas, of a unit with plain
-    spaces, of a word after one space, and of a word after a line feed."""
+    remember the ids, as decimal text joined by commas, and the text decoded
+    from them, of a unit with plain spaces, of a word after one space, and of a
+    word after a line feed."""
 
-    LIMIT = 400_000
+    LIMIT = 300_000
 
     def __init__(self, path: str):
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -63,18 +65,14 @@ class Backtracker:
         self.fits: dict[int, bool] = {}
         self.auto = automaton(self.id, self.id.get)
         self.units = re.compile(f"[ {SPACE}]*[^ {SPACE}\n]+|[ {SPACE}]+|\n").findall
-        self.changed: dict[str, str] = {}
-        self.unit = Memo(self.unit_ids, self.LIMIT // 8)
-        self.spaced = Memo(lambda word: self.unit_ids(" " + word), self.LIMIT)
-        self.plain = Memo(self.unit_ids, self.LIMIT // 8)
-        self.feed = self.unit_ids("\n")
+        self.unit = Memo(self.unit_both, self.LIMIT // 8)
+        self.spaced = Memo(lambda word: self.unit_both(" " + word), self.LIMIT)
+        self.plain = Memo(self.unit_both, self.LIMIT // 8)
+        self.feed = self.unit_both("\n")
 
-    def unit_ids(self, unit: str) -> str:
+    def unit_both(self, unit: str) -> tuple[str, str]:
         ids = self.encode_unit(unit.replace(" ", SPACE))
-        text, plain = self.decode_pieces(ids), unit.replace(SPACE, " ")
-        if text != plain:
-            self.changed[unit] = text
-        return ",".join(map(str, ids))
+        return ",".join(map(str, ids)), self.decode_pieces(ids)
 
     def fit(self, left: int, right: int) -> bool:
         """Does piece ``right`` follow ``left`` (-1: none) in an encoding?"""
@@ -125,30 +123,27 @@ class Backtracker:
                 begin = i + 1
         return out
 
-    def encode(self, text: str) -> str:
-        """Ids of a whole text, comma-joined."""
+    def round_trip(self, text: str) -> tuple[str, str]:
+        """Ids of a whole text, comma-joined, and the text that they decode to."""
         if not text:
-            return ""
+            return "", ""
         if "  " in text or text[0] == " " or SPACE in text:
-            return ",".join(map(self.unit.__getitem__, self.units(" " + text)))
-        first, *lines = text.split("\n")  # every unit is a word after one space, or begins a line
-        out = list(map(self.spaced.__getitem__, first.split(" ")))
-        for line in lines:
-            words = line.split(" ")
-            out.append(self.feed)
-            if words[0]:
-                out.append(self.plain[words[0]])
-            out += map(self.spaced.__getitem__, words[1:])
-        return ",".join(out)
+            both = list(map(self.unit.__getitem__, self.units(" " + text)))
+        else:
+            first, *lines = text.split("\n")  # every unit is a word after one space, or begins a line
+            both = list(map(self.spaced.__getitem__, first.split(" ")))
+            for line in lines:
+                words = line.split(" ")
+                both.append(self.feed)
+                if words[0]:
+                    both.append(self.plain[words[0]])
+                both += map(self.spaced.__getitem__, words[1:])
+        ids, back = zip(*both)
+        return ",".join(ids), "".join(back).removeprefix(" ")
 
-    def round_trip(self, text: str) -> tuple[str, str]:
-        """Ids of a whole text, and the text that they decode to. Each unit's
-        ids are decoded when they are first made; units whose text comes back
-        otherwise are kept in ``changed``."""
-        ids, back = self.encode(text), text.replace(SPACE, " ")
-        if self.changed:
-            back = "".join(self.changed.get(u, u.replace(SPACE, " ")) for u in self.units(" " + text))[1:]
-        return ids, back
+    def encode(self, text: str) -> str:
+        """Ids of a whole text, comma-joined."""
+        return self.round_trip(text)[0]
 
     def decode_pieces(self, ids: list[int]) -> str:
         """Pieces joined, U+2581 as space; byte pieces read as UTF-8 (what
