@@ -150,20 +150,23 @@ def rollup_agg(df: DataFrame, rollup: DataFrame, keys: Sequence[str], sums: dict
     """groupBy(root, join_type, keys) of ``df`` with sums, by way of member
     grain: aggregate by (member, keys), attach the root and fan out to 全部 and
     the own type, then combine the members of a root. With ``member`` among the
-    keys the second step is not needed."""
+    keys the second step is not needed. Rows that carry their root (a stored
+    grain) need no lookup and are aggregated by root at once."""
     keys = [k for k in keys if k not in ("root", "join_type")]
-    fine = keys if member in keys else [member, *keys]
+    has_root = "root" in df.columns
+    fine = ["root", "join_type", *keys] if has_root else keys if member in keys else [member, *keys]
     first = df.groupBy(*fine).agg(*[F.sum(e).alias(n) for n, e in sums.items()])
-    wide = explode_join_types(with_rollup(first, rollup, member))
+    wide = explode_join_types(first if has_root else with_rollup(first, rollup, member))
     if member in keys:
         return wide
     return wide.groupBy("root", "join_type", *keys).agg(*[F.sum(n).alias(n) for n in sums])
 
 
 def rollup_items(df: DataFrame, rollup: DataFrame, keys: Sequence[str], sums: dict[str, Column],
-                 sets: dict[str, Column], member: str = "member") -> DataFrame:
+                 sets: dict[str, Column], member: str = "member", count: Column | None = None) -> DataFrame:
     """A4 by root without arrays: a row per (root, join_type, keys, set_name,
-    item) with the number of rows that hold the item (``n_rows``) and their sums.
+    item) with the number of rows that hold the item (``n_rows``; ``count``: how
+    many each row stands for) and their sums.
 
     Distinct rows are made twice: by member, then, after the fan-out, by root;
     both are partial and final aggregates, so no row grows with the size of a set
@@ -174,11 +177,12 @@ def rollup_items(df: DataFrame, rollup: DataFrame, keys: Sequence[str], sums: di
     keys = [k for k in keys if k not in ("root", "join_type")]
     lead = next(iter(sets))
     each = F.explode(F.array(*[F.struct(F.lit(n).alias("set_name"), e.cast("string").alias("item")) for n, e in sets.items()]))
-    rows = df.select(member, *keys, *[e.alias(n) for n, e in sums.items()], each.alias("_s")).select(
-        member, *keys, "_s.set_name", "_s.item",
+    one = F.lit(1).cast("long") if count is None else count
+    rows = df.select(member, *keys, *[e.alias(n) for n, e in sums.items()], one.alias("_n"), each.alias("_s")).select(
+        member, *keys, "_s.set_name", "_s.item", "_n",
         *[F.when(F.col("_s.set_name") == lead, F.col(n)).alias(n) for n in sums])
     first = rows.groupBy(member, *keys, "set_name", "item").agg(
-        F.count(F.lit(1)).alias("n_rows"), *[F.sum(n).alias(n) for n in sums])
+        F.sum("_n").alias("n_rows"), *[F.sum(n).alias(n) for n in sums])
     wide = explode_join_types(with_rollup(first, rollup, member))
     return wide.groupBy("root", "join_type", *keys, "set_name", "item").agg(
         F.sum("n_rows").alias("n_rows"), *[F.sum(n).alias(n) for n in sums])

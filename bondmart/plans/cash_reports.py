@@ -1,7 +1,7 @@
 """Cash-bond reports: one lazy DataFrame per output table.
 
 Most tables are one call of ``_report``: side-unpivoted deals (buy leg and
-sell leg), optional root roll-up or category lookup, one groupBy with sums
+sell leg, from a shared grain), optional root roll-up or category lookup, one groupBy with sums
 and sorted sets. Buy/sell tables that the original job built with a full
 outer join of a buy aggregate and a sell aggregate (J8) are the same
 groupBy with side-conditional sums defaulting to 0. Every set has its size beside it;
@@ -19,10 +19,11 @@ from pyspark.sql import functions as F
 from bondmart import labels as L
 from bondmart.functions import scalars as X
 from bondmart.operators.rollup import (
-    CASH_SIDES, on_side, rollup_agg, rollup_items, set_arrays, set_sizes, set_sketches, merged_sizes,
+    CASH_SIDES, rollup_agg, rollup_items, set_arrays, set_sizes, set_sketches, merged_sizes,
     sides_unpivot, with_category,
 )
 from bondmart.plans import base as B
+from bondmart.plans.grains import cash_sides, grain
 from bondmart.sources.feeds import Feeds
 
 BUY, SELL = L.SIDE_BUY, L.SIDE_SELL
@@ -52,23 +53,30 @@ def _named_set(items: Column, name: str) -> list[Column]:
     return [X.set_to_string(items, SEP).alias(name), F.size(items).cast("long").alias(f"{name}_size")]
 
 
+def _of_side(side: str, c: str) -> str:
+    return f"{side.lower()}_{c}"
+
+
 def _side_sum(side: str, c: str) -> Column:
-    return F.coalesce(F.sum(on_side(side, c)), F.lit(0)).cast("decimal(38,2)")
+    return F.coalesce(F.sum(_of_side(side, c)), F.lit(0)).cast("decimal(38,2)")
 
 
 def _report(df: DataFrame, keys: Sequence[tuple[str, str]], measures: Sequence[Column]) -> DataFrame:
-    """groupBy(keys).agg(measures) with output names: keys = [(col, name)]."""
-    g = df.groupBy(*[k for k, _ in keys]).agg(*measures)
-    names = [n for _, n in keys]
+    """groupBy(keys).agg(measures) with output names: keys = [(col, name)]. A
+    member's root, where rows carry it, goes along as a key: it changes no group,
+    and lets a grain laid out by root aggregate in place."""
+    cols, names = [k for k, _ in keys], [n for _, n in keys]
+    place = ["root"] if "member" in cols and "root" in df.columns else []
+    g = df.groupBy(*place, *cols).agg(*measures)
     return g.select(*[F.col(k).alias(n) for k, n in keys],
-                    *[c for c in g.columns if c not in {k for k, _ in keys} and c not in names])
+                    *[c for c in g.columns if c not in place + cols and c not in names])
 
 
 def _root_report(f: Feeds, df: DataFrame, keys: Sequence[tuple[str, str]], sums: Sequence[tuple]) -> DataFrame:
     """A report by root and participant type. sums = [(side or None,
     col, name)], a side's sum being 0 without deals."""
     g = rollup_agg(df, B.member_rollup_cash(f), [k for k, _ in keys],
-                   {n: on_side(side, c) if side else F.col(c) for side, c, n in sums})
+                   {n: F.col(_of_side(side, c) if side else c) for side, c, n in sums})
     out = [F.col(k).alias(n) for k, n in keys]
     for side, _, n in sums:
         out.append((F.coalesce(F.col(n), F.lit(0)) if side else F.col(n)).cast("decimal(38,2)").alias(n))
@@ -84,12 +92,14 @@ class SetTable:
     keys: tuple[tuple[str, str], ...]
     sums: tuple[tuple[str, str], ...]
     sets: tuple[tuple[str, str], ...]
+    count: str | None = None  # deals that a row stands for
 
     def items(self, f: Feeds) -> DataFrame:
         """The sets as rows: keys, set_name, item, n_rows and sums; the sums
         stand on the rows of the first set."""
         g = rollup_items(self.rows(f), B.member_rollup_cash(f), [k for k, _ in self.keys],
-                         {n: F.col(c) for c, n in self.sums}, {n: F.col(c) for c, n in self.sets})
+                         {n: F.col(c) for c, n in self.sums}, {n: F.col(c) for c, n in self.sets},
+                         count=F.col(self.count) if self.count else None)
         return g.select(*[F.col(k).alias(n) for k, n in self.keys], "set_name", "item", "n_rows",
                         *[F.col(n).cast("decimal(38,2)").alias(n) for _, n in self.sums])
 
@@ -143,25 +153,32 @@ def root_deal_rows(f: Feeds) -> DataFrame:
 
 
 def root_deal_strategy_info(f: Feeds) -> DataFrame:
-    return _root_report(f, _sides(f), ROOT_KEYS4 + [("deal_strategy", "deal_strategy")],
+    return _root_report(f, cash_sides(f), ROOT_KEYS4 + [("deal_strategy", "deal_strategy")],
                         [(None, "dirty_amnt", "full_price")])
 
 
-def _deals_with_cats(f: Feeds) -> DataFrame:
-    d = B.fact_cash_deal(f)
+def _with_cats(d: DataFrame, f: Feeds) -> DataFrame:
     d = _cat(d, f, "buy_ip_id", "buy_cat")
     return _cat(d, f, "sell_ip_id", "sell_cat")
 
 
+def _deals_with_cats(f: Feeds) -> DataFrame:
+    return _with_cats(B.fact_cash_deal(f), f)
+
+
+def _pairs(f: Feeds) -> DataFrame:
+    return _with_cats(grain(f, "grain_cash_pair"), f)
+
+
 def ctgry_counter_party_buyer(f: Feeds) -> DataFrame:
-    return _report(_deals_with_cats(f),
+    return _report(_pairs(f),
                    [("buy_cat", "ctgry_type"), ("bond_type4", "bond_type_f"), ("deal_dt", "deal_dt"),
                     ("sell_cat", "member_type")],
                    [_sum("dirty_amnt").alias("full_price"), *_set("sell_ip_id", "member_id_set")])
 
 
 def ctgry_counter_party_seller(f: Feeds) -> DataFrame:
-    return _report(_deals_with_cats(f),
+    return _report(_pairs(f),
                    [("sell_cat", "ctgry_type"), ("bond_type4", "bond_type_f"), ("deal_dt", "deal_dt"),
                     ("buy_cat", "member_type")],
                    [_sum("dirty_amnt").alias("full_price"), *_set("buy_ip_id", "member_id_set")])
@@ -170,23 +187,23 @@ def ctgry_counter_party_seller(f: Feeds) -> DataFrame:
 def _one_leg(f: Feeds, leg: str) -> DataFrame:
     """Deals of one leg (member = buyer or seller) with the other party's
     category."""
-    d = _deals_with_cats(f)
+    d = _pairs(f)
     me, other, other_cat = (("buy_ip_id", "sell_ip_id", "sell_cat") if leg == BUY
                             else ("sell_ip_id", "buy_ip_id", "buy_cat"))
     d = d.select(F.col(me).alias("member"), F.col(other).alias("counter"),
-                 F.col(other_cat).alias("counter_cat"), "bond_type4", "deal_dt", "dirty_amnt")
+                 F.col(other_cat).alias("counter_cat"), "bond_type4", "deal_dt", "dirty_amnt", "n")
     return d
 
 
 def counter_party_buyer(f: Feeds) -> DataFrame:
-    return _report(_deals_with_cats(f),
+    return _report(_pairs(f),
                    [("buy_ip_id", "member_id"), ("bond_type4", "bond_type_f"), ("deal_dt", "deal_dt"),
                     ("sell_cat", "rmember_type"), ("buy_cat", "member_type")],
                    [*_set("sell_ip_id", "rmember_id_set")])
 
 
 def counter_party_seller(f: Feeds) -> DataFrame:
-    return _report(_deals_with_cats(f),
+    return _report(_pairs(f),
                    [("sell_ip_id", "member_id"), ("bond_type4", "bond_type_f"), ("deal_dt", "deal_dt"),
                     ("buy_cat", "rmember_type"), ("sell_cat", "member_type")],
                    [*_set("buy_ip_id", "rmember_id_set")])
@@ -203,7 +220,7 @@ RETURNS = [(BUY, "dirty_amnt", "buy_full_price"), (SELL, "dirty_amnt", "sell_ful
 
 def root_trade_deadline_info(f: Feeds) -> DataFrame:
     """Face value bought / sold (the columns are named full price)."""
-    return _root_report(f, _sides(f),
+    return _root_report(f, cash_sides(f),
                    [("root", "member_id"), ("bond_id", "bond_id"), ("member", "cmember_id"),
                     ("join_type", "participant_type"), ("deal_dt", "deal_dt"), ("bond_type4", "bond_type_f"),
                     ("mrty_bucket", "yr_of_time_to_mrty_type")],
@@ -211,21 +228,21 @@ def root_trade_deadline_info(f: Feeds) -> DataFrame:
 
 
 def ctgry_trade_deadline_info(f: Feeds) -> DataFrame:
-    return _report(_cat(_sides(f), f, "member", "ctgry"),
+    return _report(_cat(cash_sides(f), f, "member", "ctgry"),
                    [("ctgry", "ctgry_type"), ("bond_id", "bond_id"), ("deal_dt", "deal_dt"),
                     ("bond_type4", "bond_type_f"), ("mrty_bucket", "yr_of_time_to_mrty_type")],
                    _buy_sell("face_value"))
 
 
 def ctgry_bond_set(f: Feeds) -> DataFrame:
-    return _report(_cat(_sides(f), f, "member", "ctgry"),
+    return _report(_cat(cash_sides(f), f, "member", "ctgry"),
                    [("member", "member_id"), ("deal_strategy", "deal_strategy"), ("deal_dt", "deal_dt"),
                     ("ctgry", "member_type")],
                    [*_set("bond_id", "bond_id_set")])
 
 
 def root_bond_deal(f: Feeds) -> DataFrame:
-    return _root_report(f, _sides(f),
+    return _root_report(f, cash_sides(f),
                    [("root", "member_id"), ("join_type", "participant_type"), ("bond_type8", "bond_type_e"),
                     ("deal_strategy", "deal_strategy"), ("deal_dt", "deal_dt"), ("bond_id", "bond_id")],
                    [(None, "dirty_amnt", "full_price")])
@@ -233,14 +250,14 @@ def root_bond_deal(f: Feeds) -> DataFrame:
 
 def ctgry_bond_deal(f: Feeds) -> DataFrame:
     """Keyed by member in spite of its name."""
-    return _report(_cat(_sides(f), f, "member", "ctgry"),
+    return _report(_cat(cash_sides(f), f, "member", "ctgry"),
                    [("member", "member_id"), ("bond_id", "bond_id"), ("bond_type8", "bond_type_e"),
                     ("deal_strategy", "deal_strategy"), ("deal_dt", "deal_dt"), ("ctgry", "member_type")],
                    [_sum("dirty_amnt").alias("full_price")])
 
 
 def union_info_for_bond_concentration(f: Feeds) -> DataFrame:
-    return _report(_sides(f),
+    return _report(cash_sides(f),
                    [("member", "member_id"), ("deal_strategy", "deal_strategy"), ("deal_dt", "deal_dt"),
                     ("bond_id", "bond_id")],
                    [_sum("dirty_amnt").alias("full_price")])
@@ -251,42 +268,42 @@ def _returns() -> list:
 
 
 def base_investment_returns(f: Feeds) -> DataFrame:
-    return _report(_sides(f),
+    return _report(cash_sides(f),
                    [("member", "member_id"), ("bond_id", "bond_id"), ("deal_dt", "deal_dt"),
                     ("bond_type8", "bond_type_e")],
                    _returns())
 
 
 def root_investment_returns(f: Feeds) -> DataFrame:
-    return _root_report(f, _sides(f),
+    return _root_report(f, cash_sides(f),
                    [("root", "member_id"), ("join_type", "participant_type"), ("bond_id", "bond_id"),
                     ("deal_dt", "deal_dt"), ("bond_type8", "bond_type_e")],
                    RETURNS)
 
 
 def ctgry_investment_returns(f: Feeds) -> DataFrame:
-    return _report(_cat(_sides(f), f, "member", "ctgry"),
+    return _report(_cat(cash_sides(f), f, "member", "ctgry"),
                    [("ctgry", "ctgry_type"), ("bond_id", "bond_id"), ("deal_dt", "deal_dt"),
                     ("bond_type8", "bond_type_e")],
                    _returns())
 
 
 def root_roi_performance(f: Feeds) -> DataFrame:
-    return _root_report(f, _sides(f),
+    return _root_report(f, cash_sides(f),
                    [("root", "member_id"), ("join_type", "participant_type"), ("bond_id", "bond_id"),
                     ("deal_dt", "deal_dt"), ("bond_type4", "bond_type_f")],
                    RETURNS)
 
 
 def root_bond_concentration(f: Feeds) -> DataFrame:
-    return _root_report(f, _sides(f),
+    return _root_report(f, cash_sides(f),
                    [("root", "member_id"), ("join_type", "participant_type"), ("bond_id", "bond_id"),
                     ("bond_type4", "bond_type_f"), ("deal_dt", "deal_dt")],
                    [(None, "dirty_amnt", "full_price")])
 
 
 def root_term_preference(f: Feeds) -> DataFrame:
-    return _root_report(f, _sides(f),
+    return _root_report(f, cash_sides(f),
                    [("root", "member_id"), ("bond_id", "bond_id"), ("member", "cmember_id"),
                     ("join_type", "participant_type"), ("deal_dt", "deal_dt"), ("bond_type4", "bond_type_f"),
                     ("yrs_to_mrty", "yr_of_time_to_mrty")],
@@ -316,12 +333,12 @@ SET_TABLES = {
     "root_counter_party_bond_info": SetTable(
         _sides, tuple(ROOT_KEYS4), (), (("counter", "counter_id_set"), ("bond_id", "bond_id_set"))),
     "root_counter_party_buyer": SetTable(
-        lambda f: _one_leg(f, BUY), _leg_keys("buyer_id"), PRICE, (("counter", "member_id_set"),)),
+        lambda f: _one_leg(f, BUY), _leg_keys("buyer_id"), PRICE, (("counter", "member_id_set"),), "n"),
     "root_counter_party_seller": SetTable(
-        lambda f: _one_leg(f, SELL), _leg_keys("seller_id"), PRICE, (("counter", "member_id_set"),)),
+        lambda f: _one_leg(f, SELL), _leg_keys("seller_id"), PRICE, (("counter", "member_id_set"),), "n"),
     "root_distribution_number": SetTable(
-        _sides, (("root", "member_id"), ("join_type", "participant_type"), ("bond_type8", "bond_type_e"),
-                 ("deal_strategy", "deal_strategy"), ("deal_dt", "deal_dt")), PRICE, (("bond_id", "bond_id_set"),)),
+        cash_sides, (("root", "member_id"), ("join_type", "participant_type"), ("bond_type8", "bond_type_e"),
+                 ("deal_strategy", "deal_strategy"), ("deal_dt", "deal_dt")), PRICE, (("bond_id", "bond_id_set"),), "n"),
 }
 #: tables that equal another one: the union of the legs before the roll-up is the union after it
 TWINS = {"root_counter_party_number": "root_counter_party_bond_info"}

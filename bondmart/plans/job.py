@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from bondmart.plans import base as B
 from bondmart.plans import cash_reports, repo_reports
+from bondmart.plans.grains import GRAINS
 from bondmart.plans.quality import dq_unmatched
 from bondmart.session import checkpoint_dir
 from bondmart.sources.feeds import Feeds
@@ -49,6 +50,26 @@ DIMENSION_WAVES = (
 FACT_WAVES = (("fact_repo_deal", "fact_cash_deal"), ("fact_repo_collateral",))
 
 
+#: reports that read a grain
+GRAIN_REPORTS = {
+    "grain_cash": ("root_deal_strategy_info", "root_trade_deadline_info", "ctgry_trade_deadline_info", "ctgry_bond_set",
+                   "root_distribution_number", "root_bond_deal", "ctgry_bond_deal", "union_info_for_bond_concentration",
+                   "base_investment_returns", "root_investment_returns", "ctgry_investment_returns",
+                   "root_roi_performance", "root_bond_concentration", "root_term_preference"),
+    "grain_cash_pair": ("ctgry_counter_party_buyer", "ctgry_counter_party_seller", "counter_party_buyer",
+                        "counter_party_seller", "root_counter_party_buyer", "root_counter_party_seller"),
+    "grain_repo_price": ("member_all_price_deal_info", "member_price_deal_info", "ctgry_price_deal_info"),
+    "grain_repo_pair": ("member_ctgry_amount_deal_info", "ctgry_ctgry_amount_deal_info", "member_ctgry_number_deal_info"),
+    "grain_collateral": tuple(f"{who}_bond_{what}_deal_info" for what in ("ctgry", "rtng", "type", "issr")
+                              for who in ("member", "ctgry")),
+}
+
+
+def grains_of(names, facts=FACTS) -> list[str]:
+    """Grains worth writing: those of ``facts`` that two or more reports read."""
+    return [g for g, own in GRAIN_REPORTS.items() if GRAINS[g].fact in facts and len(set(own) & set(names)) > 1]
+
+
 def _waves(waves, fn, workers: int) -> None:
     """Run independent small jobs of each wave concurrently (Spark schedules
     jobs submitted from several threads side by side)."""
@@ -63,9 +84,10 @@ def build_dimensions(f: Feeds, workers: int = 4) -> None:
 
 
 def materialize_facts(spark: SparkSession, f: Feeds, run_id: str | None = None,
-                      workers: int = 2, facts=FACTS) -> dict[str, int]:
-    """Write the shared facts once, make the feed set use the copies, and
-    return their sizes (A11, observed by the writes)."""
+                      workers: int = 2, facts=FACTS, grains=tuple(GRAINS), laid_out: bool = True) -> dict[str, int]:
+    """Write the shared facts once, and from them the grains, make the feed set
+    use the copies, and return the facts' sizes (A11, observed by the writes).
+    ``laid_out``: write the grains that have a layout in buckets."""
     root = checkpoint_dir(spark).rstrip("/") + f"/facts-{run_id or uuid.uuid4().hex}"
     sizes = {}
     memo = f.__dict__.setdefault("_memo", {})
@@ -81,6 +103,13 @@ def materialize_facts(spark: SparkSession, f: Feeds, run_id: str | None = None,
         sizes[name] = observed(size, "n") or 0
 
     _waves([w for wave in FACT_WAVES if (w := [n for n in wave if n in facts])], one, workers)
+
+    def reduce(name: str) -> None:
+        copy = GRAINS[name].write(spark, f, f"{root}/{name}", laid_out)
+        copy._bm_path = root
+        memo[name] = copy
+
+    _waves([grains], reduce, workers)
     return sizes
 
 
@@ -128,6 +157,8 @@ def clean_up(spark: SparkSession, *feeds: Feeds) -> None:
     """Remove the written facts and snapshots of a run."""
     for f in feeds:
         for df in f.__dict__.pop("_memo", {}).values():
+            if table := getattr(df, "_bm_table", None):
+                spark.sql(f"DROP TABLE IF EXISTS {table}")
             if path := getattr(df, "_bm_path", None):
                 remove(spark, path)
 
@@ -140,7 +171,7 @@ def run(spark: SparkSession, f: Feeds, out_root: str, names=None, materialize: b
     side. Sets by root are written as rows and sizes, with ``strings`` as text too. ``facts``: those that the reports need."""
     build_dimensions(f)
     todays = f if days is None else of_days(f, days)
-    sizes = materialize_facts(spark, todays, facts=facts) if materialize else {}
+    sizes = materialize_facts(spark, todays, facts=facts, grains=grains_of(names or REPORTS, facts)) if materialize else {}
     out_root, times = out_root.rstrip("/"), {}
 
     def one(job: tuple[str, list[str]]) -> None:

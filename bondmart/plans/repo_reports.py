@@ -4,7 +4,7 @@ Every table that the original job wrote in several column groups (one save
 per side, merged by key in the store) is one grouped aggregate here, with
 side-conditional measures (K2): a missing side is a NULL column.
 
-Shape of each plan: deals -> side unpivot (x2, narrow) -> dimension
+Shape of each plan: a shared grain (side-unpivoted deals, ``grains``) -> dimension
 lookups (size-checked broadcast) -> groupBy; a root report groups at member
 grain, then looks the root up, fans out to the participant types and groups
 again. Partial aggregation runs before each shuffle, so the exchanges carry
@@ -18,35 +18,23 @@ from pyspark.sql import functions as F
 
 from bondmart import labels as L
 from bondmart.functions import scalars as X
-from bondmart.operators.joins import small, with_rating
-from bondmart.operators.rollup import (
-    REPO_SIDES, on_side, rollup_agg, rollup_items, set_arrays, sides_unpivot, with_category,
-)
+from bondmart.operators.rollup import rollup_agg, rollup_items, set_arrays, with_category
 from bondmart.plans import base as B
+from bondmart.plans.grains import grain
 from bondmart.sources.feeds import Feeds
 
 R, V = L.SIDE_REPO, L.SIDE_RVRSE
 
 
-def _sides(df: DataFrame) -> DataFrame:
-    return sides_unpivot(df, REPO_SIDES)
+PRICE_SUMS = ("repo_num", "repo_amt", "rvrse_num", "rvrse_amt")
 
 
-def _price_terms() -> dict[str, F.Column]:
-    """rate·amount and amount per side (kept exact in DECIMAL)."""
-    out = {}
-    for s in (R, V):
-        out[f"{s.lower()}_num"] = on_side(s, F.col("repo_rate") * F.col("trade_amnt"))
-        out[f"{s.lower()}_amt"] = on_side(s, "trade_amnt")
-    return out
-
-
-def _sums(terms: dict[str, F.Column]) -> list:
-    return [F.sum(e).alias(n) for n, e in terms.items()]
+def _as_is(names) -> dict[str, F.Column]:
+    return {n: F.col(n) for n in names}
 
 
-def _price_parts() -> list:
-    return _sums(_price_terms())
+def _sums(names) -> list:
+    return [F.sum(n).alias(n) for n in names]
 
 
 def _set_or_null(arr_col: str, name: str) -> list:
@@ -67,8 +55,7 @@ def member_sketch_info(f: Feeds) -> DataFrame:
 
 def member_all_price_deal_info(f: Feeds) -> DataFrame:
     """Per member (no roll-up): weighted price of each side."""
-    d = _sides(B.fact_repo_deal_priced(f))
-    g = d.groupBy("member", "pd_cd", "deal_dt").agg(*_price_parts())
+    g = grain(f, "grain_repo_price").groupBy("member", "pd_cd", "deal_dt").agg(*_sums(PRICE_SUMS))
     g = with_category(g, B.member_info(f), "member", "ins_show_name")
     return g.select(
         F.col("member").alias("unq_id_in_src_sys"), "pd_cd", "deal_dt", "ins_show_name",
@@ -87,8 +74,7 @@ def _spread(num_r, amt_r, num_v, amt_v) -> F.Column:
 def member_price_deal_info(f: Feeds) -> DataFrame:
     """Root roll-up of weighted prices and amounts; spread and total where
     the root has both sides."""
-    d = _sides(B.fact_repo_deal_priced(f))
-    g = rollup_agg(d, B.member_rollup_repo(f), ["pd_cd", "deal_dt"], _price_terms())
+    g = rollup_agg(grain(f, "grain_repo_price"), B.member_rollup_repo(f), ["pd_cd", "deal_dt"], _as_is(PRICE_SUMS))
     both = F.col("repo_amt").isNotNull() & F.col("rvrse_amt").isNotNull()
     return g.select(
         F.col("root").alias("unq_id_in_src_sys"), "join_type", "pd_cd", "deal_dt",
@@ -109,17 +95,15 @@ def ctgry_price_deal_info(f: Feeds) -> DataFrame:
     Two aggregation levels: member grain (one shuffle of pre-combined
     rows), then category grain over that small result.
     """
-    d = _sides(B.fact_repo_deal_priced(f))
-    extra = []
+    extremes = []
     for s in (R, V):
-        extra += [F.max(on_side(s, "repo_rate")).alias(f"{s.lower()}_max"),
-                  F.min(on_side(s, "repo_rate")).alias(f"{s.lower()}_min")]
-    m = d.groupBy("member", "pd_cd", "deal_dt").agg(*_price_parts(), *extra)
+        extremes += [F.max(f"{s.lower()}_max").alias(f"{s.lower()}_max"), F.min(f"{s.lower()}_min").alias(f"{s.lower()}_min")]
+    m = grain(f, "grain_repo_price").groupBy("member", "pd_cd", "deal_dt").agg(*_sums(PRICE_SUMS), *extremes)
     m = with_category(m, B.member_info(f), "member", "ins_show_name")
     both = F.col("repo_amt").isNotNull() & F.col("rvrse_amt").isNotNull()
     t = (F.col("repo_amt") + F.col("rvrse_amt")).cast("double")
     g = m.groupBy("ins_show_name", "pd_cd", "deal_dt").agg(
-        *[F.sum(c).alias(c) for c in ("repo_num", "repo_amt", "rvrse_num", "rvrse_amt")],
+        *_sums(PRICE_SUMS),
         F.sum(F.when(both, _spread("repo_num", "repo_amt", "rvrse_num", "rvrse_amt") * t)).alias("dt_sum"),
         F.sum(F.when(both, t)).alias("t_sum"),
         *[F.max(f"{s.lower()}_max").alias(f"{s.lower()}_max") for s in (R, V)],
@@ -168,16 +152,24 @@ def global_price_deal_info(f: Feeds) -> DataFrame:
 
 
 def _distribution_base(f: Feeds) -> DataFrame:
-    """All products; side rows with the counter-party's display category."""
-    d = _sides(B.fact_repo_deal(f))
-    return with_category(d, B.member_info(f), "counter", "cou_party_ins_show_name")
+    """All products; pairs of members with the counter-party's display category."""
+    return with_category(grain(f, "grain_repo_pair"), B.member_info(f), "counter", "cou_party_ins_show_name")
+
+
+def _counter_of(side: str) -> F.Column:
+    """The counter-party of pairs with deals on a side."""
+    return F.when(F.col(f"{side.lower()}_n") > 0, F.col("counter"))
+
+
+def _deals() -> F.Column:
+    return F.coalesce("repo_n", F.lit(0)) + F.coalesce("rvrse_n", F.lit(0))
 
 
 def member_ctgry_amount_deal_info(f: Feeds) -> DataFrame:
     d = _distribution_base(f)
     items = rollup_items(d, B.member_rollup_repo(f), ["cou_party_ins_show_name", "deal_dt"],
-                         {"ra": on_side(R, "trade_amnt"), "va": on_side(V, "trade_amnt")},
-                         {"rs": on_side(R, "counter"), "vs": on_side(V, "counter")})
+                         {"ra": F.col("repo_amt"), "va": F.col("rvrse_amt")},
+                         {"rs": _counter_of(R), "vs": _counter_of(V)}, count=_deals())
     g = set_arrays(items, ["root", "join_type", "cou_party_ins_show_name", "deal_dt"], ["ra", "va"], ["rs", "vs"])
     return g.select(
         F.col("root").alias("unq_id_in_src_sys"), "join_type", "cou_party_ins_show_name", "deal_dt",
@@ -191,7 +183,7 @@ def member_ctgry_amount_deal_info(f: Feeds) -> DataFrame:
 def ctgry_ctgry_amount_deal_info(f: Feeds) -> DataFrame:
     d = with_category(_distribution_base(f), B.member_info(f), "member", "ins_show_name")
     g = d.groupBy("ins_show_name", "cou_party_ins_show_name", "deal_dt").agg(
-        F.sum(on_side(R, "trade_amnt")).alias("ra"), F.sum(on_side(V, "trade_amnt")).alias("va"),
+        F.sum("repo_amt").alias("ra"), F.sum("rvrse_amt").alias("va"),
     )
     return g.select(
         "ins_show_name", "cou_party_ins_show_name", "deal_dt",
@@ -203,7 +195,7 @@ def ctgry_ctgry_amount_deal_info(f: Feeds) -> DataFrame:
 def member_ctgry_number_deal_info(f: Feeds) -> DataFrame:
     d = with_category(_distribution_base(f), B.member_info(f), "member", "ins_show_name")
     g = d.groupBy("ins_show_name", "member", "cou_party_ins_show_name", "deal_dt").agg(
-        F.collect_set(on_side(R, "counter")).alias("rs"), F.collect_set(on_side(V, "counter")).alias("vs"),
+        F.collect_set(_counter_of(R)).alias("rs"), F.collect_set(_counter_of(V)).alias("vs"),
     )
     return g.select(
         "ins_show_name", F.col("member").alias("unq_id_in_src_sys"), "cou_party_ins_show_name", "deal_dt",
@@ -214,44 +206,26 @@ def member_ctgry_number_deal_info(f: Feeds) -> DataFrame:
 
 # ------------------------------------------------------------- collateral
 
-def _collateral(f: Feeds, rating: bool = False, issuer: bool = False) -> DataFrame:
-    """Collateral rows with bond category (missing bond -> 其他), optional
-    as-of rating and issuer (issuer: bonds missing from the dimension
-    dropped), then side-unpivoted."""
-    c = B.fact_repo_collateral(f)
-    bonds = B.dim_bond4(f)
-    if issuer:
-        c = c.join(small(bonds.select("bond_id", "issr_id")), "bond_id", "inner")
-    else:
-        c = c.join(small(bonds.select("bond_id", "bond_ctgry_nm")), "bond_id", "left").withColumn(
-            "bond_ctgry_nm", F.coalesce(F.col("bond_ctgry_nm"), F.lit(L.BOND_OTHER))
-        )
-    if rating:
-        c = with_rating(c, B.dim_rating_segments(f))
-    return _sides(c)
+ALLOC = ("repo_alloc", "rvrse_alloc")
+HAIRCUT = ("repo_cut", "repo_alloc", "rvrse_cut", "rvrse_alloc")
 
 
-def _alloc_terms() -> dict[str, F.Column]:
-    return {"ra": on_side(R, "alloc"), "va": on_side(V, "alloc")}
+def _collateral(f: Feeds) -> DataFrame:
+    return grain(f, "grain_collateral")
 
 
 def _alloc_out() -> list:
-    return [F.col("ra").cast("decimal(38,4)").alias("repo_sum_amount"),
-            F.col("va").cast("decimal(38,4)").alias("rvrse_sum_amount")]
-
-
-def _haircut_terms() -> dict[str, F.Column]:
-    hc = F.col("cnvrsn_prprtn") * F.col("alloc")
-    return {"rn": on_side(R, hc), "ra": on_side(R, "alloc"), "vn": on_side(V, hc), "va": on_side(V, "alloc")}
+    return [F.col("repo_alloc").cast("decimal(38,4)").alias("repo_sum_amount"),
+            F.col("rvrse_alloc").cast("decimal(38,4)").alias("rvrse_sum_amount")]
 
 
 def _haircut_out() -> list:
-    return [X.ratio6("rn", "ra").alias("repo_weighted_cnvrsn_prprtn"),
-            X.ratio6("vn", "va").alias("rvrse_weighted_cnvrsn_prprtn")]
+    return [X.ratio6("repo_cut", "repo_alloc").alias("repo_weighted_cnvrsn_prprtn"),
+            X.ratio6("rvrse_cut", "rvrse_alloc").alias("rvrse_weighted_cnvrsn_prprtn")]
 
 
-def _rolled(f: Feeds, d: DataFrame, keys: list[str], terms: dict[str, F.Column]) -> DataFrame:
-    return rollup_agg(d, B.member_rollup_repo(f), keys, terms)
+def _rolled(f: Feeds, d: DataFrame, keys: list[str], names) -> DataFrame:
+    return rollup_agg(d, B.member_rollup_repo(f), keys, _as_is(names))
 
 
 def _by_ctgry(f: Feeds, d: DataFrame) -> DataFrame:
@@ -259,55 +233,60 @@ def _by_ctgry(f: Feeds, d: DataFrame) -> DataFrame:
 
 
 def member_bond_ctgry_deal_info(f: Feeds) -> DataFrame:
-    g = _rolled(f, _collateral(f), ["bond_ctgry_nm", "deal_dt"], _alloc_terms())
+    g = _rolled(f, _collateral(f), ["bond_ctgry_nm", "deal_dt"], ALLOC)
     return g.select(F.col("root").alias("unq_id_in_src_sys"), "join_type", "bond_ctgry_nm", "deal_dt",
                     *_alloc_out())
 
 
 def ctgry_bond_ctgry_deal_info(f: Feeds) -> DataFrame:
-    g = _by_ctgry(f, _collateral(f)).groupBy("ins_show_name", "bond_ctgry_nm", "deal_dt").agg(*_sums(_alloc_terms()))
+    g = _by_ctgry(f, _collateral(f)).groupBy("ins_show_name", "bond_ctgry_nm", "deal_dt").agg(*_sums(ALLOC))
     return g.select("ins_show_name", "bond_ctgry_nm", "deal_dt", *_alloc_out())
 
 
 def _rated(f: Feeds) -> DataFrame:
     """Rate bonds carry no rating and are left out of rating tables."""
-    return _collateral(f, rating=True).filter(F.col("bond_ctgry_nm") != L.RATE_BOND)
+    return _collateral(f).filter(F.col("bond_ctgry_nm") != L.RATE_BOND)
 
 
 def member_bond_rtng_deal_info(f: Feeds) -> DataFrame:
-    g = _rolled(f, _rated(f), ["bond_ctgry_nm", "rtng_desc", "deal_dt"], _alloc_terms())
+    g = _rolled(f, _rated(f), ["bond_ctgry_nm", "rtng_desc", "deal_dt"], ALLOC)
     return g.select(F.col("root").alias("unq_id_in_src_sys"), "join_type", "bond_ctgry_nm", "rtng_desc",
                     "deal_dt", *_alloc_out())
 
 
 def ctgry_bond_rtng_deal_info(f: Feeds) -> DataFrame:
-    g = _by_ctgry(f, _rated(f)).groupBy("ins_show_name", "bond_ctgry_nm", "rtng_desc", "deal_dt").agg(*_sums(_alloc_terms()))
+    g = _by_ctgry(f, _rated(f)).groupBy("ins_show_name", "bond_ctgry_nm", "rtng_desc", "deal_dt").agg(*_sums(ALLOC))
     return g.select("ins_show_name", "bond_ctgry_nm", "rtng_desc", "deal_dt", *_alloc_out())
 
 
+def _issued(f: Feeds) -> DataFrame:
+    """Bonds missing from the dimension have no issuer and are left out."""
+    return _collateral(f).filter("listed")
+
+
 def member_bond_type_deal_info(f: Feeds) -> DataFrame:
-    d = _collateral(f, rating=True)
-    g = _rolled(f, d, ["bond_ctgry_nm", "rtng_desc", "deal_dt"], _haircut_terms())
+    d = _collateral(f)
+    g = _rolled(f, d, ["bond_ctgry_nm", "rtng_desc", "deal_dt"], HAIRCUT)
     return g.select(F.col("root").alias("unq_id_in_src_sys"), "join_type", "bond_ctgry_nm", "rtng_desc",
                     "deal_dt", *_haircut_out())
 
 
 def ctgry_bond_type_deal_info(f: Feeds) -> DataFrame:
-    d = _collateral(f, rating=True)
-    g = _by_ctgry(f, d).groupBy("ins_show_name", "bond_ctgry_nm", "rtng_desc", "deal_dt").agg(*_sums(_haircut_terms()))
+    d = _collateral(f)
+    g = _by_ctgry(f, d).groupBy("ins_show_name", "bond_ctgry_nm", "rtng_desc", "deal_dt").agg(*_sums(HAIRCUT))
     return g.select("ins_show_name", "bond_ctgry_nm", "rtng_desc", "deal_dt", *_haircut_out())
 
 
 def member_bond_issr_deal_info(f: Feeds) -> DataFrame:
-    d = _collateral(f, issuer=True)
-    g = _rolled(f, d, ["issr_id", "deal_dt"], _haircut_terms())
+    d = _issued(f)
+    g = _rolled(f, d, ["issr_id", "deal_dt"], HAIRCUT)
     return g.select(F.col("root").alias("unq_id_in_src_sys"), "join_type", "issr_id", "deal_dt",
                     *_haircut_out())
 
 
 def ctgry_bond_issr_deal_info(f: Feeds) -> DataFrame:
-    d = _collateral(f, issuer=True)
-    g = _by_ctgry(f, d).groupBy("ins_show_name", "issr_id", "deal_dt").agg(*_sums(_haircut_terms()))
+    d = _issued(f)
+    g = _by_ctgry(f, d).groupBy("ins_show_name", "issr_id", "deal_dt").agg(*_sums(HAIRCUT))
     return g.select("ins_show_name", "issr_id", "deal_dt", *_haircut_out())
 
 
@@ -338,8 +317,7 @@ REPORTS = {
 
 def member_spread_info(f: Feeds) -> DataFrame:
     """Per member with both sides: reverse minus repo price, total amount."""
-    d = _sides(B.fact_repo_deal_priced(f))
-    g = d.groupBy("member", "pd_cd", "deal_dt").agg(*_price_parts())
+    g = grain(f, "grain_repo_price").groupBy("member", "pd_cd", "deal_dt").agg(*_sums(PRICE_SUMS))
     g = with_category(g, B.member_info(f), "member", "ins_show_name")
     g = g.filter(F.col("repo_amt").isNotNull() & F.col("rvrse_amt").isNotNull())
     return g.select(
@@ -351,8 +329,8 @@ def member_spread_info(f: Feeds) -> DataFrame:
 
 def ctgry_price_difference_simple(f: Feeds) -> DataFrame:
     """Per category with both sides: reverse minus repo category price."""
-    d = with_category(_sides(B.fact_repo_deal_priced(f)), B.member_info(f), "member", "ins_show_name")
-    g = d.groupBy("ins_show_name", "pd_cd", "deal_dt").agg(*_price_parts())
+    d = with_category(grain(f, "grain_repo_price"), B.member_info(f), "member", "ins_show_name")
+    g = d.groupBy("ins_show_name", "pd_cd", "deal_dt").agg(*_sums(PRICE_SUMS))
     g = g.filter(F.col("repo_amt").isNotNull() & F.col("rvrse_amt").isNotNull())
     return g.select(
         "ins_show_name", "pd_cd", "deal_dt",
