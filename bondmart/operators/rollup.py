@@ -1,20 +1,23 @@
 """Side unpivot (P1), root roll-up (A9 / A9b) and category roll-up (A10).
 
-The side unpivot is a narrow row operation. A root report is aggregated at
-member grain first (``rollup_agg``); the root lookup and the fan-out to the
-participant types only see that small result.
+The side unpivot is a narrow row operation. A root report is combined by root
+with the participant types side by side (``rollup_agg``), so its rows are
+shuffled once; the fan-out to the types comes after that.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bondmart import labels as L
 from bondmart.operators.joins import dedupe_latest, small
 
+#: every participant type that the roll-up rules give
+PARTICIPANT_TYPES = (L.JT_INSTITUTION, L.JT_PRODUCT, L.JT_MONEY_FUND)
+CASH_TYPES = (L.JT_INSTITUTION, L.JT_PRODUCT)
 SKETCH_LOG_K = 12  # a sketch of at most about 4 KB, 1.6 % standard error
 
 
@@ -145,47 +148,93 @@ def with_category(
     return x
 
 
+def _apart(df: DataFrame, group: Sequence[str], sums: dict[str, Column], types: Sequence[str]) -> DataFrame:
+    """groupBy(group) with each sum over all rows (``<name>_0``) and over those
+    of each participant type (``<name>_1``, ...; their number: ``_rows_1``, ...).
+    One shuffle of rows combined map-side serves all types."""
+    own = [F.col("join_type") == t for t in types]
+    return df.groupBy(*group).agg(
+        *[F.count(F.when(t, 1)).alias(f"_rows_{i}") for i, t in enumerate(own, 1)],
+        *[F.sum(e).alias(f"{n}_0") for n, e in sums.items()],
+        *[F.sum(F.when(t, e)).alias(f"{n}_{i}") for i, t in enumerate(own, 1) for n, e in sums.items()])
+
+
+def _fanned_out(apart: DataFrame, keep: Sequence[str], names: Sequence[str], types: Sequence[str]) -> DataFrame:
+    """A row of ``_apart`` once under 全部 and once under each type that has rows
+    in it. Rows stay where they are."""
+    each = [F.struct(F.lit(t).alias("join_type"), (F.col(f"_rows_{i}") if i else F.lit(1).cast("long")).alias("_rows"),
+                     *[F.col(f"{n}_{i}").alias(n) for n in names]) for i, t in enumerate((L.JT_ALL, *types))]
+    return apart.select(*keep, F.explode(F.array(*each)).alias("_t")).where("_t._rows > 0").select(
+        keep[0], "_t.join_type", *keep[1:], *[f"_t.{n}" for n in names])
+
+
 def rollup_agg(df: DataFrame, rollup: DataFrame, keys: Sequence[str], sums: dict[str, Column],
-               member: str = "member") -> DataFrame:
-    """groupBy(root, join_type, keys) of ``df`` with sums, by way of member
-    grain: aggregate by (member, keys), attach the root and fan out to 全部 and
-    the own type, then combine the members of a root. With ``member`` among the
-    keys the second step is not needed. Rows that carry their root (a stored
-    grain) need no lookup and are aggregated by root at once."""
+               member: str = "member", types: Sequence[str] = PARTICIPANT_TYPES) -> DataFrame:
+    """groupBy(root, join_type, keys) of ``df`` with sums, 全部 and the own type.
+    Rows are combined by (root, keys) with the types' sums apart, so they are
+    shuffled once and fan out to the types afterwards. With ``member`` among the
+    keys they are combined by member, and its root is looked up at the end. Rows
+    that carry their root (a stored grain) need no lookup."""
     keys = [k for k in keys if k not in ("root", "join_type")]
     has_root = "root" in df.columns
-    fine = ["root", "join_type", *keys] if has_root else keys if member in keys else [member, *keys]
-    first = df.groupBy(*fine).agg(*[F.sum(e).alias(n) for n, e in sums.items()])
-    wide = explode_join_types(first if has_root else with_rollup(first, rollup, member))
     if member in keys:
-        return wide
-    return wide.groupBy("root", "join_type", *keys).agg(*[F.sum(n).alias(n) for n in sums])
+        first = df.groupBy(*(["root", "join_type"] if has_root else []), *keys).agg(*[F.sum(e).alias(n) for n, e in sums.items()])
+        return explode_join_types(first if has_root else with_rollup(first, rollup, member))
+    rows = df if has_root else with_rollup(df, rollup, member)
+    return _fanned_out(_apart(rows, ["root", *keys], sums, types), ["root", *keys], list(sums), types)
+
+
+def items_apart(df: DataFrame, rollup: DataFrame, keys: Sequence[str], sums: dict[str, Column],
+                sets: dict[str, Column], member: str = "member", count: Column | None = None,
+                types: Sequence[str] = PARTICIPANT_TYPES) -> DataFrame:
+    """The distinct rows of ``rollup_items`` by (root, keys, set_name, item), before
+    the fan-out: the types' numbers and sums side by side (``_apart``)."""
+    lead = next(iter(sets))
+    held = F.array(*[F.struct(F.lit(n).alias("set_name"), e.cast("string").alias("item")) for n, e in sets.items()])
+    one = F.lit(1).cast("long") if count is None else count
+    rows = df.select(member, *keys, *[e.alias(n) for n, e in sums.items()], one.alias("_n"), held.alias("_sets"))
+    rows = with_rollup(rows, rollup, member).withColumn("_s", F.explode("_sets")).select(
+        "root", "join_type", *keys, "_s.set_name", "_s.item", "_n",
+        *[F.when(F.col("_s.set_name") == lead, F.col(n)).alias(n) for n in sums])
+    return _apart(rows, ["root", *keys, "set_name", "item"],
+                  {"n_rows": F.col("_n"), **{n: F.col(n) for n in sums}}, types)
 
 
 def rollup_items(df: DataFrame, rollup: DataFrame, keys: Sequence[str], sums: dict[str, Column],
-                 sets: dict[str, Column], member: str = "member", count: Column | None = None) -> DataFrame:
+                 sets: dict[str, Column], member: str = "member", count: Column | None = None,
+                 types: Sequence[str] = PARTICIPANT_TYPES, place: Sequence[str | Column] = ()) -> DataFrame:
     """A4 by root without arrays: a row per (root, join_type, keys, set_name,
     item) with the number of rows that hold the item (``n_rows``; ``count``: how
     many each row stands for) and their sums.
 
-    Distinct rows are made twice: by member, then, after the fan-out, by root;
-    both are partial and final aggregates, so no row grows with the size of a set
-    and a hot root is spread over its items. Each row of ``df`` counts once per
+    Distinct rows are made once, by root, with the types apart: partial and final
+    aggregates, so no row grows with the size of a set and a hot root is spread
+    over its items. Each row of ``df`` counts once per
     set; ``sums`` stand on the rows of the first set alone. A null item is a
-    row (with its sums) that belongs to no set.
+    row (with its sums) that belongs to no set. ``place``: columns to bring the
+    distinct rows together by before they fan out, for a reader that groups by
+    these and the type.
     """
     keys = [k for k in keys if k not in ("root", "join_type")]
-    lead = next(iter(sets))
-    each = F.explode(F.array(*[F.struct(F.lit(n).alias("set_name"), e.cast("string").alias("item")) for n, e in sets.items()]))
-    one = F.lit(1).cast("long") if count is None else count
-    rows = df.select(member, *keys, *[e.alias(n) for n, e in sums.items()], one.alias("_n"), each.alias("_s")).select(
-        member, *keys, "_s.set_name", "_s.item", "_n",
-        *[F.when(F.col("_s.set_name") == lead, F.col(n)).alias(n) for n in sums])
-    first = rows.groupBy(member, *keys, "set_name", "item").agg(
-        F.sum("_n").alias("n_rows"), *[F.sum(n).alias(n) for n in sums])
-    wide = explode_join_types(with_rollup(first, rollup, member))
-    return wide.groupBy("root", "join_type", *keys, "set_name", "item").agg(
-        F.sum("n_rows").alias("n_rows"), *[F.sum(n).alias(n) for n in sums])
+    apart = items_apart(df, rollup, keys, sums, sets, member, count, types)
+    return _fanned_out(apart.repartition(*place) if place else apart, ["root", *keys, "set_name", "item"],
+                       ["n_rows", *sums], types)
+
+
+def rollup_sizes(df: DataFrame, rollup: DataFrame, keys: Sequence[str], sums: dict[str, Column],
+                 sets: dict[str, Column], member: str = "member", count: Column | None = None,
+                 types: Sequence[str] = PARTICIPANT_TYPES) -> DataFrame:
+    """``set_sizes`` of ``rollup_items``, counted with the types apart: the fan-out
+    sees one row per (root, keys)."""
+    keys = [k for k in keys if k not in ("root", "join_type")]
+    apart = items_apart(df, rollup, keys, sums, sets, member, count, types)
+    held = [F.lit(True), *[F.col(f"_rows_{i}") > 0 for i in range(1, len(types) + 1)]]
+    sizes = apart.groupBy("root", *keys).agg(
+        *[F.sum(f"_rows_{i}").alias(f"_rows_{i}") for i in range(1, len(held))],
+        *[F.sum(f"{n}_{i}").alias(f"{n}_{i}") for i in range(len(held)) for n in sums],
+        *[F.count(F.when((F.col("set_name") == n) & there, F.col("item"))).alias(f"{n}_size_{i}")
+          for i, there in enumerate(held) for n in sets])
+    return _fanned_out(sizes, ["root", *keys], [*sums, *[f"{n}_size" for n in sets]], types)
 
 
 def set_sizes(items: DataFrame, keys: Sequence[str], sums: Sequence[str], sets: Sequence[str]) -> DataFrame:
@@ -212,3 +261,15 @@ def set_sketches(items: DataFrame, keys: Sequence[str]) -> DataFrame:
 def merged_sizes(sketches: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Estimated distinct items of unions of sketches (of days, roots, ...)."""
     return sketches.groupBy(*keys, "set_name").agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("estimate"))
+
+
+def period_sizes(items: DataFrame, keys: Sequence[str], day: str) -> DataFrame:
+    """Distinct items by ``keys`` of item rows by day: exact (``n_items``: an item
+    counts on its first day), and as the merged sketches of the days estimate
+    it. One pass; rows that lie together by keys stay where they are."""
+    first = F.row_number().over(Window.partitionBy(*keys, "item").orderBy(day)) == 1
+    rows = items.select(*keys, day, "item", F.when(first & F.col("item").isNotNull(), 1).alias("_first"))
+    days = rows.groupBy(*keys, day).agg(
+        F.count("_first").alias("n_items"), F.hll_sketch_agg("item", SKETCH_LOG_K).alias("sketch"))
+    return days.groupBy(*keys).agg(
+        F.sum("n_items").alias("n_items"), F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("estimate"))

@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from bondmart import labels as L
 from bondmart.functions import scalars as X
 from bondmart.operators.rollup import (
-    CASH_SIDES, rollup_agg, rollup_items, set_arrays, set_sizes, set_sketches, merged_sizes,
-    sides_unpivot, with_category,
+    CASH_SIDES, CASH_TYPES, period_sizes, rollup_agg, rollup_items, rollup_sizes, set_arrays,
+    set_sizes, sides_unpivot, with_category,
 )
 from bondmart.plans import base as B
 from bondmart.plans.grains import cash_sides, grain
@@ -76,7 +76,7 @@ def _root_report(f: Feeds, df: DataFrame, keys: Sequence[tuple[str, str]], sums:
     """A report by root and participant type. sums = [(side or None,
     col, name)], a side's sum being 0 without deals."""
     g = rollup_agg(df, B.member_rollup_cash(f), [k for k, _ in keys],
-                   {n: F.col(_of_side(side, c) if side else c) for side, c, n in sums})
+                   {n: F.col(_of_side(side, c) if side else c) for side, c, n in sums}, types=CASH_TYPES)
     out = [F.col(k).alias(n) for k, n in keys]
     for side, _, n in sums:
         out.append((F.coalesce(F.col(n), F.lit(0)) if side else F.col(n)).cast("decimal(38,2)").alias(n))
@@ -94,12 +94,15 @@ class SetTable:
     sets: tuple[tuple[str, str], ...]
     count: str | None = None  # deals that a row stands for
 
-    def items(self, f: Feeds) -> DataFrame:
+    def _rolled(self, f: Feeds, way: Callable[..., DataFrame], **how) -> DataFrame:
+        return way(self.rows(f), B.member_rollup_cash(f), [k for k, _ in self.keys],
+                   {n: F.col(c) for c, n in self.sums}, {n: F.col(c) for c, n in self.sets},
+                   count=F.col(self.count) if self.count else None, types=CASH_TYPES, **how)
+
+    def items(self, f: Feeds, place: Sequence[str | Column] = ()) -> DataFrame:
         """The sets as rows: keys, set_name, item, n_rows and sums; the sums
-        stand on the rows of the first set."""
-        g = rollup_items(self.rows(f), B.member_rollup_cash(f), [k for k, _ in self.keys],
-                         {n: F.col(c) for c, n in self.sums}, {n: F.col(c) for c, n in self.sets},
-                         count=F.col(self.count) if self.count else None)
+        stand on the rows of the first set. ``place``: see ``rollup_items``."""
+        g = self._rolled(f, rollup_items, place=place)
         return g.select(*[F.col(k).alias(n) for k, n in self.keys], "set_name", "item", "n_rows",
                         *[F.col(n).cast("decimal(38,2)").alias(n) for _, n in self.sums])
 
@@ -119,16 +122,21 @@ class SetTable:
             *keys, *[F.col(n).cast("decimal(38,2)").alias(n) for n in sums],
             *[c for n in sets for c in (X.set_to_string(F.col(n), SEP).alias(n), F.col(f"{n}_size"))])
 
+    def report(self, f: Feeds, strings: bool = True) -> DataFrame:
+        """The report from the deals at once: sizes counted before the fan-out, or
+        the items of a row brought together before it."""
+        if strings:
+            return self.strings(self.items(f, place=[k for k, _ in self.keys if k != "join_type"]))
+        keys, sums, sets = self._names()
+        return self._rolled(f, rollup_sizes).select(
+            *[F.col(k).alias(n) for k, n in self.keys], *[F.col(n).cast("decimal(38,2)").alias(n) for n in sums],
+            *[f"{n}_size" for n in sets])
+
     def period_sizes(self, items: DataFrame, period: Column, name: str) -> DataFrame:
         """Exact distinct items of each set over ``period``, and the estimate
         that the merged sketches of the days give."""
         keys = [n for n in self._names()[0] if n != "deal_dt"]
-        days = items.withColumn(name, period)
-        exact = days.groupBy(*keys, name, "set_name").agg(F.count_distinct("item").alias("n_items"))
-        estimate = merged_sizes(set_sketches(days, [*keys, name, "deal_dt"]), [*keys, name])
-        on = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (*keys, name, "set_name")]
-        return exact.alias("a").join(estimate.alias("b"), on, "left").select(
-            "a.*", F.coalesce(F.col("b.estimate"), F.lit(0)).cast("long").alias("estimate"))
+        return period_sizes(items.withColumn(name, period), [*keys, name, "set_name"], "deal_dt")
 
 
 # ------------------------------------------------------------------ tables
@@ -348,7 +356,7 @@ def set_report(name: str, strings: bool = True) -> Callable[[Feeds], DataFrame]:
     own = SET_TABLES[TWINS.get(name, name)]
 
     def plan(f: Feeds) -> DataFrame:
-        return own.strings(own.items(f)) if strings else own.sizes(own.items(f))
+        return own.report(f, strings)
 
     plan.__name__ = name
     return plan
@@ -358,7 +366,8 @@ def root_period_sizes(f: Feeds) -> DataFrame:
     """Distinct counter-parties and bonds of a root by month, exact, and
     whether the sketches of its days agree within 5 % (and one item)."""
     own = SET_TABLES["root_counter_party_bond_info"]
-    sizes = own.period_sizes(own.items(f), F.date_format("deal_dt", "yyyy-MM"), "month")
+    month = F.date_format("deal_dt", "yyyy-MM")
+    sizes = own.period_sizes(own.items(f, place=["root", "bond_type4", month, "set_name"]), month, "month")
     near = F.abs(F.col("estimate") - F.col("n_items")) <= F.greatest(F.lit(1.0), F.col("n_items") * 0.05)
     return sizes.withColumn("sketch_agrees", near).drop("estimate")
 
