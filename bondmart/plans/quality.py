@@ -76,17 +76,6 @@ def clean_count(f: Feeds) -> DataFrame:
     ])
 
 
-def effective_dated(df: DataFrame, members: DataFrame, id_col: str, date_col: str = "deal_dt") -> DataFrame:
-    """Keep rows whose member id has a version with from < date < to
-    (both strict). Equi-join on the id plus a range residual, semi join."""
-    m = members.select(F.col("ip_id").alias("_ip"), "efctv_from_dt", "efctv_to_dt")
-    cond = ((F.col(id_col) == F.col("_ip")) & (F.col(date_col) > F.col("efctv_from_dt"))
-            & (F.col(date_col) < F.col("efctv_to_dt")))
-    return df.join(small(m), cond, "left_semi")
-
-
 def effective_dated_cash_deals(f: Feeds) -> DataFrame:
     """W11 on both parties of the cleaned cash deals."""
-    d = B.fact_cash_deal(f)
-    d = effective_dated(d, f.member_d, "buy_ip_id")
-    return effective_dated(d, f.member_d, "sell_ip_id")
+    return B.fact_cash_deal(f, versions=B.member_versions(f))
