@@ -5,9 +5,9 @@ per side, merged by key in the store) is one grouped aggregate here, with
 side-conditional measures (K2): a missing side is a NULL column.
 
 Shape of each plan: a shared grain (side-unpivoted deals, ``grains``) -> dimension
-lookups (size-checked broadcast) -> groupBy; a root report groups at member
-grain, then looks the root up, fans out to the participant types and groups
-again. Partial aggregation runs before each shuffle, so the exchanges carry
+lookups (size-checked broadcast) -> groupBy; a root report looks the root up,
+groups by it with the participant types side by side and fans out to them
+afterwards. Partial aggregation runs before each shuffle, so the exchanges carry
 pre-combined rows at report-key grain.
 """
 
