@@ -40,12 +40,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from bondmart.llm.common import Words, byte_texts, chunks, column, rolling, ship, sliding_min, span_hash, table
+from bondmart.llm.common import Words, byte_texts, chunks, column, portions, rolling, ship, sliding_min, span_hash, table
 
 WINDOW, GRAM = 13, 3
 CHUNK_BYTES = 2 << 20     # text worked on at once in a task
 BUCKET_BYTES = 12 << 20   # packed strings per bucket, about; a third of it is text
 HEAVY_BYTES = 48 << 20    # packed strings of a bucket that is dealt by window
+SLICE_BYTES = 1 << 19     # packed strings of a bucket whose words are looked at at once
 LONGEST_RUN = 256         # windows in one super-k-mer; a longer run goes on in the next
 
 _BLOCK = "bucket long, docs binary, keys binary, firsts binary, counts binary, packed binary"
@@ -151,10 +152,10 @@ def _weigh(k: int, m: int, buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = byte_texts(batch)
-            ids = column(batch, "doc_id").to_numpy(zero_copy_only=False)
-            for a, b in chunks([len(t) for t in texts], CHUNK_BYTES):
-                order = np.argsort(ids[a:b], kind="stable") + a
+            for part in portions(batch, CHUNK_BYTES):
+                texts = byte_texts(part)
+                ids = column(part, "doc_id").to_numpy(zero_copy_only=False)
+                order = np.argsort(ids, kind="stable")
                 if (cut := _cut([texts[i] for i in order], ids[order], k, m, buckets, None)) is None:
                     continue
                 *_, strings, bucket, again = cut
@@ -170,11 +171,11 @@ def _weigh(k: int, m: int, buckets: int):
 def _split(k: int, m: int, buckets: int, heavy: Heavy | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = byte_texts(batch)
-            ids = column(batch, "doc_id").to_numpy(zero_copy_only=False)
-            keys = column(batch, "row_key").to_numpy(zero_copy_only=False)
-            for a, b in chunks([len(t) for t in texts], CHUNK_BYTES):
-                order = np.argsort(ids[a:b], kind="stable") + a
+            for part in portions(batch, CHUNK_BYTES):
+                texts = byte_texts(part)
+                ids = column(part, "doc_id").to_numpy(zero_copy_only=False)
+                keys = column(part, "row_key").to_numpy(zero_copy_only=False)
+                order = np.argsort(ids, kind="stable")
                 rows = list(_super_kmers([texts[i] for i in order], ids[order], keys[order], k, m, buckets, heavy))
                 if rows:
                     yield _pack(rows)
@@ -182,23 +183,49 @@ def _split(k: int, m: int, buckets: int, heavy: Heavy | None):
     return run
 
 
+def _windows(data: bytes, length: np.ndarray, size: np.ndarray, k: int):
+    """Hash and byte range of every window of the strings joined in data, each
+    followed by one space. Worked in slices, as it needs some 100 bytes a word."""
+    total = int(size.sum())
+    window, begin, past = np.empty(total, np.uint64), np.empty(total, np.int64), np.empty(total, np.int64)
+    buffer, at, done = np.frombuffer(data, np.uint8), 0, 0
+    for a, b in chunks(length.tolist(), SLICE_BYTES):
+        upto = at + int(length[a:b].sum())
+        part = buffer[at:upto]
+        end = np.flatnonzero(part == 0x20)
+        start = np.append(0, end[:-1] + 1)
+        n = size[a:b]
+        own = np.arange(n.sum()) + (k - 1) * np.repeat(np.arange(len(n)), n)  # a string has k - 1 words more than windows
+        to = done + len(own)
+        window[done:to] = rolling(span_hash(part, start), k)[own]
+        begin[done:to], past[done:to] = start[own] + at, end[own + k - 1] + at
+        at, done = upto, to
+    return window, begin, past
+
+
+def _same_bytes(data: bytes, a: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.ndarray) -> bool:
+    """Whether every data[a:b] equals its data[c:d]."""
+    step = 1 << 14
+    return all(data[p:q] == data[r:s] for i in range(0, len(a), step)
+               for p, q, r, s in zip(*(x[i:i + step].tolist() for x in (a, b, c, d))))
+
+
 def _first_windows(strings: list[bytes], size: np.ndarray, k: int):
     """For every window of the strings (sorted by document): index of its
     string, its place in it, and the first window equal to it."""
-    words = Words([b"\n".join(strings)])
-    per = size + k - 1  # words of each string
-    word0 = np.cumsum(per) - per
-    total = int(size.sum())
-    skm = np.repeat(np.arange(len(size)), size)
-    place = np.arange(total) - np.repeat(np.cumsum(size) - size, size)
-    at = word0[skm] + place
-    window = rolling(span_hash(words.bytes, words.start), k)[at]
+    length = np.fromiter((len(s) + 1 for s in strings), np.int64, len(strings))
+    data = b" ".join(strings) + b" "
+    window, begin, past = _windows(data, length, size, k)
+    total = len(window)
     order = np.argsort(window, kind="stable")
-    sort = window[order]
-    new = np.append(True, sort[1:] != sort[:-1])
+    window = window[order]
+    new = np.append(True, window[1:] != window[:-1])
+    del window
     head = order[np.flatnonzero(new)]
     first = np.empty(total, np.int64)
     first[order] = head[np.cumsum(new) - 1]
+    del order, head
+    skm = np.repeat(np.arange(len(size)), size)
     # equal hashes, checked: consecutive windows whose firsts are consecutive are compared as one stretch
     other = np.flatnonzero(first != np.arange(total))
     if len(other):
@@ -207,15 +234,12 @@ def _first_windows(strings: list[bytes], size: np.ndarray, k: int):
                         | (np.diff(skm[f]) != 0))
         a = np.flatnonzero(new)
         z = np.append(a[1:], len(other)) - 1
-        data, start, end = words.data, words.start, words.end
-        last = k - 1
-        mine = zip(start[at[other[a]]].tolist(), end[at[other[z]] + last].tolist())
-        theirs = zip(start[at[f[a]]].tolist(), end[at[f[z]] + last].tolist())
-        if not all(data[p:q] == data[r:s] for (p, q), (r, s) in zip(mine, theirs)):
+        if not _same_bytes(data, begin[other[a]], past[other[z]], begin[f[a]], past[f[z]]):
             known: dict[bytes, int] = {}  # two windows share a hash: tell them apart by their bytes
-            for i, (p, q) in enumerate(zip(start[at].tolist(), end[at + last].tolist())):
+            for i, (p, q) in enumerate(zip(begin.tolist(), past.tolist())):
                 first[i] = known.setdefault(data[p:q], i)
-    return skm, place, first
+    del begin, past
+    return skm, np.arange(total) - np.repeat(np.cumsum(size) - size, size), first
 
 
 def _count(k: int):
@@ -227,8 +251,8 @@ def _count(k: int):
     def run(key: tuple, block: pa.Table) -> pa.Table:
         unpack = zstandard.ZstdDecompressor().decompress
 
-        def column_of(name: str) -> list:
-            return list(map(unpack, block.column(name).to_pylist()))
+        def column_of(name: str) -> Iterator[bytes]:
+            return (unpack(x.as_py()) for x in block.column(name))
 
         def whole(name: str) -> np.ndarray:
             return np.frombuffer(b"".join(column_of(name)), np.int64)
@@ -236,10 +260,11 @@ def _count(k: int):
         docs, keys, firsts, size = map(whole, ("docs", "keys", "firsts", "counts"))
         if key[0].as_py() < 0:
             return spans(docs, keys, firsts, firsts + size + k - 1)
-        strings = b"\n".join(column_of("packed")).split(b"\n")
+        strings = [s for packed in column_of("packed") for s in packed.split(b"\n")]
         order = np.argsort(docs, kind="stable")
         docs, keys, firsts, size = docs[order], keys[order], firsts[order], size[order]
-        skm, place, first = _first_windows([strings[i] for i in order], size, k)
+        strings = [strings[i] for i in order]
+        skm, place, first = _first_windows(strings, size, k)
         hit = np.flatnonzero(docs[skm] > docs[skm[first]])
         if not len(hit):
             return spans(*([np.zeros(0, np.int64)] * 4))
@@ -286,7 +311,7 @@ def _keep(words: list[bytes], spans) -> tuple[list[bytes], int]:
 
 
 def _report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (part for whole in batches for part in portions(whole, CHUNK_BYTES)):
         n, removed, digests = [], [], []
         for text, spans in zip(byte_texts(batch), column(batch, "spans").to_pylist()):
             words = (text or b"").split()  # bytes split at exactly these white-space bytes
@@ -300,7 +325,7 @@ def _report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (part for whole in batches for part in portions(whole, CHUNK_BYTES)):
         texts, removed, left = column(batch, "text").to_pylist(), [], []
         for i, spans in enumerate(column(batch, "spans").to_pylist()):
             if spans is None:

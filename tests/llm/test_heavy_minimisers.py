@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -46,3 +47,20 @@ def test_no_bucket_holds_a_phrase_of_all_documents(phrase):
     assert dealt.max() <= 10_000 < most.max() and not any(dealt[b] for b in top)
     windows = lambda c: sum(c[2].tolist())
     assert windows(cut) == windows((doc, place, size))
+
+
+def test_counting_a_bucket_takes_little_more_than_its_strings():
+    r = random.Random(3)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(5))
+    strings = [" ".join(word() for _ in range(18)).encode() for _ in range(100_000)]
+    strings += strings[:2000]
+    size = np.array([len(s.split()) - 12 for s in strings], np.int64)
+    tracemalloc.start()
+    skm, place, first = substring_dedup._first_windows(strings, size, 13)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    held = sum(map(len, strings))
+    own = np.arange(len(first))
+    again = skm >= 100_000
+    assert (first[~again] == own[~again]).all() and (first[again] == own[:again.sum()]).all()
+    assert peak < 7 * held, (peak, held)  # with all words at once 15 times, now 5
