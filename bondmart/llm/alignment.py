@@ -4,8 +4,8 @@ A block is a bounded stretch of documents. Its token ids are flattened with
 their parent document, token lengths become end offsets by a cumulative sum that
 starts anew at each document, and a hash join on (document, end) finds the
 offsets where tokens of both sides end. Running counts of these ends number the
-groups, the distinct ids of both sides of a group are linked, and group_by
-counts give per document the links of an id pair and per block the documents
+groups, the distinct ids of both sides of a group are linked, and counts by
+sorted keys give per document the links of an id pair and per block the documents
 that hold it.
 
 Spark merges the partial counts of all blocks into corpus-wide counts of the
@@ -42,6 +42,7 @@ from bondmart.llm.common import chunks, column, materialize, ship, table
 VOCABULARY, MODEL = "byte_bpe_50k.json", "piece_bpe_32k.model"
 BLOCK_BYTES = 2 << 20  # text of a block, unless a single document is longer
 LINK_ROWS = 4 << 20  # linked ids of a block worked on at once
+ID_BITS = 20  # of a token id; a document's number in its block has the rest of 63 bits
 
 DIGEST = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
 FIRST = f"block long, {DIGEST}, at array<int>, times array<long>, pair_a array<int>, pair_b array<int>, pair_docs array<int>"
@@ -62,6 +63,8 @@ class Both:
         self.bytes_b = [bytes([int(p[3:-1], 16)]) if sp.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(map(sp.id_to_piece, range(sp.get_piece_size())))]
         self.size_a, self.size_b = (pa.array(list(map(len, x)), pa.int64()) for x in (self.bytes_a, self.bytes_b))
+        if max(len(self.bytes_a), len(self.bytes_b)) > 1 << ID_BITS:
+            raise ValueError(f"token ids of more than {ID_BITS} bits")
         self.written = pa.array([f"{i}{end}" for n, ends in ((len(self.bytes_a), ",|"), (len(self.bytes_b), ",;"))
                                  for i in range(n) for end in ends])
 
@@ -124,17 +127,20 @@ def grouped(a: pa.Table, b: pa.Table) -> tuple[pa.Table, pa.Table, np.ndarray]:
 
 
 def linked(a: pa.Table, b: pa.Table) -> pa.Table:
-    """(doc, a, b, n): id pairs of a document with the number of their links.
+    """(doc, pair, n): id pairs (a, then b in ID_BITS) of a document with the number
+    of their links.
 
     Ids that repeat in a group are counted before the join; groups are linked
     in portions of about LINK_ROWS pairs, and a group of more pairs by
     portions of its left ids, so a long stretch without a shared end needs no
     more memory than the pairs that it holds.
     """
-    left = in_order(counted(a, ["doc", "group", "id"], [([], "count_all")]).rename_columns(["doc", "group", "a", "na"]), "group")
-    right = in_order(counted(b, ["group", "id"], [([], "count_all")]).rename_columns(["group", "b", "nb"]), "group")
-    group, doc, ids_a, times_a = (left[c].to_numpy() for c in ("group", "doc", "a", "na"))
-    ids_b, times_b = right["b"].to_numpy(), right["nb"].to_numpy()
+    left, right = times(a), times(b)
+    group, ids_a, times_a = (left[c].to_numpy() for c in ("group", "id", "n"))
+    doc_of = np.zeros(int(group[-1]) + 1, np.int64)
+    doc_of[a["group"].to_numpy()] = a["doc"].to_numpy()
+    doc = doc_of[group]
+    ids_b, times_b = right["id"].to_numpy(), right["n"].to_numpy()
     first = np.searchsorted(right["group"].to_numpy(), np.arange(group[-1] + 2))
     width = (first[1:] - first[:-1])[group]
     rows = np.cumsum(width)
@@ -145,13 +151,33 @@ def linked(a: pa.Table, b: pa.Table) -> pa.Table:
         # both sides are in order of their group: its right ids follow each left id
         own = np.repeat(np.arange(start, stop), width[start:stop])
         theirs = np.arange(len(own)) - (rows - width)[own] + done + first[group[own]]
-        pairs = pa.table({"doc": doc[own], "a": ids_a[own], "b": ids_b[theirs], "n": times_a[own] * times_b[theirs]})
-        parts.append(counted(pairs, ["doc", "a", "b"], [("n", "sum")]).rename_columns(["doc", "a", "b", "n"]))
+        # document and pair as one key
+        parts.append(summed(doc[own] << 2 * ID_BITS | ids_a[own] << ID_BITS | ids_b[theirs], times_a[own] * times_b[theirs]))
         start = stop
-    if len(parts) == 1:
-        return parts[0]
     # a pair of a document may lie in two portions
-    return counted(pa.concat_tables(parts), ["doc", "a", "b"], [("n", "sum")]).rename_columns(["doc", "a", "b", "n"])
+    key, n = parts[0] if len(parts) == 1 else summed(*map(np.concatenate, zip(*parts)))
+    return pa.table({"doc": key >> 2 * ID_BITS, "pair": key & (1 << 2 * ID_BITS) - 1, "n": n})
+
+
+def times(side: pa.Table) -> pa.Table:
+    """(group, id, n): how often a group holds an id, in order of the groups."""
+    key, n = summed(side["group"].to_numpy() << ID_BITS | side["id"].to_numpy().astype(np.int64))
+    return pa.table({"group": key >> ID_BITS, "id": key & (1 << ID_BITS) - 1, "n": n})
+
+
+def summed(key: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, and how often they occur or the sums of ``n``.
+    Keys that count more than once are few; alone they take their place along."""
+    if n is not None and (many := np.flatnonzero(n > 1)).size:
+        extra, places = n[many] - 1, key[many]
+    else:
+        places = None
+    key = np.sort(key)
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    found, times = key[first], np.diff(np.append(first, len(key)))
+    if places is not None:
+        np.add.at(times, np.searchsorted(found, places), extra)
+    return found, times
 
 
 def in_order(t: pa.Table, by: str) -> pa.Table:
@@ -193,10 +219,9 @@ def block_rows(coders: Both, block: int, ids: pa.Array, texts: list[str | None])
         n_groups = np.bincount(group_doc, minlength=n)
         hashes = [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in group_texts(a, b, n, coders)]
         links = in_order(linked(a, b), "doc")
-        key = pc.bit_wise_or(pc.shift_left(links["a"].cast(pa.int64()), 32), links["b"].cast(pa.int64()))
-        numbers = key.combine_chunks().dictionary_encode()
+        numbers = links["pair"].combine_chunks().dictionary_encode()
         places, weights, pairs = numbers.indices.to_numpy(), links["n"].to_numpy(), numbers.dictionary.to_numpy()
-        pair_a, pair_b = (pairs >> 32).astype(np.int32), (pairs & 0xFFFFFFFF).astype(np.int32)
+        pair_a, pair_b = (pairs >> ID_BITS).astype(np.int32), (pairs & (1 << ID_BITS) - 1).astype(np.int32)
         pair_docs = np.bincount(places, minlength=len(pairs)).astype(np.int32)
         edges = np.searchsorted(links["doc"].to_numpy(), np.arange(n + 1))
         n_links = np.add.reduceat(np.append(weights, 0), edges[:-1]) * (edges[1:] > edges[:-1])
