@@ -7,10 +7,13 @@ shuffled once; the fan-out to the types comes after that.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import functools
+import operator
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, LongType
 
 from bondmart import labels as L
 from bondmart.operators.joins import dedupe_latest, small
@@ -148,23 +151,49 @@ def with_category(
     return x
 
 
+def _addable(df: DataFrame, sums: dict[str, Column]) -> set[str]:
+    """The sums whose total over all types is the exact sum of the types' sums:
+    whole numbers, and decimals whose addition keeps the scale."""
+    types = df.select(*[F.sum(e).alias(n) for n, e in sums.items()]).schema if sums else []
+    return {t.name for t in types if isinstance(t.dataType, LongType)
+            or isinstance(t.dataType, DecimalType) and t.dataType.scale <= 6}
+
+
 def _apart(df: DataFrame, group: Sequence[str], sums: dict[str, Column], types: Sequence[str]) -> DataFrame:
-    """groupBy(group) with each sum over all rows (``<name>_0``) and over those
-    of each participant type (``<name>_1``, ...; their number: ``_rows_1``, ...).
-    One shuffle of rows combined map-side serves all types."""
+    """groupBy(group) with each sum over the rows of each participant type
+    (``<name>_1``, ...), which types have rows (``_types``, a bit each), and the
+    sums over all rows (``<name>_0``) that can't be added up from these. One
+    shuffle of rows combined map-side serves all types."""
     own = [F.col("join_type") == t for t in types]
+    added = _addable(df, sums)
+    bits = F.coalesce(*[F.when(t, F.lit(1 << i)) for i, t in enumerate(own)], F.lit(0))
     return df.groupBy(*group).agg(
-        *[F.count(F.when(t, 1)).alias(f"_rows_{i}") for i, t in enumerate(own, 1)],
-        *[F.sum(e).alias(f"{n}_0") for n, e in sums.items()],
+        F.bit_or(bits).alias("_types"),
+        *[F.sum(e).alias(f"{n}_0") for n, e in sums.items() if n not in added],
         *[F.sum(F.when(t, e)).alias(f"{n}_{i}") for i, t in enumerate(own, 1) for n, e in sums.items()])
 
 
+def _has(i: int) -> Column:
+    """Whether the i-th type has rows."""
+    return F.col("_types").bitwiseAND(1 << (i - 1)) > 0
+
+
+def _of_type(apart: DataFrame, name: str, i: int, types: Sequence[str]) -> Column:
+    """``<name>_<i>`` of ``_apart``; the total (0) from the types' sums if it isn't there."""
+    if i or f"{name}_0" in apart.columns:
+        return F.col(f"{name}_{i}")
+    each = [F.col(f"{name}_{i}") for i in range(1, len(types) + 1)]
+    some = F.coalesce(*each).isNotNull()
+    total = functools.reduce(operator.add, [F.coalesce(c, F.lit(0)) for c in each])
+    return F.when(some, total).cast(apart.schema[f"{name}_1"].dataType)
+
+
 def _fanned_out(apart: DataFrame, keep: Sequence[str], names: Sequence[str], types: Sequence[str]) -> DataFrame:
     """A row of ``_apart`` once under 全部 and once under each type that has rows
     in it. Rows stay where they are."""
-    each = [F.struct(F.lit(t).alias("join_type"), (F.col(f"_rows_{i}") if i else F.lit(1).cast("long")).alias("_rows"),
-                     *[F.col(f"{n}_{i}").alias(n) for n in names]) for i, t in enumerate((L.JT_ALL, *types))]
-    return apart.select(*keep, F.explode(F.array(*each)).alias("_t")).where("_t._rows > 0").select(
+    each = [F.struct(F.lit(t).alias("join_type"), (_has(i) if i else F.lit(True)).alias("_held"),
+                     *[_of_type(apart, n, i, types).alias(n) for n in names]) for i, t in enumerate((L.JT_ALL, *types))]
+    return apart.select(*keep, F.explode(F.array(*each)).alias("_t")).where("_t._held").select(
         keep[0], "_t.join_type", *keep[1:], *[f"_t.{n}" for n in names])
 
 
@@ -186,18 +215,23 @@ def rollup_agg(df: DataFrame, rollup: DataFrame, keys: Sequence[str], sums: dict
 
 def items_apart(df: DataFrame, rollup: DataFrame, keys: Sequence[str], sums: dict[str, Column],
                 sets: dict[str, Column], member: str = "member", count: Column | None = None,
-                types: Sequence[str] = PARTICIPANT_TYPES) -> DataFrame:
+                types: Sequence[str] = PARTICIPANT_TYPES, counted: bool = True) -> DataFrame:
     """The distinct rows of ``rollup_items`` by (root, keys, set_name, item), before
-    the fan-out: the types' numbers and sums side by side (``_apart``)."""
+    the fan-out: the types' numbers and sums side by side (``_apart``).
+    ``counted``: with ``n_rows``, which only readers of the item rows need."""
     lead = next(iter(sets))
-    held = F.array(*[F.struct(F.lit(n).alias("set_name"), e.cast("string").alias("item")) for n, e in sets.items()])
-    one = F.lit(1).cast("long") if count is None else count
-    rows = df.select(member, *keys, *[e.alias(n) for n, e in sums.items()], one.alias("_n"), held.alias("_sets"))
-    rows = with_rollup(rows, rollup, member).withColumn("_s", F.explode("_sets")).select(
-        "root", "join_type", *keys, "_s.set_name", "_s.item", "_n",
-        *[F.when(F.col("_s.set_name") == lead, F.col(n)).alias(n) for n in sums])
-    return _apart(rows, ["root", *keys, "set_name", "item"],
-                  {"n_rows": F.col("_n"), **{n: F.col(n) for n in sums}}, types)
+    numbers = {"n_rows": F.lit(1).cast("long") if count is None else count} if counted else {}
+    values = {**numbers, **sums}
+    if len(sets) == 1:  # its name is the same on all rows
+        rows = df.select(member, *keys, *[e.alias(n) for n, e in values.items()], sets[lead].cast("string").alias("item"))
+        rows = with_rollup(rows, rollup, member).withColumn("set_name", F.lit(lead))
+    else:
+        held = F.array(*[F.struct(F.lit(n).alias("set_name"), e.cast("string").alias("item")) for n, e in sets.items()])
+        rows = df.select(member, *keys, *[e.alias(n) for n, e in values.items()], held.alias("_sets"))
+        rows = with_rollup(rows, rollup, member).withColumn("_s", F.explode("_sets")).select(
+            "root", "join_type", *keys, "_s.set_name", "_s.item", *numbers,
+            *[F.when(F.col("_s.set_name") == lead, F.col(n)).alias(n) for n in sums])
+    return _apart(rows, ["root", *keys, "set_name", "item"], {n: F.col(n) for n in values}, types)
 
 
 def rollup_items(df: DataFrame, rollup: DataFrame, keys: Sequence[str], sums: dict[str, Column],
@@ -222,21 +256,54 @@ def rollup_items(df: DataFrame, rollup: DataFrame, keys: Sequence[str], sums: di
 
 
 def rollup_sizes(df: DataFrame, rollup: DataFrame, keys: Sequence[str], sums: dict[str, Column],
-                 sets: dict[str, Column], member: str = "member", count: Column | None = None,
+                 sets: dict[str, Column], member: str = "member",
                  types: Sequence[str] = PARTICIPANT_TYPES) -> DataFrame:
     """``set_sizes`` of ``rollup_items``, counted with the types apart: the fan-out
     sees one row per (root, keys)."""
     keys = [k for k in keys if k not in ("root", "join_type")]
-    apart = items_apart(df, rollup, keys, sums, sets, member, count, types)
-    held = [F.lit(True), *[F.col(f"_rows_{i}") > 0 for i in range(1, len(types) + 1)]]
+    apart = items_apart(df, rollup, keys, sums, sets, member, None, types, counted=False)
+    every = range(len(types) + 1)
     sizes = apart.groupBy("root", *keys).agg(
-        *[F.sum(f"_rows_{i}").alias(f"_rows_{i}") for i in range(1, len(held))],
-        *[F.sum(f"{n}_{i}").alias(f"{n}_{i}") for i in range(len(held)) for n in sums],
-        *[F.count(F.when((F.col("set_name") == n) & there, F.col("item"))).alias(f"{n}_size_{i}")
-          for i, there in enumerate(held) for n in sets])
+        F.bit_or("_types").alias("_types"), *_summed(apart, sums),
+        *[F.count(F.when((F.col("set_name") == n) & (_has(i) if i else F.lit(True)), F.col("item"))).alias(f"{n}_size_{i}")
+          for i in every for n in sets])
     return _fanned_out(sizes, ["root", *keys], [*sums, *[f"{n}_size" for n in sets]], types)
 
 
+def _summed(apart: DataFrame, sums: Sequence[str]) -> list[Column]:
+    """The sums of ``_apart``, to be combined over more of its rows."""
+    return [F.sum(c).alias(c) for c in apart.columns if c.rpartition("_")[0] in sums and c.rpartition("_")[2].isdigit()]
+
+
+def rollup_strings(df: DataFrame, rollup: DataFrame, keys: Sequence[str], sums: dict[str, Column],
+                   sets: dict[str, Column], text: Callable[[Column], Column], member: str = "member",
+                   types: Sequence[str] = PARTICIPANT_TYPES) -> DataFrame:
+    """One row per (root, join_type, keys) with sums, each set as ``text`` of its
+    items and its ``<set>_size``. The distinct items of (root, keys) are brought
+    together before the fan-out and collected with the types apart, so an item is
+    handled once and where one type alone has rows its string is 全部's as well.
+    The one aggregate whose row grows with a set."""
+    keys = [k for k in keys if k not in ("root", "join_type")]
+    apart = items_apart(df, rollup, keys, sums, sets, member, None, types, counted=False).repartition("root", *keys)
+    own = range(1, len(types) + 1)
+    g = apart.groupBy("root", *keys).agg(
+        F.bit_or("_types").alias("_types"), *_summed(apart, sums),
+        *[F.collect_list(F.when((F.col("set_name") == n) & _has(i), F.col("item"))).alias(f"_{n}_{i}") for i in own for n in sets])
+    rest = [c for c in g.columns if c not in {f"_{n}_{i}" for i in own for n in sets}]
+    strings = g.select(*rest, *[c for i in own for n in sets for c in (
+        text(F.col(f"_{n}_{i}")).alias(f"{n}_{i}"), F.size(f"_{n}_{i}").cast("long").alias(f"{n}_size_{i}"))], *[
+        # types share items: those of all types are made distinct again
+        F.when(F.bit_count("_types") > 1, F.array_distinct(F.concat(*[F.col(f"_{n}_{i}") for i in own]))).alias(f"_{n}") for n in sets])
+
+    def whole(n: str, of_items: Callable[[Column], Column], out: str) -> Column:
+        one = functools.reduce(lambda w, i: w.when(_has(i), F.col(f"{out}_{i}")), own, F.when(F.bit_count("_types") > 1, of_items(F.col(f"_{n}"))))
+        return one.alias(f"{out}_0")
+
+    strings = strings.select(*[c for c in strings.columns if c not in {f"_{n}" for n in sets}], *[
+        c for n in sets for c in (whole(n, text, n), whole(n, lambda items: F.size(items).cast("long"), f"{n}_size"))])
+    return _fanned_out(strings, ["root", *keys], [*sums, *[c for n in sets for c in (n, f"{n}_size")]], types)
+
+
 def set_sizes(items: DataFrame, keys: Sequence[str], sums: Sequence[str], sets: Sequence[str]) -> DataFrame:
     """One row per ``keys`` of item rows: sums and ``<set>_size``. Items are
     distinct rows already, so a size is a count."""

@@ -359,8 +359,9 @@ def fact_cash_deal(f: Feeds, members: DataFrame | None = None, versions: DataFra
     d = d.join(failed_cash_deals(f), "bond_deal_id", "left_anti")
     strat = f.dps_v_cbt_all_txn_dtl.groupBy("deal_nmbr").agg(F.max("match_status").alias("match_status"))
     d = d.join(strat, "deal_nmbr", "left").withColumn("deal_strategy", X.deal_strategy("match_status"))
-    d = d.join(small(dim_bond4_cash(f).select("bond_id", "bond_type4")), "bond_id", "left")
-    d = d.join(small(dim_bond8(f)), "bond_id", "left")
+    # one row a bond, as the planner can see: it leaves out a lookup that a report doesn't use
+    for bonds in (dim_bond4_cash(f).select("bond_id", "bond_type4"), dim_bond8(f)):
+        d = d.join(small(bonds.dropDuplicates(["bond_id"])), "bond_id", "left")
     return d.select(
         "bond_deal_id", "buy_ip_id", "sell_ip_id", "deal_strategy", "deal_nmbr", "deal_dt",
         F.coalesce("bond_type4", F.lit(L.NO_BOND_TYPE)).alias("bond_type4"),

@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from bondmart import labels as L
 from bondmart.functions import scalars as X
 from bondmart.operators.rollup import (
-    CASH_SIDES, CASH_TYPES, period_sizes, rollup_agg, rollup_items, rollup_sizes, set_arrays,
-    set_sizes, sides_unpivot, with_category,
+    CASH_SIDES, CASH_TYPES, period_sizes, rollup_agg, rollup_items, rollup_sizes, rollup_strings,
+    set_arrays, set_sizes, sides_unpivot, with_category,
 )
 from bondmart.plans import base as B
 from bondmart.plans.grains import cash_sides, grain
@@ -96,13 +96,12 @@ class SetTable:
 
     def _rolled(self, f: Feeds, way: Callable[..., DataFrame], **how) -> DataFrame:
         return way(self.rows(f), B.member_rollup_cash(f), [k for k, _ in self.keys],
-                   {n: F.col(c) for c, n in self.sums}, {n: F.col(c) for c, n in self.sets},
-                   count=F.col(self.count) if self.count else None, types=CASH_TYPES, **how)
+                   {n: F.col(c) for c, n in self.sums}, {n: F.col(c) for c, n in self.sets}, types=CASH_TYPES, **how)
 
     def items(self, f: Feeds, place: Sequence[str | Column] = ()) -> DataFrame:
         """The sets as rows: keys, set_name, item, n_rows and sums; the sums
         stand on the rows of the first set. ``place``: see ``rollup_items``."""
-        g = self._rolled(f, rollup_items, place=place)
+        g = self._rolled(f, rollup_items, count=F.col(self.count) if self.count else None, place=place)
         return g.select(*[F.col(k).alias(n) for k, n in self.keys], "set_name", "item", "n_rows",
                         *[F.col(n).cast("decimal(38,2)").alias(n) for _, n in self.sums])
 
@@ -125,12 +124,14 @@ class SetTable:
     def report(self, f: Feeds, strings: bool = True) -> DataFrame:
         """The report from the deals at once: sizes counted before the fan-out, or
         the items of a row brought together before it."""
-        if strings:
-            return self.strings(self.items(f, place=[k for k, _ in self.keys if k != "join_type"]))
         keys, sums, sets = self._names()
-        return self._rolled(f, rollup_sizes).select(
-            *[F.col(k).alias(n) for k, n in self.keys], *[F.col(n).cast("decimal(38,2)").alias(n) for n in sums],
-            *[f"{n}_size" for n in sets])
+        if strings:
+            g = self._rolled(f, rollup_strings, text=lambda items: X.set_to_string(items, SEP))
+            held = [c for n in sets for c in (n, f"{n}_size")]
+        else:
+            g, held = self._rolled(f, rollup_sizes), [f"{n}_size" for n in sets]
+        return g.select(*[F.col(k).alias(n) for k, n in self.keys],
+                        *[F.col(n).cast("decimal(38,2)").alias(n) for n in sums], *held)
 
     def period_sizes(self, items: DataFrame, period: Column, name: str) -> DataFrame:
         """Exact distinct items of each set over ``period``, and the estimate

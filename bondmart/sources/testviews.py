@@ -17,10 +17,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bondmart import labels as L
+from bondmart.operators.joins import BROADCAST_MAX_BYTES, estimated_bytes
 from bondmart.sources.feeds import Feeds
 
 TABLES = ("customer", "supplier", "part", "orders", "lineitem")
 
+TASK_BYTES = 4 << 20  # of the lines' file (compressed) that one task turns into deals
+
 # fixed values: the segments of the customer table, dealt to suppliers in turn
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 
@@ -45,6 +48,18 @@ def _deals(rows: DataFrame, order_key, customer, supplier) -> DataFrame:
         "second_ip": F.when(swap, buyer).otherwise(seller)})
 
 
+def _joined(rows: DataFrame, key: str, orders: DataFrame, order_key: str) -> DataFrame:
+    """rows with their order. Orders too large to broadcast meet them in tasks of
+    at most about TASK_BYTES of the rows' file: what a deal becomes later in the same task
+    (a row a side and type, held by an aggregate) is many times as large as its row,
+    so the tasks must not grow to what a shuffle alone would bear."""
+    rows_bytes, order_bytes = estimated_bytes(rows), estimated_bytes(orders)
+    if rows_bytes is not None and order_bytes is not None and order_bytes > BROADCAST_MAX_BYTES:
+        tasks = max(-(-rows_bytes // TASK_BYTES), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        rows, orders = rows.repartition(tasks, key), orders.repartition(tasks, order_key)
+    return rows.join(orders, F.col(key) == F.col(order_key), "inner")
+
+
 def _consts(spark: SparkSession, rows, schema) -> DataFrame:
     """Small constant table, built JVM-side (a local relation Catalyst can
     size, no Python rows)."""
@@ -247,8 +262,7 @@ def load(spark: SparkSession, sf_dir: str) -> Feeds:
     ri_credit_rtng = base_rtng.unionByName(extra_rtng)
 
     # ---- cash-bond deals: one per line, and the mirrored ones
-    li = lineitem.join(orders.select("o_orderkey", "o_custkey"),
-                       lineitem.l_orderkey == orders.o_orderkey, "inner")
+    li = _joined(lineitem, "l_orderkey", orders.select("o_orderkey", "o_custkey"), "o_orderkey")
     ln = F.col("l_linenumber") % 7
     bond_deal = _deals(li, lk, F.col("o_custkey"), F.col("l_suppkey")).select(
         F.col("nmbr").alias("bond_deal_id"),
