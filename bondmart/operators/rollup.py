@@ -191,10 +191,16 @@ def _of_type(apart: DataFrame, name: str, i: int, types: Sequence[str]) -> Colum
 def _fanned_out(apart: DataFrame, keep: Sequence[str], names: Sequence[str], types: Sequence[str]) -> DataFrame:
     """A row of ``_apart`` once under 全部 and once under each type that has rows
     in it. Rows stay where they are."""
-    each = [F.struct(F.lit(t).alias("join_type"), (_has(i) if i else F.lit(True)).alias("_held"),
-                     *[_of_type(apart, n, i, types).alias(n) for n in names]) for i, t in enumerate((L.JT_ALL, *types))]
-    return apart.select(*keep, F.explode(F.array(*each)).alias("_t")).where("_t._held").select(
-        keep[0], "_t.join_type", *keep[1:], *[f"_t.{n}" for n in names])
+    held = F.array(F.lit(L.JT_ALL), *[F.when(_has(i), F.lit(t)) for i, t in enumerate(types, 1)])
+
+    def own(n: str) -> Column:
+        value = F.when(F.col("join_type") == L.JT_ALL, _of_type(apart, n, 0, types))
+        for i, t in enumerate(types, 1):
+            value = value.when(F.col("join_type") == t, F.col(f"{n}_{i}"))
+        return value.alias(n)
+
+    return apart.withColumn("join_type", F.explode(held)).where("join_type is not null").select(
+        keep[0], "join_type", *keep[1:], *[own(n) for n in names])
 
 
 def rollup_agg(df: DataFrame, rollup: DataFrame, keys: Sequence[str], sums: dict[str, Column],
