@@ -13,9 +13,10 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, LongType
+from pyspark.sql.types import DataType, DecimalType, LongType
 
 from bondmart import labels as L
+from bondmart.functions.scalars import exact_sum
 from bondmart.operators.joins import dedupe_latest, small
 
 #: every participant type that the roll-up rules give
@@ -151,6 +152,10 @@ def with_category(
     return x
 
 
+def _kinds(df: DataFrame, sums: dict[str, Column]) -> dict[str, DataType]:
+    return {t.name: t.dataType for t in df.select(*[e.alias(n) for n, e in sums.items()]).schema} if sums else {}
+
+
 def _addable(df: DataFrame, sums: dict[str, Column]) -> set[str]:
     """The sums whose total over all types is the exact sum of the types' sums:
     whole numbers, and decimals whose addition keeps the scale."""
@@ -165,12 +170,12 @@ def _apart(df: DataFrame, group: Sequence[str], sums: dict[str, Column], types:
     sums over all rows (``<name>_0``) that can't be added up from these. One
     shuffle of rows combined map-side serves all types."""
     own = [F.col("join_type") == t for t in types]
-    added = _addable(df, sums)
+    added, kinds = _addable(df, sums), _kinds(df, sums)
     bits = F.coalesce(*[F.when(t, F.lit(1 << i)) for i, t in enumerate(own)], F.lit(0))
     return df.groupBy(*group).agg(
         F.bit_or(bits).alias("_types"),
-        *[F.sum(e).alias(f"{n}_0") for n, e in sums.items() if n not in added],
-        *[F.sum(F.when(t, e)).alias(f"{n}_{i}") for i, t in enumerate(own, 1) for n, e in sums.items()])
+        *[exact_sum(e, kinds[n]).alias(f"{n}_0") for n, e in sums.items() if n not in added],
+        *[exact_sum(F.when(t, e), kinds[n]).alias(f"{n}_{i}") for i, t in enumerate(own, 1) for n, e in sums.items()])
 
 
 def _has(i: int) -> Column:
@@ -213,7 +218,9 @@ def rollup_agg(df: DataFrame, rollup: DataFrame, keys: Sequence[str], sums: dict
     keys = [k for k in keys if k not in ("root", "join_type")]
     has_root = "root" in df.columns
     if member in keys:
-        first = df.groupBy(*(["root", "join_type"] if has_root else []), *keys).agg(*[F.sum(e).alias(n) for n, e in sums.items()])
+        kinds = _kinds(df, sums)
+        first = df.groupBy(*(["root", "join_type"] if has_root else []), *keys).agg(
+            *[exact_sum(e, kinds[n]).alias(n) for n, e in sums.items()])
         return explode_join_types(first if has_root else with_rollup(first, rollup, member))
     rows = df if has_root else with_rollup(df, rollup, member)
     return _fanned_out(_apart(rows, ["root", *keys], sums, types), ["root", *keys], list(sums), types)
@@ -232,11 +239,16 @@ def items_apart(df: DataFrame, rollup: DataFrame, keys: Sequence[str], sums: dic
         rows = df.select(member, *keys, *[e.alias(n) for n, e in values.items()], sets[lead].cast("string").alias("item"))
         rows = with_rollup(rows, rollup, member).withColumn("set_name", F.lit(lead))
     else:
-        held = F.array(*[F.struct(F.lit(n).alias("set_name"), e.cast("string").alias("item")) for n, e in sets.items()])
+        held = F.array(*[F.struct(F.lit(i).cast("byte").alias("set"), e.cast("string").alias("item"))
+                         for i, e in enumerate(sets.values())])
         rows = df.select(member, *keys, *[e.alias(n) for n, e in values.items()], held.alias("_sets"))
         rows = with_rollup(rows, rollup, member).withColumn("_s", F.explode("_sets")).select(
-            "root", "join_type", *keys, "_s.set_name", "_s.item", *numbers,
-            *[F.when(F.col("_s.set_name") == lead, F.col(n)).alias(n) for n in sums])
+            "root", "join_type", *keys, F.col("_s.set").alias("_set"), "_s.item", *numbers,
+            *[F.when(F.col("_s.set") == 0, F.col(n)).alias(n) for n in sums])
+        # shuffled as a number, the name comes after
+        apart = _apart(rows, ["root", *keys, "_set", "item"], {n: F.col(n) for n in values}, types)
+        name = F.element_at(F.array(*map(F.lit, sets)), F.col("_set") + F.lit(1))
+        return apart.select("root", *keys, name.alias("set_name"), *[c for c in apart.columns if c not in ("root", "_set", *keys)])
     return _apart(rows, ["root", *keys, "set_name", "item"], {n: F.col(n) for n in values}, types)
 
 

@@ -40,8 +40,8 @@ def _cat(df: DataFrame, f: Feeds, member: str, out: str) -> DataFrame:
                          default=L.UNRESOLVED)
 
 
-def _sum(c: str) -> Column:
-    return X.sum_amount(c)
+def _sum(df: DataFrame, c: str) -> Column:
+    return X.exact_sum(c, df.schema[c].dataType).cast("decimal(38,2)")
 
 
 def _set(c, name: str) -> list[Column]:
@@ -57,8 +57,8 @@ def _of_side(side: str, c: str) -> str:
     return f"{side.lower()}_{c}"
 
 
-def _side_sum(side: str, c: str) -> Column:
-    return F.coalesce(F.sum(_of_side(side, c)), F.lit(0)).cast("decimal(38,2)")
+def _side_sum(df: DataFrame, side: str, c: str) -> Column:
+    return F.coalesce(_sum(df, _of_side(side, c)), F.lit(0)).cast("decimal(38,2)")
 
 
 def _report(df: DataFrame, keys: Sequence[tuple[str, str]], measures: Sequence[Column]) -> DataFrame:
@@ -180,17 +180,19 @@ def _pairs(f: Feeds) -> DataFrame:
 
 
 def ctgry_counter_party_buyer(f: Feeds) -> DataFrame:
-    return _report(_pairs(f),
+    d = _pairs(f)
+    return _report(d,
                    [("buy_cat", "ctgry_type"), ("bond_type4", "bond_type_f"), ("deal_dt", "deal_dt"),
                     ("sell_cat", "member_type")],
-                   [_sum("dirty_amnt").alias("full_price"), *_set("sell_ip_id", "member_id_set")])
+                   [_sum(d, "dirty_amnt").alias("full_price"), *_set("sell_ip_id", "member_id_set")])
 
 
 def ctgry_counter_party_seller(f: Feeds) -> DataFrame:
-    return _report(_pairs(f),
+    d = _pairs(f)
+    return _report(d,
                    [("sell_cat", "ctgry_type"), ("bond_type4", "bond_type_f"), ("deal_dt", "deal_dt"),
                     ("buy_cat", "member_type")],
-                   [_sum("dirty_amnt").alias("full_price"), *_set("buy_ip_id", "member_id_set")])
+                   [_sum(d, "dirty_amnt").alias("full_price"), *_set("buy_ip_id", "member_id_set")])
 
 
 def _one_leg(f: Feeds, leg: str) -> DataFrame:
@@ -218,8 +220,8 @@ def counter_party_seller(f: Feeds) -> DataFrame:
                    [*_set("buy_ip_id", "rmember_id_set")])
 
 
-def _buy_sell(c: str, names=("buy_full_price", "sell_full_price")) -> list:
-    return [_side_sum(BUY, c).alias(names[0]), _side_sum(SELL, c).alias(names[1])]
+def _buy_sell(df: DataFrame, c: str, names=("buy_full_price", "sell_full_price")) -> list:
+    return [_side_sum(df, BUY, c).alias(names[0]), _side_sum(df, SELL, c).alias(names[1])]
 
 
 FACE_SIDES = [(BUY, "face_value", "buy_full_price"), (SELL, "face_value", "sell_full_price")]
@@ -237,10 +239,11 @@ def root_trade_deadline_info(f: Feeds) -> DataFrame:
 
 
 def ctgry_trade_deadline_info(f: Feeds) -> DataFrame:
-    return _report(_cat(cash_sides(f), f, "member", "ctgry"),
+    d = _cat(cash_sides(f), f, "member", "ctgry")
+    return _report(d,
                    [("ctgry", "ctgry_type"), ("bond_id", "bond_id"), ("deal_dt", "deal_dt"),
                     ("bond_type4", "bond_type_f"), ("mrty_bucket", "yr_of_time_to_mrty_type")],
-                   _buy_sell("face_value"))
+                   _buy_sell(d, "face_value"))
 
 
 def ctgry_bond_set(f: Feeds) -> DataFrame:
@@ -259,28 +262,31 @@ def root_bond_deal(f: Feeds) -> DataFrame:
 
 def ctgry_bond_deal(f: Feeds) -> DataFrame:
     """Keyed by member in spite of its name."""
-    return _report(_cat(cash_sides(f), f, "member", "ctgry"),
+    d = _cat(cash_sides(f), f, "member", "ctgry")
+    return _report(d,
                    [("member", "member_id"), ("bond_id", "bond_id"), ("bond_type8", "bond_type_e"),
                     ("deal_strategy", "deal_strategy"), ("deal_dt", "deal_dt"), ("ctgry", "member_type")],
-                   [_sum("dirty_amnt").alias("full_price")])
+                   [_sum(d, "dirty_amnt").alias("full_price")])
 
 
 def union_info_for_bond_concentration(f: Feeds) -> DataFrame:
-    return _report(cash_sides(f),
+    d = cash_sides(f)
+    return _report(d,
                    [("member", "member_id"), ("deal_strategy", "deal_strategy"), ("deal_dt", "deal_dt"),
                     ("bond_id", "bond_id")],
-                   [_sum("dirty_amnt").alias("full_price")])
+                   [_sum(d, "dirty_amnt").alias("full_price")])
 
 
-def _returns() -> list:
-    return _buy_sell("dirty_amnt") + _buy_sell("face_value", ("buy_face_price", "sell_face_price"))
+def _returns(df: DataFrame) -> list:
+    return _buy_sell(df, "dirty_amnt") + _buy_sell(df, "face_value", ("buy_face_price", "sell_face_price"))
 
 
 def base_investment_returns(f: Feeds) -> DataFrame:
-    return _report(cash_sides(f),
+    d = cash_sides(f)
+    return _report(d,
                    [("member", "member_id"), ("bond_id", "bond_id"), ("deal_dt", "deal_dt"),
                     ("bond_type8", "bond_type_e")],
-                   _returns())
+                   _returns(d))
 
 
 def root_investment_returns(f: Feeds) -> DataFrame:
@@ -291,10 +297,11 @@ def root_investment_returns(f: Feeds) -> DataFrame:
 
 
 def ctgry_investment_returns(f: Feeds) -> DataFrame:
-    return _report(_cat(cash_sides(f), f, "member", "ctgry"),
+    d = _cat(cash_sides(f), f, "member", "ctgry")
+    return _report(d,
                    [("ctgry", "ctgry_type"), ("bond_id", "bond_id"), ("deal_dt", "deal_dt"),
                     ("bond_type8", "bond_type_e")],
-                   _returns())
+                   _returns(d))
 
 
 def root_roi_performance(f: Feeds) -> DataFrame:
@@ -327,7 +334,7 @@ def ctgry_deal_strategy_info(f: Feeds) -> DataFrame:
     return _report(d,
                    [("buy_cat", "ctgry_type_buy"), ("sell_cat", "ctgry_type_sell"), ("bond_type4", "bond_type_f"),
                     ("deal_dt", "deal_dt"), ("deal_strategy", "deal_strategy")],
-                   [_sum("dirty_amnt").alias("full_price")])
+                   [_sum(d, "dirty_amnt").alias("full_price")])
 
 
 def _leg_keys(root: str) -> tuple[tuple[str, str], ...]:

@@ -114,7 +114,8 @@ def _collateral_rows(f: Feeds) -> DataFrame:
     from the dimension: 其他), as-of rating and issuer (``listed``: the bond is in
     the dimension)."""
     bonds = B.dim_bond4(f).select("bond_id", "bond_ctgry_nm", "issr_id", F.lit(True).alias("listed"))
-    c = B.fact_repo_collateral(f).join(small(bonds), "bond_id", "left")
+    # whole 1e-4 units of at most 18 digits, as the fact makes them
+    c = B.fact_repo_collateral(f).withColumn("alloc", F.col("alloc").cast("decimal(18,4)")).join(small(bonds), "bond_id", "left")
     c = c.withColumn("bond_ctgry_nm", F.coalesce("bond_ctgry_nm", F.lit(L.BOND_OTHER))).withColumn(
         "listed", F.coalesce("listed", F.lit(False)))
     d = sides_unpivot(with_rating(c, B.dim_rating_segments(f)), REPO_SIDES)
@@ -146,6 +147,9 @@ def grain(f: Feeds, name: str) -> DataFrame:
 
 
 def cash_sides(f: Feeds) -> DataFrame:
-    """``grain_cash`` with the dirty amount of both sides."""
+    """``grain_cash`` with the dirty amount of both sides. A row of the fact has one
+    side and keeps the type of its amount; a stored row (its sums are wider) has both."""
     buy, sell = F.col("buy_dirty_amnt"), F.col("sell_dirty_amnt")
-    return grain(f, "grain_cash").withColumn("dirty_amnt", F.coalesce(buy + sell, buy, sell))
+    rows = grain(f, "grain_cash")
+    both = [buy + sell] if rows.schema["buy_dirty_amnt"].dataType.precision > 18 else []
+    return rows.withColumn("dirty_amnt", F.coalesce(*both, buy, sell))
