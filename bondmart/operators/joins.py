@@ -62,6 +62,14 @@ def dedupe_latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     return df.groupBy(*keys).agg(best.alias("_b")).select(*keys, *[F.col(f"_b.{c}") for c in rest])
 
 
+def distinct_rows(df: DataFrame) -> DataFrame:
+    """``dropDuplicates`` of fact-sized rows by a shuffle of their own, in as many tasks as
+    ``spark.sql.shuffle.partitions``: a task holds its rows twice (partial and final aggregate),
+    so it must not take what adaptive execution would put together for a join."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(tasks, *df.columns).dropDuplicates()
+
+
 def lookup(df: DataFrame, dim: DataFrame, on, how: str = "inner") -> DataFrame:
     """Dimension lookup (inner drops misses, left keeps them as NULL)."""
     return df.join(small(dim), on, how)
@@ -156,6 +164,6 @@ def with_rating(df: DataFrame, segments: DataFrame, out: str = "rtng_desc") -> D
 
 
 __all__ = [
-    "BROADCAST_MAX_BYTES", "estimated_bytes", "small", "dedupe_latest", "lookup",
+    "BROADCAST_MAX_BYTES", "estimated_bytes", "small", "dedupe_latest", "distinct_rows", "lookup",
     "rating_as_of", "rating_segments", "with_rating",
 ]

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from bondmart import labels as L
 from bondmart.functions import scalars as X
+from bondmart.operators.joins import distinct_rows
 from bondmart.operators.rollup import (
     CASH_SIDES, CASH_TYPES, period_sizes, rollup_agg, rollup_items, rollup_sizes, rollup_strings,
     set_arrays, set_sizes, sides_unpivot, with_category,
@@ -329,8 +330,8 @@ def root_term_preference(f: Feeds) -> DataFrame:
 def ctgry_deal_strategy_info(f: Feeds) -> DataFrame:
     """Distinct projection first (two lines of one deal number with the
     same amount and classes count once), then the sum."""
-    d = _deals_with_cats(f).select("buy_cat", "sell_cat", "deal_nmbr", "dirty_amnt", "bond_type4",
-                                   "deal_dt", "deal_strategy").dropDuplicates()
+    d = distinct_rows(_deals_with_cats(f).select("buy_cat", "sell_cat", "deal_nmbr", "dirty_amnt", "bond_type4",
+                                                 "deal_dt", "deal_strategy"))
     return _report(d,
                    [("buy_cat", "ctgry_type_buy"), ("sell_cat", "ctgry_type_sell"), ("bond_type4", "bond_type_f"),
                     ("deal_dt", "deal_dt"), ("deal_strategy", "deal_strategy")],

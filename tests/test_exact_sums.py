@@ -13,6 +13,7 @@ from test_operators import _feeds
 from test_shuffles import _plan
 
 from bondmart.functions import scalars as X
+from bondmart.operators.joins import distinct_rows
 from bondmart.operators.rollup import rollup_items
 from bondmart.plans import cash_reports as CR
 from bondmart.plans import grains as G
@@ -69,3 +70,9 @@ def test_sets_are_shuffled_by_number(spark):
         ("全部", "a_set", "a", 2, 5), ("机构", "a_set", "a", 1, 1), ("产品", "a_set", "a", 1, 4),
         ("全部", "a_set", None, 1, 2), ("机构", "a_set", None, 1, 2), ("全部", "b_set", "x", 2, None),
         ("机构", "b_set", "x", 2, None), ("全部", "b_set", "y", 1, None), ("产品", "b_set", "y", 1, None)}
+
+
+def test_a_distinct_projection_has_tasks_of_its_own(spark):
+    assert "REPARTITION_BY_NUM" in _plan(CR.ctgry_deal_strategy_info(_feeds(spark, bond_deal=_deals())))
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (1, None), (None, None), (None, None)], "k int, v string").repartition(3)
+    assert sorted(map(repr, distinct_rows(df).collect())) == sorted(map(repr, df.distinct().collect()))
