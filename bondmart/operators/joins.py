@@ -48,6 +48,11 @@ def small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     return df
 
 
+def is_small(df: DataFrame) -> bool:
+    """Whether ``small`` hints a broadcast of ``df``."""
+    return small(df) is not df
+
+
 def dedupe_latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key: the one with the greatest ``order`` tuple, ties
     decided by the other columns in their order.
@@ -164,6 +169,6 @@ def with_rating(df: DataFrame, segments: DataFrame, out: str = "rtng_desc") -> D
 
 
 __all__ = [
-    "BROADCAST_MAX_BYTES", "estimated_bytes", "small", "dedupe_latest", "distinct_rows", "lookup",
+    "BROADCAST_MAX_BYTES", "estimated_bytes", "small", "is_small", "dedupe_latest", "distinct_rows", "lookup",
     "rating_as_of", "rating_segments", "with_rating",
 ]

@@ -31,19 +31,25 @@ def sides_unpivot(
     member: str = "member",
     counter: str = "counter",
     side: str = "side",
+    own: dict[str, Sequence[str]] | None = None,
 ) -> DataFrame:
     """One row per (deal, side). ``sides`` = [(label, member_col,
     counter_col), ...]; the two party columns are replaced by ``member`` /
-    ``counter`` plus the ``side`` label."""
-    parties = {c for _, a, b in sides for c in (a, b)}
-    rest = [c for c in df.columns if c not in parties]
-    arr = F.array(*[
-        F.struct(F.lit(lbl).alias(side), F.col(a).alias(member), F.col(b).alias(counter))
-        for lbl, a, b in sides
-    ])
-    return df.select(*rest, F.explode(arr).alias("_s")).select(
-        *rest, f"_s.{side}", f"_s.{member}", f"_s.{counter}"
-    )
+    ``counter`` plus the ``side`` label. ``own``: further columns of the member,
+    {name: its column on each side}. A side's values are picked after the rows are
+    made, so what a report doesn't use is not carried to there."""
+    of_side = {member: [a for _, a, _ in sides], counter: [b for _, _, b in sides], **(own or {})}
+    taken = {c for cols in of_side.values() for c in cols}
+    rest = [c for c in df.columns if c not in taken]
+
+    def picked(cols: Sequence[str]) -> Column:
+        out = F.when(F.lit(False), F.col(cols[0]))
+        for (label, _, _), c in zip(sides, cols):
+            out = out.when(F.col(side) == label, F.col(c))
+        return out
+
+    rows = df.withColumn(side, F.explode(F.array(*[F.lit(label) for label, _, _ in sides])))
+    return rows.select(*rest, side, *[picked(cols).alias(n) for n, cols in of_side.items()])
 
 
 REPO_SIDES = ((L.SIDE_REPO, "repo_unq_id", "rvrse_unq_id"), (L.SIDE_RVRSE, "rvrse_unq_id", "repo_unq_id"))
@@ -130,6 +136,11 @@ def with_rollup(df: DataFrame, rollup: DataFrame, member: str = "member") -> Dat
             .drop("_rm", "_root", "_jt"))
 
 
+def _rooted(df: DataFrame, rollup: DataFrame, member: str) -> DataFrame:
+    """``with_rollup``, if rows don't carry their root already."""
+    return df if "root" in df.columns else with_rollup(df, rollup, member)
+
+
 def explode_join_types(df: DataFrame, jt: str = "join_type") -> DataFrame:
     """Each row once under 全部 and once under its own participant type."""
     return df.withColumn(jt, F.explode(F.array(F.lit(L.JT_ALL), F.col(jt))))
@@ -222,7 +233,7 @@ def rollup_agg(df: DataFrame, rollup: DataFrame, keys: Sequence[str], sums: dict
         first = df.groupBy(*(["root", "join_type"] if has_root else []), *keys).agg(
             *[exact_sum(e, kinds[n]).alias(n) for n, e in sums.items()])
         return explode_join_types(first if has_root else with_rollup(first, rollup, member))
-    rows = df if has_root else with_rollup(df, rollup, member)
+    rows = _rooted(df, rollup, member)
     return _fanned_out(_apart(rows, ["root", *keys], sums, types), ["root", *keys], list(sums), types)
 
 

@@ -20,27 +20,28 @@ from bondmart import labels as L
 from bondmart.functions import scalars as X
 from bondmart.operators.joins import distinct_rows
 from bondmart.operators.rollup import (
-    CASH_SIDES, CASH_TYPES, period_sizes, rollup_agg, rollup_items, rollup_sizes, rollup_strings,
-    set_arrays, set_sizes, sides_unpivot, with_category,
+    CASH_TYPES, period_sizes, rollup_agg, rollup_items, rollup_sizes, rollup_strings, set_arrays, set_sizes, with_category,
 )
 from bondmart.plans import base as B
-from bondmart.plans.grains import cash_sides, grain
+from bondmart.plans.grains import cash_sides, deal_sides, grain, is_stored, rooted_sides
 from bondmart.sources.feeds import Feeds
 
 BUY, SELL = L.SIDE_BUY, L.SIDE_SELL
 SEP = L.CASH_SET_SEP
 
 
-def _sides(f: Feeds) -> DataFrame:
-    return sides_unpivot(B.fact_cash_deal(f), CASH_SIDES)
-
-
 def _cat(df: DataFrame, f: Feeds, member: str, out: str) -> DataFrame:
     """Member id -> cash display category ('None' if unresolved)."""
     return with_category(df, B.dim_member_cash(f), member, out, key="ip_id", how="left",
                          default=L.UNRESOLVED)
 
 
+def _sides_by_ctgry(f: Feeds) -> DataFrame:
+    """Sides of the deals with the member's category (``ctgry``)."""
+    d = rooted_sides(f)
+    return d.drop("root", "join_type") if "ctgry" in d.columns else _cat(d, f, "member", "ctgry")
+
+
 def _sum(df: DataFrame, c: str) -> Column:
     return X.exact_sum(c, df.schema[c].dataType).cast("decimal(38,2)")
 
@@ -159,11 +160,11 @@ ROOT_KEYS4 = [("root", "member_id"), ("join_type", "participant_type"), ("bond_t
 def root_deal_rows(f: Feeds) -> DataFrame:
     """The deal numbers of ``root_deal_amount_trans_info`` as rows."""
     keys = ROOT_KEYS4 + [("deal_nmbr", "deal_number")]
-    return _root_report(f, _sides(f), keys, [(None, "dirty_amnt", "full_price")])
+    return _root_report(f, deal_sides(f), keys, [(None, "dirty_amnt", "full_price")])
 
 
 def root_deal_strategy_info(f: Feeds) -> DataFrame:
-    return _root_report(f, cash_sides(f), ROOT_KEYS4 + [("deal_strategy", "deal_strategy")],
+    return _root_report(f, rooted_sides(f), ROOT_KEYS4 + [("deal_strategy", "deal_strategy")],
                         [(None, "dirty_amnt", "full_price")])
 
 
@@ -177,7 +178,10 @@ def _deals_with_cats(f: Feeds) -> DataFrame:
 
 
 def _pairs(f: Feeds) -> DataFrame:
-    return _with_cats(grain(f, "grain_cash_pair"), f)
+    deals = None if is_stored(f, "grain_cash_pair") else B.party_deals(f)
+    if deals is None:
+        return _with_cats(grain(f, "grain_cash_pair"), f)
+    return deals.withColumn("n", F.lit(1).cast("long"))
 
 
 def ctgry_counter_party_buyer(f: Feeds) -> DataFrame:
@@ -202,9 +206,9 @@ def _one_leg(f: Feeds, leg: str) -> DataFrame:
     d = _pairs(f)
     me, other, other_cat = (("buy_ip_id", "sell_ip_id", "sell_cat") if leg == BUY
                             else ("sell_ip_id", "buy_ip_id", "buy_cat"))
-    d = d.select(F.col(me).alias("member"), F.col(other).alias("counter"),
-                 F.col(other_cat).alias("counter_cat"), "bond_type4", "deal_dt", "dirty_amnt", "n")
-    return d
+    own = [F.col(f"{leg.lower()}_{c}").alias(c) for c in ("root", "join_type") if f"{leg.lower()}_{c}" in d.columns]
+    return d.select(F.col(me).alias("member"), F.col(other).alias("counter"),
+                    F.col(other_cat).alias("counter_cat"), "bond_type4", "deal_dt", "dirty_amnt", "n", *own)
 
 
 def counter_party_buyer(f: Feeds) -> DataFrame:
@@ -232,7 +236,7 @@ RETURNS = [(BUY, "dirty_amnt", "buy_full_price"), (SELL, "dirty_amnt", "sell_ful
 
 def root_trade_deadline_info(f: Feeds) -> DataFrame:
     """Face value bought / sold (the columns are named full price)."""
-    return _root_report(f, cash_sides(f),
+    return _root_report(f, rooted_sides(f),
                    [("root", "member_id"), ("bond_id", "bond_id"), ("member", "cmember_id"),
                     ("join_type", "participant_type"), ("deal_dt", "deal_dt"), ("bond_type4", "bond_type_f"),
                     ("mrty_bucket", "yr_of_time_to_mrty_type")],
@@ -240,7 +244,7 @@ def root_trade_deadline_info(f: Feeds) -> DataFrame:
 
 
 def ctgry_trade_deadline_info(f: Feeds) -> DataFrame:
-    d = _cat(cash_sides(f), f, "member", "ctgry")
+    d = _sides_by_ctgry(f)
     return _report(d,
                    [("ctgry", "ctgry_type"), ("bond_id", "bond_id"), ("deal_dt", "deal_dt"),
                     ("bond_type4", "bond_type_f"), ("mrty_bucket", "yr_of_time_to_mrty_type")],
@@ -248,14 +252,14 @@ def ctgry_trade_deadline_info(f: Feeds) -> DataFrame:
 
 
 def ctgry_bond_set(f: Feeds) -> DataFrame:
-    return _report(_cat(cash_sides(f), f, "member", "ctgry"),
+    return _report(_sides_by_ctgry(f),
                    [("member", "member_id"), ("deal_strategy", "deal_strategy"), ("deal_dt", "deal_dt"),
                     ("ctgry", "member_type")],
                    [*_set("bond_id", "bond_id_set")])
 
 
 def root_bond_deal(f: Feeds) -> DataFrame:
-    return _root_report(f, cash_sides(f),
+    return _root_report(f, rooted_sides(f),
                    [("root", "member_id"), ("join_type", "participant_type"), ("bond_type8", "bond_type_e"),
                     ("deal_strategy", "deal_strategy"), ("deal_dt", "deal_dt"), ("bond_id", "bond_id")],
                    [(None, "dirty_amnt", "full_price")])
@@ -263,7 +267,7 @@ def root_bond_deal(f: Feeds) -> DataFrame:
 
 def ctgry_bond_deal(f: Feeds) -> DataFrame:
     """Keyed by member in spite of its name."""
-    d = _cat(cash_sides(f), f, "member", "ctgry")
+    d = _sides_by_ctgry(f)
     return _report(d,
                    [("member", "member_id"), ("bond_id", "bond_id"), ("bond_type8", "bond_type_e"),
                     ("deal_strategy", "deal_strategy"), ("deal_dt", "deal_dt"), ("ctgry", "member_type")],
@@ -291,14 +295,14 @@ def base_investment_returns(f: Feeds) -> DataFrame:
 
 
 def root_investment_returns(f: Feeds) -> DataFrame:
-    return _root_report(f, cash_sides(f),
+    return _root_report(f, rooted_sides(f),
                    [("root", "member_id"), ("join_type", "participant_type"), ("bond_id", "bond_id"),
                     ("deal_dt", "deal_dt"), ("bond_type8", "bond_type_e")],
                    RETURNS)
 
 
 def ctgry_investment_returns(f: Feeds) -> DataFrame:
-    d = _cat(cash_sides(f), f, "member", "ctgry")
+    d = _sides_by_ctgry(f)
     return _report(d,
                    [("ctgry", "ctgry_type"), ("bond_id", "bond_id"), ("deal_dt", "deal_dt"),
                     ("bond_type8", "bond_type_e")],
@@ -306,21 +310,21 @@ def ctgry_investment_returns(f: Feeds) -> DataFrame:
 
 
 def root_roi_performance(f: Feeds) -> DataFrame:
-    return _root_report(f, cash_sides(f),
+    return _root_report(f, rooted_sides(f),
                    [("root", "member_id"), ("join_type", "participant_type"), ("bond_id", "bond_id"),
                     ("deal_dt", "deal_dt"), ("bond_type4", "bond_type_f")],
                    RETURNS)
 
 
 def root_bond_concentration(f: Feeds) -> DataFrame:
-    return _root_report(f, cash_sides(f),
+    return _root_report(f, rooted_sides(f),
                    [("root", "member_id"), ("join_type", "participant_type"), ("bond_id", "bond_id"),
                     ("bond_type4", "bond_type_f"), ("deal_dt", "deal_dt")],
                    [(None, "dirty_amnt", "full_price")])
 
 
 def root_term_preference(f: Feeds) -> DataFrame:
-    return _root_report(f, cash_sides(f),
+    return _root_report(f, rooted_sides(f),
                    [("root", "member_id"), ("bond_id", "bond_id"), ("member", "cmember_id"),
                     ("join_type", "participant_type"), ("deal_dt", "deal_dt"), ("bond_type4", "bond_type_f"),
                     ("yrs_to_mrty", "yr_of_time_to_mrty")],
@@ -346,15 +350,15 @@ def _leg_keys(root: str) -> tuple[tuple[str, str], ...]:
 PRICE = (("dirty_amnt", "full_price"),)
 SET_TABLES = {
     # the set of deal numbers grows with a root's deals of a day
-    "root_deal_amount_trans_info": SetTable(_sides, tuple(ROOT_KEYS4), PRICE, (("deal_nmbr", "deal_number"),)),
+    "root_deal_amount_trans_info": SetTable(deal_sides, tuple(ROOT_KEYS4), PRICE, (("deal_nmbr", "deal_number"),)),
     "root_counter_party_bond_info": SetTable(
-        _sides, tuple(ROOT_KEYS4), (), (("counter", "counter_id_set"), ("bond_id", "bond_id_set"))),
+        deal_sides, tuple(ROOT_KEYS4), (), (("counter", "counter_id_set"), ("bond_id", "bond_id_set"))),
     "root_counter_party_buyer": SetTable(
         lambda f: _one_leg(f, BUY), _leg_keys("buyer_id"), PRICE, (("counter", "member_id_set"),), "n"),
     "root_counter_party_seller": SetTable(
         lambda f: _one_leg(f, SELL), _leg_keys("seller_id"), PRICE, (("counter", "member_id_set"),), "n"),
     "root_distribution_number": SetTable(
-        cash_sides, (("root", "member_id"), ("join_type", "participant_type"), ("bond_type8", "bond_type_e"),
+        rooted_sides, (("root", "member_id"), ("join_type", "participant_type"), ("bond_type8", "bond_type_e"),
                  ("deal_strategy", "deal_strategy"), ("deal_dt", "deal_dt")), PRICE, (("bond_id", "bond_id_set"),), "n"),
 }
 #: tables that equal another one: the union of the legs before the roll-up is the union after it

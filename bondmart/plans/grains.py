@@ -81,10 +81,13 @@ def _both(sides: tuple[str, str], *terms: str) -> tuple[str, ...]:
 CASH_KEYS = ("member", "bond_id", "bond_type4", "bond_type8", "deal_strategy", "mrty_bucket", "yrs_to_mrty", "deal_dt")
 
 
+def _cash_measures(sides: DataFrame, *of_member: str) -> DataFrame:
+    return sides.select(*of_member, *CASH_KEYS, *_measures((BUY, SELL), {c: F.col(c) for c in ("dirty_amnt", "face_value")}),
+                        F.lit(1).cast("long").alias("n"))
+
+
 def _cash_rows(f: Feeds) -> DataFrame:
-    d = sides_unpivot(B.fact_cash_deal(f), CASH_SIDES)
-    return d.select(*CASH_KEYS, *_measures((BUY, SELL), {c: F.col(c) for c in ("dirty_amnt", "face_value")}),
-                    F.lit(1).cast("long").alias("n"))
+    return _cash_measures(sides_unpivot(B.fact_cash_deal(f), CASH_SIDES))
 
 
 def _cash_pair_rows(f: Feeds) -> DataFrame:
@@ -146,10 +149,37 @@ def grain(f: Feeds, name: str) -> DataFrame:
     return memo[name]
 
 
-def cash_sides(f: Feeds) -> DataFrame:
-    """``grain_cash`` with the dirty amount of both sides. A row of the fact has one
-    side and keeps the type of its amount; a stored row (its sums are wider) has both."""
+def is_stored(f: Feeds, name: str) -> bool:
+    """Whether the run has written the grain."""
+    return hasattr(grain(f, name), "_bm_path")
+
+
+def deal_sides(f: Feeds) -> DataFrame:
+    """The two sides of the cash deals, with the member's category (``ctgry``), root and
+    participant type if these are looked up by party (``party_deals``)."""
+    deals = B.party_deals(f)
+    if deals is None:
+        return sides_unpivot(B.fact_cash_deal(f), CASH_SIDES)
+    return sides_unpivot(deals, CASH_SIDES, own={
+        n: [f"buy_{c}", f"sell_{c}"] for n, c in (("ctgry", "cat"), ("root", "root"), ("join_type", "join_type"))})
+
+
+def _any_dirty(rows: DataFrame) -> DataFrame:
+    """A row of the fact has one side and keeps the type of its amount; a stored
+    row (its sums are wider) has both."""
     buy, sell = F.col("buy_dirty_amnt"), F.col("sell_dirty_amnt")
-    rows = grain(f, "grain_cash")
     both = [buy + sell] if rows.schema["buy_dirty_amnt"].dataType.precision > 18 else []
     return rows.withColumn("dirty_amnt", F.coalesce(*both, buy, sell))
+
+
+def cash_sides(f: Feeds) -> DataFrame:
+    """``grain_cash`` with the dirty amount of both sides."""
+    return _any_dirty(grain(f, "grain_cash"))
+
+
+def rooted_sides(f: Feeds) -> DataFrame:
+    """``cash_sides`` for reports by root or category: with ctgry, root and
+    join_type where the deals' sides have them."""
+    if is_stored(f, "grain_cash") or B.party_deals(f) is None:
+        return cash_sides(f)
+    return _any_dirty(_cash_measures(deal_sides(f), "ctgry", "root", "join_type"))

@@ -68,7 +68,9 @@ def process_batch(spark: SparkSession, static: Feeds, store: str, out_root: str,
                 write_report(cash_reports.REPORTS[name](f), f"{out_root.rstrip('/')}/{name}", days=days)
             static.__dict__.setdefault("_memo", {}).update(
                 {k: v for k, v in f.__dict__["_memo"].items() if k in DIMENSIONS})
-            remove(spark, fact._bm_path)
+            for name, df in f.__dict__["_memo"].items():  # the fact, and what else was written for this batch alone
+                if name not in DIMENSIONS and hasattr(df, "_bm_path"):
+                    remove(spark, df._bm_path)
         remove(spark, typed._bm_path)
 
     return run
