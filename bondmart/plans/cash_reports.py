@@ -174,7 +174,8 @@ def _with_cats(d: DataFrame, f: Feeds) -> DataFrame:
 
 
 def _deals_with_cats(f: Feeds) -> DataFrame:
-    return _with_cats(B.fact_cash_deal(f), f)
+    deals = B.party_deals(f)
+    return _with_cats(B.fact_cash_deal(f), f) if deals is None else deals
 
 
 def _pairs(f: Feeds) -> DataFrame:

@@ -13,6 +13,7 @@ from test_shuffles import _plan
 from bondmart import labels as L
 from bondmart.operators import joins
 from bondmart.operators import rollup as R
+from bondmart.operator_queries import OPERATOR_QUERIES
 from bondmart.plans import base as B
 from bondmart.plans import cash_reports as CR
 
@@ -60,6 +61,11 @@ def _shuffles(plan: str, key: str) -> int:
     return plan.count(f"Exchange hashpartitioning({key}#")
 
 
+def _distinct_projection(f):
+    return CR._deals_with_cats(f).select("buy_cat", "sell_cat", "deal_nmbr", "dirty_amnt", "bond_type4", "deal_dt",
+                                         "deal_strategy").dropDuplicates()
+
+
 @pytest.mark.parametrize("query", [CR.root_bond_deal, CR.root_term_preference, CR.root_deal_rows, CR.ctgry_trade_deadline_info])
 def test_a_party_is_looked_up_where_it_is_checked(spark, many_members, query):
     """Each party's deals and the members, once each: no shuffle of the sides by member."""
@@ -67,6 +73,17 @@ def test_a_party_is_looked_up_where_it_is_checked(spark, many_members, query):
     assert _shuffles(plan, "member") == 0 and _shuffles(plan, "buy_ip_id") == _shuffles(plan, "sell_ip_id") == 2
 
 
+def test_a_distinct_projection_looks_categories_up_with_the_members(spark, many_members):
+    plan = _same_rows(spark, many_members, _distinct_projection)
+    assert _shuffles(plan, "buy_ip_id") == _shuffles(plan, "sell_ip_id") == 2
+
+
+def test_the_registered_distinct_projection_is_the_one_tested(spark):
+    f = _cash_feeds(spark)
+    assert "distinct_projection" in OPERATOR_QUERIES and _rows(_distinct_projection(f)) == _rows(CR._deals_with_cats(f).select(
+        "buy_cat", "sell_cat", "deal_nmbr", "dirty_amnt", "bond_type4", "deal_dt", "deal_strategy").distinct())
+
+
 def test_few_failed_deals_shuffle_no_deals(spark):
     """The feed's size isn't known here, that of the failed deals written is."""
     f = _cash_feeds(spark)
