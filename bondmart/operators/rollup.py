@@ -237,35 +237,60 @@ def rollup_agg(df: DataFrame, rollup: DataFrame, keys: Sequence[str], sums: dict
     return _fanned_out(_apart(rows, ["root", *keys], sums, types), ["root", *keys], list(sums), types)
 
 
+def _one_row_a_set(rows: DataFrame, keys: Sequence[str], values: Sequence[str], sums: Sequence[str], sets: int) -> DataFrame:
+    """Rows with root, join_type, keys, values and ``_item_0``, ... as a row per set: its
+    number (``_set``, if there are several) and ``item``; ``sums`` stand on the rows of the first set."""
+    if sets == 1:
+        return rows.withColumnRenamed("_item_0", "item")
+    held = F.array(*[F.struct(F.lit(i).cast("byte").alias("set"), F.col(f"_item_{i}").alias("item")) for i in range(sets)])
+    return rows.withColumn("_s", F.explode(held)).select(
+        "root", "join_type", *keys, F.col("_s.set").alias("_set"), "_s.item",
+        *[F.when(F.col("_s.set") == 0, F.col(n)).alias(n) if n in sums else n for n in values])
+
+
+def _placed(rows: DataFrame, place: Sequence[str | Column | int], types: Sequence[str]) -> DataFrame:
+    """``rows`` by ``place``; their type is shuffled as a number."""
+    code, label = F.when(F.lit(False), F.lit(0)), F.when(F.lit(False), F.lit(""))
+    for i, t in enumerate(types):
+        code, label = code.when(F.col("join_type") == t, F.lit(i)), label.when(F.col("_type") == i, F.lit(t))
+    return rows.withColumn("_type", code.cast("byte")).drop("join_type").repartition(*place).withColumn("join_type", label).drop("_type")
+
+
 def items_apart(df: DataFrame, rollup: DataFrame, keys: Sequence[str], sums: dict[str, Column],
                 sets: dict[str, Column], member: str = "member", count: Column | None = None,
-                types: Sequence[str] = PARTICIPANT_TYPES, counted: bool = True) -> DataFrame:
+                types: Sequence[str] = PARTICIPANT_TYPES, counted: bool = True, named: bool = True,
+                place: Sequence[str | Column | int] = ()) -> DataFrame:
     """The distinct rows of ``rollup_items`` by (root, keys, set_name, item), before
     the fan-out: the types' numbers and sums side by side (``_apart``).
-    ``counted``: with ``n_rows``, which only readers of the item rows need."""
-    lead = next(iter(sets))
+    ``counted``: with ``n_rows``, which only readers of the item rows need; not ``named``:
+    the sets by number (``_set``), for readers that shuffle the rows once more.
+
+    ``place``: columns of ``keys`` and root to bring the rows together by (after a number of
+    tasks, if given). Rows that carry their root are shuffled by these alone, before
+    they become a row per set, and made distinct where they are: they carry it
+    where members are too many to broadcast, and then hardly two rows of a root
+    and day share an item. Others are made distinct first, combined map-side."""
     numbers = {"n_rows": F.lit(1).cast("long") if count is None else count} if counted else {}
     values = {**numbers, **sums}
-    if len(sets) == 1:  # its name is the same on all rows
-        rows = df.select(member, *keys, *[e.alias(n) for n, e in values.items()], sets[lead].cast("string").alias("item"))
-        rows = with_rollup(rows, rollup, member).withColumn("set_name", F.lit(lead))
-    else:
-        held = F.array(*[F.struct(F.lit(i).cast("byte").alias("set"), e.cast("string").alias("item"))
-                         for i, e in enumerate(sets.values())])
-        rows = df.select(member, *keys, *[e.alias(n) for n, e in values.items()], held.alias("_sets"))
-        rows = with_rollup(rows, rollup, member).withColumn("_s", F.explode("_sets")).select(
-            "root", "join_type", *keys, F.col("_s.set").alias("_set"), "_s.item", *numbers,
-            *[F.when(F.col("_s.set") == 0, F.col(n)).alias(n) for n in sums])
-        # shuffled as a number, the name comes after
-        apart = _apart(rows, ["root", *keys, "_set", "item"], {n: F.col(n) for n in values}, types)
-        name = F.element_at(F.array(*map(F.lit, sets)), F.col("_set") + F.lit(1))
-        return apart.select("root", *keys, name.alias("set_name"), *[c for c in apart.columns if c not in ("root", "_set", *keys)])
-    return _apart(rows, ["root", *keys, "set_name", "item"], {n: F.col(n) for n in values}, types)
+    carried = [c for c in ("root", "join_type") if c in df.columns]
+    rows = df.select(*(carried or [member]), *keys, *[e.alias(n) for n, e in values.items()],
+                     *[e.cast("string").alias(f"_item_{i}") for i, e in enumerate(sets.values())])
+    rows = _placed(rows, place, types) if place and carried else _rooted(rows, rollup, member)
+    rows = _one_row_a_set(rows, keys, list(values), list(sums), len(sets))
+    number = ["_set"] if len(sets) > 1 else []  # the name of the only set is the same on all rows
+    apart = _apart(rows, ["root", *keys, *number, "item"], {n: F.col(n) for n in values}, types)
+    rest = [c for c in apart.columns if c not in ("root", "_set", *keys)]
+    at = F.col("_set") if number else F.lit(0).cast("byte")
+    apart = apart.select("root", *keys, at.alias("_set"), *rest)
+    if place and not carried:
+        apart = apart.repartition(*place)
+    name = F.element_at(F.array(*map(F.lit, sets)), F.col("_set") + F.lit(1)).alias("set_name")
+    return apart.select("root", *keys, name, *rest) if named else apart
 
 
 def rollup_items(df: DataFrame, rollup: DataFrame, keys: Sequence[str], sums: dict[str, Column],
                  sets: dict[str, Column], member: str = "member", count: Column | None = None,
-                 types: Sequence[str] = PARTICIPANT_TYPES, place: Sequence[str | Column] = ()) -> DataFrame:
+                 types: Sequence[str] = PARTICIPANT_TYPES, place: Sequence[str | Column | int] = ()) -> DataFrame:
     """A4 by root without arrays: a row per (root, join_type, keys, set_name,
     item) with the number of rows that hold the item (``n_rows``; ``count``: how
     many each row stands for) and their sums.
@@ -274,13 +299,12 @@ def rollup_items(df: DataFrame, rollup: DataFrame, keys: Sequence[str], sums: di
     aggregates, so no row grows with the size of a set and a hot root is spread
     over its items. Each row of ``df`` counts once per
     set; ``sums`` stand on the rows of the first set alone. A null item is a
-    row (with its sums) that belongs to no set. ``place``: columns to bring the
-    distinct rows together by before they fan out, for a reader that groups by
-    these and the type.
+    row (with its sums) that belongs to no set. ``place``: see ``items_apart``, for
+    a reader that groups by these columns and the type.
     """
     keys = [k for k in keys if k not in ("root", "join_type")]
-    apart = items_apart(df, rollup, keys, sums, sets, member, count, types)
-    return _fanned_out(apart.repartition(*place) if place else apart, ["root", *keys, "set_name", "item"],
+    apart = items_apart(df, rollup, keys, sums, sets, member, count, types, place=place)
+    return _fanned_out(apart, ["root", *keys, "set_name", "item"],
                        ["n_rows", *sums], types)
 
 
@@ -290,12 +314,13 @@ def rollup_sizes(df: DataFrame, rollup: DataFrame, keys: Sequence[str], sums: di
     """``set_sizes`` of ``rollup_items``, counted with the types apart: the fan-out
     sees one row per (root, keys)."""
     keys = [k for k in keys if k not in ("root", "join_type")]
-    apart = items_apart(df, rollup, keys, sums, sets, member, None, types, counted=False)
+    place = ["root", *keys] if "root" in df.columns else []  # else partial counts are shuffled
+    apart = items_apart(df, rollup, keys, sums, sets, member, None, types, counted=False, named=False, place=place)
     every = range(len(types) + 1)
     sizes = apart.groupBy("root", *keys).agg(
         F.bit_or("_types").alias("_types"), *_summed(apart, sums),
-        *[F.count(F.when((F.col("set_name") == n) & (_has(i) if i else F.lit(True)), F.col("item"))).alias(f"{n}_size_{i}")
-          for i in every for n in sets])
+        *[F.count(F.when((F.col("_set") == at) & (_has(i) if i else F.lit(True)), F.col("item"))).alias(f"{n}_size_{i}")
+          for i in every for at, n in enumerate(sets)])
     return _fanned_out(sizes, ["root", *keys], [*sums, *[f"{n}_size" for n in sets]], types)
 
 
@@ -313,11 +338,12 @@ def rollup_strings(df: DataFrame, rollup: DataFrame, keys: Sequence[str], sums:
     handled once and where one type alone has rows its string is 全部's as well.
     The one aggregate whose row grows with a set."""
     keys = [k for k in keys if k not in ("root", "join_type")]
-    apart = items_apart(df, rollup, keys, sums, sets, member, None, types, counted=False).repartition("root", *keys)
+    apart = items_apart(df, rollup, keys, sums, sets, member, None, types, counted=False, named=False, place=["root", *keys])
     own = range(1, len(types) + 1)
     g = apart.groupBy("root", *keys).agg(
         F.bit_or("_types").alias("_types"), *_summed(apart, sums),
-        *[F.collect_list(F.when((F.col("set_name") == n) & _has(i), F.col("item"))).alias(f"_{n}_{i}") for i in own for n in sets])
+        *[F.collect_list(F.when((F.col("_set") == at) & _has(i), F.col("item"))).alias(f"_{n}_{i}")
+          for i in own for at, n in enumerate(sets)])
     rest = [c for c in g.columns if c not in {f"_{n}_{i}" for i in own for n in sets}]
     strings = g.select(*rest, *[c for i in own for n in sets for c in (
         text(F.col(f"_{n}_{i}")).alias(f"{n}_{i}"), F.size(f"_{n}_{i}").cast("long").alias(f"{n}_size_{i}"))], *[

@@ -100,9 +100,9 @@ class SetTable:
         return way(self.rows(f), B.member_rollup_cash(f), [k for k, _ in self.keys],
                    {n: F.col(c) for c, n in self.sums}, {n: F.col(c) for c, n in self.sets}, types=CASH_TYPES, **how)
 
-    def items(self, f: Feeds, place: Sequence[str | Column] = ()) -> DataFrame:
+    def items(self, f: Feeds, place: Sequence[str | Column | int] = ()) -> DataFrame:
         """The sets as rows: keys, set_name, item, n_rows and sums; the sums
-        stand on the rows of the first set. ``place``: see ``rollup_items``."""
+        stand on the rows of the first set. ``place``: see ``items_apart``."""
         g = self._rolled(f, rollup_items, count=F.col(self.count) if self.count else None, place=place)
         return g.select(*[F.col(k).alias(n) for k, n in self.keys], "set_name", "item", "n_rows",
                         *[F.col(n).cast("decimal(38,2)").alias(n) for _, n in self.sums])
@@ -381,7 +381,7 @@ def root_period_sizes(f: Feeds) -> DataFrame:
     whether the sketches of its days agree within 5 % (and one item)."""
     own = SET_TABLES["root_counter_party_bond_info"]
     month = F.date_format("deal_dt", "yyyy-MM")
-    sizes = own.period_sizes(own.items(f, place=["root", "bond_type4", month, "set_name"]), month, "month")
+    sizes = own.period_sizes(own.items(f, place=["root", "bond_type4", month]), month, "month")
     near = F.abs(F.col("estimate") - F.col("n_items")) <= F.greatest(F.lit(1.0), F.col("n_items") * 0.05)
     return sizes.withColumn("sketch_agrees", near).drop("estimate")
 

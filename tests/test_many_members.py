@@ -99,3 +99,18 @@ def test_members_own_columns_go_with_the_side(spark):
     assert out.columns == ["v", "side", "member", "counter", "root"]
     assert {tuple(r) for r in out.collect()} == {(1, "BUY", "a", "b", "ra"), (1, "SELL", "b", "a", "rb"),
                                                  (2, "BUY", None, "c", None), (2, "SELL", "c", None, "rc")}
+
+
+@pytest.mark.parametrize("name, strings", [
+    ("root_distribution_number", True), ("root_distribution_number", False), ("root_counter_party_bond_info", True),
+    ("root_counter_party_bond_info", False), ("root_counter_party_buyer", True), ("root_deal_amount_trans_info", False)])
+def test_sets_of_rooted_rows_are_shuffled_once(spark, many_members, name, strings):
+    """By root and key, before there is a row per set."""
+    plan = _same_rows(spark, many_members, CR.set_report(name, strings))
+    assert _shuffles(plan, "member") == 0 and _shuffles(plan, "buy_ip_id") == _shuffles(plan, "sell_ip_id") == 2
+    assert _shuffles(plan, "root") == 1 and "_set#" not in re.search(r"Exchange hashpartitioning\(root#.*", plan)[0]
+
+
+def test_items_of_rooted_rows(spark, many_members):
+    plan = _same_rows(spark, many_members, CR.SET_TABLES["root_counter_party_bond_info"].items)
+    assert _shuffles(plan, "member") == 0 and _shuffles(plan, "root") == 1
