@@ -17,6 +17,7 @@ from bondmart.functions.scalars import rating_label
 # bound for hinted broadcasts, on Catalyst's size estimate (for a parquet
 # snapshot: its compressed file size; in memory a few times more)
 BROADCAST_MAX_BYTES = 16 * 1024 * 1024
+UNKNOWN_BYTES = 1 << 62  # Catalyst's estimate of rows whose size it doesn't know is 2^63 - 1
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -53,6 +54,16 @@ def is_small(df: DataFrame) -> bool:
     return small(df) is not df
 
 
+def tasks_for(df: DataFrame, task_bytes: int) -> int:
+    """Tasks for rows made of ``df``: one for ``task_bytes`` of what it reads (compressed
+    files), at least ``spark.sql.shuffle.partitions``. Given as a number, adaptive execution keeps it.
+    Rows whose size the planner doesn't know (an RDD's) don't count."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return max(-(-sum(n for n in sizes if n < UNKNOWN_BYTES) // task_bytes), least)
+
+
 def dedupe_latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key: the one with the greatest ``order`` tuple, ties
     decided by the other columns in their order.
@@ -169,6 +180,6 @@ def with_rating(df: DataFrame, segments: DataFrame, out: str = "rtng_desc") -> D
 
 
 __all__ = [
-    "BROADCAST_MAX_BYTES", "estimated_bytes", "small", "is_small", "dedupe_latest", "distinct_rows", "lookup",
+    "BROADCAST_MAX_BYTES", "estimated_bytes", "small", "is_small", "tasks_for", "dedupe_latest", "distinct_rows", "lookup",
     "rating_as_of", "rating_segments", "with_rating",
 ]

@@ -11,14 +11,14 @@ sets by root are rows first (``SetTable``) and strings only on request.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bondmart import labels as L
 from bondmart.functions import scalars as X
-from bondmart.operators.joins import distinct_rows
+from bondmart.operators.joins import distinct_rows, tasks_for
 from bondmart.operators.rollup import (
     CASH_TYPES, period_sizes, rollup_agg, rollup_items, rollup_sizes, rollup_strings, set_arrays, set_sizes, with_category,
 )
@@ -28,6 +28,7 @@ from bondmart.sources.feeds import Feeds
 
 BUY, SELL = L.SIDE_BUY, L.SIDE_SELL
 SEP = L.CASH_SET_SEP
+PERIOD_BYTES = 4 << 20  # of the deals' files (compressed) whose sets by month one task counts
 
 
 def _cat(df: DataFrame, f: Feeds, member: str, out: str) -> DataFrame:
@@ -138,7 +139,7 @@ class SetTable:
     def period_sizes(self, items: DataFrame, period: Column, name: str) -> DataFrame:
         """Exact distinct items of each set over ``period``, and the estimate
         that the merged sketches of the days give."""
-        keys = [n for n in self._names()[0] if n != "deal_dt"]
+        keys = [n for n in self._names()[0] if n not in ("deal_dt", name)]
         return period_sizes(items.withColumn(name, period), [*keys, name, "set_name"], "deal_dt")
 
 
@@ -380,10 +381,14 @@ def root_period_sizes(f: Feeds) -> DataFrame:
     """Distinct counter-parties and bonds of a root by month, exact, and
     whether the sketches of its days agree within 5 % (and one item)."""
     own = SET_TABLES["root_counter_party_bond_info"]
-    month = F.date_format("deal_dt", "yyyy-MM")
-    sizes = own.period_sizes(own.items(f, place=["root", "bond_type4", month]), month, "month")
+    # the month is a key of the rows, so that what lies together by month is made distinct there
+    rows, by_month = own.rows, (*own.keys, ("month", "month"))
+    own = replace(own, rows=lambda f: rows(f).withColumn("month", F.trunc("deal_dt", "month")), keys=by_month)
+    # a task sorts its rows by item and holds the sketches of its days: more tasks than a shuffle alone would bear
+    tasks = tasks_for(f.bond_deal, PERIOD_BYTES)
+    sizes = own.period_sizes(own.items(f, place=[tasks, "root", "bond_type4", "month"]), F.col("month"), "month")
     near = F.abs(F.col("estimate") - F.col("n_items")) <= F.greatest(F.lit(1.0), F.col("n_items") * 0.05)
-    return sizes.withColumn("sketch_agrees", near).drop("estimate")
+    return sizes.withColumn("month", F.date_format("month", "yyyy-MM")).withColumn("sketch_agrees", near).drop("estimate")
 
 
 REPORTS = {

@@ -114,3 +114,20 @@ def test_sets_of_rooted_rows_are_shuffled_once(spark, many_members, name, string
 def test_items_of_rooted_rows(spark, many_members):
     plan = _same_rows(spark, many_members, CR.SET_TABLES["root_counter_party_bond_info"].items)
     assert _shuffles(plan, "member") == 0 and _shuffles(plan, "root") == 1
+
+
+def test_items_of_a_month_are_counted_in_tasks_of_their_own(spark, many_members):
+    """As many tasks as the deals' files ask for, which adaptive execution keeps; one shuffle of rooted rows."""
+    f = _cash_feeds(spark)
+    tasks = joins.tasks_for(f.bond_deal, CR.PERIOD_BYTES)
+    assert re.search(rf"hashpartitioning\(root#.*month#\d+, {tasks}\), REPARTITION_BY_NUM", _plan(CR.root_period_sizes(f)))
+    plan = _same_rows(spark, many_members, CR.root_period_sizes)
+    assert _shuffles(plan, "root") == 1 and _shuffles(plan, "member_id") == 0
+
+
+def test_tasks_grow_with_the_files(spark, tmpdir_path):
+    spark.range(20000).write.parquet(f"{tmpdir_path}/t")
+    df = spark.read.parquet(f"{tmpdir_path}/t")
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert joins.tasks_for(df, 1 << 40) == least == joins.tasks_for(spark.createDataFrame([(1,)], "id long"), 1)
+    assert joins.tasks_for(df.join(df.withColumnRenamed("id", "k"), df.id == F.col("k")), 1024) > joins.tasks_for(df, 1024) > least
