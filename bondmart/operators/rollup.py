@@ -220,14 +220,20 @@ def _fanned_out(apart: DataFrame, keep: Sequence[str], names: Sequence[str], typ
 
 
 def rollup_agg(df: DataFrame, rollup: DataFrame, keys: Sequence[str], sums: dict[str, Column],
-               member: str = "member", types: Sequence[str] = PARTICIPANT_TYPES) -> DataFrame:
+               member: str = "member", types: Sequence[str] = PARTICIPANT_TYPES, tasks: int | None = None) -> DataFrame:
     """groupBy(root, join_type, keys) of ``df`` with sums, 全部 and the own type.
     Rows are combined by (root, keys) with the types' sums apart, so they are
     shuffled once and fan out to the types afterwards. With ``member`` among the
     keys they are combined by member, and its root is looked up at the end. Rows
-    that carry their root (a stored grain) need no lookup."""
+    that carry their root (a stored grain) need no lookup. ``tasks``: first deal these by
+    all keys to so many tasks; else rows that a lookup has dealt by one of the keys
+    are combined where that has put them, in tasks made for the lookup."""
     keys = [k for k in keys if k not in ("root", "join_type")]
     has_root = "root" in df.columns
+    if has_root and tasks:
+        values = {f"_sum_{i}": e for i, e in enumerate(sums.values())}
+        df = _placed(df.select("root", "join_type", *keys, *[e.alias(v) for v, e in values.items()]), [tasks, "root", *keys], types)
+        sums = {n: F.col(v) for n, v in zip(sums, values)}
     if member in keys:
         kinds = _kinds(df, sums)
         first = df.groupBy(*(["root", "join_type"] if has_root else []), *keys).agg(
@@ -310,11 +316,11 @@ def rollup_items(df: DataFrame, rollup: DataFrame, keys: Sequence[str], sums: di
 
 def rollup_sizes(df: DataFrame, rollup: DataFrame, keys: Sequence[str], sums: dict[str, Column],
                  sets: dict[str, Column], member: str = "member",
-                 types: Sequence[str] = PARTICIPANT_TYPES) -> DataFrame:
+                 types: Sequence[str] = PARTICIPANT_TYPES, tasks: int | None = None) -> DataFrame:
     """``set_sizes`` of ``rollup_items``, counted with the types apart: the fan-out
     sees one row per (root, keys)."""
     keys = [k for k in keys if k not in ("root", "join_type")]
-    place = ["root", *keys] if "root" in df.columns else []  # else partial counts are shuffled
+    place = [*([tasks] if tasks else []), "root", *keys] if "root" in df.columns else []  # else partial counts are shuffled
     apart = items_apart(df, rollup, keys, sums, sets, member, None, types, counted=False, named=False, place=place)
     every = range(len(types) + 1)
     sizes = apart.groupBy("root", *keys).agg(
@@ -331,14 +337,15 @@ def _summed(apart: DataFrame, sums: Sequence[str]) -> list[Column]:
 
 def rollup_strings(df: DataFrame, rollup: DataFrame, keys: Sequence[str], sums: dict[str, Column],
                    sets: dict[str, Column], text: Callable[[Column], Column], member: str = "member",
-                   types: Sequence[str] = PARTICIPANT_TYPES) -> DataFrame:
+                   types: Sequence[str] = PARTICIPANT_TYPES, tasks: int | None = None) -> DataFrame:
     """One row per (root, join_type, keys) with sums, each set as ``text`` of its
     items and its ``<set>_size``. The distinct items of (root, keys) are brought
     together before the fan-out and collected with the types apart, so an item is
     handled once and where one type alone has rows its string is 全部's as well.
     The one aggregate whose row grows with a set."""
     keys = [k for k in keys if k not in ("root", "join_type")]
-    apart = items_apart(df, rollup, keys, sums, sets, member, None, types, counted=False, named=False, place=["root", *keys])
+    place = [*([tasks] if tasks else []), "root", *keys]
+    apart = items_apart(df, rollup, keys, sums, sets, member, None, types, counted=False, named=False, place=place)
     own = range(1, len(types) + 1)
     g = apart.groupBy("root", *keys).agg(
         F.bit_or("_types").alias("_types"), *_summed(apart, sums),

@@ -28,7 +28,7 @@ from bondmart.sources.feeds import Feeds
 
 BUY, SELL = L.SIDE_BUY, L.SIDE_SELL
 SEP = L.CASH_SET_SEP
-PERIOD_BYTES = 4 << 20  # of the deals' files (compressed) whose sets by month one task counts
+TASK_BYTES = 4 << 20  # of the deals' files (compressed) whose sides one task combines
 
 
 def _cat(df: DataFrame, f: Feeds, member: str, out: str) -> DataFrame:
@@ -75,11 +75,19 @@ def _report(df: DataFrame, keys: Sequence[tuple[str, str]], measures: Sequence[C
                     *[c for c in g.columns if c not in place + cols and c not in names])
 
 
+def _tasks(f: Feeds, df: DataFrame) -> int | None:
+    """Tasks to combine sides in that carry their root, as many as the deals' files ask for; a
+    stored grain stays where it is. A task holds its rows several times (partial and
+    final aggregates, sets), so it must not take what adaptive execution would put together."""
+    return tasks_for(f.bond_deal, TASK_BYTES) if "root" in df.columns and not is_stored(f, "grain_cash") else None
+
+
 def _root_report(f: Feeds, df: DataFrame, keys: Sequence[tuple[str, str]], sums: Sequence[tuple]) -> DataFrame:
     """A report by root and participant type. sums = [(side or None,
     col, name)], a side's sum being 0 without deals."""
-    g = rollup_agg(df, B.member_rollup_cash(f), [k for k, _ in keys],
-                   {n: F.col(_of_side(side, c) if side else c) for side, c, n in sums}, types=CASH_TYPES)
+    cols = [k for k, _ in keys]
+    g = rollup_agg(df, B.member_rollup_cash(f), cols, {n: F.col(_of_side(side, c) if side else c) for side, c, n in sums},
+                   types=CASH_TYPES, tasks=_tasks(f, df) if "bond_id" in cols else None)
     out = [F.col(k).alias(n) for k, n in keys]
     for side, _, n in sums:
         out.append((F.coalesce(F.col(n), F.lit(0)) if side else F.col(n)).cast("decimal(38,2)").alias(n))
@@ -98,7 +106,10 @@ class SetTable:
     count: str | None = None  # deals that a row stands for
 
     def _rolled(self, f: Feeds, way: Callable[..., DataFrame], **how) -> DataFrame:
-        return way(self.rows(f), B.member_rollup_cash(f), [k for k, _ in self.keys],
+        rows = self.rows(f)
+        if "text" in how or way is rollup_sizes:
+            how["tasks"] = _tasks(f, rows)
+        return way(rows, B.member_rollup_cash(f), [k for k, _ in self.keys],
                    {n: F.col(c) for c, n in self.sums}, {n: F.col(c) for c, n in self.sets}, types=CASH_TYPES, **how)
 
     def items(self, f: Feeds, place: Sequence[str | Column | int] = ()) -> DataFrame:
@@ -384,8 +395,8 @@ def root_period_sizes(f: Feeds) -> DataFrame:
     # the month is a key of the rows, so that what lies together by month is made distinct there
     rows, by_month = own.rows, (*own.keys, ("month", "month"))
     own = replace(own, rows=lambda f: rows(f).withColumn("month", F.trunc("deal_dt", "month")), keys=by_month)
-    # a task sorts its rows by item and holds the sketches of its days: more tasks than a shuffle alone would bear
-    tasks = tasks_for(f.bond_deal, PERIOD_BYTES)
+    # a task sorts its rows by item and by day: more tasks than a shuffle alone would bear
+    tasks = tasks_for(f.bond_deal, TASK_BYTES)
     sizes = own.period_sizes(own.items(f, place=[tasks, "root", "bond_type4", "month"]), F.col("month"), "month")
     near = F.abs(F.col("estimate") - F.col("n_items")) <= F.greatest(F.lit(1.0), F.col("n_items") * 0.05)
     return sizes.withColumn("month", F.date_format("month", "yyyy-MM")).withColumn("sketch_agrees", near).drop("estimate")

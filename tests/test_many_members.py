@@ -119,7 +119,7 @@ def test_items_of_rooted_rows(spark, many_members):
 def test_items_of_a_month_are_counted_in_tasks_of_their_own(spark, many_members):
     """As many tasks as the deals' files ask for, which adaptive execution keeps; one shuffle of rooted rows."""
     f = _cash_feeds(spark)
-    tasks = joins.tasks_for(f.bond_deal, CR.PERIOD_BYTES)
+    tasks = joins.tasks_for(f.bond_deal, CR.TASK_BYTES)
     assert re.search(rf"hashpartitioning\(root#.*month#\d+, {tasks}\), REPARTITION_BY_NUM", _plan(CR.root_period_sizes(f)))
     plan = _same_rows(spark, many_members, CR.root_period_sizes)
     assert _shuffles(plan, "root") == 1 and _shuffles(plan, "member_id") == 0
@@ -131,3 +131,12 @@ def test_tasks_grow_with_the_files(spark, tmpdir_path):
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert joins.tasks_for(df, 1 << 40) == least == joins.tasks_for(spark.createDataFrame([(1,)], "id long"), 1)
     assert joins.tasks_for(df.join(df.withColumnRenamed("id", "k"), df.id == F.col("k")), 1024) > joins.tasks_for(df, 1024) > least
+
+
+def test_sides_are_combined_in_tasks_of_their_own(spark, many_members):
+    """Not in those of the bond lookup, by all keys and not by bond alone."""
+    many_members()
+    f = _cash_feeds(spark)
+    for query in (CR.root_bond_deal, CR.set_report("root_distribution_number"), CR.set_report("root_distribution_number", False)):
+        exchange = re.search(r"Exchange hashpartitioning\(root#.*", _plan(query(f)))[0]
+        assert "REPARTITION_BY_NUM" in exchange and "deal_dt#" in exchange and "bond_type8#" in exchange
